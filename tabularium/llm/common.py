@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -123,3 +124,34 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x *= np.uint64(0x81DADEF4BC2DD44D)
         x ^= x >> np.uint64(33)
     return x
+
+
+def ragged_take(flat: np.ndarray, starts: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of parts ``flat[starts[i]:starts[i + 1]]``, those numbered ``items`` one after another, and the length of each."""
+    lengths = (starts[1:] - starts[:-1])[items]
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.arange(total, dtype=np.int64)
+    at += np.repeat(starts[:-1][items] - (ends - lengths), lengths)
+    return flat[at], lengths
+
+
+@dataclass
+class Pieces:
+    """Matches of a pattern in several texts: text ``i`` has ``codes[starts[i]:starts[i + 1]]``, indices into ``distinct``."""
+
+    codes: np.ndarray
+    starts: np.ndarray
+    distinct: list[str]
+
+
+def split_pieces(texts: list[str], find) -> Pieces:
+    """Number the pieces that ``find`` (text to list of pieces) gives for each text."""
+    number: defaultdict[str, int] = defaultdict()
+    number.default_factory = number.__len__
+    codes, sizes = [], [0]
+    for text in texts:
+        found = find(text)
+        codes.append(np.fromiter(map(number.__getitem__, found), dtype=np.int32, count=len(found)))
+        sizes.append(len(found))
+    return Pieces(np.concatenate([np.zeros(0, dtype=np.int32), *codes]), np.cumsum(sizes, dtype=np.int64), list(number))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +25,25 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabularium.llm import token_counts
+
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+def op7_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabularium.llm import bpe_replay
+
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe_replay.encode(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN, digests_only=True).select(
+        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_token_counts": op5_token_counts,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_bpe_replay": op7_bpe_replay,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
