@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a task works on at once.
 SLICE_BYTES = 8 << 20
@@ -155,3 +156,26 @@ def split_pieces(texts: list[str], find) -> Pieces:
         codes.append(np.fromiter(map(number.__getitem__, found), dtype=np.int32, count=len(found)))
         sizes.append(len(found))
     return Pieces(np.concatenate([np.zeros(0, dtype=np.int32), *codes]), np.cumsum(sizes, dtype=np.int64), list(number))
+
+
+def char_ngrams(types: pa.Array, orders: range) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each order: ``(order, type, hash)`` of every character n-gram of the words, each framed by one space on both sides."""
+    framed = pc.binary_join_element_wise("", types, "", " ") if len(types) else types
+    points, starts = codepoints(framed)
+    owner = np.repeat(np.arange(len(types)), np.diff(starts))
+    rolled = np.zeros(len(points), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for order in range(1, orders.stop):
+            if order > len(points):
+                return
+            n = len(points) - order + 1
+            rolled = rolled[:n] * np.uint64(0x100000001B3) + points[order - 1 :].astype(np.uint64) + np.uint64(1)
+            if order >= orders.start:
+                inside = owner[:n] == owner[order - 1 :]
+                yield order, owner[:n][inside], mix64(rolled[inside] + np.uint64(order) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def sampled(docs: DataFrame, id_col: str, rows: int, total: int) -> DataFrame:
+    """About ``rows`` of ``total`` rows, chosen by a hash of the id: the same ones wherever and however often it runs."""
+    share = min(1.0, rows / max(1, total))
+    return docs if share == 1.0 else docs.where(F.pmod(F.xxhash64(F.lit("sample"), id_col), F.lit(1 << 30)) < int(share * (1 << 30)))

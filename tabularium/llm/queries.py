@@ -25,12 +25,27 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabularium.llm import language_id
+
+    docs = _table(spark, sf_dir, "documents")
+    held = lambda c: F.coalesce(F.crc32(F.col(c).cast("string")) % 4 == 2, F.lit(False))
+    model = language_id.learn(spark, docs, ~held("doc_id"))
+    return language_id.predict(docs, model).select("doc_id", held("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabularium.llm import token_counts
 
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabularium.llm import packing
+
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 def op7_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabularium.llm import bpe_replay
 
@@ -41,9 +56,11 @@ def op7_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op5_token_counts": op5_token_counts,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_bpe_replay": op7_bpe_replay,
+    "op8_packing": op8_packing,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
