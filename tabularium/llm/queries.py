@@ -55,12 +55,22 @@ def op7_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabularium.llm import toxicity
+
+    docs = _table(spark, sf_dir, "documents")
+    held = lambda c: F.coalesce(F.crc32(c.cast("string")) % 5 == 0, F.lit(False))
+    model = toxicity.learn(spark, docs, _table(spark, sf_dir, "labels"), train=lambda c: ~held(c))
+    return toxicity.score(docs, model).select("doc_id", held(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op5_token_counts": op5_token_counts,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_bpe_replay": op7_bpe_replay,
     "op8_packing": op8_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
