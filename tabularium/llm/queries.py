@@ -34,6 +34,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", held("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabularium.llm import quality
+
+    out = quality.apply_rules(spark, _table(spark, sf_dir, "documents"))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    return out.select("doc_id", *base, "kept", "log_perplexity", "lower", "upper")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabularium.llm import token_counts
 
@@ -66,6 +74,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
+    "op3_quality_rules": op3_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_bpe_replay": op7_bpe_replay,
