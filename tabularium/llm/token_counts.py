@@ -21,7 +21,7 @@ result rows; null ids stay null; other columns are ignored.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -37,6 +37,8 @@ from tabularium.llm.common import split_pieces, text_slices, texts_of
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces whose tables a Python worker keeps.
 TABLES_KEPT = 150_000
+#: Bytes of text whose distinct pieces are entered together.
+COUNT_BYTES = 16 << 20
 NEVER = 1 << 30
 
 
@@ -102,11 +104,11 @@ class PrefixTables:
             else:
                 j += 1
 
-    def fill(self, piece: bytes) -> list[int]:
-        """Token counts of all prefixes of ``piece``, from the empty one on."""
-        count, last = [0], [-1]
+    def extend(self, piece: bytes, count: list[int], last: list[int]) -> None:
+        """Carry the table of a prefix of ``piece`` on to all of it. ``count`` and ``last`` hold, for each prefix from
+        the empty one on, its number of tokens and its last token."""
         ids, beside, longest = self.id, self.beside, self.longest
-        for end in range(1, len(piece) + 1):
+        for end in range(len(count), len(piece) + 1):
             for begin in range(max(0, end - longest), end):
                 token = ids.get(piece[begin:end])
                 if token is None:
@@ -124,19 +126,28 @@ class PrefixTables:
                 count.append(count[begin] + 1)
                 last.append(token)
                 break
-        return count
+
+    def fill(self, pieces: Iterable[str]) -> None:
+        """Enter the tables of ``pieces``. In sorted order a piece takes over the table of what it shares with the one before."""
+        if len(self.tables) > TABLES_KEPT:
+            self.tables.clear()
+        if len(self.beside) > 20 * TABLES_KEPT:
+            self.beside.clear()
+        known = self.tables
+        held, count, last = b"", [0], [-1]
+        for raw, piece in sorted((p.encode("utf-8", "surrogatepass"), p) for p in pieces if p not in known):
+            shared, most = 0, min(len(held), len(raw))
+            while shared < most and held[shared] == raw[shared]:
+                shared += 1
+            del count[shared + 1 :], last[shared + 1 :]
+            self.extend(raw, count, last)
+            known[piece] = bytes(count) if count[-1] < 256 > max(count) else np.array(count, dtype=np.int32)
+            held = raw
 
     def table(self, piece: str) -> bytes | np.ndarray:
-        found = self.tables.get(piece)
-        if found is None:
-            count = self.fill(piece.encode("utf-8", "surrogatepass"))
-            found = bytes(count) if max(count) < 256 else np.array(count, dtype=np.int32)
-            if len(self.tables) >= TABLES_KEPT:
-                self.tables.clear()
-            if len(self.beside) > 20 * TABLES_KEPT:
-                self.beside.clear()
-            self.tables[piece] = found
-        return found
+        if piece not in self.tables:
+            self.fill([piece])
+        return self.tables[piece]
 
     def pieces(self, text: str) -> list[str]:
         """Pieces of a text in order; a special token is a piece of its own."""
@@ -221,10 +232,11 @@ def token_counts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = tables(vocabulary)
-        for part in text_slices(batches):
+        for part in text_slices(batches, limit=COUNT_BYTES):
             texts = texts_of(part)
             strings = texts.to_pylist()
             found = split_pieces(strings, of.pieces)
+            of.fill(found.distinct)
             total = np.fromiter(map(of.total, found.distinct), dtype=np.int64, count=len(found.distinct))
             width = np.fromiter(map(len, found.distinct), dtype=np.int64, count=len(found.distinct))
             running = np.concatenate([[0], np.cumsum(total[found.codes])])
