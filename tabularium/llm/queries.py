@@ -13,6 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabularium.llm import license_scan
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -42,6 +44,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *base, "kept", "log_perplexity", "lower", "upper")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabularium.llm import token_counts
 
@@ -75,6 +81,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
+    "op4_license_scan": op4_license_scan,
     "op5_token_counts": op5_token_counts,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_bpe_replay": op7_bpe_replay,
@@ -83,4 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_license_scan": license_scan.oracle_sql(),
+}
