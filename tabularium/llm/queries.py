@@ -69,6 +69,12 @@ def op7_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabularium.llm import embedding_dedup
+
+    return embedding_dedup.near_duplicates(spark, _table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabularium.llm import toxicity
 
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_bpe_replay": op7_bpe_replay,
     "op8_packing": op8_packing,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
