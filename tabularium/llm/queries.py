@@ -27,6 +27,19 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op1_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabularium.llm import warc
+
+    out = warc.archive_pages(spark, _table(spark, sf_dir, "pages"))
+    return out.select(
+        warc.page_number(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("warc_type").alias("record_type"),
+        warc.page_number(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabularium.llm import language_id
 
@@ -85,6 +98,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_zstd": op1_warc_zstd,
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
@@ -98,5 +112,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op1_warc_zstd": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS payload_digest FROM p),
+m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) ELSE page_id END AS main FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN main > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN main > page_id THEN main END AS refers_to FROM m
+""",
     "op4_license_scan": license_scan.oracle_sql(),
 }
