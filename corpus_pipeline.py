@@ -1,19 +1,65 @@
-"""A training-data pipeline: each stage reads what the one before has kept."""
+"""A training-data pipeline: each stage reads what the one before has kept.
+
+Toxic documents go, then documents that fail the quality rules; of each group
+of near-duplicates one document stays, and what is left is packed into
+sequences. All but the last stage return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabularium.llm import packing, quality, simhash, toxicity
+from tabularium.llm.common import Scratch
+
+#: Differing fingerprint bits of near-duplicates: most texts that share at least 0.8 of their five-word shingles
+#: (by Jaccard) differ in no more, unrelated ones in about 32.
+NEAR_BITS = 8
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose calibrated toxicity stays below 0.5."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.learn(spark, docs, labels, train=lambda c: F.crc32(c.cast("string")) % 5 != 0)
+    return toxicity.score(docs, model, keep=tuple(docs.columns)).where("predicted = 0").select(*docs.columns)
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and lie in their language's perplexity band."""
+    return quality.apply_rules(spark, docs, keep=docs.columns).where("kept").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates."""
+    return simhash.keep_one(spark, docs, shingle=3, max_bits=NEAR_BITS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document in a training sequence."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("quality rules", keep_quality),
+    ("near duplicates", drop_near_duplicates),
+    ("packing", pack),
+]
 
 #: Learned models decide two stages, which SQL can't express; tests hold run() against a brute-force version.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages applied to ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    scratch = Scratch(spark, "pipeline")
+    for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if number + 1 < len(STAGES):
+            docs = scratch.write(docs, str(number))
     return docs

@@ -67,16 +67,17 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(id_col, fp)`` for every row; ``fp`` holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(id_col, *keep, fp)`` for every row; ``fp`` holds the 64 bits as a signed long."""
+    names = [id_col, *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "text"):
-            fps = np.fromiter((fingerprint(t, shingle) for t in texts_of(part).to_pylist()), dtype=np.uint64, count=part.num_rows)
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(fps.view(np.int64))], names=[id_col, "fp"])
+        for part in text_slices(batches, "__text"):
+            fps = np.fromiter((fingerprint(t, shingle) for t in texts_of(part, "__text").to_pylist()), dtype=np.uint64, count=part.num_rows)
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(fps.view(np.int64))], names=[*names, "fp"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"{id_col} {kind}, fp long")
+    fields = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
+    return docs.select(*names, F.col(text_col).alias("__text")).mapInArrow(run, f"{fields}, fp long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -270,13 +271,32 @@ def near_duplicates(
     shingle: int = 5,
     max_bits: int = 3,
     split_over: int = SPLIT_OVER,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(id_col, fp, component_id)`` for every row; ``component_id`` is the smallest id reachable by links."""
+    """``(id_col, *keep, fp, label, component_id)`` for every row.
+
+    ``label`` is the same for all rows of a component, and ``component_id`` is
+    the smallest id among them.
+    """
     scratch = Scratch(spark, "simhash")
-    marks = scratch.write(fingerprints(docs, id_col, text_col, shingle), "marks")
+    marks = scratch.write(fingerprints(docs, id_col, text_col, shingle, keep), "marks")
     classes = scratch.write(marks.groupBy("fp").agg(F.min(id_col).alias("least")), "classes")
     members = components(spark, link_classes(classes.select("fp"), max_bits, split_over))
     label = classes.join(members, classes["fp"] == members["node"], "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     smallest = label.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = label.join(smallest, "label").select("fp", "component_id")
-    return marks.join(named, "fp").select(id_col, "fp", "component_id")
+    named = label.join(smallest, "label").select("fp", "label", "component_id")
+    return marks.join(named, "fp").select(id_col, *keep, "fp", "label", "component_id")
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 8) -> DataFrame:
+    """One row of each component, the one with the smallest id, with all its columns.
+
+    Rows are told apart by hashes of all their columns, so rows with equal or
+    null ids are single rows too; of rows equal in every column one stays.
+    """
+    marked = docs.select("*", F.xxhash64(*docs.columns).alias("__row"), F.hash(*docs.columns).alias("__row2"))
+    found = near_duplicates(spark, marked, id_col, text_col, shingle, max_bits, keep=("__row", "__row2"))
+    first = found.groupBy("label").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), id_col, "__row", "__row2")).alias("first"))
+    first = first.select("first.__row", "first.__row2")
+    kept = marked.join(first, ["__row", "__row2"], "left_semi").dropDuplicates(["__row", "__row2"])
+    return kept.select(*docs.columns)

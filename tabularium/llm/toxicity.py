@@ -239,11 +239,11 @@ def _calibrated(raw, steps: list[tuple[float, float]]):
     return out * 0.999 + raw * 0.001
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id_col, score, predicted)`` for every row, by its text alone; ``predicted`` is 1 from a score of 0.5."""
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """``(*keep, score, predicted)`` for every row, by its text alone; ``predicted`` is 1 from a score of 0.5."""
     if model.trees is None:
-        out = docs.select(F.col(id_col), F.lit(float(model.base)).alias("score"))
+        out = docs.select(*keep, F.lit(float(model.base)).alias("score"))
     else:
-        rows = features(docs.select(F.col(id_col), F.col(text_col)), model.lexicon, [id_col], text_col)
-        out = _raw(rows, model.trees).select(F.col(id_col), _calibrated(F.col("raw"), model.steps).alias("score"))
-    return out.select(id_col, "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int").alias("predicted"))
+        rows = features(docs, model.lexicon, list(keep), text_col)
+        out = _raw(rows, model.trees).select(*keep, _calibrated(F.col("raw"), model.steps).alias("score"))
+    return out.select(*keep, "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int").alias("predicted"))
