@@ -21,16 +21,21 @@ from tabularium.llm.common import Scratch
 NEAR_BITS = 8
 
 
+def _shielded(docs: DataFrame) -> DataFrame:
+    """The columns that a stage works on, and the whole row beside them in ``__row``, so that no other column can clash."""
+    return docs.select("doc_id", "text", "lang", F.struct("*").alias("__row"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose calibrated toxicity stays below 0.5."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.learn(spark, docs, labels, train=lambda c: F.crc32(c.cast("string")) % 5 != 0)
-    return toxicity.score(docs, model, keep=tuple(docs.columns)).where("predicted = 0").select(*docs.columns)
+    return toxicity.score(_shielded(docs), model, keep=("__row",)).where("predicted = 0").select("__row.*")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie in their language's perplexity band."""
-    return quality.apply_rules(spark, docs, keep=docs.columns).where("kept").select(*docs.columns)
+    return quality.apply_rules(spark, _shielded(docs), keep=["__row"]).where("kept").select("__row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,6 +41,7 @@ import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabularium.llm.common import Scratch, Words, codepoints, mix64, segment_sums, split_words, text_slices, texts_of
 
@@ -306,9 +307,9 @@ def statistics(docs: DataFrame, model: Model, keep: list[str], text_col: str = "
             columns = [part.column(c) for c in keep] + [pa.array(v) for v in base.values()] + [pa.array(log), pa.array(chars)]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *base, "log_perplexity", "chars"])
 
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    longs = ", ".join(f"{c} long" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, f"{fields}, {longs}, base_failed boolean, log_perplexity double, chars long")
+    longs = [T.StructField(c, T.LongType()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    verdict = [T.StructField("base_failed", T.BooleanType()), T.StructField("log_perplexity", T.DoubleType()), T.StructField("chars", T.LongType())]
+    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), *longs, *verdict]))
 
 
 def bands(scored: DataFrame, lang_col: str = "lang", band: float = BAND) -> DataFrame:

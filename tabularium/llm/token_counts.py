@@ -35,6 +35,7 @@ from tabularium.llm.common import split_pieces, text_slices, texts_of
 
 #: Fixed by the byte-level vocabulary: the split before any merge.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+CONTRACTION = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d")
 #: Pieces whose tables a Python worker keeps.
 TABLES_KEPT = 150_000
 #: Bytes of text whose distinct pieces are entered together.
@@ -176,19 +177,32 @@ class PrefixCounts:
         self.pieces = of.pieces(text)
         self.ends = np.cumsum([0, *map(len, self.pieces)])
         self.tokens = np.cumsum([0, *map(of.total, self.pieces)])
+        self._at, self._width = -1, None
 
     def __len__(self) -> int:
         return int(self.tokens[-1])
 
     def at(self, chars: int) -> int:
-        """Tokens of ``text[:chars]``. A cut piece may split otherwise, and two pieces of white space may join, so the last three are split anew."""
+        """Tokens of ``text[:chars]``. Within a run of one kind the piece's own table has them; elsewhere a cut piece may
+        split otherwise, and two pieces of white space may join, so the last three are split anew."""
         k = int(np.searchsorted(self.ends, chars, side="right")) - 1
         if self.ends[k] == chars and k == len(self.pieces):
             return int(self.tokens[k])
+        if chars - self.ends[k] >= 2 and (width := self._widths(k)) is not None:
+            return int(self.tokens[k]) + int(self.of.table(self.pieces[k])[width[chars - self.ends[k]]])
         before = max(k - 2, 0)
         rest = self.text[self.ends[before] : chars]
         return int(self.tokens[before]) + sum(map(self.of.total, self.of.pieces(rest)))
 
+    def _widths(self, k: int) -> np.ndarray | None:
+        """Bytes of each prefix of piece ``k``, or None for a contraction or a special token, whose prefixes aren't pieces."""
+        if self._at != k:
+            piece = self.pieces[k]
+            whole = piece in self.of.special or CONTRACTION.fullmatch(piece)
+            self._at = k
+            self._width = None if whole else np.cumsum([0, *(len(c.encode("utf-8", "surrogatepass")) for c in piece)])
+        return self._width
+
     def longest_within(self, budget: int) -> int:
         """Characters of the longest prefix of at most ``budget`` tokens."""
         if len(self) <= budget:

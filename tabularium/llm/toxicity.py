@@ -43,6 +43,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabularium.llm.common import Scratch, codepoints, sampled, segment_sums, split_words, text_slices, texts_of
 
@@ -174,8 +175,8 @@ def features(docs: DataFrame, lexicon: dict[str, float], keep: list[str], text_c
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *FEATURES])
 
     rows = docs.select(*keep, F.col(text_col).alias("__text"))
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(run, f"{fields}, " + ", ".join(f"{c} double" for c in FEATURES))
+    doubles = [T.StructField(c, T.DoubleType()) for c in FEATURES]
+    return rows.mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), *doubles]))
 
 
 @dataclass
