@@ -49,10 +49,14 @@ SPLIT_OVER = 20_000
 QUERIES_AT_ONCE = 1024
 
 
-def fingerprint(text: str, shingle: int) -> int:
-    """SimHash of one text: a bit is set if it is set in over half of the shingles' hashes."""
+def words_of(text: str) -> list[bytes]:
+    """The words of a text, A-Z in lower case."""
     # bytes.lower() changes A-Z only, and bytes.split() splits at the six ASCII white space characters.
-    words = text.encode("utf-8", "surrogatepass").lower().split()
+    return text.encode("utf-8", "surrogatepass").lower().split()
+
+
+def fingerprint(words: list[bytes], shingle: int) -> int:
+    """SimHash of a text's words: a bit is set if it is set in over half of the shingles' hashes."""
     if not words:
         return 0
     if len(words) <= shingle:
@@ -67,17 +71,24 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(id_col, *keep, fp)`` for every row; ``fp`` holds the 64 bits as a signed long."""
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, keep: tuple[str, ...] = (), check_shingle: int | None = None
+) -> DataFrame:
+    """``(id_col, *keep, fp)`` for every row; ``fp`` holds the 64 bits as a signed long. With ``check_shingle``, ``check`` does so for that shingle."""
     names = [id_col, *keep]
+    made = {"fp": shingle} | ({"check": check_shingle} if check_shingle else {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "__text"):
-            fps = np.fromiter((fingerprint(t, shingle) for t in texts_of(part, "__text").to_pylist()), dtype=np.uint64, count=part.num_rows)
-            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(fps.view(np.int64))], names=[*names, "fp"])
+            out = np.zeros((len(made), part.num_rows), dtype=np.uint64)
+            for i, text in enumerate(texts_of(part, "__text").to_pylist()):
+                words = words_of(text)
+                for k, n in enumerate(made.values()):
+                    out[k, i] = fingerprint(words, n)
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *map(pa.array, out.view(np.int64))], names=[*names, *made])
 
     fields = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
-    return docs.select(*names, F.col(text_col).alias("__text")).mapInArrow(run, f"{fields}, fp long")
+    return docs.select(*names, F.col(text_col).alias("__text")).mapInArrow(run, f"{fields}, " + ", ".join(f"{c} long" for c in made))
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -107,11 +118,12 @@ class Labels:
 
 
 class GrayIndex:
-    """The hierarchical index of one group of distinct fingerprints."""
+    """The hierarchical index of one group of distinct fingerprints. ``checks``: a second fingerprint of each."""
 
-    def __init__(self, codes: np.ndarray, fanout: int = FANOUT):
+    def __init__(self, codes: np.ndarray, checks: np.ndarray | None = None, fanout: int = FANOUT):
         self.fanout = fanout
-        self.codes = codes[np.argsort(gray_rank(codes), kind="stable")]
+        order = np.argsort(gray_rank(codes), kind="stable")
+        self.codes, self.checks = codes[order], None if checks is None else checks[order]
         full = np.uint64(0xFFFFFFFFFFFFFFFF)
         #: From the leaves up: the mask of shared bits and their values, for each node.
         self.masks = [np.full(len(self.codes), full)]
@@ -139,11 +151,13 @@ class GrayIndex:
             out.append(np.where(low == high, low, -1))
         return out
 
-    def link(self, max_bits: int, at_once: int = QUERIES_AT_ONCE) -> np.ndarray:
-        """Labels of the components at ``max_bits`` differing bits, for ``codes`` in Gray order."""
+    def link(self, max_bits: int, check_bits: int = 64, at_once: int = QUERIES_AT_ONCE) -> np.ndarray:
+        """Labels of the components at ``max_bits`` differing bits (and ``check_bits`` of the second ones), for ``codes`` in Gray order."""
         n = len(self.codes)
         labels = Labels(n)
-        near = np.flatnonzero(np.bitwise_count(self.codes[1:] ^ self.codes[:-1]) <= max_bits)
+        alike = lambda a, b: self.checks is None or np.bitwise_count(self.checks[a] ^ self.checks[b]) <= check_bits
+        places = np.arange(n)
+        near = np.flatnonzero((np.bitwise_count(self.codes[1:] ^ self.codes[:-1]) <= max_bits) & alike(places[1:], places[:-1]))
         labels.link(near, near + 1)
         top = len(self.masks) - 1
         for start in range(0, n, at_once):
@@ -163,63 +177,76 @@ class GrayIndex:
                 found = found + np.bitwise_count(differ)
                 keep = (found <= max_bits) & (uniform[level][node] != labels.of[query])
                 node, query, found = node[keep], query[keep], found[keep]
+            if self.checks is not None:
+                good = alike(query, node)
+                query, node = query[good], node[good]
             labels.link(query, node)
         return labels.of
 
 
-def group_links(codes: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+def group_links(codes: np.ndarray, max_bits: int, checks: np.ndarray | None = None, check_bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Edges that connect what is linked in a group of distinct codes: each member with its component's first."""
-    index = GrayIndex(codes)
-    label = index.link(max_bits)
+    index = GrayIndex(codes, checks)
+    label = index.link(max_bits, check_bits)
     member = np.flatnonzero(label != np.arange(len(label)))
     return index.codes[member], index.codes[label[member]]
 
 
-def small_group_links(codes: np.ndarray, group: np.ndarray, max_bits: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+def small_group_links(codes: np.ndarray, group: np.ndarray, max_bits: int, most: int, checks: np.ndarray | None = None, check_bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Linked pairs of many groups of at most ``most`` codes each; equal groups are neighbours in ``group``."""
     a, b = [], []
     for gap in range(1, most):
-        hit = np.flatnonzero((group[gap:] == group[:-gap]) & (np.bitwise_count(codes[gap:] ^ codes[:-gap]) <= max_bits))
+        near = (group[gap:] == group[:-gap]) & (np.bitwise_count(codes[gap:] ^ codes[:-gap]) <= max_bits)
+        if checks is not None:
+            near &= np.bitwise_count(checks[gap:] ^ checks[:-gap]) <= check_bits
+        hit = np.flatnonzero(near)
         a.append(codes[hit])
         b.append(codes[hit + gap])
     none = np.zeros(0, dtype=np.uint64)
     return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
-def _links_of_partition(max_bits: int):
+def _links_of_partition(max_bits: int, check_bits: int | None):
     """For rows sorted by (path, value): read group after group, and hold no more than one group and one batch."""
+    most = 64 if check_bits is None else check_bits
 
-    def solve(key: np.ndarray, codes: np.ndarray) -> pa.RecordBatch:
+    def solve(key: np.ndarray, codes: np.ndarray, checks: np.ndarray | None) -> pa.RecordBatch:
         starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
         sizes = np.diff([*starts, len(key)])
         out_a, out_b = [], []
         small = np.repeat(sizes <= FANOUT, sizes)
         group = np.repeat(np.arange(len(sizes)), sizes)
-        a, b = small_group_links(codes[small], group[small], max_bits, FANOUT)
+        of = lambda rows: None if checks is None else checks[rows]
+        a, b = small_group_links(codes[small], group[small], max_bits, FANOUT, of(small), most)
         out_a.append(a)
         out_b.append(b)
         for i in np.flatnonzero(sizes > FANOUT):
-            a, b = group_links(codes[starts[i] : starts[i] + sizes[i]], max_bits)
+            rows = slice(starts[i], starts[i] + sizes[i])
+            a, b = group_links(codes[rows], max_bits, of(rows), most)
             out_a.append(a)
             out_b.append(b)
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (out_a, out_b)], names=["a", "b"])
 
+    def joined(held: list[tuple]) -> tuple:
+        keys, codes, checks = zip(*held, strict=True)
+        return np.concatenate(keys), np.concatenate(codes), None if check_bits is None else np.concatenate(checks)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            path, value, fp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("path", "value", "fp"))
-            key = np.stack([path.astype(np.int64), value], axis=1)
-            held.append((key, fp.view(np.uint64)))
+            longs = lambda c, b=batch: b.column(c).to_numpy(zero_copy_only=False)
+            key = np.stack([longs("path").astype(np.int64), longs("value")], axis=1)
+            held.append((key, longs("fp").view(np.uint64), None if check_bits is None else longs("check").view(np.uint64)))
             if (key[-1] == held[0][0][0]).all():
                 continue
-            keys, codes = np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held])
+            keys, codes, checks = joined(held)
             whole = np.flatnonzero((keys != keys[-1]).any(axis=1))[-1] + 1
-            yield solve(keys[:whole], codes[:whole])
-            held = [(keys[whole:], codes[whole:])]
+            yield solve(keys[:whole], codes[:whole], None if checks is None else checks[:whole])
+            held = [(keys[whole:], codes[whole:], None if checks is None else checks[whole:])]
         if held:
-            yield solve(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
+            yield solve(*joined(held))
 
     return run
 
@@ -234,11 +261,15 @@ def _value(bits: list[int]):
     return F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
 
 
-def link_classes(distinct: DataFrame, max_bits: int = 2, split_over: int = SPLIT_OVER) -> DataFrame:
-    """``(a, b)``: edges between distinct fingerprints (column ``fp``) whose components are those of all links."""
+def link_classes(distinct: DataFrame, max_bits: int = 2, split_over: int = SPLIT_OVER, check_bits: int | None = None) -> DataFrame:
+    """``(a, b)``: edges between distinct fingerprints (column ``fp``) whose components are those of all links.
+
+    With ``check_bits`` the second fingerprints (column ``check``) must differ in at most so many bits too.
+    """
+    own = ["fp"] if check_bits is None else ["fp", "check"]
     blocks = _blocks(list(range(64)), max_bits + 1)
     key = lambda path, bits: F.struct(F.lit(path).cast("int").alias("path"), _value(bits).alias("value"))
-    keyed = distinct.select("fp", F.inline(F.array(*(key(i, b) for i, b in enumerate(blocks)))))
+    keyed = distinct.select(*own, F.inline(F.array(*(key(i, b) for i, b in enumerate(blocks)))))
     large = keyed.groupBy("path", "value").count().where(F.col("count") > split_over).select("path", "value")
     again = []
     for i, block in enumerate(blocks):
@@ -252,14 +283,14 @@ def link_classes(distinct: DataFrame, max_bits: int = 2, split_over: int = SPLIT
         ]
     step = max_bits + 1
     deeper = keyed.join(large, ["path", "value"], "left_semi").select(
-        "fp", F.inline(F.slice(F.array(*again), F.col("path") * step + 1, F.lit(step)))
+        *own, F.inline(F.slice(F.array(*again), F.col("path") * step + 1, F.lit(step)))
     )
-    groups = keyed.join(large, ["path", "value"], "left_anti").select("fp", "path", "value").unionByName(deeper)
+    groups = keyed.join(large, ["path", "value"], "left_anti").select(*own, "path", "value").unionByName(deeper)
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         groups.repartition(parts, "path", "value")
         .sortWithinPartitions("path", "value", "fp")
-        .mapInArrow(_links_of_partition(max_bits), "a long, b long")
+        .mapInArrow(_links_of_partition(max_bits, check_bits), "a long, b long")
     )
 
 
@@ -272,30 +303,38 @@ def near_duplicates(
     max_bits: int = 3,
     split_over: int = SPLIT_OVER,
     keep: tuple[str, ...] = (),
+    check: tuple[int, int] | None = None,
 ) -> DataFrame:
     """``(id_col, *keep, fp, label, component_id)`` for every row.
 
     ``label`` is the same for all rows of a component, and ``component_id`` is
-    the smallest id among them.
+    the smallest id among them. ``check``, words and bits, holds every link
+    against a second fingerprint of shingles of so many words, which may differ
+    in so many bits: 64 bits at a distance of 8 or more meet by chance in a
+    corpus of billions. A class of equal fingerprints has the smallest of its
+    second ones.
     """
     scratch = Scratch(spark, "simhash")
-    marks = scratch.write(fingerprints(docs, id_col, text_col, shingle, keep), "marks")
-    classes = scratch.write(marks.groupBy("fp").agg(F.min(id_col).alias("least")), "classes")
-    members = components(spark, link_classes(classes.select("fp"), max_bits, split_over))
+    marks = scratch.write(fingerprints(docs, id_col, text_col, shingle, keep, check and check[0]), "marks")
+    second = [F.min("check").alias("check")] if check else []
+    classes = scratch.write(marks.groupBy("fp").agg(F.min(id_col).alias("least"), *second), "classes")
+    members = components(spark, link_classes(classes.drop("least"), max_bits, split_over, check and check[1]))
     label = classes.join(members, classes["fp"] == members["node"], "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     smallest = label.groupBy("label").agg(F.min("least").alias("component_id"))
     named = label.join(smallest, "label").select("fp", "label", "component_id")
     return marks.join(named, "fp").select(id_col, *keep, "fp", "label", "component_id")
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 8) -> DataFrame:
+def keep_one(
+    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, check: tuple[int, int] | None = None
+) -> DataFrame:
     """One row of each component, the one with the smallest id, with all its columns.
 
     Rows are told apart by hashes of all their columns, so rows with equal or
     null ids are single rows too; of rows equal in every column one stays.
     """
     marked = docs.select("*", F.xxhash64(*docs.columns).alias("__row"), F.hash(*docs.columns).alias("__row2"))
-    found = near_duplicates(spark, marked, id_col, text_col, shingle, max_bits, keep=("__row", "__row2"))
+    found = near_duplicates(spark, marked, id_col, text_col, shingle, max_bits, keep=("__row", "__row2"), check=check)
     first = found.groupBy("label").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), id_col, "__row", "__row2")).alias("first"))
     first = first.select("first.__row", "first.__row2")
     kept = marked.join(first, ["__row", "__row2"], "left_semi").dropDuplicates(["__row", "__row2"])
