@@ -6,6 +6,8 @@ rows, so the memory of a task is bounded by ``SLICE_BYTES`` or by its longest te
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections import defaultdict
@@ -59,6 +61,13 @@ class Scratch:
             at.getFileSystem(conf).delete(at, True)
 
 
+def release() -> None:
+    """Give freed memory back: a Python worker serves one task after another, and its allocators keep what the largest took."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in order, in slices whose ``column`` holds about ``limit`` bytes, one row at least."""
     for batch in batches:
@@ -69,6 +78,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit:
         cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
+            release()
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:

@@ -64,8 +64,12 @@ def encode_words(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     odd = {i for i, w in enumerate(words) if between in w}
     plain = ["" if i in odd else w for i, w in enumerate(words)] if odd else words
     joined = [between.join(plain[a : a + WORDS_AT_ONCE]) + between for a in range(0, len(plain), WORDS_AT_ONCE)]
-    found = [e.ids for e in library.encode_batch_fast(joined, add_special_tokens=False)]
-    ids = np.fromiter(chain.from_iterable(found), dtype=np.uint32)
+    # The library's results are large: a few calls' worth of them at a time.
+    parts = [
+        np.fromiter(chain.from_iterable(e.ids for e in library.encode_batch_fast(joined[a : a + 8], add_special_tokens=False)), dtype=np.uint32)
+        for a in range(0, len(joined), 8)
+    ]
+    ids = np.concatenate([np.zeros(0, dtype=np.uint32), *parts])
     bar = ids == library.token_to_id(between)
     flat, starts = ids[~bar], np.concatenate([[0], (np.cumsum(~bar))[bar]])
     if odd:
