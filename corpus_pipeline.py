@@ -17,10 +17,10 @@ from tabularium.llm import packing, quality, simhash, toxicity
 from tabularium.llm.common import Scratch
 
 #: Near-duplicates share at least 0.8 of their five-word shingles. Candidates: SimHashes of two-word shingles, which an
-#: edit changes least, differ in at most 8 bits; of pairs that share 0.8 or more, nine in ten do.
+#: edit changes least, differ in at most so many bits.
 SHINGLE, NEAR_BITS = 2, 8
-#: Of those, the ones whose SimHashes of five-word shingles differ in at most 13 bits: an estimated cosine of 0.8 or more.
-CHECK = (5, 13)
+#: Of those, the ones that have 0.8 of their five-word shingles in common, by an exact comparison.
+CHECK = (5, 0.8)
 
 
 def _shielded(docs: DataFrame) -> DataFrame:

@@ -19,8 +19,17 @@ the tree and drops a whole node once they exceed ``max_bits``; it also drops a
 node whose members are all known to be in the query's component already, so a
 group of thousands of near copies costs about as many steps as it has members.
 
+With a share to hold links against, the index only proposes: documents of one
+candidate component come together with the hashes of their shingles, and two of
+them link if they have that share of their shingles in common (Jaccard), of
+the different ones or of all with their repeats. Documents with the same
+shingles as often are one class. A class that hangs together with another already
+is not compared with it again, so a component of thousands of near copies takes
+about as many comparisons as it has members.
+
 Results defined for odd input: a null text is read as empty; a text without
-words has fingerprint zero and links like any other; repeated rows give
+words has fingerprint zero and links like any other (held against a
+share, it has no shingles and links with its like only); repeated rows give
 repeated result rows; a null id gets a fingerprint and its component's
 smallest id (null where the component has none). Columns other than id and
 text are ignored.
@@ -28,10 +37,13 @@ text are ignored.
 
 from __future__ import annotations
 
+import os
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +59,8 @@ FANOUT = 8
 SPLIT_OVER = 20_000
 #: Queries that go down the tree together.
 QUERIES_AT_ONCE = 1024
+#: Bytes of hashes of one candidate component that a task holds in memory; the others lie in a temporary file.
+BAGS_HELD = 64 << 20
 
 
 def words_of(text: str) -> list[bytes]:
@@ -55,15 +69,20 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def fingerprint(words: list[bytes], shingle: int) -> int:
-    """SimHash of a text's words: a bit is set if it is set in over half of the shingles' hashes."""
+def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """XXH64 of each shingle of a text's words; a text of fewer words is one shingle, an empty one has none."""
     if not words:
-        return 0
-    if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
-    parts = zip(*(words[i:] for i in range(shingle)), strict=False)
+        return np.zeros(0, dtype="<u8")
+    parts = zip(*(words[i:] for i in range(shingle)), strict=False) if len(words) > shingle else [words]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(b" ".join(p), SEED) for p in parts), dtype="<u8", count=len(words) - shingle + 1)
+    return np.fromiter((digest(b" ".join(p), SEED) for p in parts), dtype="<u8", count=max(1, len(words) - shingle + 1))
+
+
+def fingerprint(words: list[bytes], shingle: int) -> int:
+    """SimHash of a text's words: a bit is set if it is set in over half of the shingles' hashes."""
+    hashes = shingle_hashes(words, shingle)
+    if len(hashes) <= 1:
+        return int(hashes.sum())
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -71,10 +90,19 @@ def fingerprint(words: list[bytes], shingle: int) -> int:
     return int(bits.view("<u8")[0])
 
 
+def shingle_bag(words: list[bytes], shingle: int) -> tuple[int, bytes]:
+    """A digest of a text's shingles and how often each occurs, and their sorted hashes, repeated ones as often."""
+    held = np.sort(shingle_hashes(words, shingle)).tobytes()
+    return xxhash.xxh3_64_intdigest(held, SEED), held
+
+
 def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, keep: tuple[str, ...] = (), check_shingle: int | None = None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, keep: tuple[str, ...] = (), check_shingle: int | None = None, bags: bool = False
 ) -> DataFrame:
-    """``(id_col, *keep, fp)`` for every row; ``fp`` holds the 64 bits as a signed long. With ``check_shingle``, ``check`` does so for that shingle."""
+    """``(id_col, *keep, fp)`` for every row; ``fp`` holds the 64 bits as a signed long.
+
+    With ``check_shingle``, ``check`` does so for that shingle, or with ``bags`` is the digest of those shingles.
+    """
     names = [id_col, *keep]
     made = {"fp": shingle} | ({"check": check_shingle} if check_shingle else {})
 
@@ -83,8 +111,8 @@ def fingerprints(
             out = np.zeros((len(made), part.num_rows), dtype=np.uint64)
             for i, text in enumerate(texts_of(part, "__text").to_pylist()):
                 words = words_of(text)
-                for k, n in enumerate(made.values()):
-                    out[k, i] = fingerprint(words, n)
+                for k, (c, n) in enumerate(made.items()):
+                    out[k, i] = shingle_bag(words, n)[0] if bags and c == "check" else fingerprint(words, n)
             yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *map(pa.array, out.view(np.int64))], names=[*names, *made])
 
     fields = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
@@ -294,6 +322,131 @@ def link_classes(distinct: DataFrame, max_bits: int = 2, split_over: int = SPLIT
     )
 
 
+class HeldBags:
+    """Sorted hashes of shingles by number; those beyond ``BAGS_HELD`` bytes lie in a temporary file without a name."""
+
+    def __init__(self):
+        self.bags: list[bytes | tuple[int, int]] = []
+        self.different: list[int] = []
+        self.total: list[int] = []
+        self.bytes, self.file, self.end = 0, None, 0
+
+    def add(self, held: bytes) -> None:
+        hashes = np.frombuffer(held, dtype="<u8")
+        self.total.append(len(hashes))
+        self.different.append(int((hashes[1:] != hashes[:-1]).sum()) + 1 if len(hashes) else 0)
+        if self.bytes + len(held) <= BAGS_HELD:
+            self.bytes += len(held)
+            self.bags.append(held)
+            return
+        self.file = self.file or tempfile.TemporaryFile()
+        self.file.write(held)
+        self.bags.append((self.end, len(held)))
+        self.end += len(held)
+
+    def flush(self) -> None:
+        if self.file:
+            self.file.flush()
+
+    def get(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """The different hashes, and how often each occurs."""
+        held = self.bags[i]
+        return np.unique(np.frombuffer(held if isinstance(held, bytes) else os.pread(self.file.fileno(), held[1], held[0]), dtype="<u8"), return_counts=True)
+
+
+def shares(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], share: float) -> bool:
+    """Whether two bags have ``share`` of their union in common, as sets or with repeats."""
+    both, at_a, at_b = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    if len(both) >= share * (len(a[0]) + len(b[0]) - len(both)) - 1e-9:
+        return True
+    common = np.minimum(a[1][at_a], b[1][at_b]).sum()
+    return bool(common >= share * (a[1].sum() + b[1].sum() - common) - 1e-9)
+
+
+def exact_links(codes: np.ndarray, digests: np.ndarray, bags: HeldBags, max_bits: int, share: float) -> np.ndarray:
+    """Labels of the components of texts that differ in at most ``max_bits`` bits and share ``share`` of their shingles, or all of them."""
+    n = len(codes)
+    bags.flush()
+    labels = Labels(n)
+    order = np.argsort(digests, kind="stable")
+    same = np.flatnonzero(digests[order][1:] == digests[order][:-1])
+    labels.link(order[same], order[same + 1])
+    different, total = np.array(bags.different), np.array(bags.total)
+    # Bags share so much only if neither is smaller than that part of the other.
+    alike = lambda size, k: np.minimum(size[:k], size[k]) >= share * np.maximum(size[:k], size[k]) - 1e-9
+    for k in range(1, n):
+        may = (np.bitwise_count(codes[:k] ^ codes[k]) <= max_bits) & (labels.of[:k] != labels.of[k]) & (alike(different, k) | alike(total, k))
+        near, own = np.flatnonzero(may), None
+        while len(near):
+            own = bags.get(k) if own is None else own
+            j, near = near[-1], near[:-1]
+            if shares(own, bags.get(j), share):
+                labels.link(np.array([k]), np.array([j]))
+                near = near[labels.of[near] != labels.of[k]]
+    return labels.of
+
+
+def _classes_of_partition(max_bits: int, share: float):
+    """For rows sorted by (candidate, fp, check): read component after component, and hold no more than one and one batch."""
+
+    def solve(codes: list[int], digests: list[int], bags: HeldBags) -> pa.RecordBatch:
+        marks = np.array(digests, dtype=np.int64)
+        label = exact_links(np.array(codes, dtype=np.int64).view(np.uint64), marks, bags, max_bits, share)
+        _, first = np.unique(marks, return_index=True)
+        return pa.RecordBatch.from_arrays([pa.array(marks[first]), pa.array(marks[label[first]])], names=["check", "label"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, codes, digests, bags = None, [], [], HeldBags()
+        for batch in batches:
+            keys, fps, checks = (batch.column(c).to_pylist() for c in ("candidate", "fp", "check"))
+            held = batch.column("held")
+            for k in range(batch.num_rows):
+                if codes and keys[k] != now:
+                    yield solve(codes, digests, bags)
+                    codes, digests, bags = [], [], HeldBags()
+                now = keys[k]
+                if codes and codes[-1] == fps[k] and digests[-1] == checks[k]:
+                    continue  # the same row of the input once more
+                codes.append(fps[k])
+                digests.append(checks[k])
+                bags.add(held[k].as_py())
+        if codes:
+            yield solve(codes, digests, bags)
+
+    return run
+
+
+def _exact_labels(spark: SparkSession, scratch: Scratch, docs: DataFrame, marks: DataFrame, pick, text_col: str, max_bits: int, split_over: int, check: tuple[int, float]) -> DataFrame:
+    """``(check, label)``: the component of every text that hangs together with another one."""
+    shingle, share = check
+    classes = scratch.write(marks.groupBy("fp", "check").agg(F.min("__pick").alias("__pick")), "classes")
+    # Equal shingles are one class, however far their fingerprints are apart.
+    spread = classes.groupBy("check").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a < z").drop("z")
+    apart = classes.join(spread, "check").select("a", F.col("fp").alias("b"))
+    members = components(spark, link_classes(classes.select("fp").distinct(), max_bits, split_over).unionByName(apart))
+    named = classes.join(members, classes["fp"] == members["node"], "left").select("fp", "check", "__pick", F.coalesce("label", "fp").alias("candidate"))
+    named = scratch.write(named, "candidates")
+    busy = named.groupBy("candidate").agg(F.count("*").alias("n")).where("n > 1").select("candidate")
+    wanted = named.join(busy, "candidate", "left_semi")
+    rows = docs.select(pick.alias("__pick"), F.col(text_col).alias("__text")).join(wanted, "__pick")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, "__text"):
+            made = [shingle_bag(words_of(t), shingle) for t in texts_of(part, "__text").to_pylist()]
+            digests = pa.array(np.array([d for d, _ in made], dtype=np.uint64).view(np.int64))
+            own = pc.equal(digests, part.column("check"))  # a row that another one's pick met by chance goes
+            columns = [part.column("candidate"), part.column("fp"), digests, pa.array([h for _, h in made], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["candidate", "fp", "check", "held"]).filter(own)
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bags = rows.select("candidate", "fp", "check", "__text").mapInArrow(run, "candidate long, fp long, check long, held binary")
+    return (
+        bags.repartition(parts, "candidate")
+        .sortWithinPartitions("candidate", "fp", "check")
+        .mapInArrow(_classes_of_partition(max_bits, share), "check long, label long")
+    )
+
+
 def near_duplicates(
     spark: SparkSession,
     docs: DataFrame,
@@ -303,18 +456,30 @@ def near_duplicates(
     max_bits: int = 3,
     split_over: int = SPLIT_OVER,
     keep: tuple[str, ...] = (),
-    check: tuple[int, int] | None = None,
+    check: tuple[int, int | float] | None = None,
 ) -> DataFrame:
     """``(id_col, *keep, fp, label, component_id)`` for every row.
 
     ``label`` is the same for all rows of a component, and ``component_id`` is
-    the smallest id among them. ``check``, words and bits, holds every link
+    the smallest id among them. ``check``, words and a share (a float), holds
+    every link against the shingles of so many words, of which they must have
+    that share in common (see ``shares``). ``check``, words and bits (an integer), holds every link
     against a second fingerprint of shingles of so many words, which may differ
     in so many bits: 64 bits at a distance of 8 or more meet by chance in a
     corpus of billions. A class of equal fingerprints has the smallest of its
     second ones.
     """
     scratch = Scratch(spark, "simhash")
+    if check and isinstance(check[1], float):
+        pick = F.xxhash64(id_col, text_col)
+        own = docs.withColumn("__pick", pick)
+        marks = scratch.write(fingerprints(own, id_col, text_col, shingle, (*keep, "__pick"), check[0], bags=True), "marks")
+        found = _exact_labels(spark, scratch, docs, marks, pick, text_col, max_bits, split_over, check)
+        least = marks.groupBy("check").agg(F.min(id_col).alias("least"))
+        label = scratch.write(least.join(found, "check", "left").select("check", "least", F.coalesce("label", "check").alias("label")), "labels")
+        smallest = label.groupBy("label").agg(F.min("least").alias("component_id"))
+        named = label.join(smallest, "label").select("check", "label", "component_id")
+        return marks.join(named, "check").select(id_col, *keep, "fp", "label", "component_id")
     marks = scratch.write(fingerprints(docs, id_col, text_col, shingle, keep, check and check[0]), "marks")
     second = [F.min("check").alias("check")] if check else []
     classes = scratch.write(marks.groupBy("fp").agg(F.min(id_col).alias("least"), *second), "classes")
@@ -326,7 +491,7 @@ def near_duplicates(
 
 
 def keep_one(
-    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, check: tuple[int, int] | None = None
+    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, check: tuple[int, int | float] | None = None
 ) -> DataFrame:
     """One row of each component, the one with the smallest id, with all its columns.
 

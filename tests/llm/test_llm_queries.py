@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import corpus_pipeline
@@ -83,6 +84,27 @@ def test_near_copies_go_and_clean_documents_stay(spark, sf):
     assert len(kept) >= 0.9 * (len(rows) // 4)
 
 
+def test_near_duplicates_share_the_stated_part_of_their_shingles(spark, sf):
+    """Nearly all copies above 0.8 go (the index finds most, not all), and no document goes without such a pair."""
+    rng = random.Random(6)
+    rows, copies, others = [], [], []
+    for k in range(60):
+        words = [f"w{rng.randrange(3000)}" for _ in range(300)]
+        # 5 of 300 words apart are an overlap of 271 / 321 = 0.84, 9 of 251 / 341 = 0.74.
+        for j, (apart, kind) in enumerate(((5, copies), (9, others))):
+            text = words.copy()
+            for at in range(apart):
+                text[20 + 28 * at] = f"other{apart}-{at}"
+            rows.append((1000 * (j + 1) + k, " ".join(text)))
+            kind.append(rows[-1][0])
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf).collect()}
+    assert kept >= set(range(60))
+    assert len(kept & set(copies)) <= 3
+    assert kept >= set(others)
+
+
 def test_run_on_the_small_tables(spark, sf):
     rows = corpus_pipeline.run(spark, sf).collect()
     documents = spark.read.parquet(f"{sf}/documents.parquet").count()

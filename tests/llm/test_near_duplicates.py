@@ -95,6 +95,53 @@ def test_links_hold_against_the_second_fingerprint(spark, docs, texts, split_ove
     assert Counter(map(tuple, got)) == want
 
 
+def plain_bag(text: str, shingle: int = 5) -> Counter:
+    words = (text or "").encode().lower().split()
+    return Counter(tuple(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))) if words else Counter()
+
+
+def edited(words: list[str], at: list[int]) -> str:
+    return " ".join(f"{w}x{k}" if k in at else w for k, w in enumerate(words))
+
+
+@pytest.mark.parametrize("split_over", [10**6, 5])
+def test_links_hold_against_the_shingles(spark, docs, texts, split_over, monkeypatch):
+    monkeypatch.setattr(simhash, "BAGS_HELD", 3000)
+    rng = np.random.default_rng(3)
+    more = []
+    for k in range(12):
+        words = [f"w{x}" for x in rng.integers(0, 400, 120)]
+        more += [(50_000 + 10 * k + j, edited(words, rng.integers(0, 120, j).tolist())) for j in range(8)]
+    more += [(60_000, "a b c a b c a b c d e f g"), (60_001, "d e f g a b c a b c a b c"), (60_002, "x y"), (60_003, "X  y")]
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    every = [*texts, *more]
+    fps = np.array([plain_fingerprint(t, 2) for _, t in every], dtype=np.uint64)
+    bags = [plain_bag(t) for _, t in every]
+    sets = [set(b) for b in bags]
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) or (bags[a] & bags[b]).total() >= 0.8 * (bags[a] | bags[b]).total()
+    first: dict = {}
+    pairs = [(k, first.setdefault(frozenset(held.items()), k)) for k, held in enumerate(bags)]
+    near = np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps) <= 10, 1))
+    pairs += [(a, b) for a, b in zip(*near) if alike(a, b)]
+    ids = [i for i, _ in every]
+    want = Counter(zip(ids, least_ids(ids, reach(len(every), pairs))))
+    found = simhash.near_duplicates(spark, rows, shingle=2, max_bits=10, check=(5, 0.8), split_over=split_over)
+    assert Counter(map(tuple, found.select("doc_id", "component_id").collect())) == want
+
+
+def test_comparisons_grow_with_the_members_of_a_component(monkeypatch):
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(0, 2**63, 1000, dtype=np.uint64))
+    sets, n = simhash.HeldBags(), 400
+    for k in range(n):
+        sets.add(np.sort(np.append(base, np.uint64(2**63 + k))).tobytes())
+    seen = []
+    monkeypatch.setattr(simhash.HeldBags, "get", lambda self, i, f=simhash.HeldBags.get: seen.append(i) or f(self, i))
+    label = simhash.exact_links(np.zeros(n, dtype=np.uint64), np.arange(n), sets, 8, 0.8)
+    assert set(label.tolist()) == {0}
+    assert len(seen) <= 2 * n
+
+
 def test_keep_one_keeps_one_of_each_group(spark, docs, none):
     out = simhash.keep_one(spark, docs, shingle=3, max_bits=2)
     assert out.columns == docs.columns
