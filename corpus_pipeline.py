@@ -18,7 +18,7 @@ from tabularium.llm.common import Scratch
 
 #: Near-duplicates share at least 0.8 of their five-word shingles. Candidates: SimHashes of two-word shingles, which an
 #: edit changes least, differ in at most so many bits.
-SHINGLE, NEAR_BITS = 2, 8
+SHINGLE, NEAR_BITS = 2, 10
 #: Of those, the ones that have 0.8 of their five-word shingles in common, by an exact comparison.
 CHECK = (5, 0.8)
 

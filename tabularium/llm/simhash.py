@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm.common import Scratch, text_slices, texts_of
+from tabularium.llm.common import SLICE_BYTES, Scratch, release, text_slices, texts_of
 from tabularium.llm.components import components
 
 #: Fixed by the definition of the fingerprint: the seed of XXH64.
@@ -58,7 +58,7 @@ FANOUT = 8
 #: A block value with more fingerprints than this is keyed anew by a further block.
 SPLIT_OVER = 20_000
 #: Queries that go down the tree together.
-QUERIES_AT_ONCE = 1024
+QUERIES_AT_ONCE = 128
 #: Bytes of hashes of one candidate component that a task holds in memory; the others lie in a temporary file.
 BAGS_HELD = 64 << 20
 
@@ -272,6 +272,7 @@ def _links_of_partition(max_bits: int, check_bits: int | None):
             keys, codes, checks = joined(held)
             whole = np.flatnonzero((keys != keys[-1]).any(axis=1))[-1] + 1
             yield solve(keys[:whole], codes[:whole], None if checks is None else checks[:whole])
+            release()
             held = [(keys[whole:], codes[whole:], None if checks is None else checks[whole:])]
         if held:
             yield solve(*joined(held))
@@ -403,6 +404,8 @@ def _classes_of_partition(max_bits: int, share: float):
             for k in range(batch.num_rows):
                 if codes and keys[k] != now:
                     yield solve(codes, digests, bags)
+                    if bags.bytes > SLICE_BYTES:
+                        release()
                     codes, digests, bags = [], [], HeldBags()
                 now = keys[k]
                 if codes and codes[-1] == fps[k] and digests[-1] == checks[k]:
