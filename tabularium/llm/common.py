@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 import tempfile
 import uuid
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -21,28 +23,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task works on at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+#: Bytes of an Arrow batch on its way to a Python worker; Spark's own limit would let 10,000 long texts through at once.
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; where it is unset (tests, one machine), a new temporary one."""
-    conf = spark.sparkContext.getConf()
-    at = conf.get("spark.checkpoint.dir", None)
-    if at:
-        return at.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tabularium-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+    context = spark.sparkContext
+    at = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not at:
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tabularium-"))
+        at = context.getCheckpointDir()
+    return at.rstrip("/")
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let the session bound Arrow batches by ``BATCH_BYTES``, unless its own bound is lower."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get(name).lower()).groups()
+    if int(number) << 10 * " kmgt".index(unit or " ") > BATCH_BYTES:
+        spark.conf.set(name, BATCH_BYTES)
+
+
+def free_names(taken: Iterable[str], *wanted: str) -> list[str]:
+    """``wanted``, each with as many underscores before it as it takes to differ from all of ``taken``, whatever their case."""
+    used, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name = f"_{name}"
+        used.add(name.lower())
+        out.append(name)
+    return out
 
 
 class Scratch:
-    """Tables written to the shared folder. They cut lineage, so a lost executor costs no more than its own tasks."""
+    """Tables written to the shared folder. They cut lineage, so a lost executor costs no more than its own tasks.
+
+    What an operator has used up it drops itself. A result is read from tables
+    that must outlive the call: ``Scratch.clear`` removes those once the results are written.
+    """
+
+    made: ClassVar[list[Scratch]] = []
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        bound_batches(spark)
+        Scratch.made.append(self)
+
+    @classmethod
+    def clear(cls) -> None:
+        """Remove all tables of all operators. Data frames made by them can't be read any more."""
+        while cls.made:
+            one = cls.made.pop()
+            _delete(one.spark, one.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -54,11 +91,13 @@ class Scratch:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
-        jvm = self.spark._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:
-            at = jvm.org.apache.hadoop.fs.Path(self.path(name))
-            at.getFileSystem(conf).delete(at, True)
+            _delete(self.spark, self.path(name))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def release() -> None:
@@ -68,7 +107,7 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in order, in slices whose ``column`` holds about ``limit`` bytes, one row at least."""
     for batch in batches:
         if batch.num_rows == 0:
@@ -81,6 +120,12 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit:
             release()
 
 
+def array_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """Texts in order, null read as empty, in slices of about ``limit`` bytes."""
+    for part in text_slices([pa.RecordBatch.from_arrays([texts], names=["text"])], limit=limit):
+        yield texts_of(part)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
     """The texts of a batch, null read as empty."""
     return pc.fill_null(batch.column(column), "")

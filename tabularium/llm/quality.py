@@ -1,22 +1,25 @@
 """Quality rules: base statistics of a text, and n-gram perplexity bands per language.
 
-The language model is a modified Kneser-Ney model of characters within words,
-of order five. Spark counts the n-grams of all rows: a task counts the n-grams
-of its distinct words, weighted by how often each word occurs, and Spark adds
-up the counts. Orders below the highest count in how many different contexts
-an n-gram occurs, again in Spark, and each order has its own three discounts
-from its counts of counts. Interpolated probabilities of the n-grams seen and
-the back-off weights of the contexts seen are written as arrays sorted by a
-64-bit hash, range-partitioned into shards in the shared folder. Scoring tasks
-look their distinct n-grams up by binary search, shard after shard, and keep a
-bounded number of shards, so a model of any size can be used.
+The language model is a modified Kneser-Ney model of characters, of order
+five, over the whole running text: words are joined by one blank, and n-grams
+run across it, so the order of words counts. Spark counts the n-grams of all
+rows: a task adds up those of its texts, Spark those of the tasks. Orders below
+the highest count in how many different contexts an n-gram occurs, again in
+Spark, and each order has its own three discounts from its counts of counts.
+Interpolated probabilities of the n-grams seen and the back-off weights of the
+contexts seen are written as arrays sorted by a 64-bit hash, range-partitioned
+into shards in the shared folder. Scoring looks distinct n-grams up by binary
+search. While the whole model fits into ``SHARDS_KEPT`` bytes a task does so for
+each slice of its texts; a larger model is read once per task, shard after
+shard, for all n-grams of the task's texts, which wait in a temporary file
+meanwhile.
 
 Characters are chosen over words because of the corpus-wide count: at word
 level nearly every n-gram of long-tailed text is a row of its own, and both
 counting and scoring would have to move more bytes than the corpus has.
 
 A text's log perplexity is the mean negative log probability of its
-characters and word ends. The bands are learned per language from all texts
+characters and blanks. The bands are learned per language from all texts
 that pass the base rules, copies once: quartiles of log perplexity, widened by ``BAND``
 times their distance, and widened further for short texts, whose mean varies
 more. Texts beyond the lower or the upper end are rejected.
@@ -30,8 +33,9 @@ text that passes the base rules there is no band; other columns are ignored.
 
 from __future__ import annotations
 
+import tempfile
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,15 +43,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tabularium.llm.common import Scratch, Words, codepoints, mix64, segment_sums, split_words, text_slices, texts_of
+from tabularium.llm.common import Scratch, Words, array_slices, bound_batches, codepoints, mix64, ragged_take, release, segment_sums, split_words, text_slices, texts_of
 
 ORDER = 5
 #: How far beyond the quartiles a band reaches, in distances between them.
-BAND = 2.5
+BAND = 2.0
 #: A text of so many characters has a band twice as far from the median as a very long one.
 SHORT_CHARS = 50
 LEAST_TEXTS = 50
@@ -111,39 +116,97 @@ def base_columns(texts: pa.Array, words: Words) -> dict[str, np.ndarray]:
 # --- the model ---
 
 
-def _grams(types: pa.Array) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
-    """All words framed by blanks in one string, its code points, and of each n-gram of the highest order its start and its word."""
-    framed = pc.binary_join_element_wise(" " * (ORDER - 1), types, " ", "") if len(types) else types
-    points, starts = codepoints(framed)
-    joined = "".join(framed.to_pylist())
-    owner = np.repeat(np.arange(len(types)), np.diff(starts))
-    n = max(0, len(points) - ORDER + 1)
-    at = np.flatnonzero(owner[:n] == owner[ORDER - 1 :][:n])
-    return joined, points, at, owner[at]
+#: Characters that are worked on at once.
+CHARS_AT_ONCE = 1 << 20
+#: Different n-grams of a slice that are held before equal ones are put together.
+GRAMS_HELD = 1 << 21
 
 
-def _hash(points: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
-    """Hashes of the ``order`` code points from each position on."""
-    out = np.full(len(at), order, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(order):
-            out = mix64(out * np.uint64(0x100000001B3) + points[at + k].astype(np.uint64))
-    return out
+@dataclass
+class Windows:
+    """N-grams of the highest order of some texts: of each its key, and of the different ones (``code`` numbers them) an example."""
+
+    keys: np.ndarray
+    examples: np.ndarray
+    code: np.ndarray
+
+
+def running_text(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts one after another, a blank after each word and ``ORDER - 1`` before each text, and where each text starts."""
+    blanks = pa.array([" " * (ORDER - 1)], pa.string())
+    types = pa.concat_arrays([pc.binary_join_element_wise(words.types, " ", "").cast(pa.string()), blanks])
+    points, at = codepoints(types)
+    codes = np.insert(words.codes.astype(np.int64), words.starts[:-1], len(words.types))
+    flat, lengths = ragged_take(points, at, codes)
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    return flat, ends[words.starts + np.arange(len(words.starts))]
+
+
+def _hash(grams: np.ndarray) -> np.ndarray:
+    """A hash of each row of code points."""
+    return _mixed(grams[:, 0].astype(np.uint64), [grams[:, k] for k in range(1, grams.shape[1])])
+
+
+def _mixed(out: np.ndarray, rest: list[np.ndarray]) -> np.ndarray:
+    for points in rest:
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += points
+    out ^= np.uint64(len(rest) + 1) << np.uint64(60)
+    return mix64(out)
+
+
+def windows(text: np.ndarray) -> Iterator[tuple[int, Windows]]:
+    """All windows of ``ORDER`` code points, some at a time, each time with the place of the first one."""
+    for a in range(0, len(text) - ORDER + 1, CHARS_AT_ONCE):
+        part = text[a : a + CHARS_AT_ONCE + ORDER - 1]
+        n = len(part) - ORDER + 1
+        coded = pa.array(_mixed(part[:n].astype(np.uint64), [part[k : k + n] for k in range(1, ORDER)])).dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        first = np.zeros(len(coded.dictionary), dtype=np.int64)
+        first[code] = np.arange(n)
+        yield a, Windows(coded.dictionary.to_numpy(zero_copy_only=False), part[first[:, None] + np.arange(ORDER)], code)
+
+
+def _inside(starts: np.ndarray, a: int, n: int) -> np.ndarray:
+    """Of the ``n`` windows from place ``a`` on, those that lie within one text and predict one of its characters."""
+    good = np.ones(n + ORDER, dtype=bool)
+    # A window is outside if its last character is one of the blanks before a text.
+    for k in range(ORDER - 1):
+        at = starts[:-1] + k - (ORDER - 1) - a
+        good[at[(at >= 0) & (at < n)]] = False
+    return good[:n]
 
 
 def count_ngrams(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(gram, n)``: how often each n-gram of the highest order occurs in all rows."""
 
+    def together(held: list[tuple]) -> list[tuple]:
+        keys, examples, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        keys, first, code = np.unique(keys, return_index=True, return_inverse=True)
+        return [(keys, examples[first], np.bincount(code, weights=n, minlength=len(keys)).astype(np.int64))]
+
+    def batch(held: list[tuple]) -> pa.RecordBatch:
+        _, examples, n = together(held)[0]
+        joined = examples.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        grams = pa.array([joined[i : i + ORDER] for i in range(0, len(joined), ORDER)], pa.string())
+        return pa.RecordBatch.from_arrays([grams, pa.array(n)], names=["gram", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for part in text_slices(batches):
-            words = split_words(texts_of(part))
-            times = np.bincount(words.codes, minlength=len(words.types))
-            joined, points, at, owner = _grams(words.types)
-            _, first, inverse = np.unique(_hash(points, at, ORDER), return_index=True, return_inverse=True)
-            n = np.bincount(inverse, weights=times[owner], minlength=len(first)).astype(np.int64)
-            grams = [joined[i : i + ORDER] for i in at[first].tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(n)], names=["gram", "n"])
-
+            text, starts = running_text(split_words(texts_of(part)))
+            for a, found in windows(text):
+                n = np.bincount(found.code[_inside(starts, a, len(found.code))], minlength=len(found.keys))
+                held.append((found.keys[n > 0], found.examples[n > 0], n[n > 0]))
+            if sum(len(h[0]) for h in held) > GRAMS_HELD:
+                held = together(held)
+                if len(held[0][0]) > GRAMS_HELD // 2:
+                    yield batch(held)
+                    held = []
+        if held:
+            yield batch(held)
+
+    bound_batches(docs.sparkSession)
     return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
@@ -162,6 +225,11 @@ class Model:
 
     path: str
     unseen: float
+    entries: int
+
+
+#: Tells a context's back-off weight from the probability of the n-gram with the same characters.
+CONTEXT = np.uint64(0x5851F42D4C957F2D)
 
 
 def fit(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> Model:
@@ -201,15 +269,16 @@ def fit(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> Model:
             out = np.zeros(batch.num_rows, dtype=np.uint64)
             for order in np.unique(np.diff(starts)).tolist():
                 own = np.flatnonzero(np.diff(starts) == order)
-                out[own] = _hash(points, starts[own], order)
-            out ^= mix64(np.where(tags >= 100, np.uint64(1), np.uint64(0)))
+                out[own] = _hash(points[starts[own][:, None] + np.arange(order)])
+            out[tags >= 100] ^= CONTEXT
             yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64)), batch.column("value")], names=["key", "value"])
 
     keyed = scratch.write(table.mapInArrow(key, "key long, value double"), "keyed")
-    shards = max(1, -(-keyed.count() // SHARD_ENTRIES))
+    entries = keyed.count()
+    shards = max(1, -(-entries // SHARD_ENTRIES))
     keyed.repartitionByRange(shards, "key").sortWithinPartitions("key").write.parquet(scratch.path("model"))
     scratch.drop("keyed", *(f"count{k}" for k in range(1, ORDER + 1)), *(f"p{k}" for k in range(1, ORDER + 1)))
-    return Model(scratch.path("model"), unseen)
+    return Model(scratch.path("model"), unseen, entries)
 
 
 class HashArrays:
@@ -260,56 +329,107 @@ def _arrays(path: str) -> HashArrays:
     return _open[path]
 
 
-def gram_logs(points: np.ndarray, at: np.ndarray, model: Model) -> np.ndarray:
+def gram_logs(grams: np.ndarray, model: Model) -> np.ndarray:
     """Log probability of each n-gram's last character after the others: the longest one seen, with the back-off weights of longer contexts."""
     arrays = _arrays(model.path)
-    out, open_ = np.zeros(len(at)), np.arange(len(at))
-    mark = mix64(np.ones(1, dtype=np.uint64))
+    out, open_ = np.zeros(len(grams)), np.arange(len(grams))
     for order in range(ORDER, 0, -1):
-        start = at[open_] + ORDER - order
-        value = arrays.find(_hash(points, start, order))
+        own = grams[open_, ORDER - order :]
+        value = arrays.find(_hash(own))
         seen = ~np.isnan(value)
         out[open_[seen]] += value[seen]
-        open_, start = open_[~seen], start[~seen]
+        open_, own = open_[~seen], own[~seen]
         if not len(open_):
             return out
         if order > 1:
-            weight = arrays.find(_hash(points, start, order - 1) ^ mark)
+            weight = arrays.find(_hash(own[:, :-1]) ^ CONTEXT)
             out[open_] += np.where(np.isnan(weight), 0.0, weight)
     out[open_] += model.unseen
     return out
 
 
-def log_perplexity(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Mean negative log probability of each text's characters and word ends, and their number."""
-    _, points, at, owner = _grams(words.types)
-    _, first, inverse = np.unique(_hash(points, at, ORDER), return_index=True, return_inverse=True)
-    per_gram = gram_logs(points, at[first], model)
-    n = len(words.types)
-    logs = np.bincount(owner, weights=per_gram[inverse], minlength=n)
-    size = np.bincount(owner, minlength=n)
-    total = segment_sums(size[words.codes], words.starts)
-    return -segment_sums(logs[words.codes], words.starts) / np.maximum(total, 1), total.astype(np.int64)
+def log_perplexity(words: Words, logs_of: Callable[[Windows], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Mean negative log probability of each text's characters and blanks, and their number. ``logs_of`` gives those of different n-grams."""
+    text, starts = running_text(words)
+    n = len(starts) - 1
+    total, chars = np.zeros(n), np.zeros(n, dtype=np.int64)
+    for a, found in windows(text):
+        good = np.flatnonzero(_inside(starts, a, len(found.code)))
+        owner = np.searchsorted(starts, good + a, side="right") - 1
+        total += np.bincount(owner, weights=logs_of(found)[found.code[good]], minlength=n)
+        chars += np.bincount(owner, minlength=n)
+    return -total / np.maximum(chars, 1), chars
 
 
-# --- the verdict ---
+class Waiting:
+    """Texts that wait in a temporary file without a name, and their different n-grams, until these are looked up all at once."""
 
+    def __init__(self):
+        self.file = tempfile.TemporaryFile()
+        self.out = pa.ipc.new_stream(self.file, pa.schema([("text", pa.string())]))
+        self.held = [(np.zeros(0, dtype=np.uint64), np.zeros((0, ORDER), dtype=np.uint32))]
 
-def statistics(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """``keep``, the base statistics, ``log_perplexity`` and ``chars`` for every row."""
+    def add(self, texts: pa.Array) -> None:
+        self.out.write_batch(pa.RecordBatch.from_arrays([texts.cast(pa.string())], names=["text"]))
+        self.held += [(found.keys, found.examples) for _, found in windows(running_text(split_words(texts))[0])]
+        if len(self.held) > 16:
+            self.held = [self._different()]
+
+    def _different(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, first = np.unique(np.concatenate([k for k, _ in self.held]), return_index=True)
+        return keys, np.concatenate([e for _, e in self.held])[first]
+
+    def each(self, model: Model) -> Iterator[tuple[pa.Array, Callable[[Windows], np.ndarray]]]:
+        self.out.close()
+        keys, examples = self._different()
+        logs = gram_logs(examples, model)
+        self.file.seek(0)
+        for batch in pa.ipc.open_stream(self.file):
+            yield batch.column(0), lambda found: logs[np.searchsorted(keys, found.keys)]
+
+
+# --- the verdict ---
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "__text"):
-            texts = texts_of(part, "__text")
-            words = split_words(texts)
-            base = base_columns(texts, words)
-            log, chars = log_perplexity(words, model)
-            columns = [part.column(c) for c in keep] + [pa.array(v) for v in base.values()] + [pa.array(log), pa.array(chars)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *base, "log_perplexity", "chars"])
 
-    longs = [T.StructField(c, T.LongType()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    verdict = [T.StructField("base_failed", T.BooleanType()), T.StructField("log_perplexity", T.DoubleType()), T.StructField("chars", T.LongType())]
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), *longs, *verdict]))
+STATISTICS = T.StructType(
+    [T.StructField(c, T.LongType()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    + [T.StructField("base_failed", T.BooleanType()), T.StructField("log_perplexity", T.DoubleType()), T.StructField("chars", T.LongType())]
+)
+NOTHING = pa.array([], to_arrow_type(STATISTICS))
+
+
+def statistics(docs: DataFrame, model: Model, keep: list[Column], text_col: str = "text") -> DataFrame:
+    """``keep``, the base statistics, ``log_perplexity`` and ``chars`` for every row. Only the text goes through Python."""
+
+    def measured(texts: pa.Array, logs_of: Callable[[Windows], np.ndarray]) -> pa.Array:
+        words = split_words(texts)
+        log, chars = log_perplexity(words, logs_of)
+        columns = [*base_columns(texts, words).values(), log, chars]
+        release()
+        return pa.StructArray.from_arrays([pa.array(c) for c in columns], fields=list(NOTHING.type))
+
+    @F.arrow_udf(STATISTICS)
+    def of_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = lambda found: gram_logs(found.examples, model)
+        if model.entries * 12 <= SHARDS_KEPT:
+            for texts in batches:
+                yield pa.concat_arrays([NOTHING, *(measured(part, own) for part in array_slices(texts))])
+            return
+        waiting, sizes = Waiting(), []
+        for texts in batches:
+            sizes.append(len(texts))
+            for part in array_slices(texts):
+                waiting.add(part)
+        ready = waiting.each(model)
+        for n in sizes:
+            found = [NOTHING]
+            while sum(map(len, found)) < n:
+                found.append(measured(*next(ready)))
+            yield pa.concat_arrays(found)
+
+    bound_batches(docs.sparkSession)
+    made = docs.select(*keep, of_texts.asNondeterministic()(F.col(text_col)).alias("statistics"))
+    return made.select(*(c for c in made.columns if c != "statistics"), "statistics.*")
 
 
 def bands(scored: DataFrame, lang_col: str = "lang", band: float = BAND) -> DataFrame:
@@ -328,15 +448,14 @@ def apply_rules(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     """``keep`` (or the id), the base statistics, ``log_perplexity``, ``lower``, ``upper`` and ``kept`` for every row."""
     scratch = Scratch(spark, "quality")
     model = fit(spark, docs, text_col)
-    carried = list(dict.fromkeys([*(keep or [id_col]), lang_col]))
-    scored = scratch.write(statistics(docs, model, carried, text_col), "scored")
-    limits = scratch.write(bands(scored, lang_col, band), "bands")
-    whole = limits.where(F.col(lang_col).isNull()).first()
+    row = F.struct(*(keep or [id_col])).alias("row")
+    scored = scratch.write(statistics(docs, model, [row, F.col(lang_col).alias("language")], text_col), "scored")
+    limits = scratch.write(bands(scored, "language", band), "bands")
+    whole = limits.where(F.col("language").isNull()).first()
     # At most one row per language: the languages of a corpus are few, whatever its size.
-    out = scored.join(limits.where(F.col(lang_col).isNotNull()), lang_col, "left")
+    out = scored.join(limits.where(F.col("language").isNotNull()), "language", "left")
     middle, lower, upper = (F.coalesce(c, F.lit(whole[c] if whole else None).cast("double")) for c in ("middle", "lower", "upper"))
     wider = 1 + F.sqrt(F.lit(SHORT_CHARS) / F.greatest("chars", F.lit(1)))
     lower, upper = middle - (middle - lower) * wider, middle + (upper - middle) * wider
     good = F.coalesce(F.col("log_perplexity").between(lower, upper), F.lit(False))
-    names = [c for c in scored.columns if c not in carried]
-    return out.select(*(keep or [id_col]), *names, lower.alias("lower"), upper.alias("upper"), (~F.col("base_failed") & good).alias("kept"))
+    return out.select("row.*", *STATISTICS.fieldNames(), lower.alias("lower"), upper.alias("upper"), (~F.col("base_failed") & good).alias("kept"))

@@ -17,16 +17,17 @@ of four to six letters (after undoing obfuscation), those whose share of toxic
 texts is far above the base rate. Its weights are smoothed log ratios of
 document frequencies, counted by Spark.
 
-Trees are fitted with Spark's gradient-boosted trees on one part of the
-labelled rows, and isotonic regression on the other part turns their output
-into probabilities. Both use about ``fit_rows`` labelled rows, a documented
-bound; scoring covers all rows and whole texts.
+The labelled rows fall into three parts that share no row (``PARTS``): the
+lexicon is learned on the first, Spark's gradient-boosted trees are fitted on
+the second, and isotonic regression on the third turns their output into
+probabilities. All of them together use about ``fit_rows`` labelled rows, a
+documented bound; scoring covers all rows and whole texts.
 
 Results defined for odd input: null and empty texts get the features of an
 empty text and so a score like any other; rows with a null id or label, or
-without a document, don't train; a document labelled twice counts twice; with
-no toxic or no clean label at all every score is the base rate; other columns
-are ignored.
+without a document, don't train; a document labelled twice counts twice; if the
+trees' part or the curve's part lacks toxic or clean labels, every score is the
+base rate; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,13 +42,15 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabularium.llm.common import Scratch, codepoints, sampled, segment_sums, split_words, text_slices, texts_of
+from tabularium.llm.common import Scratch, array_slices, bound_batches, codepoints, sampled, segment_sums, split_words, text_slices, texts_of
 
 FIT_ROWS = 20_000
+#: Of five parts of the labelled rows, by a hash of the id: those of the lexicon, of the trees and of the isotonic curve.
+PARTS = {"lexicon": (0, 1), "trees": (2, 3), "curve": (4,)}
 STEMS = (4, 5, 6)
 #: Entries must be in so many toxic texts of the sample, and in toxic texts by so large a factor more often.
 LEAST_TEXTS, LEAST_RATIO = 4, 4.0
@@ -166,17 +169,22 @@ def text_features(texts: pa.Array, lexicon: dict[str, float]) -> np.ndarray:
 
 
 def features(docs: DataFrame, lexicon: dict[str, float], keep: list[str], text_col: str = "text") -> DataFrame:
-    """``keep`` and one double column per feature, for every row."""
+    """``row``, a struct of ``keep``, and one double column per feature, for every row. Only the text goes through Python."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "__text"):
-            x = text_features(texts_of(part, "__text"), lexicon)
-            columns = [part.column(c) for c in keep] + [pa.array(np.ascontiguousarray(x[:, k])) for k in range(len(FEATURES))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *FEATURES])
+    @F.arrow_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in FEATURES]))
+    def of_texts(texts: pa.Array) -> pa.Array:
+        parts = [text_features(part, lexicon) for part in array_slices(texts)]
+        x = np.concatenate([np.zeros((0, len(FEATURES))), *parts])
+        return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(x[:, k])) for k in range(len(FEATURES))], names=FEATURES)
+
+    bound_batches(docs.sparkSession)
+    made = docs.select(F.struct(*keep).alias("row"), of_texts.asNondeterministic()(F.col(text_col)).alias("features"))
+    return made.select("row", "features.*")
 
-    rows = docs.select(*keep, F.col(text_col).alias("__text"))
-    doubles = [T.StructField(c, T.DoubleType()) for c in FEATURES]
-    return rows.mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), *doubles]))
+
+def part_of(name: str, id_col: str = "id") -> Column:
+    """Whether a labelled row belongs to the part ``name`` of ``PARTS``."""
+    return F.pmod(F.xxhash64(F.lit("fold"), id_col), F.lit(5)).isin(*PARTS[name])
 
 
 @dataclass
@@ -212,22 +220,27 @@ def learn(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     scratch = Scratch(spark, "toxicity")
     rows = scratch.write(sampled(texts, "id", fit_rows, total).join(sampled(marks, "id", fit_rows, total), "id").select("id", "text", "toxic"), "rows")
-    fold = F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(3))
-    # The lexicon is learned on another part than the trees: its own texts would look easier than they are.
-    lexicon = learn_lexicon(rows.where(fold != 0))
-    seen = scratch.write(features(rows, lexicon, ["id", "toxic"]), "features")
-    sizes = {(r["part"], r["toxic"]): r["count"] for r in seen.withColumn("part", fold == 0).groupBy("part", "toxic").count().collect()}
-    toxic, clean = (sum(n for (_, t), n in sizes.items() if t == k) for k in (1, 0))
-    base = toxic / max(1, toxic + clean)
-    if len(sizes) < 4:
+    lexicon = learn_lexicon(rows.where(part_of("lexicon")))
+    seen = scratch.write(features(rows.where(~part_of("lexicon")), lexicon, ["id", "toxic"]).select("row.*", *FEATURES), "features")
+    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    base = sizes.get(1, 0) / max(1, sum(sizes.values()))
+    if seen.select("toxic", part_of("trees")).distinct().count() < 4:
         return Model(lexicon, None, [], base)
-    fitted = GBTClassifier(labelCol="toxic", maxIter=trees, maxDepth=3, stepSize=0.2, seed=1, minInstancesPerNode=5).fit(
-        VectorAssembler(inputCols=FEATURES, outputCol="features").transform(seen)
-    )
-    held = _raw(seen.where(fold == 0), fitted)
-    curve = IsotonicRegression(featuresCol="raw", labelCol="label").fit(held.select("raw", F.col("toxic").cast("double").alias("label")))
-    steps = list(zip(curve.boundaries.toArray().tolist(), curve.predictions.toArray().tolist(), strict=True))
-    return Model(lexicon, fitted, steps, base)
+    fitted = fit_trees(seen.where(part_of("trees")), trees)
+    model = Model(lexicon, fitted, fit_curve(_raw(seen.where(part_of("curve")), fitted)), base)
+    scratch.drop("rows", "features")
+    return model
+
+
+def fit_trees(rows: DataFrame, trees: int) -> GBTClassificationModel:
+    boosted = GBTClassifier(labelCol="toxic", maxIter=trees, maxDepth=3, stepSize=0.2, seed=1, minInstancesPerNode=5)
+    return boosted.fit(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows))
+
+
+def fit_curve(rows: DataFrame) -> list[tuple[float, float]]:
+    """The corners of the isotonic curve from ``raw`` to the share of toxic rows."""
+    curve = IsotonicRegression(featuresCol="raw", labelCol="label").fit(rows.select("raw", F.col("toxic").cast("double").alias("label")))
+    return list(zip(curve.boundaries.toArray().tolist(), curve.predictions.toArray().tolist(), strict=True))
 
 
 def _calibrated(raw, steps: list[tuple[float, float]]):
@@ -242,9 +255,8 @@ def _calibrated(raw, steps: list[tuple[float, float]]):
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """``(*keep, score, predicted)`` for every row, by its text alone; ``predicted`` is 1 from a score of 0.5."""
+    verdict = lambda p: [p.alias("score"), F.when(p >= 0.5, 1).otherwise(0).cast("int").alias("predicted")]
     if model.trees is None:
-        out = docs.select(*keep, F.lit(float(model.base)).alias("score"))
-    else:
-        rows = features(docs, model.lexicon, list(keep), text_col)
-        out = _raw(rows, model.trees).select(*keep, _calibrated(F.col("raw"), model.steps).alias("score"))
-    return out.select(*keep, "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int").alias("predicted"))
+        return docs.select(*keep, *verdict(F.lit(float(model.base))))
+    rows = _raw(features(docs, model.lexicon, list(keep), text_col), model.trees)
+    return rows.select("row", _calibrated(F.col("raw"), model.steps).alias("score")).select("row.*", *verdict(F.col("score")))

@@ -19,7 +19,7 @@ def docs(spark, sf):
     own = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
     odd = spark.createDataFrame(ODD, "doc_id long, text string, lang string")
     out = own.unionByName(odd)
-    clash = "id fp label key n p value part gram score predicted kept n_words lower ids path count node size __text n_tokens toxic".split()
+    clash = "id fp label key n p value part gram score predicted kept n_words lower ids path count node size __text n_tokens toxic __row __row2 __found row row2 pick check sketch mask language statistics chars features raw license dice held".split()
     for k, name in enumerate(clash):
         out = out.withColumn(name, F.lit(f"clash {k}"))
     return out.withColumn("source", F.lit("src")).withColumn("n_chars", F.length("text").cast("long")).cache()

@@ -37,9 +37,7 @@ class PlainKneserNey:
     def __init__(self, texts):
         top = Counter()
         for t in texts:
-            for w in re.findall(r"[^\x20\x09-\x0D]+", t or ""):
-                framed = " " * (quality.ORDER - 1) + w + " "
-                top.update(framed[i : i + quality.ORDER] for i in range(len(framed) - quality.ORDER + 1))
+            top.update(self.grams(t))
         self.counts = {quality.ORDER: top}
         for k in range(quality.ORDER - 1, 0, -1):
             self.counts[k] = Counter(g[1:] for g in self.counts[k + 1])
@@ -55,6 +53,11 @@ class PlainKneserNey:
             for g, n in counts.items():
                 self.after[k][g[:-1]].append(n)
 
+    @staticmethod
+    def grams(text):
+        framed = " " * (quality.ORDER - 1) + "".join(w + " " for w in re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+        return [framed[i : i + quality.ORDER] for i in range(len(framed) - quality.ORDER + 1)]
+
     def p(self, gram):
         k = len(gram)
         if not k:
@@ -66,10 +69,7 @@ class PlainKneserNey:
         return (n - cut(n) + sum(map(cut, seen)) * self.p(gram[1:])) / sum(seen)
 
     def log_perplexity(self, text):
-        logs = []
-        for w in re.findall(r"[^\x20\x09-\x0D]+", text or ""):
-            framed = " " * (quality.ORDER - 1) + w + " "
-            logs += [math.log(self.p(framed[i : i + quality.ORDER])) for i in range(len(framed) - quality.ORDER + 1)]
+        logs = [math.log(self.p(g)) for g in self.grams(text)]
         return -sum(logs) / max(1, len(logs))
 
 
@@ -97,6 +97,22 @@ def test_unlikely_and_too_likely_texts_are_rejected(spark, docs):
     assert verdict[9008] is False
 
 
+def test_the_order_of_words_counts(spark, sf):
+    """English texts with their words shuffled are rejected mostly, the texts themselves are kept."""
+    docs = spark.read.parquet(f"{sf.rsplit('/', 1)[0]}/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    clean = docs.where("length(text) > 1500 and lang = 'en'").orderBy("doc_id").limit(60).collect()
+    rng = np.random.default_rng(1)
+    rows = [(10**6 + r.doc_id, " ".join(rng.permutation(np.array(r.text.split(), dtype=object)).tolist()), r.lang) for r in clean]
+    out = {r.doc_id: r for r in quality.apply_rules(spark, docs.unionByName(spark.createDataFrame(rows, docs.schema))).collect()}
+    higher = [out[10**6 + r.doc_id].log_perplexity > out[r.doc_id].log_perplexity for r in clean if not out[r.doc_id].base_failed]
+    assert sum(higher) > 0.9 * len(higher)
+    good = [r.doc_id for r in clean if out[r.doc_id].kept]
+    assert len(good) > 0.9 * sum(not out[r.doc_id].base_failed for r in clean)
+    kept = sum(out[10**6 + i].kept for i in good)
+    print(f"{kept} of {len(good)} shuffled texts kept")
+    assert kept < 0.5 * len(good)
+
+
 def test_shards_hold_one_sorted_model(spark, docs, monkeypatch):
     whole = {r.doc_id: r.log_perplexity for r in quality.apply_rules(spark, docs).collect()}
     monkeypatch.setattr(quality, "SHARD_ENTRIES", 500)
@@ -104,6 +120,25 @@ def test_shards_hold_one_sorted_model(spark, docs, monkeypatch):
     assert whole == pytest.approx(cut, abs=1e-9)
 
 
+def test_texts_wait_for_a_model_that_does_not_fit(spark, docs):
+    """A model larger than what is kept in memory gives the same result, and its shards are read once for all texts of a task."""
+    model = quality.fit(spark, docs)
+    texts = pa.array([t or "" for (t,) in docs.select("text").collect()])
+    parts = [texts.slice(0, 60), texts.slice(60)]
+    waiting = quality.Waiting()
+    for part in parts:
+        waiting.add(part)
+    ready = list(waiting.each(model))
+    for part, (again, logs_of) in zip(parts, ready, strict=True):
+        assert again.equals(part.cast(pa.string()))
+        want = quality.log_perplexity(split_words(part), lambda found: quality.gram_logs(found.examples, model))
+        got = quality.log_perplexity(split_words(again), logs_of)
+        assert got[0] == pytest.approx(want[0]) and (got[1] == want[1]).all()
+    some = docs.select("doc_id", "text")
+    small, large = (quality.statistics(some, quality.Model(model.path, model.unseen, n), [F.col("doc_id")]) for n in (1, 10**9))
+    assert Counter(map(tuple, small.collect())) == Counter(map(tuple, large.collect()))
+
+
 def test_quality_of_empty_tables_and_empty_texts(spark, none):
     assert quality.apply_rules(spark, none).count() == 0
     rows = spark.createDataFrame([(1, None, None), (2, "", "en")], "doc_id long, text string, lang string")
@@ -178,6 +213,32 @@ def test_toxicity_of_held_out_documents(spark, sf):
     assert len(pairs) > 300 and auc(pairs) > 0.95
     clean = [r.predicted for r in out if not r.toxic]
     assert sum(clean) <= 0.02 * len(clean)
+    brier = sum((s - t) ** 2 for s, t in pairs) / len(pairs)
+    print(f"held-out Brier score {brier:.4f}")
+    assert brier < 0.03
+
+
+def test_parts_of_the_labelled_rows_share_no_row(spark, sf, monkeypatch):
+    at = f"{sf.rsplit('/', 1)[0]}/sf0.1"
+    docs, labels = spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet")
+    seen = {}
+
+    def noting(name, f):
+        def call(rows, *more):
+            seen[name] = {r.id for r in rows.select("id").collect()}
+            return f(rows, *more)
+
+        return call
+
+    monkeypatch.setattr(toxicity, "learn_lexicon", noting("lexicon", toxicity.learn_lexicon))
+    monkeypatch.setattr(toxicity, "fit_trees", noting("trees", toxicity.fit_trees))
+    monkeypatch.setattr(toxicity, "fit_curve", noting("curve", toxicity.fit_curve))
+    model = toxicity.learn(spark, docs, labels, train=lambda c: F.crc32(c.cast("string")) % 5 != 0)
+    assert all(seen.values()) and sum(map(len, seen.values())) == len(set.union(*seen.values()))
+    raw = spark.createDataFrame([(x / 50,) for x in range(51)], "raw double")
+    xs, ys = zip(*model.steps, strict=True)
+    for r in raw.select("raw", toxicity._calibrated(F.col("raw"), model.steps).alias("p")).collect():
+        assert r.p == pytest.approx(0.999 * np.interp(r.raw, xs, ys) + 0.001 * r.raw, abs=1e-9)
 
 
 def test_toxicity_of_odd_rows(spark, docs, texts, none):
