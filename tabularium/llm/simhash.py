@@ -8,8 +8,10 @@ connected component are near-duplicates.
 Candidates: the fingerprint is cut into ``max_bits + 1`` blocks. Fingerprints
 within ``max_bits`` bits agree on one block at least, so each is sent once for
 each block under that block's value. A value that more than ``split_over``
-fingerprints share is keyed anew by a block of its other bits, by the same
-argument, so no group grows with the corpus and no link is lost.
+fingerprints share is keyed anew by blocks of its other bits, by the same
+argument, up to ``DEEPEST`` times, so no link is lost. Each time makes
+``max_bits + 1`` copies of the fingerprints that need it; what is still large
+then are near copies, which the tree below passes quickly.
 
 Within a group the fingerprints are sorted by Gray rank. Windows of
 neighbours share most of their bits: those bits (a mask and a pattern) move up
@@ -19,7 +21,11 @@ the tree and drops a whole node once they exceed ``max_bits``; it also drops a
 node whose members are all known to be in the query's component already, so a
 group of thousands of near copies costs about as many steps as it has members.
 
-With a share to hold links against, the index only proposes: documents of one
+With a share to hold links against, the index only proposes. Every text has a
+second code then, 64 bits of a MinHash of its shingles, and texts are candidates
+if these differ in at most ``SKETCH_BITS`` bits too: texts of a Jaccard
+similarity of 0.8 differ in some 6, and a distance of ten SimHash bits alone
+would string together all texts of a corpus of billions. Documents of one
 candidate component come together with the hashes of their shingles, and two of
 them link if they have that share of their shingles in common (Jaccard), of
 the different ones or of all with their repeats. Documents with the same
@@ -47,8 +53,9 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabularium.llm.common import SLICE_BYTES, Scratch, release, text_slices, texts_of
+from tabularium.llm.common import SLICE_BYTES, Scratch, free_names, release, text_slices, texts_of
 from tabularium.llm.components import components
 
 #: Fixed by the definition of the fingerprint: the seed of XXH64.
@@ -57,6 +64,10 @@ SEED = 42
 FANOUT = 8
 #: A block value with more fingerprints than this is keyed anew by a further block.
 SPLIT_OVER = 20_000
+#: How often values are keyed anew.
+DEEPEST = 2
+#: Bits of a MinHash by which candidates may differ: of 64, texts of similarity 0.8 differ in 6.4 with a deviation of 2.4, others in 32.
+SKETCH_BITS = 20
 #: Queries that go down the tree together.
 QUERIES_AT_ONCE = 128
 #: Bytes of hashes of one candidate component that a task holds in memory; the others lie in a temporary file.
@@ -96,27 +107,46 @@ def shingle_bag(words: list[bytes], shingle: int) -> tuple[int, bytes]:
     return xxhash.xxh3_64_intdigest(held, SEED), held
 
 
-def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, keep: tuple[str, ...] = (), check_shingle: int | None = None, bags: bool = False
-) -> DataFrame:
-    """``(id_col, *keep, fp)`` for every row; ``fp`` holds the 64 bits as a signed long.
+def _sketch_factors() -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(SEED)
+    return rng.integers(0, 1 << 31, 64, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, 64, dtype=np.uint32)
+
+
+SKETCH_FACTORS = _sketch_factors()
+
+
+def sketch(held: bytes) -> int:
+    """One bit of each of 64 MinHashes of the hashes of a bag, none of an empty one."""
+    x = np.frombuffer(held, dtype="<u8").astype(np.uint32)
+    if not len(x):
+        return 0
+    factor, shift = SKETCH_FACTORS
+    least = np.full(64, 0xFFFFFFFF, dtype=np.uint32)
+    for at in range(0, len(x), 2048):
+        least = np.minimum(least, (x[at : at + 2048, None] * factor + shift).min(axis=0))
+    return int(np.packbits((least >> np.uint32(9) & np.uint32(1)).astype(bool), bitorder="little").view("<u8")[0])
 
-    With ``check_shingle``, ``check`` does so for that shingle, or with ``bags`` is the digest of those shingles.
+
+def fingerprints(rows: DataFrame, keep: list[str], shingle: int = 3, check_shingle: int | None = None) -> DataFrame:
+    """``(*keep, fp)`` for every row of ``rows``, by its column ``text``; ``fp`` holds the 64 bits as a signed long.
+
+    With ``check_shingle`` also ``check``, the digest of the bag of those shingles, and ``sketch``.
     """
-    names = [id_col, *keep]
-    made = {"fp": shingle} | ({"check": check_shingle} if check_shingle else {})
+    made = ["fp", *(["check", "sketch"] if check_shingle else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "__text"):
+        for part in text_slices(batches):
             out = np.zeros((len(made), part.num_rows), dtype=np.uint64)
-            for i, text in enumerate(texts_of(part, "__text").to_pylist()):
+            for i, text in enumerate(texts_of(part).to_pylist()):
                 words = words_of(text)
-                for k, (c, n) in enumerate(made.items()):
-                    out[k, i] = shingle_bag(words, n)[0] if bags and c == "check" else fingerprint(words, n)
-            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *map(pa.array, out.view(np.int64))], names=[*names, *made])
+                out[0, i] = fingerprint(words, shingle)
+                if check_shingle:
+                    out[1, i], held = shingle_bag(words, check_shingle)
+                    out[2, i] = sketch(held)
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in keep), *map(pa.array, out.view(np.int64))], names=[*keep, *made])
 
-    fields = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
-    return docs.select(*names, F.col(text_col).alias("__text")).mapInArrow(run, f"{fields}, " + ", ".join(f"{c} long" for c in made))
+    longs = [T.StructField(c, T.LongType()) for c in made]
+    return rows.select(*keep, "text").mapInArrow(run, T.StructType([*(rows.schema[c] for c in keep), *longs]))
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -146,11 +176,12 @@ class Labels:
 
 
 class GrayIndex:
-    """The hierarchical index of one group of distinct fingerprints. ``checks``: a second fingerprint of each."""
+    """The hierarchical index of one group of fingerprints. ``checks``: a second code of each."""
 
     def __init__(self, codes: np.ndarray, checks: np.ndarray | None = None, fanout: int = FANOUT):
         self.fanout = fanout
-        order = np.argsort(gray_rank(codes), kind="stable")
+        #: The places of the codes that were given, by Gray rank.
+        self.order = order = np.argsort(gray_rank(codes), kind="stable")
         self.codes, self.checks = codes[order], None if checks is None else checks[order]
         full = np.uint64(0xFFFFFFFFFFFFFFFF)
         #: From the leaves up: the mask of shared bits and their values, for each node.
@@ -213,114 +244,113 @@ class GrayIndex:
 
 
 def group_links(codes: np.ndarray, max_bits: int, checks: np.ndarray | None = None, check_bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that connect what is linked in a group of distinct codes: each member with its component's first."""
+    """Places of edges that connect what is linked in a group: each member with its component's first."""
     index = GrayIndex(codes, checks)
     label = index.link(max_bits, check_bits)
     member = np.flatnonzero(label != np.arange(len(label)))
-    return index.codes[member], index.codes[label[member]]
+    return index.order[member], index.order[label[member]]
 
 
 def small_group_links(codes: np.ndarray, group: np.ndarray, max_bits: int, most: int, checks: np.ndarray | None = None, check_bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs of many groups of at most ``most`` codes each; equal groups are neighbours in ``group``."""
-    a, b = [], []
+    """Places of linked pairs of many groups of at most ``most`` codes each; members of a group are neighbours."""
+    a = []
     for gap in range(1, most):
         near = (group[gap:] == group[:-gap]) & (np.bitwise_count(codes[gap:] ^ codes[:-gap]) <= max_bits)
         if checks is not None:
             near &= np.bitwise_count(checks[gap:] ^ checks[:-gap]) <= check_bits
         hit = np.flatnonzero(near)
-        a.append(codes[hit])
-        b.append(codes[hit + gap])
-    none = np.zeros(0, dtype=np.uint64)
-    return np.concatenate([none, *a]), np.concatenate([none, *b])
+        a.append(np.stack([hit, hit + gap]))
+    both = np.concatenate([np.zeros((2, 0), dtype=np.int64), *a], axis=1)
+    return both[0], both[1]
 
 
 def _links_of_partition(max_bits: int, check_bits: int | None):
-    """For rows sorted by (path, value): read group after group, and hold no more than one group and one batch."""
+    """For rows sorted by (mask, value): read group after group, and hold no more than one group and one batch."""
     most = 64 if check_bits is None else check_bits
-
-    def solve(key: np.ndarray, codes: np.ndarray, checks: np.ndarray | None) -> pa.RecordBatch:
-        starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
-        sizes = np.diff([*starts, len(key)])
-        out_a, out_b = [], []
-        small = np.repeat(sizes <= FANOUT, sizes)
+    columns = ["mask", "value", "node", "fp", *([] if check_bits is None else ["sketch"])]
+
+    def solve(held: np.ndarray) -> pa.RecordBatch:
+        key, node, codes = held[:2], held[2], held[3].view(np.uint64)
+        checks = None if check_bits is None else held[4].view(np.uint64)
+        starts = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
+        sizes = np.diff([*starts, len(node)])
+        small = np.flatnonzero(np.repeat(sizes <= FANOUT, sizes))
         group = np.repeat(np.arange(len(sizes)), sizes)
         of = lambda rows: None if checks is None else checks[rows]
-        a, b = small_group_links(codes[small], group[small], max_bits, FANOUT, of(small), most)
-        out_a.append(a)
-        out_b.append(b)
+        found = [small[np.stack(small_group_links(codes[small], group[small], max_bits, FANOUT, of(small), most))]]
         for i in np.flatnonzero(sizes > FANOUT):
             rows = slice(starts[i], starts[i] + sizes[i])
-            a, b = group_links(codes[rows], max_bits, of(rows), most)
-            out_a.append(a)
-            out_b.append(b)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (out_a, out_b)], names=["a", "b"])
-
-    def joined(held: list[tuple]) -> tuple:
-        keys, codes, checks = zip(*held, strict=True)
-        return np.concatenate(keys), np.concatenate(codes), None if check_bits is None else np.concatenate(checks)
+            found.append(np.stack(group_links(codes[rows], max_bits, of(rows), most)) + starts[i])
+        a, b = node[np.concatenate(found, axis=1)]
+        return pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: list[np.ndarray] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            longs = lambda c, b=batch: b.column(c).to_numpy(zero_copy_only=False)
-            key = np.stack([longs("path").astype(np.int64), longs("value")], axis=1)
-            held.append((key, longs("fp").view(np.uint64), None if check_bits is None else longs("check").view(np.uint64)))
-            if (key[-1] == held[0][0][0]).all():
+            held.append(np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns]))
+            if (held[-1][:2, -1] == held[0][:2, 0]).all():
                 continue
-            keys, codes, checks = joined(held)
-            whole = np.flatnonzero((keys != keys[-1]).any(axis=1))[-1] + 1
-            yield solve(keys[:whole], codes[:whole], None if checks is None else checks[:whole])
+            rows = np.concatenate(held, axis=1)
+            whole = np.flatnonzero((rows[:2] != rows[:2, -1:]).any(axis=0))[-1] + 1
+            yield solve(np.ascontiguousarray(rows[:, :whole]))
             release()
-            held = [(keys[whole:], codes[whole:], None if checks is None else checks[whole:])]
+            held = [np.ascontiguousarray(rows[:, whole:])]
         if held:
-            yield solve(*joined(held))
+            yield solve(np.concatenate(held, axis=1))
 
     return run
 
 
-def _blocks(bits: list[int], parts: int) -> list[list[int]]:
+def free_blocks(mask: int, parts: int) -> list[int]:
+    """The bits outside ``mask`` in ``parts`` blocks."""
+    bits = [b for b in range(64) if not mask >> b & 1]
     cut = [round(i * len(bits) / parts) for i in range(parts + 1)]
-    return [bits[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+    return [sum(1 << bit for bit in bits[a:b]) for a, b in zip(cut, cut[1:], strict=False)]
 
 
-def _value(bits: list[int]):
-    mask = sum(1 << b for b in bits)
-    return F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
+def _keyed(max_bits: int):
+    """For rows ``(mask, value, ...)``: one for each block of the other bits, with that block's bits in the mask too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            masks = batch.column("mask").to_numpy(zero_copy_only=False)
+            for mask in np.unique(masks).tolist():
+                part = batch.filter(pa.array(masks == mask))
+                codes = part.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+                for block in free_blocks(mask % (1 << 64), max_bits + 1):
+                    wider = np.full(1, mask % (1 << 64) | block, dtype=np.uint64)
+                    key = [np.repeat(wider, len(codes)), codes & wider]
+                    yield pa.RecordBatch.from_arrays([*(pa.array(k.view(np.int64)) for k in key), *part.columns[2:]], names=part.schema.names)
+
+    return run
 
 
-def link_classes(distinct: DataFrame, max_bits: int = 2, split_over: int = SPLIT_OVER, check_bits: int | None = None) -> DataFrame:
-    """``(a, b)``: edges between distinct fingerprints (column ``fp``) whose components are those of all links.
+def link_classes(spark: SparkSession, distinct: DataFrame, max_bits: int = 2, split_over: int = SPLIT_OVER, check_bits: int | None = None) -> DataFrame:
+    """``(a, b)``: edges between nodes whose components are those of all links.
 
-    With ``check_bits`` the second fingerprints (column ``check``) must differ in at most so many bits too.
+    ``distinct`` has the fingerprints ``fp`` and a number ``node`` for each; with ``check_bits`` the codes ``sketch`` must differ
+    in at most so many bits too.
     """
-    own = ["fp"] if check_bits is None else ["fp", "check"]
-    blocks = _blocks(list(range(64)), max_bits + 1)
-    key = lambda path, bits: F.struct(F.lit(path).cast("int").alias("path"), _value(bits).alias("value"))
-    keyed = distinct.select(*own, F.inline(F.array(*(key(i, b) for i, b in enumerate(blocks)))))
-    large = keyed.groupBy("path", "value").count().where(F.col("count") > split_over).select("path", "value")
-    again = []
-    for i, block in enumerate(blocks):
-        rest = [b for b in range(64) if b not in block]
-        again += [
-            F.struct(
-                F.lit((i + 1) * 100 + j).cast("int").alias("path"),
-                _value(block + sub).alias("value"),
-            )
-            for j, sub in enumerate(_blocks(rest, max_bits + 1))
-        ]
-    step = max_bits + 1
-    deeper = keyed.join(large, ["path", "value"], "left_semi").select(
-        *own, F.inline(F.slice(F.array(*again), F.col("path") * step + 1, F.lit(step)))
-    )
-    groups = keyed.join(large, ["path", "value"], "left_anti").select(*own, "path", "value").unionByName(deeper)
-    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        groups.repartition(parts, "path", "value")
-        .sortWithinPartitions("path", "value", "fp")
-        .mapInArrow(_links_of_partition(max_bits, check_bits), "a long, b long")
-    )
+    scratch = Scratch(spark, "gray")
+    own = ["node", "fp", *([] if check_bits is None else ["sketch"])]
+    key = ["mask", "value"]
+    level = distinct.select(F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("value"), *own)
+    groups, depth = None, 0
+    while True:
+        keyed = level.mapInArrow(_keyed(max_bits), level.schema)
+        more = F.bit_count(F.bitwise_not("mask")) > max_bits
+        large = scratch.write(keyed.where(more).groupBy(*key).count().where(F.col("count") > split_over).select(*key), f"large{depth}")
+        last = large.isEmpty() or depth == DEEPEST
+        fit = keyed if last else keyed.join(large, key, "left_anti").select(*level.columns)
+        groups = fit if groups is None else groups.unionByName(fit)
+        if last:
+            break
+        level = scratch.write(keyed.join(large, key, "left_semi").select(*level.columns), f"level{depth}")
+        depth += 1
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return groups.repartition(parts, *key).sortWithinPartitions(*key, "fp").mapInArrow(_links_of_partition(max_bits, check_bits), "a long, b long")
 
 
 class HeldBags:
@@ -419,30 +449,28 @@ def _classes_of_partition(max_bits: int, share: float):
     return run
 
 
-def _exact_labels(spark: SparkSession, scratch: Scratch, docs: DataFrame, marks: DataFrame, pick, text_col: str, max_bits: int, split_over: int, check: tuple[int, float]) -> DataFrame:
+def _exact_labels(spark: SparkSession, scratch: Scratch, rows: DataFrame, marks: DataFrame, max_bits: int, split_over: int, check: tuple[int, float]) -> DataFrame:
     """``(check, label)``: the component of every text that hangs together with another one."""
     shingle, share = check
-    classes = scratch.write(marks.groupBy("fp", "check").agg(F.min("__pick").alias("__pick")), "classes")
-    # Equal shingles are one class, however far their fingerprints are apart.
-    spread = classes.groupBy("check").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a < z").drop("z")
-    apart = classes.join(spread, "check").select("a", F.col("fp").alias("b"))
-    members = components(spark, link_classes(classes.select("fp").distinct(), max_bits, split_over).unionByName(apart))
-    named = classes.join(members, classes["fp"] == members["node"], "left").select("fp", "check", "__pick", F.coalesce("label", "fp").alias("candidate"))
+    classes = scratch.write(marks.groupBy("fp", "check").agg(F.min("sketch").alias("sketch"), F.min("pick").alias("pick")), "classes")
+    # The node is the digest of the shingles: texts with the same ones are one class, however far their fingerprints are apart.
+    members = components(spark, link_classes(spark, classes.withColumn("node", F.col("check")), max_bits, split_over, SKETCH_BITS))
+    named = classes.join(members, classes["check"] == members["node"], "left").select("fp", "check", "pick", F.coalesce("label", "check").alias("candidate"))
     named = scratch.write(named, "candidates")
     busy = named.groupBy("candidate").agg(F.count("*").alias("n")).where("n > 1").select("candidate")
     wanted = named.join(busy, "candidate", "left_semi")
-    rows = docs.select(pick.alias("__pick"), F.col(text_col).alias("__text")).join(wanted, "__pick")
+    texts = rows.select("pick", "text").join(wanted, "pick")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "__text"):
-            made = [shingle_bag(words_of(t), shingle) for t in texts_of(part, "__text").to_pylist()]
+        for part in text_slices(batches):
+            made = [shingle_bag(words_of(t), shingle) for t in texts_of(part).to_pylist()]
             digests = pa.array(np.array([d for d, _ in made], dtype=np.uint64).view(np.int64))
             own = pc.equal(digests, part.column("check"))  # a row that another one's pick met by chance goes
             columns = [part.column("candidate"), part.column("fp"), digests, pa.array([h for _, h in made], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["candidate", "fp", "check", "held"]).filter(own)
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bags = rows.select("candidate", "fp", "check", "__text").mapInArrow(run, "candidate long, fp long, check long, held binary")
+    bags = texts.select("candidate", "fp", "check", "text").mapInArrow(run, "candidate long, fp long, check long, held binary")
     return (
         bags.repartition(parts, "candidate")
         .sortWithinPartitions("candidate", "fp", "check")
@@ -459,51 +487,45 @@ def near_duplicates(
     max_bits: int = 3,
     split_over: int = SPLIT_OVER,
     keep: tuple[str, ...] = (),
-    check: tuple[int, int | float] | None = None,
+    check: tuple[int, float] | None = None,
 ) -> DataFrame:
     """``(id_col, *keep, fp, label, component_id)`` for every row.
 
     ``label`` is the same for all rows of a component, and ``component_id`` is
-    the smallest id among them. ``check``, words and a share (a float), holds
+    the smallest id among them. ``check``, words and a share, holds
     every link against the shingles of so many words, of which they must have
-    that share in common (see ``shares``). ``check``, words and bits (an integer), holds every link
-    against a second fingerprint of shingles of so many words, which may differ
-    in so many bits: 64 bits at a distance of 8 or more meet by chance in a
-    corpus of billions. A class of equal fingerprints has the smallest of its
-    second ones.
+    that share in common (see ``shares``).
     """
     scratch = Scratch(spark, "simhash")
-    if check and isinstance(check[1], float):
-        pick = F.xxhash64(id_col, text_col)
-        own = docs.withColumn("__pick", pick)
-        marks = scratch.write(fingerprints(own, id_col, text_col, shingle, (*keep, "__pick"), check[0], bags=True), "marks")
-        found = _exact_labels(spark, scratch, docs, marks, pick, text_col, max_bits, split_over, check)
-        least = marks.groupBy("check").agg(F.min(id_col).alias("least"))
-        label = scratch.write(least.join(found, "check", "left").select("check", "least", F.coalesce("label", "check").alias("label")), "labels")
-        smallest = label.groupBy("label").agg(F.min("least").alias("component_id"))
-        named = label.join(smallest, "label").select("check", "label", "component_id")
-        return marks.join(named, "check").select(id_col, *keep, "fp", "label", "component_id")
-    marks = scratch.write(fingerprints(docs, id_col, text_col, shingle, keep, check and check[0]), "marks")
-    second = [F.min("check").alias("check")] if check else []
-    classes = scratch.write(marks.groupBy("fp").agg(F.min(id_col).alias("least"), *second), "classes")
-    members = components(spark, link_classes(classes.drop("least"), max_bits, split_over, check and check[1]))
-    label = classes.join(members, classes["fp"] == members["node"], "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
+    pick = [F.xxhash64(id_col, text_col).alias("pick")] if check else []
+    rows = docs.select(F.struct(id_col, *keep).alias("row"), F.col(id_col).alias("id"), *pick, F.col(text_col).alias("text"))
+    marks = scratch.write(fingerprints(rows, [c for c in rows.columns if c != "text"], shingle, check and check[0]), "marks")
+    node = "check" if check else "fp"
+    least = marks.groupBy(node).agg(F.min("id").alias("least"))
+    if check:
+        found = scratch.write(_exact_labels(spark, scratch, rows, marks, max_bits, split_over, check), "found").withColumnRenamed("check", "node")
+        scratch.drop("classes", "candidates")
+    else:
+        classes = scratch.write(marks.select("fp", F.col("fp").alias("node")).distinct(), "classes")
+        found = components(spark, link_classes(spark, classes, max_bits, split_over))
+    label = least.join(found, least[node] == found["node"], "left").select(node, "least", F.coalesce("label", node).alias("label"))
+    label = scratch.write(label, "labels")
     smallest = label.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = label.join(smallest, "label").select("fp", "label", "component_id")
-    return marks.join(named, "fp").select(id_col, *keep, "fp", "label", "component_id")
+    named = label.join(smallest, "label").select(node, "label", "component_id")
+    return marks.join(named, node).select("row.*", "fp", "label", "component_id")
 
 
 def keep_one(
-    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, check: tuple[int, int | float] | None = None
+    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, check: tuple[int, float] | None = None
 ) -> DataFrame:
     """One row of each component, the one with the smallest id, with all its columns.
 
     Rows are told apart by hashes of all their columns, so rows with equal or
     null ids are single rows too; of rows equal in every column one stays.
     """
-    marked = docs.select("*", F.xxhash64(*docs.columns).alias("__row"), F.hash(*docs.columns).alias("__row2"))
-    found = near_duplicates(spark, marked, id_col, text_col, shingle, max_bits, keep=("__row", "__row2"), check=check)
-    first = found.groupBy("label").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), id_col, "__row", "__row2")).alias("first"))
-    first = first.select("first.__row", "first.__row2")
-    kept = marked.join(first, ["__row", "__row2"], "left_semi").dropDuplicates(["__row", "__row2"])
+    row = free_names([*docs.columns, "fp", "label", "component_id"], "row", "row2")
+    marked = docs.select("*", F.xxhash64(*docs.columns).alias(row[0]), F.hash(*docs.columns).alias(row[1]))
+    found = near_duplicates(spark, marked, id_col, text_col, shingle, max_bits, keep=tuple(row), check=check)
+    first = found.groupBy("label").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), *(F.col(c) for c in row))).alias("first"))
+    kept = marked.join(first.select(*(f"first.{c}" for c in row)), row, "left_semi").dropDuplicates(row)
     return kept.select(*docs.columns)

@@ -71,30 +71,14 @@ def test_gray_index_loses_no_link(spark, max_bits, split_over):
             codes.add(s)
     codes = np.array(sorted(codes), dtype=np.uint64)
     want = reach(len(codes), zip(*np.nonzero(np.bitwise_count(codes[:, None] ^ codes[None, :]) <= max_bits)))
-    frame = spark.createDataFrame([(int(c),) for c in codes.view(np.int64)], "fp long")
+    frame = spark.createDataFrame([(int(c), int(c)) for c in codes.view(np.int64)], "fp long, node long")
     place = {int(c): k for k, c in enumerate(codes.view(np.int64))}
-    edges = [(place[r.a], place[r.b]) for r in simhash.link_classes(frame, max_bits, split_over).collect()]
+    edges = [(place[r.a], place[r.b]) for r in simhash.link_classes(spark, frame, max_bits, split_over).collect()]
     assert reach(len(codes), edges) == want
     for a, b in edges:
         assert want[a] == want[b]
 
 
-@pytest.mark.parametrize("split_over", [10**6, 5])
-def test_links_hold_against_the_second_fingerprint(spark, docs, texts, split_over):
-    marks = simhash.fingerprints(docs, shingle=2, check_shingle=5).collect()
-    checks: dict[int, int] = {}
-    for r in marks:
-        checks[r.fp] = min(checks.get(r.fp, r.check), r.check)
-    fps = sorted(checks)
-    codes, second = (np.array(x, dtype=np.int64).view(np.uint64) for x in (fps, [checks[f] for f in fps]))
-    near = (np.bitwise_count(codes[:, None] ^ codes) <= 12) & (np.bitwise_count(second[:, None] ^ second) <= 16)
-    label = dict(zip(fps, reach(len(fps), zip(*np.nonzero(near)))))
-    ids = [r.doc_id for r in marks]
-    want = Counter(zip(ids, least_ids(ids, [label[r.fp] for r in marks])))
-    got = simhash.near_duplicates(spark, docs, shingle=2, max_bits=12, check=(5, 16), split_over=split_over).select("doc_id", "component_id").collect()
-    assert Counter(map(tuple, got)) == want
-
-
 def plain_bag(text: str, shingle: int = 5) -> Counter:
     words = (text or "").encode().lower().split()
     return Counter(tuple(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))) if words else Counter()
