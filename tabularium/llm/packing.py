@@ -10,8 +10,9 @@ and an update climbs back. Only spans are shuffled (some 40 bytes for a
 piece), never ids, and a task holds one group at a time.
 
 Tokenising: the vocabulary's pattern drops white space, so ids of a text are
-those of its words put together; each distinct word of a batch is encoded once
-by the library.
+those of its words put together. The library encodes each distinct word of a
+slice once; where it is shown to fold case and to cut a mark off its word,
+words that differ in that alone count as one. Common words are kept from slice to slice.
 
 Results defined for odd input: a null text is read as empty and still has its
 end id; repeated rows are documents of their own; null ids stay null; other
@@ -21,6 +22,7 @@ columns are ignored. No row in gives no row out.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,19 +30,22 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.llm.common import ragged_take, split_words, text_slices, texts_of
+from tabularium.llm.common import bound_batches, ragged_take, split_words, text_slices, texts_of
 
 LENGTH = 4096
 #: Pieces that are packed together.
 GROUP_PIECES = 8192
 SEED = 20
-#: Bytes of text that are tokenised together: the more, the fewer words are met twice.
-TOKENIZE_BYTES = 16 << 20
 WORDS_AT_ONCE = 500
+#: Words whose ids a Python worker keeps.
+WORDS_KEPT = 150_000
+#: Marks that a vocabulary may cut off a word, and letters whose case it may fold.
+MARKS, LETTERS = ".,;:!?", "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 
 
 @lru_cache(maxsize=2)
@@ -80,10 +85,68 @@ def encode_words(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     return flat, starts
 
 
+@lru_cache(maxsize=2)
+def folds(path: str) -> bool:
+    """Whether the vocabulary folds the case of ``LETTERS`` and cuts ``MARKS`` off a word."""
+    library, _ = tokenizer(path)
+    if library.normalizer is None or library.pre_tokenizer is None:
+        return False
+    every = "".join(chr(c) for c in range(0x100) if re.match(f"[{LETTERS}]", chr(c)))
+    cut = lambda w: [part for part, _ in library.pre_tokenizer.pre_tokenize_str(w)]
+    apart = all(cut(w + m) == cut(w) + cut(m) for w in ("ab", "\u00e9\u00e0") for m in MARKS)
+    return apart and all(library.normalizer.normalize_str(c) == c.lower() for c in every)
+
+
+class WordIds:
+    """The ids of words, of which the first ``WORDS_KEPT`` stay for later slices."""
+
+    def __init__(self, path: str):
+        self.path, self.place = path, {}
+        self.flat, self.starts = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        at = np.fromiter((self.place.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+        new = np.flatnonzero(at < 0)
+        fresh = [words[i] for i in new.tolist()]
+        flat, starts = encode_words(fresh, self.path)
+        kept = len(self.place)
+        at[new] = kept + np.arange(len(new))
+        flat = np.concatenate([self.flat, flat])
+        starts = np.concatenate([self.starts, starts[1:] + self.starts[-1]])
+        room = min(len(fresh), max(0, WORDS_KEPT - kept))
+        if room:
+            self.place.update(zip(fresh[:room], range(kept, kept + room), strict=True))
+            self.starts = starts[: kept + room + 1].copy()
+            self.flat = flat[: self.starts[-1]].copy()
+        out, lengths = ragged_take(flat, starts, at)
+        return out, np.concatenate([[0], np.cumsum(lengths)])
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    return WordIds(path)
+
+
+def encode_types(types: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of distinct words one after another, and where each starts."""
+    if not folds(path):
+        return word_ids(path).encode(types.to_pylist())
+    plain = pc.match_substring_regex(types, f"^[{LETTERS}]+[{MARKS}]?$")
+    stem = pc.if_else(plain, pc.utf8_rtrim(pc.utf8_lower(types), MARKS), types)
+    last = pc.if_else(plain, pc.replace_substring_regex(types, f"^[{LETTERS}]+", ""), "")
+    coded = pa.chunked_array([stem, last]).dictionary_encode().unify_dictionaries().combine_chunks()
+    units = coded.dictionary.to_pylist()
+    flat, starts = word_ids(path).encode(units)
+    # Each word's stem, then its mark (an empty unit has no ids).
+    codes = coded.indices.to_numpy(zero_copy_only=False).reshape(2, -1).T.ravel()
+    out, lengths = ragged_take(flat, starts, codes)
+    return out, np.concatenate([[0], np.cumsum(lengths)])[::2]
+
+
 def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, and where each text starts; for vocabularies that drop white space."""
     words = split_words(texts)
-    flat, starts = encode_words(words.types.to_pylist(), path)
+    flat, starts = encode_types(words.types, path)
     out, lengths = ragged_take(flat, starts, words.codes)
     return out, np.concatenate([[0], np.cumsum(lengths)])[words.starts]
 
@@ -92,7 +155,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, length: int = LENGTH,
     """``(id_col, start, length, ids_crc32, doc_tokens)``: each document cut at multiples of ``length``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, limit=TOKENIZE_BYTES):
+        for part in text_slices(batches):
             flat, ends = encode_texts(texts_of(part), vocabulary)
             row, start, size, crc, total = [], [], [], [], []
             for i in range(part.num_rows):
@@ -107,6 +170,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, length: int = LENGTH,
             long = [pa.array(x, pa.int64()) for x in (start, size, crc, total)]
             yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row, pa.int64())), *long], names=[id_col, "start", "length", "ids_crc32", "doc_tokens"])
 
+    bound_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"{id_col} {kind}, start long, length long, ids_crc32 long, doc_tokens long"
