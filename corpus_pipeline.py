@@ -23,21 +23,21 @@ SHINGLE, NEAR_BITS = 2, 10
 CHECK = (5, 0.8)
 
 
-def _shielded(docs: DataFrame) -> DataFrame:
-    """The columns that a stage works on, and the whole row beside them in ``__row``, so that no other column can clash."""
-    return docs.select("doc_id", "text", "lang", F.struct("*").alias("__row"))
+def _rows(docs: DataFrame) -> DataFrame:
+    """Each row as one struct, so that no other column's name can clash; the stages read the text from within it."""
+    return docs.select(F.struct("*").alias("row"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose calibrated toxicity stays below 0.5."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.learn(spark, docs, labels, train=lambda c: F.crc32(c.cast("string")) % 5 != 0)
-    return toxicity.score(_shielded(docs), model, keep=("__row",)).where("predicted = 0").select("__row.*")
+    return toxicity.score(_rows(docs), model, keep=("row",), text_col="row.text").where("predicted = 0").select("row.*")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie in their language's perplexity band."""
-    return quality.apply_rules(spark, _shielded(docs), keep=["__row"]).where("kept").select("__row.*")
+    return quality.apply_rules(spark, _rows(docs), text_col="row.text", lang_col="row.lang", keep=["row"]).where("kept").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
