@@ -108,16 +108,33 @@ def release() -> None:
 
 
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in order, in slices whose ``column`` holds about ``limit`` bytes, one row at least."""
+    """The rows of ``batches`` in order, in slices whose ``column`` holds up to ``limit`` bytes, or one longer text; small batches are put together."""
+    held: list[pa.RecordBatch] = []
+    room = limit
     for batch in batches:
         if batch.num_rows == 0:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        block = (np.cumsum(sizes) - sizes) // limit
-        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            yield batch.slice(a, b - a)
-            release()
+        ends = np.cumsum(sizes)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at] - sizes[at]
+            to = max(int(np.searchsorted(ends, before + room, side="right")), at + (not held))
+            if to > at:
+                held.append(batch.slice(at, to - at))
+                room -= int(ends[to - 1] - before)
+                at = to
+            if at < batch.num_rows:
+                yield _together(held)
+                release()
+                held, room = [], limit
+    if held:
+        yield _together(held)
+        release()
+
+
+def _together(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
 def array_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:

@@ -5,19 +5,28 @@ most ``2 - 2t``. Vectors are turned by a fixed random rotation, which spreads
 every difference over all coordinates, and split into blocks of about
 ``BLOCK_DIMS`` coordinates. If all blocks of a pair were further apart than
 their proportional share of the squared distance, so would the whole be; each
-linked pair is therefore within the share of one block at least. Every block is
-range-joined under its share: a grid over the block's first coordinates, whose
-cells are as wide as the block's radius, sends a vector to its own cell and to
-the neighbours on one side. There the block distance is computed for all
-members within the radius in a further coordinate, and what is left is verified
-with the whole vectors in double precision. A pair that several blocks find is
-counted in the first of them.
-
-Equal vectors are one class from the start. Members of a cell beyond
-``CELL_ROWS`` are dealt into chunks that are compared two by two, so a task holds
-one chunk and streams the others past it, however many vectors share a cell.
-No pair is ever written: a task returns how many links each vector has, and as
-many edges as it takes to connect what is linked.
+linked pair is therefore within the share of one block at least.
+
+Candidates: of each block a vector's coordinates travel alone, rounded to 16
+bits, with the radius widened by what the rounding can change. A grid over the
+first coordinates, whose cells are as wide as the radius, sends them to their
+own cell and to the neighbours on one side; the more vectors there are, the
+more coordinates the grid has. There the block distance is computed for all
+members within the radius in a further coordinate. No pair is written: a cell
+returns as many edges as it takes to connect what is near.
+
+Verification: vectors that no block connects with another one are done. The
+members of each component of the union of candidates come together once, as
+they were given, and all their pairs are held against the threshold by cosines
+of the unrotated vectors in double precision. Again no pair is written, but how
+many links each vector has, and edges that connect what is linked.
+
+Equal vectors are one class from the start. Members of a cell or component
+beyond a fixed number are dealt into chunks that are compared two by two, so a
+task holds one chunk and streams the others past it. That makes copies in
+proportion to the chunks of one cell, so beyond ``CELL_ROWS`` vectors in a cell the
+work grows faster than the input, as it must where a block's radius covers a
+good part of the space.
 
 Results defined for odd input: vectors that are null, empty, zero or have null
 or non-finite components link with nothing; vectors of different lengths don't
@@ -30,21 +39,27 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabularium.llm.common import Scratch
 from tabularium.llm.components import components
 from tabularium.llm.simhash import Labels
 
-BLOCK_DIMS = 8
-#: Coordinates of a block that the grid uses.
-GRID_DIMS = 2
-CELL_ROWS = 4096
-VISITORS_AT_ONCE = 512
+BLOCK_DIMS = 16
+#: Coordinates of a block that the grid may use.
+GRID_DIMS = 4
+#: Members of a chunk of a cell, and of a chunk of a component.
+CELL_ROWS, COMPONENT_ROWS = 1 << 16, 4096
+#: Rows and columns of a tile of distances.
+TILE = (256, 8192)
+#: Steps of a coordinate between 0 and 1.
+STEPS = 32767
 SEED = 7
 
 
@@ -58,15 +73,9 @@ class Space:
         m = max(1, dim // BLOCK_DIMS)
         cut = [round(i * dim / m) for i in range(m + 1)]
         self.blocks = [slice(a, b) for a, b in zip(cut, cut[1:], strict=False)]
-        distance = 2 - 2 * threshold
-        #: Squared distance that each block may have; a little more, for rounding.
-        self.share = [distance * (b.stop - b.start) / dim * (1 + 1e-9) + 1e-12 for b in self.blocks]
-
-    def unit(self, raw: np.ndarray) -> np.ndarray:
-        x = raw.astype(np.float64)
-        # Scaled first: the squares of very large or small components leave the range of doubles.
-        x = x / np.abs(x).max(axis=1, keepdims=True)
-        return (x / np.linalg.norm(x, axis=1, keepdims=True)) @ self.rotation
+        #: How far apart linked vectors can be in each block: a little more for rounding, of doubles and to steps.
+        sizes = [b.stop - b.start for b in self.blocks]
+        self.radius = [np.sqrt((2 - 2 * threshold) * k / dim + 1e-9) + np.sqrt(k) / STEPS for k in sizes]
 
 
 @lru_cache(maxsize=8)
@@ -74,15 +83,31 @@ def space(dim: int, threshold: float, seed: int = SEED) -> Space:
     return Space(dim, threshold, seed)
 
 
-def _good(column: str):
+def unit(raw: np.ndarray) -> np.ndarray:
+    x = raw.astype(np.float64)
+    # Scaled first: the squares of very large or small components leave the range of doubles.
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _matrix(lists: pa.Array, dim: int) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
+def _good(column: str) -> Column:
     """Whether a vector can link at all."""
     x = F.col(column)
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     return F.coalesce((F.size(x) > 0) & ~bad & F.exists(x, lambda v: v != 0), F.lit(False))
 
 
-def cells(classes: DataFrame, threshold: float) -> DataFrame:
-    """``(no, size, vec, dim, block, cell_a, cell_b, along)``: each class once per block, with its cell there."""
+def _neighbours(dims: int) -> list[tuple[int, ...]]:
+    """Steps to the cells on one side: of each two opposite ones the later."""
+    return [step for step in product((-1, 0, 1), repeat=dims) if step > (0,) * dims]
+
+
+def cells(classes: DataFrame, threshold: float, grid_dims: int, visits: bool) -> DataFrame:
+    """``(dim, block, cell, visitor, along, no, part)``: each class once per block in its cell, with ``visits`` also in the neighbours on one side."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,194 +115,251 @@ def cells(classes: DataFrame, threshold: float) -> DataFrame:
             for dim in np.unique(dims).tolist():
                 own = batch.filter(pa.array(dims == dim))
                 where = space(dim, threshold)
-                x = where.unit(_vectors(own.column("vec"), dim))
-                for b, (block, share) in enumerate(zip(where.blocks, where.share, strict=True)):
-                    part, width = x[:, block], np.sqrt(share)
-                    grid = np.zeros((len(x), GRID_DIMS), dtype=np.int32)
-                    used = min(GRID_DIMS, part.shape[1])
-                    grid[:, :used] = np.floor(part[:, :used] / width)
-                    along = part[:, used] if part.shape[1] > used else np.zeros(len(x))
-                    yield pa.RecordBatch.from_arrays(
-                        [*(own.column(c) for c in ("no", "size", "vec", "dim")), pa.array(np.full(len(x), b, dtype=np.int32)), pa.array(grid[:, 0].copy()), pa.array(grid[:, 1].copy()), pa.array(along)],
-                        names=["no", "size", "vec", "dim", "block", "cell_a", "cell_b", "along"],
-                    )
+                x = np.rint(unit(_matrix(own.column("x"), dim)) @ where.rotation * STEPS).astype("<i2")
+                n = len(x)
+                for b, (block, radius) in enumerate(zip(where.blocks, where.radius, strict=True)):
+                    part = np.ascontiguousarray(x[:, block])
+                    used = min(grid_dims, part.shape[1])
+                    grid = np.floor(part[:, :used] / (STEPS * radius)).astype(np.int64) + (1 << 13)
+                    along = part[:, used] if part.shape[1] > used else np.zeros(n, dtype="<i2")
+                    raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(part.shape[1] * 2), n, [None, pa.py_buffer(part)]).cast(pa.binary())
+                    for step in [(0,) * used, *(_neighbours(used) if visits else [])]:
+                        cell = np.zeros(n, dtype=np.int64)
+                        for k in range(used):
+                            cell = (cell << 15) + grid[:, k] + step[k]
+                        key = [np.full(n, dim, np.int32), np.full(n, b, np.int32), cell, np.full(n, any(step)), along.astype(np.int32)]
+                        yield pa.RecordBatch.from_arrays([*map(pa.array, key), own.column("no"), raw], names=["dim", "block", "cell", "visitor", "along", "no", "part"])
+
+    return classes.select("no", "dim", "x").mapInArrow(run, "dim int, block int, cell long, visitor boolean, along int, no long, part binary")
+
+
+def chunked(rows: DataFrame, key: list[str], large: DataFrame) -> DataFrame:
+    """``rows`` with ``chunk``: members of the groups in ``large`` (key, chunks) belong to one and visit those before it; visitors go to all."""
+    if large.isEmpty():
+        return rows.withColumn("chunk", F.lit(0))
+    dealt = rows.join(large, key, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    mine = F.pmod(F.xxhash64("no"), F.col("chunks")).cast("int")
+    dealt = dealt.withColumn("mine", F.when(F.col("visitor"), F.col("chunks")).otherwise(mine))
+    last = F.when(F.col("visitor"), F.col("chunks") - 1).otherwise(F.col("mine"))
+    dealt = dealt.withColumn("chunk", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.withColumn("visitor", F.col("chunk") != F.col("mine")).select(*rows.columns, "chunk")
+
+
+def groups_of(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[bool, bool, pa.RecordBatch]]:
+    """Batches cut where the key or ``visitor`` changes: whether a group starts, whether the rows are visitors, and the rows."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in [*key, "visitor"]], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            now = keys[a, :-1].tolist()
+            yield now != last, bool(keys[a, -1]), batch.slice(a, b - a)
+            last = now
+
+
+class Home:
+    """The members of a chunk at home. Visitors pass by; what is near is connected, and counted if it is asked for."""
+
+    def __init__(self, rows: list[pa.RecordBatch]):
+        table = pa.Table.from_batches(rows).combine_chunks()
+        self.no = table.column("no").to_numpy()
+        self.load(table)
+        self.labels = Labels(len(self.no))
+        self.found: list[np.ndarray] = []
+        for a in range(0, len(self.no), TILE[0]):
+            self._pass(self.no[a : a + TILE[0]], self.rows(a, a + TILE[0]), a)
+
+    def visit(self, batch: pa.RecordBatch) -> None:
+        guests = type(self).__new__(type(self))
+        guests.load(pa.Table.from_batches([batch]))
+        no = batch.column("no").to_numpy()
+        for a in range(0, len(no), TILE[0]):
+            self._pass(no[a : a + TILE[0]], guests.rows(a, a + TILE[0]), None)
+
+    def _pass(self, no: np.ndarray, rows: tuple, at: int | None) -> None:
+        """Compare ``rows`` with the members, those after them if the rows are members from ``at`` on."""
+        host = np.full(len(no), -1)
+        low, high = self.reach(rows)
+        for c in range(low if at is None else max(low, at), high, TILE[1]):
+            d = min(c + TILE[1], high)
+            near = self.near(rows, c, d)
+            if at is not None and c < at + len(no):
+                near &= np.arange(c, d) > (at + np.arange(len(no)))[:, None]
+            self.count(no, rows, near, c, d, at)
+            if at is not None:
+                # A member is its own host.
+                new = near & (self.labels.of[c:d] != self.labels.of[at : at + len(no), None])
+                i, j = np.nonzero(new)
+                self.labels.link(i + at, j + c)
+                continue
+            known = np.where(host < 0, -1, self.labels.of[host])
+            i, j = np.nonzero(near & (self.labels.of[c:d] != known[:, None]))
+            if len(i):
+                fresh, first = np.unique(i, return_index=True)
+                host[fresh] = np.where(host[fresh] < 0, j[first] + c, host[fresh])
+                self.labels.link(host[i], j + c)
+        if at is None:
+            guests = np.flatnonzero(host >= 0)
+            self.found.append(np.stack([np.ones(len(guests), dtype=np.int64), no[guests], self.no[host[guests]]]))
+
+    def count(self, no: np.ndarray, rows: tuple, near: np.ndarray, c: int, d: int, at: int | None) -> None:
+        pass
+
+    def edges(self) -> np.ndarray:
+        below = np.flatnonzero(self.labels.of != np.arange(len(self.no)))
+        own = np.stack([np.ones(len(below), dtype=np.int64), self.no[below], self.no[self.labels.of[below]]])
+        return np.concatenate([own, *self.found], axis=1)
+
+
+class CellHome(Home):
+    """Members of a cell, sorted by a coordinate, with those of one block."""
+
+    threshold = 0.0
+
+    def load(self, table: pa.Table) -> None:
+        dim, block = table.column("dim")[0].as_py(), table.column("block")[0].as_py()
+        where = space(dim, self.threshold)
+        self.radius = where.radius[block]
+        width = where.blocks[block].stop - where.blocks[block].start
+        self.part = np.frombuffer(b"".join(table.column("part").to_pylist()), dtype="<i2").reshape(-1, width).astype(np.float32) / STEPS
+        self.norm = (self.part**2).sum(axis=1)
+        self.along = table.column("along").to_numpy() / STEPS
 
-    return classes.mapInArrow(run, "no long, size long, vec binary, dim int, block int, cell_a int, cell_b int, along double")
+    def rows(self, a: int, b: int) -> tuple:
+        return self.part[a:b], self.norm[a:b], self.along[a:b]
 
+    def reach(self, rows: tuple) -> tuple[int, int]:
+        r = self.radius + 1e-6
+        return int(np.searchsorted(self.along, rows[2][0] - r)), int(np.searchsorted(self.along, rows[2][-1] + r, side="right"))
 
-def _vectors(column: pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype="<f8").reshape(-1, dim)
+    def near(self, rows: tuple, c: int, d: int) -> np.ndarray:
+        # Single precision, with room for its rounding.
+        distance = rows[0] @ self.part[c:d].T
+        distance *= -2
+        distance += self.norm[c:d]
+        distance += rows[1][:, None]
+        return distance <= self.radius**2 + 1e-5
 
 
-class _Chunk:
-    """The members of a chunk at home, with what is found about them."""
+class ComponentHome(Home):
+    """Members of a component of candidates, with their unit vectors."""
 
-    def __init__(self, dim: int, block: int, threshold: float, no: np.ndarray, size: np.ndarray, x: np.ndarray, along: np.ndarray):
-        self.space, self.block, self.threshold = space(dim, threshold), block, threshold
-        self.no, self.size, self.x, self.along = no, size, x, along
-        self.part = np.ascontiguousarray(x[:, self.space.blocks[block]], dtype=np.float32)
-        self.norm = (self.part**2).sum(axis=1)
-        self.labels = Labels(len(no))
-        self.links = np.zeros(len(no), dtype=np.int64)
-        self.edges: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
-
-    def _near(self, x: np.ndarray, along: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (member, row of ``x``) that this block finds first and that are linked. ``along`` is sorted here and at home."""
-        share = self.space.share[self.block]
-        radius = np.sqrt(share) + 1e-6
-        part = np.ascontiguousarray(x[:, self.space.blocks[self.block]], dtype=np.float32)
-        norm = (part**2).sum(axis=1)
-        for a in range(0, len(x), VISITORS_AT_ONCE):
-            b = min(a + VISITORS_AT_ONCE, len(x))
-            low, high = np.searchsorted(self.along, along[a] - radius), np.searchsorted(self.along, along[b - 1] + radius, side="right")
-            if low == high:
-                continue
-            # Single precision finds candidates, with room for its rounding.
-            d = self.part[low:high] @ part[a:b].T
-            d *= -2
-            d += self.norm[low:high, None]
-            d += norm[None, a:b]
-            i, j = np.nonzero(d <= share + 1e-5)
-            i, j = i + low, j + a
-            for s in range(0, len(i), 1 << 16):
-                p, q = i[s : s + (1 << 16)], j[s : s + (1 << 16)]
-                u, v = self.x[p], x[q]
-                linked = np.einsum("ij,ij->i", u, v) >= self.threshold
-                first = np.ones(len(p), dtype=bool)
-                for k in range(self.block + 1):
-                    block = self.space.blocks[k]
-                    within = ((u[:, block] - v[:, block]) ** 2).sum(axis=1) <= self.space.share[k]
-                    first &= within if k == self.block else ~within
-                ok = linked & first
-                yield p[ok], q[ok]
-
-    def among(self) -> None:
-        for i, j in self._near(self.x, self.along):
-            i, j = i[i < j], j[i < j]
-            np.add.at(self.links, i, self.size[j])
-            np.add.at(self.links, j, self.size[i])
-            self.labels.link(i, j)
-
-    def visit(self, no: np.ndarray, size: np.ndarray, x: np.ndarray, along: np.ndarray) -> None:
-        for i, j in self._near(x, along):
-            if not len(i):
-                continue
-            np.add.at(self.links, i, size[j])
-            guests, place = np.unique(j, return_inverse=True)
-            links = np.bincount(place, weights=self.size[i], minlength=len(guests)).astype(np.int64)
-            self.counts.append(np.stack([no[guests], links]))
-            host = np.full(len(guests), len(self.no))
-            np.minimum.at(host, place, i)
-            self.edges.append(np.stack([no[guests], self.no[host]]))
-            self.labels.link(i, host[place])
-
-    def found(self) -> pa.RecordBatch:
-        linked, below = np.flatnonzero(self.links), np.flatnonzero(self.labels.of != np.arange(len(self.no)))
-        none = np.zeros((2, 0), dtype=np.int64)
-        counts = np.concatenate([none, np.stack([self.no[linked], self.links[linked]]), *self.counts], axis=1)
-        edges = np.concatenate([none, np.stack([self.no[below], self.no[self.labels.of[below]]]), *self.edges], axis=1)
-        kind = np.repeat([False, True], [counts.shape[1], edges.shape[1]])
-        both = np.concatenate([counts, edges], axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(both[0].copy()), pa.array(both[1].copy())], names=["edge", "a", "b"])
-
-
-def _join_cells(threshold: float):
-    """For rows sorted by cell, chunk, visitor and ``along``: hold one chunk, and let its visitors pass a batch at a time."""
+    threshold = 0.0
+
+    def load(self, table: pa.Table) -> None:
+        self.size = table.column("size").to_numpy().astype(np.float64)
+        self.x = unit(_matrix(table.column("x").combine_chunks(), table.column("dim")[0].as_py()))
+        self.links = np.zeros(len(self.x))
+
+    def rows(self, a: int, b: int) -> tuple:
+        return self.x[a:b], self.size[a:b]
+
+    def reach(self, rows: tuple) -> tuple[int, int]:
+        return 0, len(self.no)
+
+    def near(self, rows: tuple, c: int, d: int) -> np.ndarray:
+        cosine = rows[0] @ self.x[c:d].T
+        near = cosine >= self.threshold
+        # Close to the threshold the order of a sum decides: there each pair is summed by itself.
+        i, j = np.nonzero(np.abs(cosine - self.threshold) < 1e-12)
+        near[i, j] = np.einsum("ij,ij->i", rows[0][i], self.x[c + j]) >= self.threshold
+        return near
+
+    def count(self, no: np.ndarray, rows: tuple, near: np.ndarray, c: int, d: int, at: int | None) -> None:
+        self.links[c:d] += rows[1] @ near
+        mine = near @ self.size[c:d]
+        if at is not None:
+            self.links[at : at + len(no)] += mine
+        else:
+            self.found.append(np.stack([np.zeros(len(no), dtype=np.int64), no, mine.astype(np.int64)])[:, mine > 0])
+
+    def edges(self) -> np.ndarray:
+        linked = np.flatnonzero(self.links)
+        counts = np.stack([np.zeros(len(linked), dtype=np.int64), self.no[linked], self.links[linked].astype(np.int64)])
+        return np.concatenate([counts, super().edges()], axis=1)
+
+
+def compare(rows: DataFrame, key: list[str], order: list[str], kind: type[Home], threshold: float) -> DataFrame:
+    """``(edge, a, b)`` of all groups of ``rows``: edges between ``a`` and ``b``, or of ``a`` a partial count ``b``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, home, chunk = None, [], None
+        home_kind = type(kind.__name__, (kind,), {"threshold": threshold})
+        waiting: list[pa.RecordBatch] = []
+        home: Home | None = None
 
-        def settle() -> _Chunk | None:
+        def told() -> Iterator[pa.RecordBatch]:
             nonlocal home
-            if not home:
-                return None
-            no, size, x, along = (np.concatenate(c) for c in zip(*home, strict=True))
-            home = []
-            made = _Chunk(key[0], key[1], threshold, no, size, x, along)
-            made.among()
-            return made
-
-        for batch in batches:
-            if not batch.num_rows:
+            if waiting:
+                home = home_kind(waiting)
+                waiting.clear()
+            if home:
+                edge, a, b = home.edges()
+                yield pa.RecordBatch.from_arrays([pa.array(edge.astype(bool)), pa.array(a.copy()), pa.array(b.copy())], names=["edge", "a", "b"])
+            home = None
+
+        for starts, visitor, part in groups_of(batches, key):
+            if starts:
+                yield from told()
+            if not visitor:
+                waiting.append(part)
                 continue
-            cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("dim", "block", "cell_a", "cell_b", "chunk", "visitor", "no", "size", "along")}
-            keys = np.stack([cols[c].astype(np.int64) for c in ("dim", "block", "cell_a", "cell_b", "chunk")], axis=1)
-            full = np.concatenate([keys, cols["visitor"].astype(np.int64)[:, None]], axis=1)
-            cuts = [0, *(np.flatnonzero((full[1:] != full[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                now = tuple(keys[a].tolist())
-                if now != key:
-                    chunk = chunk or settle()
-                    if chunk:
-                        yield chunk.found()
-                    key, chunk = now, None
-                x = space(now[0], threshold).unit(_vectors(batch.column("vec").slice(a, b - a), now[0]))
-                part = (cols["no"][a:b], cols["size"][a:b], x, cols["along"][a:b])
-                if not cols["visitor"][a]:
-                    home.append(part)
-                    continue
-                chunk = chunk or settle()
-                if chunk:
-                    chunk.visit(*part)
-        chunk = chunk or settle()
-        if chunk:
-            yield chunk.found()
-
-    return run
-
-
-def link_classes(spark: SparkSession, classes: DataFrame, threshold: float, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """``(edge, a, b)``: for links of class ``a`` a partial count ``b``, and edges that connect what is linked."""
+            if waiting:
+                home = home_kind(waiting)
+                waiting.clear()
+            if home:
+                home.visit(part)
+        yield from told()
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(parts, *key).sortWithinPartitions(*key, "visitor", *order)
+    return dealt.mapInArrow(run, "edge boolean, a long, b long")
+
+
+def candidates(spark: SparkSession, classes: DataFrame, threshold: float, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """``(a, b)``: edges that connect all classes that some block finds near."""
     scratch = Scratch(spark, "cells")
-    placed = cells(classes, threshold)
-    at = ["dim", "block", "cell_a", "cell_b"]
-    # Coordinates lie between -1 and 1, so a length has at most (2 / width + 1) ** 2 cells per block, whatever the number of vectors.
-    sizes = scratch.write(placed.groupBy(*at).count().withColumn("chunks", F.ceil(F.col("count") / cell_rows).cast("int")).select(*at, "chunks"), "sizes")
-    mine = placed.join(sizes, at).withColumn("mine", F.pmod(F.xxhash64("no"), F.col("chunks")).cast("int")).drop("chunks")
-    # To its own chunk a vector belongs; it visits the chunks before it in its cell, and all chunks of the cells on one side.
-    sides = [(0, 0), (1, 0), (-1, 1), (0, 1), (1, 1)]
-    steps = F.inline(F.array(*(F.struct(F.lit(a).alias("da"), F.lit(b).alias("db")) for a, b in sides)))
-    sent = mine.select("*", steps).withColumn("cell_a", F.col("cell_a") + F.col("da")).withColumn("cell_b", F.col("cell_b") + F.col("db"))
-    own = (F.col("da") == 0) & (F.col("db") == 0)
-    last = F.when(own, F.col("mine")).otherwise(F.col("chunks") - 1)
-    sent = sent.join(sizes, at).withColumn("chunk", F.explode(F.sequence(F.lit(0), last))).withColumn("visitor", ~(own & (F.col("chunk") == F.col("mine"))))
-    group = [*at, "chunk"]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        sent.select(*group, "visitor", "along", "no", "size", "vec")
-        .repartition(parts, *group)
-        .sortWithinPartitions(*group, "visitor", "along", "no")
-        .mapInArrow(_join_cells(threshold), "edge boolean, a long, b long")
-    )
+    n, grid_dims = classes.count(), 1
+    while grid_dims < GRID_DIMS and n / 2.5**grid_dims > cell_rows:
+        grid_dims += 1
+    at = ["dim", "block", "cell"]
+    sizes = cells(classes, threshold, grid_dims, visits=False).groupBy(*at).count().where(F.col("count") > cell_rows)
+    large = scratch.write(sizes.select(*at, F.ceil(F.col("count") / cell_rows).cast("int").alias("chunks")), "large")
+    sent = chunked(cells(classes, threshold, grid_dims, visits=True), at, large)
+    return compare(sent, [*at, "chunk"], ["along", "no"], CellHome, threshold).select("a", "b")
+
+
+def link_classes(spark: SparkSession, classes: DataFrame, threshold: float, cell_rows: int = CELL_ROWS, component_rows: int = COMPONENT_ROWS) -> DataFrame:
+    """``(edge, a, b)``: for links of class ``a`` a partial count ``b``, and edges that connect what is linked."""
+    scratch = Scratch(spark, "candidates")
+    near = components(spark, candidates(spark, classes, threshold, cell_rows))
+    members = classes.join(near, classes["no"] == near["node"]).select(F.col("label").alias("component"), F.lit(False).alias("visitor"), "no", "size", "dim", "x")
+    members = scratch.write(members, "members")
+    sizes = members.groupBy("component").count().where(F.col("count") > component_rows)
+    large = scratch.write(sizes.select("component", F.ceil(F.col("count") / component_rows).cast("int").alias("chunks")), "large")
+    return compare(chunked(members, ["component"], large), ["component", "chunk"], ["no"], ComponentHome, threshold)
 
 
 def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``(id_col, n_links, component_id, kept)`` for every row."""
     scratch = Scratch(spark, "vectors")
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("x"))
-    good = rows.where(_good("x")).select("id", F.transform("x", lambda v: v + F.lit(0.0)).alias("x"))  # -0.0 becomes 0.0
-    grouped = good.groupBy("x").agg(F.count("*").alias("size"), F.min("id").alias("least"))
-    classes = scratch.write(grouped.select(F.monotonically_increasing_id().alias("no"), "x", "size", "least"), "classes")
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("x")
-            flat, ends = lists.flatten().to_numpy(zero_copy_only=False).astype("<f8"), np.cumsum(np.asarray(lists.value_lengths()))
-            raw = [part.tobytes() for part in np.split(flat, ends[:-1])] if batch.num_rows else []
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("no"), batch.column("size"), pa.array(raw, pa.binary()), lists.value_lengths()], names=["no", "size", "vec", "dim"]
-            )
-
-    packed = classes.select("no", "size", "x").mapInArrow(pack, "no long, size long, vec binary, dim int")
-    found = scratch.write(link_classes(spark, packed, threshold), "found")
+    kind = vectors.schema[vector_col].dataType.elementType
+    kind = kind if isinstance(kind, T.FloatType) else T.DoubleType()
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast(T.ArrayType(kind)).alias("x"))
+    good = rows.where(_good("x")).select("id", F.transform("x", lambda v: v + F.lit(0.0).cast(kind)).alias("x"))  # -0.0 becomes 0.0
+    # Equal vectors are told by 128 bits of hashes, so that vectors needn't travel to be joined.
+    key = ["key", "key2"]
+    keyed = good.select("id", "x", F.xxhash64("x").alias("key"), F.xxhash64(F.lit("x"), "x").alias("key2"))
+    grouped = keyed.groupBy(*key).agg(F.count("*").alias("size"), F.min("id").alias("least"), F.any_value("x").alias("x"))
+    classes = scratch.write(grouped.select(F.monotonically_increasing_id().alias("no"), *key, "size", "least", F.size("x").alias("dim"), "x"), "classes")
+    found = scratch.write(link_classes(spark, classes.select("no", "size", "dim", "x"), threshold), "found")
     counts = found.where(~F.col("edge")).groupBy(F.col("a").alias("no")).agg(F.sum("b").alias("links"))
     labels = components(spark, found.where("edge").select("a", "b"))
     named = classes.drop("x").join(labels, classes["no"] == labels["node"], "left").withColumn("label", F.coalesce("label", "no"))
     smallest = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = named.join(smallest, "label").join(counts, "no", "left").select("no", "size", "component_id", F.coalesce("links", F.lit(0)).alias("links"))
-    keyed = named.join(classes.select("no", "x"), "no")
-    linked = good.join(keyed, "x").select("id", (F.col("links") + F.col("size") - 1).alias("n_links"), "component_id")
+    named = named.join(smallest, "label").join(counts, "no", "left").select(*key, "component_id", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"))
+    linked = keyed.select("id", *key).join(named, key).select("id", "n_links", "component_id")
     alone = rows.where(~_good("x")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     out = linked.unionByName(alone)
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))

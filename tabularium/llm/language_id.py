@@ -7,8 +7,8 @@ them, and the language with the most wins (of equal wins, the largest sum of
 margins) is predicted. All models are linear in the counts, so a distinct word
 is scored once per batch and a text's scores are sums over its words.
 
-Fitting uses about ``per_language`` documents of each language, a documented
-bound; how often each language occurs is counted over all rows.
+Fitting uses about ``per_language`` documents of each language and about
+``FIT_ROWS`` in all, documented bounds; how often each language occurs is counted over all rows.
 
 Results defined for odd input: a null text, and one without a letter, is
 ``und`` with score 0; rows with a null label or id don't train; without any
@@ -34,6 +34,8 @@ from tabularium.llm.common import char_ngrams, ragged_take, segment_sums, split_
 ORDERS = range(1, 5)
 BUCKETS = 4096
 PER_LANGUAGE = 400
+#: Rows of all languages together; each row is 16 KB on the driver.
+FIT_ROWS = 12_000
 #: ISO 639-1 codes by language family. A code that isn't listed is a family of its own.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af fy lb yi",
@@ -172,7 +174,8 @@ def learn(spark: SparkSession, docs: DataFrame, train, id_col: str = "doc_id", t
     sizes = {r[0]: r[1] for r in rows.groupBy(label_col).count().collect()}  # one row per language
     if not sizes:
         return None
-    pairs = (F.lit(x) for name, size in sorted(sizes.items()) for x in (name, int(min(1.0, per_language / size) * (1 << 30))))
+    each = min(per_language, max(1, FIT_ROWS // len(sizes)))
+    pairs = (F.lit(x) for name, size in sorted(sizes.items()) for x in (name, int(min(1.0, each / size) * (1 << 30))))
     part = rows.where(F.pmod(F.xxhash64(F.lit("sample"), id_col), F.lit(1 << 30)) < F.create_map(*pairs)[F.col(label_col)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,10 +1,13 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates, in DataFrame functions only.
 
-A text's units are its lines, its paragraphs and the whole text. A unit is
-normalised (lower case; everything but a-z and 0-9 is a blank) and compared,
-as a set of word bigrams, with each template that its size allows: a
-coefficient of ``t`` needs sizes within a factor of ``t / (2 - t)``. A text's
-result is its best match.
+A text is normalised (lower case; everything but a-z and 0-9 is a blank). Its
+units are its lines, its paragraphs, the whole text, and windows of consecutive
+words: for each template those of the template's length that start with one
+of its bigrams, so a licence is found wherever it stands, over several
+paragraphs or within a line. A unit is compared, as a set of word bigrams, with
+each template that its size allows: a coefficient of ``t`` needs sizes within a
+factor of ``t / (2 - t)``. Windows are cut for a template only if the whole text
+has as many of its bigrams as the smallest such set. A text's result is its best match.
 
 Most texts of a corpus hold no licence at all. A match shares at least
 ``t / (2 - t)`` of the template's bigrams, so if all but fewer of a template's
@@ -27,8 +30,24 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabularium.llm.common import free_names
+
 THRESHOLD = 0.8
 
+#: Parts of the BSD licences.
+BSD_GRANT = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+BSD_CLAUSES = (
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution. "
+)
+BSD_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED '
+    "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, "
+    "INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR "
+    "PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) "
+    "ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 #: Public licence texts and notices.
 TEMPLATES: list[tuple[str, str]] = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -66,6 +85,51 @@ TEMPLATES: list[tuple[str, str]] = [
         "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
         "and/or other materials provided with the distribution.",
     ),
+    ("BSD-2-Clause", BSD_GRANT + BSD_CLAUSES + BSD_DISCLAIMER),
+    (
+        "BSD-3-Clause",
+        BSD_GRANT + BSD_CLAUSES + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+        "this software without specific prior written permission. " + BSD_DISCLAIMER,
+    ),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the "
+        "use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+        "redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote "
+        "the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. "
+        "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. "
+        "3. This notice may not be removed or altered from any source distribution.",
+    ),
+    (
+        "BSL-1.0",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this "
+        'license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to '
+        "permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire "
+        "statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in "
+        "part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by "
+        'a source language processor. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES '
+        "OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE "
+        "BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR "
+        "OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this "
+        "software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that "
+        "recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this "
+        "dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of "
+        "relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF "
+        "ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT "
+        "SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+        "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "0BSD",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND "
+        "THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE "
+        "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF "
+        "CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     (
@@ -142,48 +206,65 @@ def _words(unit: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(F.lower(unit), "[^a-z0-9]+", " ")), " ")
 
 
-def _bigrams(words: Column) -> Column:
-    pairs = F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1)))
-    return F.array_distinct(pairs)
+def _pairs(words: Column) -> Column:
+    """All word bigrams, in order."""
+    return F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1)))
+
+
+def _let(value: Column, f) -> Column:
+    """``f(value)``, with ``value`` computed once: inside a lambda an expression would be computed for each element."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def best_match(text: Column, templates: list[tuple[str, str]], threshold: float) -> Column:
-    """A struct of the best match's coefficient, licence and number of matching units, null without any."""
-    sized = [(name, bigrams(t)) for name, t in templates]
-    low = min(size_bounds(len(g), threshold)[0] for _, g in sized)
-    high = max(size_bounds(len(g), threshold)[1] for _, g in sized)
+    """A struct of the best match's coefficient, licence and number of matching licences, null without any."""
+    sized = [(name, bigrams(t), len(normal_words(t)) - 1) for name, t in templates]
+    low = min(size_bounds(len(g), threshold)[0] for _, g, _ in sized)
+    high = max(size_bounds(len(g), threshold)[1] for _, g, _ in sized)
     table = F.array(
         *(
             F.struct(
                 F.lit(name).alias("name"),
                 F.lit(len(g)).alias("n"),
+                F.lit(width).alias("width"),
                 F.lit(size_bounds(len(g), threshold)[0]).alias("low"),
                 F.lit(size_bounds(len(g), threshold)[1]).alias("high"),
                 F.array(*map(F.lit, g)).alias("grams"),
             )
-            for name, g in sized
+            for name, g, width in sized
         )
     )
+
+    def match(g: Column, t: Column) -> Column:
+        dice = F.lit(2.0) * F.size(F.array_intersect(g, t["grams"])) / (F.size(g) + t["n"])
+        return F.struct((-dice).alias("dice"), t["name"].alias("name"))
+
+    def compare(g: Column) -> Column:
+        return F.transform(F.filter(table, lambda t: F.size(g).between(t["low"], t["high"])), lambda t: match(g, t))
+
+    def windows(pairs: Column, t: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(pairs), F.lit(1))), lambda p: F.array_contains(t["grams"], F.get(pairs, p - 1)))
+        return F.transform(starts, lambda p: _let(F.array_distinct(F.slice(pairs, p, t["width"])), lambda g: match(g, t)))
+
+    def within(pairs: Column) -> Column:
+        may = F.filter(table, lambda t: F.size(F.array_intersect(pairs, t["grams"])) >= t["low"])
+        return F.flatten(F.transform(may, lambda t: windows(pairs, t)))
+
     units = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, "\n[ \t\r]*\n"), F.array(text)))
     words = F.transform(units, _words)
     # A set of bigrams is no larger than the number of words, so units too short or too long for all templates go first.
-    grams = F.transform(F.filter(words, lambda w: F.size(w) > low), _bigrams)
+    grams = F.transform(F.filter(words, lambda w: F.size(w) > low), lambda w: F.array_distinct(_pairs(w)))
     grams = F.filter(grams, lambda g: F.size(g).between(low, high))
-
-    def compare(g: Column) -> Column:
-        fits = F.filter(table, lambda t: F.size(g).between(t["low"], t["high"]))
-        dice = lambda t: F.lit(2.0) * F.size(F.array_intersect(g, t["grams"])) / (F.size(g) + t["n"])
-        return F.filter(F.transform(fits, lambda t: F.struct((-dice(t)).alias("dice"), t["name"].alias("name"))), lambda m: m["dice"] <= -threshold)
-
-    per_unit = F.filter(F.transform(grams, compare), lambda m: F.size(m) > 0)
-    best = F.array_min(F.flatten(per_unit))
-    return F.when(F.size(per_unit) > 0, F.struct((-best["dice"]).alias("dice"), best["name"].alias("license"), F.size(per_unit).alias("matches")))
+    every = F.concat(F.flatten(F.transform(grams, compare)), _let(_let(_words(text), _pairs), within))
+    found = F.filter(every, lambda m: m["dice"] <= -threshold)
+    best = lambda ms: F.struct((-F.array_min(ms)["dice"]).alias("dice"), F.array_min(ms)["name"].alias("license"), F.size(F.array_distinct(F.transform(ms, lambda m: m["name"]))).alias("matches"))
+    return _let(found, lambda ms: F.when(F.size(ms) > 0, best(ms)))
 
 
 def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """``keep`` (all other columns by default), ``license``, ``dice`` and ``n_matches`` for every row.
 
-    ``n_matches`` counts the different units (lines, paragraphs, whole text) that match a template.
+    ``n_matches`` counts the different licences that some unit matches.
     """
     kept = keep if keep is not None else [c for c in docs.columns if c != text_col]
     lowered = F.lower(F.col(text_col))
@@ -191,31 +272,38 @@ def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None,
     for word in anchors(templates, threshold):
         may = may | (F.rlike(lowered, F.lit(word.replace(" ", "[^a-z0-9]+"))) if " " in word else F.contains(lowered, F.lit(word)))
     found = F.when(may, best_match(F.col(text_col), templates, threshold))
-    rows = docs.select(*(F.col(c) for c in kept), found.alias("__found"))
+    (name,) = free_names(kept, "found")
+    rows = docs.select(*(F.col(c) for c in kept), found.alias(name))
     return rows.select(
         *kept,
-        F.col("__found.license").alias("license"),
-        F.coalesce("__found.dice", F.lit(0.0)).alias("dice"),
-        F.coalesce(F.col("__found.matches"), F.lit(0)).cast("long").alias("n_matches"),
+        F.col(f"{name}.license").alias("license"),
+        F.coalesce(f"{name}.dice", F.lit(0.0)).alias("dice"),
+        F.coalesce(F.col(f"{name}.matches"), F.lit(0)).cast("long").alias("n_matches"),
     )
 
 
 def oracle_sql(templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> str:
     """The same result in DuckDB: every unit against every template, without size bounds or anchor words."""
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
-    rows = ", ".join(f"({quoted(name)}, [{', '.join(map(quoted, bigrams(t)))}])" for name, t in templates)
+    rows = ", ".join(f"({k}, {quoted(name)}, {len(normal_words(t)) - 1}, [{', '.join(map(quoted, bigrams(t)))}])" for k, (name, t) in enumerate(templates))
+    plain = lambda s: f"string_split(trim(regexp_replace(lower({s}), '[^a-z0-9]+', ' ', 'g')), ' ')"
+    pairs = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
     return f"""
-WITH template(name, grams) AS (VALUES {rows}),
+WITH template(t, name, width, grams) AS (VALUES {rows}),
 doc AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
 unit AS (
   SELECT DISTINCT r, u FROM (
     SELECT r, unnest(list_concat(string_split(text, chr(10)), string_split_regex(text, '\\n[ \\t\\r]*\\n'), [text])) AS u FROM doc WHERE text IS NOT NULL)),
-word AS (SELECT r, u, string_split(trim(regexp_replace(lower(u), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM unit),
-gram AS (SELECT r, u, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM word WHERE len(w) > 1),
+gram AS (SELECT r, list_distinct({pairs}) AS g FROM (SELECT r, {plain('u')} AS w FROM unit) WHERE len(w) > 1),
+pair AS (SELECT r, {pairs} AS p FROM (SELECT r, {plain('text')} AS w FROM doc WHERE text IS NOT NULL) WHERE len(w) > 1),
+place AS (SELECT r, unnest(p) AS gram, unnest(range(1, len(p) + 1)) AS i FROM pair),
+start AS (SELECT DISTINCT r, t, i FROM place JOIN (SELECT t, unnest(grams) AS gram FROM template) USING (gram)),
+wide AS (SELECT r, name, grams, list_distinct(p[i : i + width - 1]) AS g FROM start JOIN template USING (t) JOIN pair USING (r)),
+pot AS (SELECT r, name, grams, g FROM gram, template UNION ALL FROM wide),
 hit AS (
-  SELECT r, u, name, 2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
-  FROM gram, template WHERE 2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) >= {threshold}),
-best AS (SELECT r, max(dice) AS dice, count(DISTINCT list_sort(list_distinct(g))) AS n FROM hit JOIN gram USING (r, u) GROUP BY r),
+  SELECT r, name, 2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
+  FROM pot WHERE 2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) >= {threshold}),
+best AS (SELECT r, max(dice) AS dice, count(DISTINCT name) AS n FROM hit GROUP BY r),
 name AS (SELECT r, min(name) AS license FROM hit JOIN best USING (r) WHERE hit.dice = best.dice GROUP BY r)
 SELECT doc_id, license, coalesce(dice, 0.0) AS dice, coalesce(n, 0)::BIGINT AS n_matches
 FROM doc LEFT JOIN best USING (r) LEFT JOIN name USING (r)

@@ -31,7 +31,8 @@ them link if they have that share of their shingles in common (Jaccard), of
 the different ones or of all with their repeats. Documents with the same
 shingles as often are one class. A class that hangs together with another already
 is not compared with it again, so a component of thousands of near copies takes
-about as many comparisons as it has members.
+about as many comparisons as it has members. Shingles that members of a
+component have in common are held as bits, unless they are too many.
 
 Results defined for odd input: a null text is read as empty; a text without
 words has fingerprint zero and links like any other (held against a
@@ -55,7 +56,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabularium.llm.common import SLICE_BYTES, Scratch, free_names, release, text_slices, texts_of
+from tabularium.llm.common import SLICE_BYTES, Scratch, free_names, mix64, release, text_slices, texts_of
 from tabularium.llm.components import components
 
 #: Fixed by the definition of the fingerprint: the seed of XXH64.
@@ -394,6 +395,47 @@ def shares(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], s
     return bool(common >= share * (a[1].sum() + b[1].sum() - common) - 1e-9)
 
 
+class CommonBits:
+    """Which of the shingles that two or more texts of a component have each text has, as bits: those of the different ones, then those of repeats."""
+
+    @staticmethod
+    def of(bags: HeldBags) -> CommonBits | None:
+        """None where the bits would take more than ``BAGS_HELD`` bytes."""
+        if bags.file or bags.bytes > BAGS_HELD // 4:
+            return None
+        keys, place = [], []
+        for i in range(len(bags.bags)):
+            held = np.frombuffer(bags.bags[i], dtype="<u8")
+            # The second occurrence of a shingle is an element of its own, and so on: a bag is a set then.
+            first = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]])) if len(held) else np.zeros(0, dtype=np.int64)
+            nth = np.arange(len(held)) - np.repeat(first, np.diff([*first, len(held)]))
+            keys.append(np.where(nth == 0, held & ~np.uint64(1), mix64(held + nth.astype(np.uint64)) | np.uint64(1)))
+            place.append(np.full(len(held), i))
+        every, column, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        shared = n >= 2
+        repeat = (every & np.uint64(1)).astype(bool)
+        parts = []
+        for own in (shared & ~repeat, shared & repeat):
+            number = np.cumsum(own) - 1
+            width = -(-int(own.sum()) // 64) * 64
+            if len(bags.bags) * width // 8 > BAGS_HELD // 2:
+                return None
+            rows, owner = own[column], np.concatenate(place)
+            bits = np.zeros((len(bags.bags), width // 64), dtype=np.uint64)
+            cell = number[column[rows]]
+            np.bitwise_or.at(bits, (owner[rows], cell // 64), np.uint64(1) << (cell % 64).astype(np.uint64))
+            parts.append(bits)
+        return CommonBits(*parts)
+
+    def __init__(self, different: np.ndarray, repeats: np.ndarray):
+        self.different, self.repeats = different, repeats
+
+    def common(self, k: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many different shingles ``k`` has in common with others, and how many with their repeats."""
+        both = [np.bitwise_count(bits[others] & bits[k]).sum(axis=1, dtype=np.int64) for bits in (self.different, self.repeats)]
+        return both[0], both[0] + both[1]
+
+
 def exact_links(codes: np.ndarray, digests: np.ndarray, bags: HeldBags, max_bits: int, share: float) -> np.ndarray:
     """Labels of the components of texts that differ in at most ``max_bits`` bits and share ``share`` of their shingles, or all of them."""
     n = len(codes)
@@ -403,11 +445,20 @@ def exact_links(codes: np.ndarray, digests: np.ndarray, bags: HeldBags, max_bits
     same = np.flatnonzero(digests[order][1:] == digests[order][:-1])
     labels.link(order[same], order[same + 1])
     different, total = np.array(bags.different), np.array(bags.total)
+    bits = CommonBits.of(bags) if n > 2 else None
     # Bags share so much only if neither is smaller than that part of the other.
     alike = lambda size, k: np.minimum(size[:k], size[k]) >= share * np.maximum(size[:k], size[k]) - 1e-9
     for k in range(1, n):
         may = (np.bitwise_count(codes[:k] ^ codes[k]) <= max_bits) & (labels.of[:k] != labels.of[k]) & (alike(different, k) | alike(total, k))
         near, own = np.flatnonzero(may), None
+        while bits and len(near):
+            # The latest first, some at a time: most are linked with each other already.
+            part, near = near[-64:], near[:-64]
+            enough = lambda both, size: both >= share * (size[part] + size[k] - both) - 1e-9  # noqa: B023, E731
+            sets, repeated = bits.common(k, part)
+            hit = part[enough(sets, different) | enough(repeated, total)]
+            labels.link(np.full(len(hit), k), hit)
+            near = near[labels.of[near] != labels.of[k]]
         while len(near):
             own = bags.get(k) if own is None else own
             j, near = near[-1], near[:-1]

@@ -3,8 +3,9 @@
 An archive starts with a skippable frame that holds the dictionary, itself a
 Zstandard frame; after it each record is one frame, so a record can be read by
 its offset alone. The reader loads the dictionary from the leading frame, finds
-each frame's end from its block headers, decodes one frame at a time to the
-size that the frame states, and validates it: magic numbers, the content
+each frame's end from its block headers, decodes one frame at a time, in pieces
+and no further than a record can be long (``RECORD_BYTES``), holds the result
+against the size that the frame states, and validates it: magic numbers, the content
 checksum, the WARC version line, mandatory fields, ``Content-Length`` against
 the block and the closing blank lines, the payload digest, and, in HTTP
 responses, their own length. A frame that can't be decoded or a record that
@@ -51,6 +52,8 @@ MANDATORY = ("warc-type", "warc-record-id", "warc-date", "content-length")
 ARCHIVE_BYTES = 8 << 20
 #: A dictionary is trained on an archive's first records, of so many bytes at most.
 DICTIONARY_BYTES, TRAINING_BYTES = 32 << 10, 1 << 20
+#: The largest record that is decoded, and how much larger than its frame it may be.
+RECORD_BYTES, LARGEST_RATIO = 1 << 30, 50_000
 LEVEL = 3
 DATE = "2020-01-01T00:00:00Z"
 RECORD_SCHEMA = (
@@ -111,6 +114,23 @@ def frame_end(data: memoryview, at: int) -> tuple[int, int, bool]:
     return end, -1 if size >= 1 << 62 else size, False
 
 
+def decoded(codec: zstandard.ZstdDecompressor, frame: memoryview, size: int) -> bytes:
+    """A frame's content, decoded piece by piece so that a wrong stated size (-1: none) takes no memory."""
+    most = min(RECORD_BYTES, LARGEST_RATIO * len(frame) + (1 << 20))
+    if size > most:
+        raise ValueError("the frame states a size that no record has")
+    parts, total = [], 0
+    with codec.stream_reader(frame, read_size=1 << 17) as reader:
+        while piece := reader.read(1 << 20):
+            parts.append(piece)
+            total += len(piece)
+            if total > most:
+                raise ValueError("the frame holds more than any record")
+    if 0 <= size != total:
+        raise ValueError("the frame holds another size than it states")
+    return b"".join(parts)
+
+
 def http_response(payload: bytes, length: int) -> bytes:
     return b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % length + payload
 
@@ -210,11 +230,7 @@ def read_records(data: bytes) -> Iterator[dict]:
         if not skip:
             row = {"offset": at, "frame_bytes": end - at}
             try:
-                # A frame without a stated size is decoded piece by piece.
-                raw = codec.decompress(view[at:end]) if size >= 0 else codec.decompressobj().decompress(view[at:end])
-                if 0 <= size != len(raw):
-                    raise ValueError("the frame holds another size than it states")
-                row |= parse_record(raw)
+                row |= parse_record(decoded(codec, view[at:end], size))
             except (ValueError, zstandard.ZstdError) as e:
                 row["error"] = str(e)
             yield row

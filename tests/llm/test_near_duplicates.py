@@ -88,9 +88,9 @@ def edited(words: list[str], at: list[int]) -> str:
     return " ".join(f"{w}x{k}" if k in at else w for k, w in enumerate(words))
 
 
-@pytest.mark.parametrize("split_over", [10**6, 5])
-def test_links_hold_against_the_shingles(spark, docs, texts, split_over, monkeypatch):
-    monkeypatch.setattr(simhash, "BAGS_HELD", 3000)
+@pytest.mark.parametrize(("split_over", "held"), [(10**6, 3000), (5, 64 << 20)])
+def test_links_hold_against_the_shingles(spark, docs, texts, split_over, held, monkeypatch):
+    monkeypatch.setattr(simhash, "BAGS_HELD", held)
     rng = np.random.default_rng(3)
     more = []
     for k in range(12):
@@ -120,12 +120,34 @@ def test_comparisons_grow_with_the_members_of_a_component(monkeypatch):
     for k in range(n):
         sets.add(np.sort(np.append(base, np.uint64(2**63 + k))).tobytes())
     seen = []
+    monkeypatch.setattr(simhash.CommonBits, "of", staticmethod(lambda bags: None))
     monkeypatch.setattr(simhash.HeldBags, "get", lambda self, i, f=simhash.HeldBags.get: seen.append(i) or f(self, i))
     label = simhash.exact_links(np.zeros(n, dtype=np.uint64), np.arange(n), sets, 8, 0.8)
     assert set(label.tolist()) == {0}
     assert len(seen) <= 2 * n
 
 
+def test_common_shingles_as_bits(monkeypatch):
+    """Held as bits or compared one by one, shingles with their repeats link the same texts."""
+    rng = np.random.default_rng(8)
+    bags, codes, digests = simhash.HeldBags(), [], []
+    for _ in range(150):
+        words = [f"w{x}" for x in rng.integers(0, 6, 60)] + [f"v{x}" for x in range(80)]
+        for at in rng.integers(0, 140, rng.integers(0, 6)):
+            words[at] = f"e{rng.integers(0, 9)}"
+        words = " ".join(words).encode().split()
+        digest, held = simhash.shingle_bag(words, 2)
+        bags.add(held)
+        digests.append(digest)
+        codes.append(simhash.fingerprint(words, 2))
+    given = np.array(codes, dtype=np.uint64), np.array(digests, dtype=np.uint64).view(np.int64), bags, 12, 0.8
+    assert simhash.CommonBits.of(bags) is not None
+    fast = simhash.exact_links(*given)
+    monkeypatch.setattr(simhash.CommonBits, "of", staticmethod(lambda bags: None))
+    assert (fast == simhash.exact_links(*given)).all()
+    assert 1 < len(set(fast.tolist())) < 150
+
+
 def test_keep_one_keeps_one_of_each_group(spark, docs, none):
     out = simhash.keep_one(spark, docs, shingle=3, max_bits=2)
     assert out.columns == docs.columns
@@ -177,7 +199,7 @@ def links(vectors, threshold):
 
 @pytest.mark.parametrize("cell_rows", [4096, 7])
 def test_embeddings(spark, sf, cell_rows, monkeypatch):
-    monkeypatch.setattr(embedding_dedup, "link_classes", lambda s, c, t, f=embedding_dedup.link_classes: f(s, c, t, cell_rows))
+    monkeypatch.setattr(embedding_dedup, "link_classes", lambda s, c, t, f=embedding_dedup.link_classes: f(s, c, t, cell_rows, cell_rows))
     own = [(r.vec_id, list(map(float, r.embedding))) for r in spark.read.parquet(f"{sf}/embeddings.parquet").limit(150).collect()]
     rng = np.random.default_rng(2)
     base = rng.standard_normal(64)

@@ -170,6 +170,24 @@ def test_language_of_odd_rows(spark, docs, texts, none):
     assert language_id.predict(none, model).count() == 0
 
 
+def test_scores_are_counts_times_weights(spark, sf, docs, texts):
+    """What predicts, sums over distinct words, equals each text's own counts times the weights, and the query's rows follow from it."""
+    own = spark.read.parquet(f"{sf}/documents.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language_id.learn(spark, own, ~held)
+    some = pa.array([t or "" for _, t in texts], pa.string())
+    plain = language_id.counts(some).astype(np.float64) @ model.weights + model.bias
+    assert np.abs(language_id.linear_scores(some, model) - plain).max() < 1e-3
+    number, score = language_id.decide(plain, model)
+    clear = {}
+    for (i, t), k, p, z in zip(texts, number, score, plain):
+        if i is not None and t and any(c.isalpha() for c in t) and np.sort(np.abs(z[len(model.families) :])).min(initial=1) > 1e-2:
+            clear.setdefault(i, (model.languages[k], p))
+    got = {r.doc_id: r for r in language_id.predict(docs, model).collect() if r.doc_id in clear}
+    assert len(got) > 100
+    assert all(got[i].lang_pred == lang and got[i].score == pytest.approx(p, abs=0.02) for i, (lang, p) in clear.items())
+
+
 def test_families_come_first_and_pairs_decide_within():
     rng = np.random.default_rng(0)
     centres = {"en": 0, "de": 1, "nl": 2, "fr": 10, "es": 11, "fi": 20}
@@ -265,33 +283,75 @@ def test_toxicity_features():
     assert x["obfuscated"][0] > 0 and x["shouted_words"][0] > 0
 
 
+def plain_features(text, lexicon):
+    """The features of one text, word by word."""
+    person, back = set(toxicity.PRONOUNS.split()), str.maketrans(toxicity.LEET_FROM, toxicity.LEET_TO)
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    weights, persons = [], []
+    for w in words:
+        plain = re.sub(r"^[^\w]+|[^\w]+$", "", w.lower().replace("_", " ")).strip()
+        clear = "".join(c for c in w.lower().translate(back) if c.isalpha()) if any(c.isalpha() for c in w) else plain
+        keys = ([clear] if len(clear) > 1 else []) + [clear[:k] + "*" for k in toxicity.STEMS if len(clear) >= k]
+        weights.append(max([0.0, *(lexicon.get(k, 0.0) for k in keys)]))
+        persons.append(plain in person)
+    n, hits = max(1, len(words)), [x > 0 for x in weights]
+    near = sum(h and any(persons[max(0, i - toxicity.NEAR) : i + toxicity.NEAR + 1]) for i, h in enumerate(hits))
+    letters = sum(c.isalpha() for c in text)
+    capitals = sum(c.isupper() for c in text)
+    return {
+        "weighted_density": sum(weights) / n, "entry_density": sum(hits) / n, "largest_weight": max([0.0, *weights]), "near_person": near / n, "person_density": sum(persons) / n,
+        "capital_share": capitals / max(1, letters), "exclamations": text.count("!") / n, "log_words": math.log1p(len(words)),
+    }
+
+
+def test_features_of_documents_word_by_word(spark, sf):
+    rows = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").where("text is not null and length(text) < 6000").orderBy("doc_id").limit(60).collect()]
+    rows += ["YOU st.u.p.i.d f00l, (you) are!! 12 34 x", "tu es un fou", "word " * 30 + "you fool"]
+    lexicon = {"fool": 2.0, "stup*": 1.5, "the": 0.5, "ting*": 0.25, "fou": 1.0}
+    got = dict(zip(toxicity.FEATURES, toxicity.text_features(pa.array(rows), lexicon).T, strict=True))
+    want = [plain_features(t, lexicon) for t in rows]
+    for name in want[0]:
+        assert got[name].tolist() == pytest.approx([w[name] for w in want], abs=1e-9), name
+
+
 # --- licences ---
 
 
 def plain_scan(text):
     units = {u for t in [text or ""] for u in (*t.split("\n"), *re.split(r"\n[ \t\r]*\n", t), t)}
-    best, matching = (0.0, None), set()
-    for u in units:
-        g = frozenset(license_scan.bigrams(u))
-        for name, template in license_scan.TEMPLATES:
-            h = set(license_scan.bigrams(template))
+    words = license_scan.normal_words(text or "")
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    best, names = (0.0, None), set()
+    for name, template in license_scan.TEMPLATES:
+        h, width = set(license_scan.bigrams(template)), len(license_scan.normal_words(template)) - 1
+        sets = [set(license_scan.bigrams(u)) for u in units] + [set(pairs[i : i + width]) for i, p in enumerate(pairs) if p in h]
+        for g in sets:
             dice = 2 * len(g & h) / (len(g) + len(h)) if g else 0.0
             if dice >= license_scan.THRESHOLD:
-                matching.add(u)
-                if (-dice, name) < (-best[0], best[1] or ""):
-                    best = (dice, name)
-    return best[1], best[0], matching
+                names.add(name)
+                best = min(best, (-dice, name), key=lambda x: (x[0], x[1] or ""))
+    return best[1], -best[0] if best[1] else 0.0, len(names)
 
 
 def test_licences(spark, docs, texts):
     own = [(20_000 + k, f"Intro line.\n{t.upper()}\n\nrest of {k}", None) for k, (_, t) in enumerate(license_scan.TEMPLATES)]
     near = [(30_000, "Released under the MIT Licence now.", None), (30_001, "All rights reserved", None), (30_002, "all  RIGHTS-reserved... once", None), (30_003, "MIT License", None)]
-    rows = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(own + near, "doc_id long, text string, lang string"))
+    mit = next(t for name, t in license_scan.TEMPLATES if name == "MIT" and len(t) > 500)
+    cut = re.sub(r"(conditions:|Software\.) ", r"\1\n\n", mit)
+    lines = re.sub(r"((?:\S+ ){9})", r"\1\n", mit)
+    prose = "one of the other words that a page can hold before and after its licence " * 9
+    inside = [
+        (31_000, f"{prose}\n\n{cut}\n\n{prose}", None), (31_001, f"{prose}\n{lines}\n{prose}", None), (31_002, f"{prose} {mit} {prose}", None),
+        (31_003, f"{prose} Licensed under CC BY 4.0. {prose}", None), (31_004, f"{prose} {mit[: len(mit) // 2]} {prose}", None),
+    ]
+    assert cut.count("\n\n") == 2 and lines.count("\n") > 10
+    rows = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(own + near + inside, "doc_id long, text string, lang string"))
     out = license_scan.scan(rows.withColumn("license", F.lit("clash")), keep=["doc_id"]).collect()
-    want = [(i, *plain_scan(t)[:2]) for i, t in [*texts, *((i, t) for i, t, _ in own + near)]]
-    assert Counter((r.doc_id, r.license, round(r.dice, 9)) for r in out) == Counter((i, name, round(d, 9)) for i, name, d in want)
+    every = [*texts, *((i, t) for i, t, _ in own + near + inside)]
+    assert Counter((r.doc_id, r.license, round(r.dice, 9), r.n_matches) for r in out) == Counter((i, name, round(d, 9), n) for i, name, d, n in ((i, *plain_scan(t)) for i, t in every))
     found = {r.doc_id: r.license for r in out}
     assert [found[20_000 + k] for k in range(len(license_scan.TEMPLATES))] == [name for name, _ in license_scan.TEMPLATES]
+    assert [found[31_000 + k] for k in range(5)] == ["MIT", "MIT", "MIT", "CC-BY-4.0", None]
 
 
 def test_anchors_lose_no_match():

@@ -93,6 +93,22 @@ def test_a_damaged_record_is_reported_and_reading_goes_on(change, error):
     assert error in rows[0]["error"] and rows[1].get("error") is None and rows[1]["payload"] == b"payload"
 
 
+def test_a_frame_that_states_a_huge_size_is_an_error_row():
+    good = whole()
+    raw = zstandard.ZstdDecompressor().decompress(good)
+    # A frame header with eight bytes of size, which say 2**50, and one raw block.
+    huge = b"\x28\xb5\x2f\xfd\xc0\x58" + (1 << 50).to_bytes(8, "little") + (len(raw) << 3 | 1).to_bytes(3, "little") + raw
+    rows = list(warc.read_records(huge + good))
+    assert "size" in rows[0]["error"] and rows[1].get("error") is None
+
+
+def test_a_very_long_record_is_read_whole():
+    p = b"0" * 40_000_000
+    raw = warc.record("response", "<urn:page:1>", "u", p, len(p), hashlib.sha1(p).hexdigest(), None)
+    rows = list(warc.read_records(zstandard.ZstdCompressor(write_checksum=True).compress(raw)))
+    assert rows[0].get("error") is None and rows[0]["payload"] == p
+
+
 def test_damaged_frames():
     good = whole()
     flipped = bytearray(good)
