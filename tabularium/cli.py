@@ -23,7 +23,7 @@ def main(argv: list[str] | None = None) -> None:
     docs = pages.groupBy("doc_id").agg(F.array_join(F.transform(listed, lambda p: p["html"]), "\n").alias("html"))
     preferred = files.preferred_fields(spark, args.fields) if args.fields else None
     result = pipeline.run(docs, preferred)
-    for name in ("final", "groups", "ranking"):
+    for name in ("final", "groups", "ranking", "joins"):
         getattr(result, name).write.mode("overwrite").parquet(f"{args.output}/{name}")
 
 

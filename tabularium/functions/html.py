@@ -177,10 +177,10 @@ def pairs_of(html: str) -> dict[str, str]:
     return out
 
 
-def lines_of(html: str) -> str:
+def lines_of(root: Node) -> str:
     """The text with block elements in lines of their own, before clean-up."""
     out: list[str] = []
-    stack: list[tuple] = [(iter(tree(html).children), "")]
+    stack: list[tuple] = [(iter(root.children), "")]
     while stack:
         for child in stack[-1][0]:
             if isinstance(child, str):
@@ -208,7 +208,14 @@ def _mapped(f, schema: T.DataType):
 _pairs = _mapped(pairs_of, T.MapType(T.StringType(), T.StringType()))
 _items = _mapped(lambda h: [tidy(li.text()) for li in tree(h).each("li")], T.ArrayType(T.StringType()))
 _text = _mapped(lambda h: tidy(tree(h).text()), T.StringType())
-_lines = _mapped(lines_of, T.StringType())
+_lines = _mapped(lambda h: lines_of(tree(h)), T.StringType())
+
+
+@F.pandas_udf(T.StructType([T.StructField("lines", T.StringType()), T.StructField("line", T.StringType())]))
+def _both(html: pd.Series) -> pd.DataFrame:
+    parsed = html.map(tree, na_action="ignore")
+    get = lambda f: parsed.map(f, na_action="ignore").astype(object)
+    return pd.DataFrame({"lines": get(lines_of), "line": get(lambda t: tidy(t.text()))})
 
 
 TABLE = T.StructType([T.StructField("headers", T.ArrayType(T.StringType())), T.StructField("rows", T.ArrayType(T.ArrayType(T.StringType())))])
@@ -241,7 +248,17 @@ def strip_tags(html):
 
 def plain_text(html):
     """The text in lines: blanks collapsed, no blanks around line ends, one empty line at most."""
-    out = F.regexp_replace(_lines(html), "[ \t]+", " ")
+    return tidy_lines(_lines(html))
+
+
+def both_texts(html):
+    """A struct of the text in lines, before ``tidy_lines``, and of ``strip_tags``, from one parse."""
+    return _both(html)
+
+
+def tidy_lines(lines):
+    """Blanks collapsed, no blanks around line ends, one empty line at most."""
+    out = F.regexp_replace(lines, "[ \t]+", " ")
     out = F.regexp_replace(F.regexp_replace(out, " ?\n ?", "\n"), "\n{3,}", "\n\n")
     return strip(out)
 

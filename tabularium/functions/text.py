@@ -92,9 +92,9 @@ def fill_template(record: Column, template: str) -> Column:
 
 
 def clean_commas(s: Column) -> Column:
-    out = F.regexp_replace(s, rf"[{SPACE}]*,[{SPACE}]*,+", ", ")
-    out = F.regexp_replace(out, rf"^[{SPACE}]*[,{SPACE}]+|[,{SPACE}]+$", "")
-    return tidy(out)
+    """Tidied, without commas at either end, and neighbouring commas as one comma and a blank."""
+    single = F.regexp_replace(tidy(s), " ?, ?,+ ?", ", ")
+    return F.regexp_replace(single, "^[ ,]+|[ ,]+$", "")
 
 
 def fill_templates(record: Column, template: Column) -> Column:
@@ -113,28 +113,37 @@ def strip_fences(s: Column) -> Column:
 
 
 def defines_extract(code: Column) -> Column:
-    """Whether a program defines ``extract`` in any common form."""
-    bare = F.regexp_replace(code, r"(?m)^\s*export\s+(?:default\s+)?", "")
-    return F.rlike(bare, F.lit(r"\b(?:function\s+extract\s*\(|(?:const|let|var)\s+extract\s*=)"))
-
-
-#: What an extraction rule may not contain, and the reason that is given.
-FORBIDDEN = {
-    r"\beval\s*\(": "eval",
-    r"\bFunction\s*\(": "Function",
-    r"\.\s*constructor\b": "constructor",
-    r"__proto__": "prototype",
-    r"\brequire\s*\(": "require",
-    r"\bimport\b": "import",
-    r"\bprocess\b": "process",
-    r"\bglobalThis\b": "globalThis",
-    r"\bfetch\s*\(": "fetch",
-    r"\bsetTimeout\b": "timer",
-    r"\bsetInterval\b": "timer",
-    r"\bWebAssembly\b": "WebAssembly",
-}
+    """Whether a program declares ``extract``: as a function, or as a variable that gets a value at once."""
+    blank = f"[{SPACE}]"
+    forms = (rf"\bfunction{blank}+extract{blank}*\(", rf"\b(?:let|const|var){blank}+extract{blank}*=")
+    return F.rlike(code, F.lit(forms[0])) | F.rlike(code, F.lit(forms[1]))
+
+
+#: What a program may not contain, as a pattern and the name that is reported, in the order of the search.
+FORBIDDEN = [
+    (r"\beval\s*\(", "eval()"),
+    (r"\bnew\s+Function\b", "new Function"),
+    (r"\bFunction\s*\(", "Function()"),
+    (r"\bimport\s*\(", "dynamic import()"),
+    (r"\brequire\s*\(", "require()"),
+    (r"\bprocess\b", "process"),
+    (r"\bglobalThis\b", "globalThis"),
+    (r"\bfetch\s*\(", "fetch()"),
+    (r"\bXMLHttpRequest\b", "XMLHttpRequest"),
+    (r"\bchild_process\b", "child_process"),
+    (r"\b__proto__\b", "__proto__"),
+    (r"\.constructor\b", ".constructor"),
+]
 
 
 def forbidden_reason(code: Column) -> Column:
-    """The first reason why a program is refused, null where there is none."""
-    return F.coalesce(*(F.when(F.rlike(code, F.lit(pattern)), F.lit(reason)) for pattern, reason in FORBIDDEN.items()))
+    """Why a program is refused: the first of ``FORBIDDEN`` that it contains, where, and 20 characters around it; null where there is none."""
+
+    def told(pattern: str, name: str) -> Column:
+        at = F.regexp_instr(code, F.lit(pattern)) - 1
+        begin = F.greatest(at - 20, F.lit(0))
+        around = F.substring(code, begin + 1, at - begin + F.length(F.regexp_extract(code, pattern, 0)) + 20)
+        around = F.regexp_replace(around, f"[{SPACE}]+", " ")
+        return F.when(at >= 0, F.concat(F.lit(f"forbidden token {name} at offset "), at.cast("string"), F.lit(": ..."), around, F.lit("...")))
+
+    return F.coalesce(*(told(pattern, name) for pattern, name in FORBIDDEN))

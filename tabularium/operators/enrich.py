@@ -11,14 +11,23 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tabularium.functions.text import confidence, fill_templates, not_blank
+from tabularium.operators.groups import plan_order
 
 #: Fields that hold a record's name, by preference.
 NAME_FIELDS = (
     "name fullName title company companyName organisation organization supplier supplierName producer producerName farmerGroup group groupName".split()
 )
-GEOCODE = "query string, status string, formatted_address string, lat double, lng double, error string"
+#: Errors that pass: first the fixed values of web clients, then what Python's own say.
+TRANSIENT = r"HTTP\s+(408|429|5\d{2})|ECONN|ETIMEDOUT|fetch failed|socket hang up|ENETUNREACH|UND_ERR|timed out|Connection (reset|refused|aborted)"
+GEOCODE = (
+    "query string, status string, formatted_address string, lat double, lng double, place_id string, location_type string, partial_match boolean, types array<string>, "
+    "error string, calls int"
+)
+GEOCODE_TYPE = T.StructType.fromDDL(GEOCODE)
 
 
 def name_field(fields: list[str], override: str | None = None) -> str | None:
@@ -36,7 +45,7 @@ def with_addresses(records: DataFrame, plan: DataFrame) -> DataFrame:
     field is ``address``, or ``fullAddress`` where the record has an ``address``,
     and then with a number if there is a ``fullAddress`` too.
     """
-    first = Window.partitionBy("doc_id", "group_name").orderBy(F.col("plan_ord") if "plan_ord" in plan.columns else F.lit(0))
+    first = Window.partitionBy("doc_id", "group_name").orderBy(*plan_order(plan))
     best = plan.withColumn("__n", F.row_number().over(first)).where("__n = 1").select("doc_id", "group_name", "has_address", "join_template", "columns")
     usable = F.coalesce(F.col("has_address") & (F.col("join_template") != "") & (F.size("columns") > 0), F.lit(False))
     rows = records.join(best, ["doc_id", "group_name"], "left")
@@ -48,7 +57,7 @@ def with_addresses(records: DataFrame, plan: DataFrame) -> DataFrame:
 
 def complete_address_plan(groups: DataFrame, plan: DataFrame) -> DataFrame:
     """A row for every group: the first one proposed, else one that says there is no address."""
-    order = Window.partitionBy("doc_id", "group_name").orderBy(F.col("plan_ord") if "plan_ord" in plan.columns else F.lit(0))
+    order = Window.partitionBy("doc_id", "group_name").orderBy(*plan_order(plan))
     best = plan.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n", "plan_ord")
     out = groups.select("doc_id", "group_name").join(best, ["doc_id", "group_name"], "left")
     return out.withColumns({"has_address": F.coalesce("has_address", F.lit(False)), "confidence": confidence(F.col("confidence"))})
@@ -66,20 +75,30 @@ def geocode(records: DataFrame, lookup: Callable[[DataFrame], DataFrame], addres
     ``lookup`` takes a table of distinct ``query`` and returns the columns of ``GEOCODE``, one row for each.
     """
     rows = records.withColumn("__query", pick_address(F.col("rec")) if address is None else address)
-    asked = rows.select(F.col("__query").alias("query")).where("query is not null").distinct()
-    found = lookup(asked).select(F.col("query").alias("__query"), F.struct("query", "status", "formatted_address", "lat", "lng", "error").alias("geocode"))
-    return rows.join(found, "__query", "left").drop("__query")
+    known = rows.where("__query is not null")
+    found = lookup(known.select(F.col("__query").alias("query")).distinct()).select(F.col("query").alias("__query"), F.struct(*GEOCODE_TYPE.names).alias("geocode"))
+    joined = known.join(found, "__query", "left")
+    # Rows without an address would all meet on one key of the join.
+    rest = rows.where("__query is null").withColumn("geocode", F.lit(None).cast(joined.schema["geocode"].dataType))
+    return joined.unionByName(rest).drop("__query")
 
 
 def gazetteer_lookup(gazetteer: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """A lookup in a table ``(query, formatted_address, lat, lng)`` with one row per query; what isn't there has status ZERO_RESULTS."""
+    """A lookup in a table ``(query, formatted_address, lat, lng)`` with one row per query; what isn't there has status ZERO_RESULTS.
+
+    Further columns of ``GEOCODE`` are taken if the table has them. Each query counts as one call.
+    """
+    own = {"status": F.when(F.col("lat").isNull(), "ZERO_RESULTS").otherwise("OK"), "calls": F.lit(1)}
 
-    def lookup(asked: DataFrame) -> DataFrame:
-        rows = asked.join(gazetteer, "query", "left")
-        status = F.when(F.col("lat").isNull(), "ZERO_RESULTS").otherwise("OK")
-        return rows.select("query", status.alias("status"), "formatted_address", "lat", "lng", F.lit(None).cast("string").alias("error"))
+    def column(field: T.StructField) -> Column:
+        given = own.get(field.name, F.col(field.name) if field.name in gazetteer.columns else F.lit(None))
+        if field.name == "partial_match":
+            given = F.coalesce(given, F.lit(False))
+        elif field.name == "types":
+            given = F.coalesce(given, F.array().cast("array<string>"))
+        return given.cast(field.dataType).alias(field.name)
 
-    return lookup
+    return lambda asked: asked.join(gazetteer, "query", "left").select(*map(column, GEOCODE_TYPE))
 
 
 def service_lookup(call: Callable[[str], dict], per_second: float | None = None, attempts: int = 5, partitions: int = 4) -> Callable[[DataFrame], DataFrame]:
@@ -90,8 +109,7 @@ def service_lookup(call: Callable[[str], dict], per_second: float | None = None,
     pauses; ``per_second`` bounds the calls of all tasks together. An exception
     is a row of status ERROR.
     """
-    names = [f.split()[0] for f in GEOCODE.split(", ")]
-    arrow = pa.schema([(n, pa.float64() if n in ("lat", "lng") else pa.string()) for n in names])
+    arrow = to_arrow_schema(GEOCODE_TYPE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import random
@@ -99,7 +117,7 @@ def service_lookup(call: Callable[[str], dict], per_second: float | None = None,
         import time
 
         gap, ready = (partitions / per_second if per_second else 0.0), 0.0
-        passing = re.compile(r"HTTP (408|429|5\d\d)|timed? ?out|ECONNRESET|ENOTFOUND|network|fetch failed", re.IGNORECASE)
+        passing = re.compile(TRANSIENT, re.IGNORECASE)
 
         def one(query: str) -> dict:
             nonlocal ready
@@ -112,35 +130,41 @@ def service_lookup(call: Callable[[str], dict], per_second: float | None = None,
                     row = {"status": "ERROR", "error": str(e)}
                 again = row.get("status") in ("OVER_QUERY_LIMIT", "UNKNOWN_ERROR") or row.get("status") == "ERROR" and passing.search(row.get("error") or "")
                 if not again or k + 1 == attempts:
-                    return row
+                    return {"partial_match": False, "types": []} | row | {"calls": k + 1}
                 time.sleep(min(30.0, 2.0**k) + random.random() / 2)
             raise AssertionError
 
         for batch in batches:
             found = [{"query": q} | one(q) for q in batch.column("query").to_pylist()]
-            yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in found], schema=arrow)
+            yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in arrow.names} for r in found], schema=arrow)
 
     return lambda asked: asked.repartition(partitions, "query").mapInArrow(run, GEOCODE)
 
 
 def geocode_meta(geocoded: DataFrame, per_thousand: float = 5.0) -> DataFrame:
-    """One row: ``total, located, unique_queries, cache_hits, skipped, cost_usd``."""
-    n = F.count("geocode")
-    unique = F.count_distinct("geocode.query")
-    return geocoded.agg(
-        F.count("*").alias("total"), F.count_if(F.col("geocode.lat").isNotNull()).alias("located"), unique.alias("unique_queries"), (n - unique).alias("cache_hits"),
-        (F.count("*") - n).alias("skipped"), (unique / 1000 * per_thousand).cast("decimal(18,6)").alias("cost_usd"),
+    """One row: ``total, located, unique_queries, api_calls, retries, cache_hits, skipped, cost_usd``. Repeated calls cost too."""
+    found = geocoded.select("geocode.query", "geocode.calls", F.col("geocode.lat").isNotNull().alias("located"), F.col("geocode").isNull().alias("skipped"))
+    # Records of one query are put together first, a row for each query remains.
+    per_query = found.groupBy("query").agg(F.count("*").alias("n"), F.count_if("located").alias("located"), F.count_if("skipped").alias("skipped"), F.max("calls").alias("calls"))
+    n, asked = F.sum("n"), F.count("query")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    meta = per_query.agg(
+        total("n").alias("total"), total("located").alias("located"), asked.alias("unique_queries"), total("calls").alias("api_calls"),
+        (total("calls") - F.count("calls")).alias("retries"), (F.coalesce(n, F.lit(0)) - total("skipped") - asked).alias("cache_hits"), total("skipped").alias("skipped"),
     )
+    return meta.withColumn("cost_usd", (F.col("api_calls") / 1000 * per_thousand).cast("decimal(18,6)"))
 
 
 def features(geocoded: DataFrame, keep: tuple[str, ...] = ("doc_id", "ord")) -> DataFrame:
-    """``(*keep, feature)``: a GeoJSON point, as text, of each record with a place; its properties are the record and the lookup's fields."""
+    """``(*keep, feature)``: a GeoJSON point, as text, of each record with a place; its properties are the record and the lookup's fields, which win over equal names."""
     found = geocoded.where("geocode.lat is not null and geocode.lng is not null")
-    entries = {"geocodeQuery": "query", "geocodeStatus": "status", "geocodeFormattedAddress": "formatted_address"}
-    more = F.create_map(*(x for k, v in entries.items() for x in (F.lit(k), F.col(f"geocode.{v}"))))
-    own = F.map_filter("rec", lambda k, v: ~k.isin(*entries, "geocode"))
-    point = F.struct(F.lit("Point").alias("type"), F.array("geocode.lng", "geocode.lat").alias("coordinates"))
-    return found.select(*keep, F.to_json(F.struct(F.lit("Feature").alias("type"), point.alias("geometry"), F.map_concat(own, more).alias("properties"))).alias("feature"))
+    given = {"formattedAddress": "formatted_address", "placeId": "place_id", "locationType": "location_type", "partialMatch": "partial_match", "geocodeStatus": "status"}
+    own = F.to_json(F.map_filter("rec", lambda k, v: ~k.isin(*given, "geocode")))
+    more = F.to_json(F.struct(*(F.col(f"geocode.{v}").alias(k) for k, v in given.items())), {"ignoreNullFields": "false"})
+    found = found.select(*keep, F.array("geocode.lng", "geocode.lat").alias("at"), own.alias("own"), more.alias("more"))
+    properties = F.when(F.col("own") == "{}", F.col("more")).otherwise(F.concat(F.expr("left(own, length(own) - 1)"), F.lit(","), F.substring("more", 2, 1 << 30)))
+    point = F.to_json(F.struct(F.lit("Point").alias("type"), F.col("at").alias("coordinates")))
+    return found.select(*keep, F.concat(F.lit('{"type":"Feature","geometry":'), point, F.lit(',"properties":'), properties, F.lit("}")).alias("feature"))
 
 
 def batches(records: DataFrame, size: int = 5) -> DataFrame:

@@ -30,14 +30,20 @@ def _suffixed(pairs: Column) -> Column:
     )
 
 
+def plan_order(plan: DataFrame, last: bool = False) -> list[Column]:
+    """The order of plan rows of one group: by ``plan_ord``, the latest first if ``last``, and then by all they say, so that ties are settled alike in every run."""
+    own = [F.desc("plan_ord") if last else F.col("plan_ord")] if "plan_ord" in plan.columns else []
+    rest = [c for c in plan.columns if c not in (*KEY, "plan_ord")]
+    return [*own, F.to_json(F.struct(*(F.col(c) for c in rest)))]
+
+
 def rename_plan(groups: DataFrame, mapping: DataFrame) -> DataFrame:
     """``groups`` with ``pairs``: the new name of every field, in the order of the renamed schema; null without a mapping.
 
     ``mapping`` has ``(doc_id, group_name, field_map)``; of several rows for a
     group the one with the largest ``plan_ord`` holds (if there is that column).
     """
-    order = F.desc("plan_ord") if "plan_ord" in mapping.columns else F.lit(0)
-    best = mapping.withColumn("__n", F.row_number().over(Window.partitionBy(*KEY).orderBy(order))).where("__n = 1").select(*KEY, "field_map")
+    best = mapping.withColumn("__n", F.row_number().over(Window.partitionBy(*KEY).orderBy(*plan_order(mapping, last=True)))).where("__n = 1").select(*KEY, "field_map")
     names = F.transform("fields", lambda f: f["name"])
     proposed = F.filter(F.map_entries("field_map"), lambda e: F.array_contains(names, e["key"]))
     given = F.transform(proposed, lambda e: F.struct(e["key"].alias("src"), e["value"].alias("dst")))

@@ -19,23 +19,27 @@ def rekey(rows: DataFrame, name, record: str = "rec") -> DataFrame:
     return made.withColumn(record, F.map_from_entries(F.filter("__entries", lambda e, i: ~later(e, i)))).drop("__entries")
 
 
-def table_records(regions: DataFrame, id_col: str = "doc_id", row_headers: bool = False) -> DataFrame:
+def table_records(regions: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``(id_col, pos, kind, title, row, rec)``: the rows of each region of kind table, as maps by camel-cased header.
 
     A table without header has columns ``col1`` and so on. Rows with another
     number of cells than there are columns are left out; of equal headers the
-    last one's cell stays. The kind is tested before anything is parsed.
+    last one's cell stays. The kind is tested before anything is parsed, and
+    names are made once for a table, not for its rows.
     """
     parsed = regions.where("kind = 'table'").select(id_col, "pos", "kind", "title", html.raw_table(F.col("body")).alias("raw"))
     parsed = parsed.withColumn("table", html.headers_and_rows(F.col("raw"))).drop("raw")
-    rows = parsed.select(id_col, "pos", "kind", "title", F.col("table.headers").alias("headers"), F.posexplode("table.rows").alias("row", "cells"))
-    named = F.transform("headers", lambda h: field_name(h))
+    named = F.transform("table.headers", lambda h: field_name(h))
+    last = F.transform("names", lambda n, i: ~F.array_contains(F.slice("names", i + 2, F.size("names")), n))
+    tables = parsed.withColumn("names", named).withColumn("last", last)
+    rows = tables.select(id_col, "pos", "kind", "title", "names", "last", F.posexplode("table.rows").alias("row", "cells"))
+    bare = F.size("names") <= 0
     width = F.greatest(F.size("cells"), F.lit(1))
-    names = F.when(F.size("headers") > 0, named).otherwise(F.transform(F.sequence(F.lit(1), width), lambda i: F.concat(F.lit("col"), i.cast("string"))))
-    rows = rows.withColumn("names", names).where(F.size("cells") == F.size("names"))
-    entries = F.arrays_zip(F.col("names").alias("key"), F.col("cells").alias("value"))
-    kept = F.filter(entries, lambda e, i: ~F.exists(F.slice("names", i + 2, F.size("names")), lambda n: n == e["key"]))
-    return rows.select(id_col, "pos", "kind", "title", "row", F.map_from_entries(kept).alias("rec"))
+    numbered = F.transform(F.sequence(F.lit(1), width), lambda i: F.concat(F.lit("col"), i.cast("string")))
+    rows = rows.where((bare & (F.size("cells") > 0)) | (F.size("cells") == F.size("names")))
+    chosen = lambda c: F.filter(c, lambda x, i: F.get("last", i))
+    rec = F.when(bare, F.map_from_arrays(numbered, "cells")).otherwise(F.map_from_arrays(chosen(F.col("names")), chosen(F.col("cells"))))
+    return rows.select(id_col, "pos", "kind", "title", "row", rec.alias("rec"))
 
 
 def pair_records(regions: DataFrame, id_col: str = "doc_id") -> DataFrame:

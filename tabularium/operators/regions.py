@@ -31,19 +31,25 @@ def _end_of(identity: Column) -> Column:
 
 
 def segments(docs: DataFrame, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
-    """``(id_col, pos, id, kind, title, body, after, ended)``: one row per start comment, in order.
+    """``(id_col, pos, id, kind, title, body, after, ended, whole, stop)``: one row per start comment, in order.
 
     ``body`` reaches to the resolved end, else to the next start; ``after`` is
-    what lies between the end and the next start. Null documents have no regions.
+    what lies between the end and the next start. ``whole`` is the region with
+    its comments, and ``stop`` the offset behind it. Null documents have no regions.
     """
-    starts = F.arrays_zip(*(F.regexp_extract_all(F.col(html_col), F.lit(START), F.lit(k)).alias(n) for k, n in ((1, "id"), (2, "kind"), (3, "title"))))
+    parts = ((0, "comment"), (1, "id"), (2, "kind"), (3, "title"))
+    starts = F.arrays_zip(*(F.regexp_extract_all(F.col(html_col), F.lit(START), F.lit(k)).alias(n) for k, n in parts))
     bodies = F.split(F.col(html_col), START, -1)
-    rows = docs.select(F.col(id_col), bodies.alias("bodies"), F.posexplode(starts).alias("pos", "start"))
-    rows = rows.select(id_col, "pos", "start.id", "start.kind", "start.title", F.get("bodies", F.col("pos") + 1).alias("segment"))
+    rows = docs.select(F.col(id_col), bodies.alias("bodies"), starts.alias("starts"), F.posexplode(starts).alias("pos", "start"))
+    count = lambda texts: F.aggregate(texts, F.lit(0), lambda n, x: n + F.length(x))
+    before = count(F.slice("bodies", 1, F.col("pos") + 1)) + count(F.transform(F.slice("starts", F.lit(1), F.col("pos")), lambda x: x["comment"]))
+    rows = rows.select(id_col, "pos", "start.id", "start.kind", "start.title", "start.comment", before.alias("before"), F.get("bodies", F.col("pos") + 1).alias("segment"))
     found = rows.withColumn("end", _end_of(F.col("id")))
+    whole = F.concat("comment", F.left("segment", F.length("segment") - F.coalesce(F.length("end.rest"), F.lit(0))))
     return found.select(
-        id_col, "pos", "id", "kind", "title", F.coalesce("end.body", "segment").alias("body"), F.col("end.rest").alias("after"), F.col("end").isNotNull().alias("ended")
-    )
+        id_col, "pos", "id", "kind", "title", F.coalesce("end.body", "segment").alias("body"), F.col("end.rest").alias("after"), F.col("end").isNotNull().alias("ended"),
+        whole.alias("whole"), (F.col("before") + F.length(whole)).alias("stop"),
+    )
 
 
 def find_regions(docs: DataFrame, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
@@ -51,7 +57,11 @@ def find_regions(docs: DataFrame, id_col: str = "doc_id", html_col: str = "html"
     return segments(docs, id_col, html_col).select(id_col, "pos", "id", "kind", "title", "body")
 
 
-def adjacent_tables(docs: DataFrame, max_gap: int = 800, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
+#: Characters of a gap that may join two tables, and of those that are shown.
+MAX_GAP, SHOWN_GAP = 800, 600
+
+
+def adjacent_tables(docs: DataFrame, max_gap: int = MAX_GAP, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
     """``(id_col, pos, first_title, second_title, gap_chars, gap_text)``: tables with a little prose between them, a sign of a continuation."""
     order = Window.partitionBy(id_col).orderBy("pos")
     rows = segments(docs, id_col, html_col).select(id_col, "pos", "kind", "title", "after", "ended")
@@ -60,5 +70,5 @@ def adjacent_tables(docs: DataFrame, max_gap: int = 800, id_col: str = "doc_id",
     rows = rows.where("kind = 'table' and next_kind = 'table' and ended").withColumn("gap", gap)
     rows = rows.where((F.length("gap") > 0) & (F.length("gap") <= max_gap))
     return rows.select(
-        id_col, "pos", F.col("title").alias("first_title"), "second_title", F.length("gap").cast("long").alias("gap_chars"), F.left("gap", F.lit(600)).alias("gap_text")
+        id_col, "pos", F.col("title").alias("first_title"), "second_title", F.length("gap").cast("long").alias("gap_chars"), F.left("gap", F.lit(SHOWN_GAP)).alias("gap_text")
     )

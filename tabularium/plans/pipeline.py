@@ -18,6 +18,10 @@ class Result:
     records: DataFrame
     ranking: DataFrame
     final: DataFrame
+    #: What was proposed: merges of entities, joins between groups (which are reported, not applied), and one address row per group.
+    merges: DataFrame
+    joins: DataFrame
+    addresses: DataFrame
 
 
 def extract(docs: DataFrame) -> DataFrame:
@@ -43,7 +47,7 @@ def run(docs: DataFrame, preferred: DataFrame | None = None, proposer: Proposer
     proposer = proposer or Rules()
     rows = settled(extract(docs))
     own = settled(infer_groups(rows))
-    rows = rows.drop("title")
+    titles, rows = own.select("doc_id", "group_name", "title"), rows.drop("title")
     if preferred is not None:
         own, rows = groups.rename_fields(own, rows, proposer.field_maps(own, preferred))
         own, rows = settled(own), settled(rows)
@@ -52,8 +56,25 @@ def run(docs: DataFrame, preferred: DataFrame | None = None, proposer: Proposer
     _, rows = groups.merge_groups(own, rows, proposer.row_merges(own), camel=True)
     rows = settled(rows)
     own = settled(infer_groups(rows.withColumn("title", F.col("group_name"))))
+    # Titles are lost on the way through the steps before: a merge is proposed for what the groups were called at first.
+    named = own.drop("title").join(titles, ["doc_id", "group_name"], "left").select("doc_id", "group_name", F.coalesce("title", F.lit("")).alias("title"), "fields")
+    merges = settled(proposer.merges(named))
+    _, rows = groups.merge_groups(own, rows, merges, camel=False)
+    rows = settled(rows)
+    own = settled(infer_groups(rows.withColumn("title", F.col("group_name"))))
+    joins, addresses = proposer.joins(own), settled(enrich.complete_address_plan(own, proposer.addresses(own)))
     ranking = groups.rank_groups(own, rows)
-    rows = enrich.with_addresses(rows, proposer.addresses(own))
+    rows = enrich.with_addresses(rows, addresses)
     final = rows.join(ranking.where("rank = 1").select("doc_id", "group_name"), ["doc_id", "group_name"], "left_semi")
     order = Window.partitionBy("doc_id").orderBy("ord")
-    return Result(own, rows, ranking, final.withColumn("ord", (F.row_number().over(order) - 1).cast("long")))
+    return Result(own, rows, ranking, final.withColumn("ord", (F.row_number().over(order) - 1).cast("long")), merges, joins, addresses)
+
+
+def summary(result: Result) -> DataFrame:
+    """``(doc_id, groups, records, merges, joins, with_address, prominent)``: what a run has made of each document."""
+    count = lambda rows, name: rows.groupBy("doc_id").agg(F.count("*").alias(name))
+    out = count(result.groups, "groups")
+    parts = {"records": result.records, "merges": result.merges, "joins": result.joins, "with_address": result.addresses.where("has_address")}
+    for name, rows in parts.items():
+        out = out.join(count(rows, name), "doc_id", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    return out.join(result.ranking.where("rank = 1").select("doc_id", F.col("group_name").alias("prominent")), "doc_id", "left")

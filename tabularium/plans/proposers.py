@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabularium.functions.text import camel_case, normalise_title
@@ -19,6 +19,7 @@ from tabularium.functions.text import camel_case, normalise_title
 FIELD_MAPS = "doc_id long, group_name string, field_map map<string,string>"
 MERGES = "doc_id long, plan_id string, groups array<string>, target string, field_maps map<string,map<string,string>>"
 PIVOTS = "doc_id long, group_name string, pivot_fields array<string>, target_field string, keep_fields array<string>, target string"
+JOINS = "doc_id long, left string, right string, on array<struct<left:string,right:string>>, type string, reason string"
 ADDRESSES = "doc_id long, group_name string, has_address boolean, confidence string, columns array<string>, join_template string"
 
 
@@ -29,6 +30,10 @@ class Proposer(Protocol):
 
     def pivots(self, groups: DataFrame) -> DataFrame: ...
 
+    def merges(self, groups: DataFrame) -> DataFrame: ...
+
+    def joins(self, groups: DataFrame) -> DataFrame: ...
+
     def addresses(self, groups: DataFrame) -> DataFrame: ...
 
 
@@ -51,6 +56,12 @@ class GivenPlans:
     def pivots(self, groups: DataFrame) -> DataFrame:
         return self._table("pivots", PIVOTS)
 
+    def merges(self, groups: DataFrame) -> DataFrame:
+        return self._table("merges", MERGES)
+
+    def joins(self, groups: DataFrame) -> DataFrame:
+        return self._table("joins", JOINS)
+
     def addresses(self, groups: DataFrame) -> DataFrame:
         return self._table("addresses", ADDRESSES)
 
@@ -59,6 +70,12 @@ class GivenPlans:
 ADDRESS_PARTS = "street address1 address2 address city town district region state province postcode zip country".split()
 
 
+def _spelt_alike(fields: str) -> Column:
+    """The fields of a group, of those that are alike in camel case the first."""
+    names = F.transform(fields, lambda f: camel_case(f["name"]))
+    return F.filter(fields, lambda f, i: (F.get(names, i) != "") & (F.array_position(names, F.get(names, i)) == i + 1))
+
+
 class Rules:
     """Plans by rule: equal names and aliases, equal schemas, numbered columns, known parts of addresses."""
 
@@ -93,6 +110,30 @@ class Rules:
         keep = F.array_except(F.transform("fields", lambda f: f["name"]), "pivot_fields")
         return found.select("doc_id", "group_name", "pivot_fields", F.col("stem").alias("target_field"), keep.alias("keep_fields"), F.col("group_name").alias("target"))
 
+    def merges(self, groups: DataFrame) -> DataFrame:
+        """Groups of a document with the same title, but for letter case, marks and a "continued" or number at the end, are one entity; of their fields those spelt alike become one."""
+        title = F.regexp_replace(normalise_title(F.col("title")), "( (continued|cont|part|page|[0-9]+))+$", "")
+        order = Window.partitionBy("doc_id", "key")
+        rows = groups.withColumn("key", title).where("key <> ''").withColumn("n", F.count("*").over(order)).where("n >= 2")
+        same = F.map_from_entries(F.transform(_spelt_alike("fields"), lambda f: F.struct(f["name"], camel_case(f["name"]))))
+        listed = F.sort_array(F.collect_list(F.struct("group_name", same.alias("map"))))
+        out = rows.groupBy("doc_id", "key").agg(listed.alias("g"))
+        names = F.transform("g", lambda x: x["group_name"])
+        maps = F.map_from_entries(F.transform("g", lambda x: F.struct(x["group_name"], x["map"])))
+        return out.select("doc_id", F.col("key").alias("plan_id"), names.alias("groups"), F.concat(F.get(names, F.lit(0)), F.lit("-merged")).alias("target"), maps.alias("field_maps"))
+
+    def joins(self, groups: DataFrame) -> DataFrame:
+        """Two groups of a document that share a field named like a key (its last word is id, key, code or number) are related by it."""
+        fields = groups.select("doc_id", "group_name", F.explode(_spelt_alike("fields")).alias("f"))
+        named = fields.select("doc_id", "group_name", F.col("f.name").alias("name"), camel_case(F.col("f.name")).alias("key"))
+        keys = named.where(F.rlike("key", F.lit(r"(^|[a-z0-9])(id|Id|ID|key|Key|KEY|code|Code|CODE|number|Number|NUMBER)$")) & (F.length("key") > 3))
+        a, b = (keys.select("doc_id", "key", F.col("group_name").alias(side), F.col("name").alias(f"{side}_field")) for side in ("left", "right"))
+        # The pairs are those of a document's few groups, never of records.
+        pairs = a.join(b, ["doc_id", "key"]).where("left < right")
+        on = F.sort_array(F.collect_list(F.struct(F.col("left_field").alias("left"), F.col("right_field").alias("right"))))
+        out = pairs.groupBy("doc_id", "left", "right").agg(on.alias("on"))
+        return out.select("doc_id", "left", "right", "on", F.lit(None).cast("string").alias("type"), F.lit("shared key field").alias("reason"))
+
     def addresses(self, groups: DataFrame) -> DataFrame:
         """Two or more fields named like parts of an address make one, in the order of writing."""
         rows = groups.select("doc_id", "group_name", F.explode("fields").alias("f")).withColumn("key", F.replace(normalise_title(F.col("f.name")), F.lit(" "), F.lit("")))

@@ -118,13 +118,13 @@ def list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain text of every page, in lines, and as one line."""
-    pages = _table(spark, sf_dir, "pages")
-    return pages.select("page_id", html.plain_text(F.col("html")).alias("lines"), html.strip_tags(F.col("html")).alias("line"))
+    pages = _table(spark, sf_dir, "pages").select("page_id", html.both_texts(F.col("html")).alias("texts"))
+    return pages.select("page_id", html.tidy_lines(F.col("texts.lines")).alias("lines"), "texts.line")
 
 
 @query("""
-WITH s AS (SELECT s_suppkey, s_suppkey % 4 AS doc, s_name, row_number() OVER (PARTITION BY s_suppkey % 4 ORDER BY s_suppkey) - 1 AS pos,
-  lead(s_name) OVER (PARTITION BY s_suppkey % 4 ORDER BY s_suppkey) AS second_title FROM supplier),
+WITH s AS (SELECT s_suppkey, floor(s_suppkey / 25) AS doc, s_name, row_number() OVER (PARTITION BY floor(s_suppkey / 25) ORDER BY s_suppkey) - 1 AS pos,
+  lead(s_name) OVER (PARTITION BY floor(s_suppkey / 25) ORDER BY s_suppkey) AS second_title FROM supplier),
 g AS (SELECT *, 'continued after ' || s_name AS gap FROM s WHERE second_title IS NOT NULL AND s_suppkey % 3 <> 0)
 SELECT doc::BIGINT AS doc_id, pos::INTEGER AS pos, s_name AS first_title, second_title, length(gap)::BIGINT AS gap_chars, gap AS gap_text FROM g""")
 def table_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +134,7 @@ def table_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
     prose = F.when(F.col("s_suppkey") % 3 == 0, F.lit("<hr>  ")).otherwise(F.concat(F.lit("<p>continued <i>after</i>\n "), "s_name", F.lit("</p>")))
     part = F.concat(render.region(_text("s_suppkey"), "table", F.col("s_name"), table), prose)
     listed = F.sort_array(F.collect_list(F.struct("s_suppkey", part.alias("part"))))
-    docs = s.groupBy((F.col("s_suppkey") % 4).alias("doc_id")).agg(F.array_join(F.transform(listed, lambda x: x["part"]), "").alias("html"))
+    docs = s.groupBy(F.floor(F.col("s_suppkey") / 25).alias("doc_id")).agg(F.array_join(F.transform(listed, lambda x: x["part"]), "").alias("html"))
     return regions.adjacent_tables(docs)
 
 
@@ -210,7 +210,7 @@ def field_map_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _status_groups(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    o = _table(spark, sf_dir, "orders").withColumn("doc", F.col("o_custkey") % 50)
+    o = _table(spark, sf_dir, "orders").withColumn("doc", F.floor(F.col("o_custkey") / 30))
     low = lambda s: F.col("o_orderstatus") == s
     f = _records(o.where(low("F")), F.col("doc"), F.lit("finished"), F.col("o_orderkey"), **{"Order Key": F.col("o_orderkey"), "Total": _money("o_totalprice")})
     p = _records(o.where(low("O")), F.col("doc"), F.lit("open"), F.col("o_orderkey"), **{"KEY": F.col("o_orderkey"), "Total": _money("o_totalprice"), "Prio": F.col("o_orderpriority")})
@@ -227,7 +227,7 @@ def _status_plan(own: DataFrame, kind: str) -> DataFrame:
 
 
 _MERGE_SQL = """
-WITH o AS (SELECT *, o_custkey % 50 AS doc_id FROM orders),
+WITH o AS (SELECT *, floor(o_custkey / 30) AS doc_id FROM orders),
 pair AS (SELECT doc_id FROM o GROUP BY doc_id HAVING count(*) FILTER (o_orderstatus = 'F') > 0 AND count(*) FILTER (o_orderstatus = 'O') > 0),
 m AS (SELECT doc_id::BIGINT AS doc_id, CASE WHEN o_orderstatus = 'P' THEN 'other' WHEN doc_id IN (FROM pair) THEN 'all' WHEN o_orderstatus = 'F' THEN 'finished' ELSE 'open' END AS group_name,
   o_orderstatus AS s, o_orderkey, o_totalprice, o_orderpriority FROM o WHERE o_orderstatus IN ('F', 'O', 'P'))
@@ -255,19 +255,21 @@ def group_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT (row_number() OVER (ORDER BY p_partkey, k) - 1)::BIGINT AS ord, v AS label, p_partkey::VARCHAR AS part FROM (
+SELECT doc AS doc_id, (row_number() OVER (PARTITION BY doc ORDER BY p_partkey, k) - 1)::BIGINT AS ord, v AS label, p_partkey::VARCHAR AS part FROM (
+  SELECT floor(p_partkey / 500)::BIGINT AS doc, p_partkey, k, v FROM (
   SELECT p_partkey, 0 AS k, p_brand AS v FROM part UNION ALL SELECT p_partkey, 1, CASE WHEN p_size % 3 = 0 THEN '' ELSE p_type END FROM part
-  UNION ALL SELECT p_partkey, 2, CASE WHEN p_size % 2 = 0 THEN p_name END FROM part) WHERE v IS NOT NULL AND v <> ''""")
+  UNION ALL SELECT p_partkey, 2, CASE WHEN p_size % 2 = 0 THEN p_name END FROM part)) WHERE v IS NOT NULL AND v <> ''""")
 def column_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _table(spark, sf_dir, "part")
+    doc = F.floor(F.col("p_partkey") / 500)
     kind = F.when(F.col("p_size") % 3 == 0, "").otherwise(F.col("p_type"))
-    rec = _records(p, F.lit(1), F.lit("parts"), F.col("p_partkey"), part=F.col("p_partkey"), l1=F.col("p_brand"), l2=kind, l3=F.when(F.col("p_size") % 2 == 0, F.col("p_name")))
+    rec = _records(p, doc, F.lit("parts"), F.col("p_partkey"), part=F.col("p_partkey"), l1=F.col("p_brand"), l2=kind, l3=F.when(F.col("p_size") % 2 == 0, F.col("p_name")))
     listed = lambda *n: F.array(*map(F.lit, n))
-    plan = spark.range(1).select(
-        F.lit(1).cast("long").alias("doc_id"), F.lit("parts").alias("group_name"), listed("l1", "l2", "l3").alias("pivot_fields"), F.lit("label").alias("target_field"),
+    plan = p.select(doc.alias("doc_id")).distinct().select(
+        "doc_id", F.lit("parts").alias("group_name"), listed("l1", "l2", "l3").alias("pivot_fields"), F.lit("label").alias("target_field"),
         listed("part").alias("keep_fields"), F.lit("labels").alias("target"),
     )
-    return groups.unpivot_group(rec, plan).select("ord", F.col("rec")["label"].alias("label"), F.col("rec")["part"].alias("part"))
+    return groups.unpivot_group(rec, plan).select("doc_id", "ord", F.col("rec")["label"].alias("label"), F.col("rec")["part"].alias("part"))
 
 
 @query("""
@@ -351,7 +353,7 @@ def final_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _addressed(spark, sf_dir).select("ord", F.col("rec")["address"].alias("address"))
 
 
-_GEO_SQL = """s AS (SELECT s_suppkey, s_nationkey, CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE 'Office of ' || n_name END AS query FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+_GEO_SQL = """s AS (SELECT s_suppkey, s_name, s_nationkey, CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE 'Office of ' || n_name END AS query FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 g AS (SELECT *, query IS NOT NULL AND s_nationkey % 6 <> 0 AS found FROM s)"""
 
 
@@ -359,8 +361,9 @@ def _geocoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers' addresses, many of which are the same, looked up in a table of places."""
     n = _table(spark, sf_dir, "nation")
     places = n.where("n_nationkey % 6 <> 0").select(
-        F.concat(F.lit("Office of "), "n_name").alias("query"), F.upper("n_name").alias("formatted_address"), F.col("n_nationkey").cast("double").alias("lat"), (-F.col("n_nationkey")).cast("double").alias("lng")
-    )
+        F.concat(F.lit("Office of "), "n_name").alias("query"), F.upper("n_name").alias("formatted_address"), F.col("n_nationkey").cast("double").alias("lat"), (-F.col("n_nationkey")).cast("double").alias("lng"),
+        F.concat(F.lit("place"), _text("n_nationkey")).alias("place_id"), F.when(F.col("n_nationkey") % 2 == 0, "ROOFTOP").alias("location_type"), (F.col("n_nationkey") % 3 == 0).alias("partial_match"),
+    )
     s = _table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
     address = F.when(F.col("s_suppkey") % 7 == 0, "  ").otherwise(F.concat(F.lit(" Office of "), "n_name"))
     rec = _records(s, F.lit(1), F.lit("suppliers"), F.col("s_suppkey"), name=F.col("s_name"), address=address)
@@ -374,17 +377,22 @@ def geocode_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_GEO_SQL} SELECT count(*)::BIGINT AS total, count(*) FILTER (found)::BIGINT AS located, count(DISTINCT query)::BIGINT AS unique_queries,
-  (count(query) - count(DISTINCT query))::BIGINT AS cache_hits, (count(*) - count(query))::BIGINT AS skipped, (count(DISTINCT query) / 1000 * 5.0)::DECIMAL(18,6) AS cost_usd FROM g""")
+  count(DISTINCT query)::BIGINT AS api_calls, 0::BIGINT AS retries, (count(query) - count(DISTINCT query))::BIGINT AS cache_hits, (count(*) - count(query))::BIGINT AS skipped, (count(DISTINCT query) / 1000 * 5.0)::DECIMAL(18,6) AS cost_usd FROM g""")
 def geocode_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.geocode_meta(_geocoded(spark, sf_dir))
 
 
-@query(f"""WITH {_GEO_SQL} SELECT s_suppkey::BIGINT AS ord, 'Point' AS point, -s_nationkey::DOUBLE AS lng, s_nationkey::DOUBLE AS lat, query AS asked FROM g WHERE found""")
+@query(f"""WITH {_GEO_SQL} SELECT s_suppkey::BIGINT AS ord, 'Point' AS point, -s_nationkey::DOUBLE AS lng, s_nationkey::DOUBLE AS lat, upper(query[11:]) AS formatted_address, 'place' || s_nationkey AS place_id,
+  CASE WHEN s_nationkey % 2 = 0 THEN 'ROOFTOP' END AS location_type, s_nationkey % 3 = 0 AS partial_match, 'OK' AS status, s_name AS supplier FROM g WHERE found""")
 def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = enrich.features(_geocoded(spark, sf_dir))
-    shape = "type string, geometry struct<type:string,coordinates:array<double>>, properties map<string,string>"
-    f = F.from_json("feature", shape)
-    return rows.select("ord", f["geometry"]["type"].alias("point"), f["geometry"]["coordinates"][0].alias("lng"), f["geometry"]["coordinates"][1].alias("lat"), f["properties"]["geocodeQuery"].alias("asked"))
+    about = "name:string,formattedAddress:string,placeId:string,locationType:string,partialMatch:boolean,geocodeStatus:string"
+    f = F.from_json("feature", f"type string, geometry struct<type:string,coordinates:array<double>>, properties struct<{about}>")
+    place, p = f["geometry"]["coordinates"], f["properties"]
+    return rows.select(
+        "ord", f["geometry"]["type"].alias("point"), place[0].alias("lng"), place[1].alias("lat"), p["formattedAddress"].alias("formatted_address"), p["placeId"].alias("place_id"),
+        p["locationType"].alias("location_type"), p["partialMatch"].alias("partial_match"), p["geocodeStatus"].alias("status"), p["name"].alias("supplier"),
+    )
 
 
 def _verified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -479,21 +487,50 @@ def text_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT floor(p_partkey / 20)::BIGINT AS doc_id, 1::BIGINT AS regions FROM part GROUP BY ALL""")
+WITH r AS (SELECT p_partkey, p_brand, p_type, '<p>' || p_name || '</p>' AS intro,
+  '<!-- structured-start:id="1" kind="text" title="' || p_brand || '" -->' || repeat(p_name || ' ', p_size % 7) || '.<!-- structured-end:id="1" -->' AS one,
+  'between<!-- structured-start:id="2" kind="text" title="' || p_brand || '" -->again<!-- structured-end:id="2" -->' AS two,
+  '<!-- structured-start:id="3" kind="list" title="' || p_type || '" -->' || repeat(p_name || ' ', 60) || '<!-- structured-end:id="3" -->' AS three FROM part),
+d AS (SELECT *, intro || one || two || three AS html FROM r),
+h AS (SELECT *, left(html, 160) AS top, length(intro || one) <= 160 AS shown FROM d),
+c AS (SELECT *, 840 - CASE WHEN shown THEN 0 ELSE length(one) END AS rest FROM h),
+k AS (SELECT *, least(600, rest) // 2 - 200 AS keep FROM c)
+SELECT p_partkey AS doc_id, 2::BIGINT AS regions, concat_ws(chr(10) || chr(10), '<!-- SAMPLE: DOCUMENT HEAD (first 160 chars of ' || length(html) || ') -->', top,
+  CASE WHEN NOT shown THEN '<!-- SAMPLE: STRUCTURED REGION title="' || p_brand || '" kind="text" (first occurrence) -->' || chr(10) || chr(10) || one END,
+  '<!-- SAMPLE: STRUCTURED REGION title="' || p_type || '" kind="list" (first occurrence) -->',
+  left(three, keep) || chr(10) || '<!-- ... region truncated: ' || (length(three) - 2 * keep) || ' chars omitted ... -->' || chr(10) || right(three, keep),
+  '<!-- SAMPLE: DOCUMENT TAIL (last 20 chars of ' || length(html) || ') -->', right(html, 20)) AS sample FROM k""")
 def extractor_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = part_documents(spark, sf_dir, ["Part key", "name", "Brand_name", "State", "Retail-price"])
-    return sampling.extractor_sample(docs, head=50).select("doc_id", "regions")
+    """Documents of three regions: the first may end within the head, the second repeats its title and kind, the third is cut."""
+    p = _table(spark, sf_dir, "part")
+    named = lambda n: F.repeat(F.concat("p_name", F.lit(" ")), n)
+    one = render.region(F.lit("1"), "text", F.col("p_brand"), F.concat(named(F.col("p_size") % 7), F.lit(".")))
+    two = render.region(F.lit("2"), "text", F.col("p_brand"), F.lit("again"))
+    three = render.region(F.lit("3"), "list", F.col("p_type"), named(F.lit(60)))
+    docs = p.select(F.col("p_partkey").alias("doc_id"), F.concat(F.lit("<p>"), "p_name", F.lit("</p>"), one, F.lit("between"), two, three).alias("html"))
+    return sampling.extractor_sample(docs, head=160, tail=20, per_region=600, total=1500)
 
 
 @query("""
-SELECT conv_id AS doc_id, count(*)::BIGINT AS pages, string_agg(coalesce(text, '') || chr(10), '' ORDER BY turn, text) AS stitched FROM conversations GROUP BY conv_id""")
+WITH RECURSIVE p AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, text NULLS FIRST, role NULLS FIRST) AS page, coalesce(text, '') || chr(10) AS append, trim(role) AS role FROM conversations),
+s AS (SELECT DISTINCT conv_id, 0::BIGINT AS page, '' AS t FROM p UNION ALL
+  SELECT p.conv_id, p.page, CASE WHEN p.page % 3 = 0 THEN left(t, greatest(length(t) - 3000, 0)) || '[page ' || p.page || ' mended]' ELSE t END || append FROM s JOIN p ON p.conv_id = s.conv_id AND p.page = s.page + 1),
+r AS (SELECT conv_id, role, max(page) AS last FROM p WHERE role <> '' GROUP BY ALL),
+h AS (SELECT conv_id, string_agg(role, ',' ORDER BY last) AS headers FROM r GROUP BY conv_id),
+f AS (SELECT conv_id, string_agg('foot ' || page, ',' ORDER BY page) AS footers FROM (SELECT *, max(page) OVER (PARTITION BY conv_id) AS n FROM p) WHERE page > n - 12 GROUP BY conv_id)
+SELECT conv_id AS doc_id, page AS pages, t AS stitched, coalesce(headers, '') AS headers, footers
+FROM s JOIN (SELECT conv_id, max(page) AS page FROM p GROUP BY conv_id) USING (conv_id, page) LEFT JOIN h USING (conv_id) JOIN f USING (conv_id)""")
 def stitch_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third page replaces the tail before it; roles are running headers, and each page has a footer of its own."""
     c = _table(spark, sf_dir, "conversations")
-    none = F.lit(None).cast("string")
-    diffs = c.select(F.col("conv_id").alias("doc_id"), F.struct("turn", "text").alias("at"), F.concat(F.coalesce("text", F.lit("")), F.lit("\n")).alias("append"))
-    page = F.row_number().over(Window.partitionBy("doc_id").orderBy("at"))
-    diffs = diffs.select("doc_id", page.cast("long").alias("page"), "append", none.alias("tail_replacement"), none.alias("new_header"), none.alias("new_footer"))
-    return stitching.stitch(diffs).select("doc_id", "pages", "stitched")
+    page = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "text", "role")).cast("long")
+    mended = F.when(F.col("page") % 3 == 0, F.concat(F.lit("[page "), _text("page"), F.lit(" mended]")))
+    diffs = c.withColumn("page", page).select(
+        F.col("conv_id").alias("doc_id"), "page", F.concat(F.coalesce("text", F.lit("")), F.lit("\n")).alias("append"), mended.alias("tail_replacement"),
+        F.col("role").alias("new_header"), F.concat(F.lit("foot "), _text("page")).alias("new_footer"),
+    )
+    joined = [F.array_join(c, ",").alias(c) for c in ("headers", "footers")]
+    return stitching.stitch(diffs).select("doc_id", "pages", "stitched", *joined)
 
 
 @query("""
@@ -504,21 +541,79 @@ def preferred_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("o_orderkey").alias("ord"), F.explode(listed).alias("field"))
 
 
-@query("""
-SELECT event_id, CASE event_id % 3 WHEN 0 THEN props ELSE 'see: ' || props END AS inner_text, event_id % 2 = 0 AS defines, CASE WHEN event_id % 4 = 1 THEN 'eval' END AS refused FROM events""")
+#: One program for each thing that may not occur, with the text that is found; the last one may pass.
+_PROGRAMS = [
+    ("eval (x)", "eval (", "eval()"), ("new Function", "new Function", "new Function"), ("Function ('x')", "Function (", "Function()"), ("import('x')", "import(", "dynamic import()"),
+    ("require('x')", "require(", "require()"), ("process.env", "process", "process"), ("globalThis", "globalThis", "globalThis"), ("fetch(x)", "fetch(", "fetch()"),
+    ("XMLHttpRequest", "XMLHttpRequest", "XMLHttpRequest"), ("child_process", "child_process", "child_process"), ("__proto__", "__proto__", "__proto__"),
+    (".constructor", ".constructor", ".constructor"), ("evaluate", "", None),
+]
+_quote = lambda s: "NULL" if s is None else "'" + s.replace("'", "''") + "'"
+
+
+@query(f"""
+WITH t(k, code, hit, name) AS (VALUES {', '.join(f'({k}, {_quote(c)}, {_quote(h)}, {_quote(n)})' for k, (c, h, n) in enumerate(_PROGRAMS))}),
+e AS (SELECT event_id, props, hit, name, 'let item' || event_id || '  =  ' AS start, code, event_id % 2 = 0 AS defines FROM events JOIN t ON k = event_id % {len(_PROGRAMS)}),
+c AS (SELECT *, start || code || CASE WHEN defines THEN '; export function extract (x) {{}}' ELSE '; let extracted = 1' END AS whole, length(start) AS at FROM e)
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN props ELSE 'see: ' || props END AS inner_text, defines,
+  'forbidden token ' || name || ' at offset ' || at || ': ...' || regexp_replace(substr(whole, greatest(at - 20, 0) + 1, at - greatest(at - 20, 0) + length(hit) + 20), ' +', ' ', 'g') || '...' AS refused
+FROM c""")
 def response_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fences are stripped only from responses that are one fence as a whole; programs are checked for what they define and contain."""
     e = _table(spark, sf_dir, "events")
     fenced = F.concat(F.lit("  ```json\n"), "props", F.lit("\n```\n"))
     response = F.when(F.col("event_id") % 3 == 0, fenced).otherwise(F.concat(F.lit("see: "), "props", F.lit(" ")))
-    code = F.when(F.col("event_id") % 2 == 0, "export function extract(x) {}").otherwise(F.when(F.col("event_id") % 4 == 1, "eval (x)").otherwise("let other = 1"))
+    program = F.get(F.array(*(F.lit(code) for code, _, _ in _PROGRAMS)), (F.col("event_id") % len(_PROGRAMS)).cast("int"))
+    ending = F.when(F.col("event_id") % 2 == 0, "; export function extract (x) {}").otherwise("; let extracted = 1")
+    code = F.concat(F.lit("let item"), _text("event_id"), F.lit("  =  "), program, ending)
     return e.select("event_id", text.strip_fences(response).alias("inner_text"), text.defines_extract(code).alias("defines"), text.forbidden_reason(code).alias("refused"))
 
 
+def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of 20 customers: their table in two parts with different columns, their phones in numbered columns, and two small tables alike."""
+    c = _table(spark, sf_dir, "customer")
+    doc, key, name, street = F.floor((F.col("c_custkey") - 1) / 20), _text("c_custkey"), F.col("c_name"), F.concat(_text("c_nationkey"), F.lit(" High Road"))
+    city = F.concat(F.lit("Town "), F.lower("c_mktsegment"))
+    phones = [F.concat(F.lit(f"{k}-"), key) for k in (1, 2)]
+    even = F.col("c_custkey") % 2 == 0
+    made = [
+        render.tables(c.where(even), doc, "c_custkey", [key, name, street, city], ["Customer Id", "Cust name", "Street", "City"], F.lit("Customers")),
+        render.tables(c.where(~even), doc, "c_custkey", [key, name, city, street, F.col("c_mktsegment")], ["Customer-ID", "Label", "City", "Street", "Segment"], F.lit("Customers (continued)")),
+        render.tables(c, doc, "c_custkey", [key, *phones], ["customer id", "Phone1", "Phone2"], F.lit("Contacts")),
+        *(render.tables(c.where(F.col("c_custkey") % 20 == k), doc, "c_custkey", [F.lit(z), key], ["Zone", "Size"], F.lit(f"Zone {z}")) for k, z in ((1, "A"), (2, "B"))),
+    ]
+    every = groups.combine(*(m.withColumn("pos", F.lit(k)) for k, m in enumerate(made)))
+    listed = F.sort_array(F.collect_list(F.struct("pos", "html")))
+    return every.groupBy("doc_id").agg(F.array_join(F.transform(listed, lambda x: x["html"]), "\n").alias("html"))
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> pipeline.Result:
+    preferred = spark.createDataFrame([(0, "label", ["cust name"])], "pos int, name string, aliases array<string>")
+    return pipeline.run(customer_documents(spark, sf_dir), preferred)
+
+
 @query("""
-SELECT r_regionkey::BIGINT AS doc_id, (row_number() OVER (PARTITION BY r_regionkey ORDER BY n_nationkey) - 1)::BIGINT AS ord, n_nationkey::VARCHAR AS nation_key, n_name AS name
-FROM region JOIN nation ON n_regionkey = r_regionkey""")
+SELECT floor((c_custkey - 1) / 20)::BIGINT AS doc_id, (row_number() OVER (PARTITION BY floor((c_custkey - 1) / 20) ORDER BY c_custkey % 2, c_custkey) - 1)::BIGINT AS ord,
+  c_custkey::VARCHAR AS customer, c_name AS label, c_nationkey || ' High Road, Town ' || lower(c_mktsegment) AS address, CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS segment
+FROM customer""")
 def document_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All steps with plans by rule: the final table of each document is its nations."""
-    result = pipeline.run(nation_documents(spark, sf_dir))
-    return result.final.select("doc_id", "ord", F.col("rec")["nationKey"].alias("nation_key"), F.col("rec")["nAME"].alias("name"))
+    """All steps, each with a plan that does something: fields are renamed, phones unpivoted, zones and customers merged, addresses composed, and customers chosen."""
+    rec = F.col("rec")
+    return _customers(spark, sf_dir).final.select(
+        "doc_id", "ord", rec["customerId"].alias("customer"), rec["label"].alias("label"), rec["address"].alias("address"), rec["segment"].alias("segment")
+    )
+
+
+@query("""
+SELECT floor((c_custkey - 1) / 20)::BIGINT AS doc_id, 3::BIGINT AS groups, (3 * count(*) + count(*) FILTER (c_custkey % 20 IN (1, 2)))::BIGINT AS records, 1::BIGINT AS merges,
+  1::BIGINT AS joins, 1::BIGINT AS with_address, 'customers-merged' AS prominent FROM customer GROUP BY ALL""")
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.summary(_customers(spark, sf_dir))
+
+
+@query("""
+SELECT DISTINCT floor((c_custkey - 1) / 20)::BIGINT AS doc_id, 'contacts' AS left_group, 'customers-merged' AS right_group, 'customerId' AS left_field, 'customerId' AS right_field FROM customer""")
+def proposed_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Related groups, by the key that they share."""
+    rows = _customers(spark, sf_dir).joins.select("doc_id", F.col("left").alias("left_group"), F.col("right").alias("right_group"), F.inline("on"))
+    return rows.select("doc_id", "left_group", "right_group", F.col("left").alias("left_field"), F.col("right").alias("right_field"))

@@ -30,5 +30,8 @@ def settled(frame: DataFrame) -> DataFrame:
     """
     context = frame.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tabularium-"))
+        folder = context.getConf().get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tabularium-"))
     return frame.checkpoint()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,3 +98,20 @@ def write_texts(frame: DataFrame, text_col: str, path: str, by: str = "doc_id")
 def write_features(features: DataFrame, path: str) -> None:
     """Features as a GeoJSON text sequence, one a line, so that no task holds the collection."""
     features.select(F.col("feature").alias("value")).write.text(path)
+
+
+def write_feature_collection(features: DataFrame, path: str, files: int | None = None) -> None:
+    """Features as GeoJSON, each file a whole FeatureCollection: one for each partition, or ``files``. A task passes its features on as they come."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        line = lambda texts: pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["value"])
+        yield line(['{"type":"FeatureCollection","features":['])
+        comma = ""
+        for batch in batches:
+            for text in batch.column("feature").to_pylist():
+                yield line([comma + text])
+                comma = ","
+        yield line(["]}"])
+
+    rows = features.select("feature")
+    (rows if files is None else rows.repartition(files)).mapInArrow(run, "value string").write.text(path)
