@@ -23,11 +23,14 @@ NAME_FIELDS = (
 )
 #: Errors that pass: first the fixed values of web clients, then what Python's own say.
 TRANSIENT = r"HTTP\s+(408|429|5\d{2})|ECONN|ETIMEDOUT|fetch failed|socket hang up|ENETUNREACH|UND_ERR|timed out|Connection (reset|refused|aborted)"
-GEOCODE = (
-    "query string, status string, formatted_address string, lat double, lng double, place_id string, location_type string, partial_match boolean, types array<string>, "
-    "error string, calls int"
+#: What a lookup returns for each query.
+GEOCODE = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("query", "status", "formatted_address")]
+    + [T.StructField(c, T.DoubleType()) for c in ("lat", "lng")]
+    + [T.StructField(c, T.StringType()) for c in ("place_id", "location_type")]
+    + [T.StructField("partial_match", T.BooleanType()), T.StructField("types", T.ArrayType(T.StringType()))]
+    + [T.StructField("error", T.StringType()), T.StructField("calls", T.IntegerType())]
 )
-GEOCODE_TYPE = T.StructType.fromDDL(GEOCODE)
 
 
 def name_field(fields: list[str], override: str | None = None) -> str | None:
@@ -76,7 +79,7 @@ def geocode(records: DataFrame, lookup: Callable[[DataFrame], DataFrame], addres
     """
     rows = records.withColumn("__query", pick_address(F.col("rec")) if address is None else address)
     known = rows.where("__query is not null")
-    found = lookup(known.select(F.col("__query").alias("query")).distinct()).select(F.col("query").alias("__query"), F.struct(*GEOCODE_TYPE.names).alias("geocode"))
+    found = lookup(known.select(F.col("__query").alias("query")).distinct()).select(F.col("query").alias("__query"), F.struct(*GEOCODE.names).alias("geocode"))
     joined = known.join(found, "__query", "left")
     # Rows without an address would all meet on one key of the join.
     rest = rows.where("__query is null").withColumn("geocode", F.lit(None).cast(joined.schema["geocode"].dataType))
@@ -98,7 +101,7 @@ def gazetteer_lookup(gazetteer: DataFrame) -> Callable[[DataFrame], DataFrame]:
             given = F.coalesce(given, F.array().cast("array<string>"))
         return given.cast(field.dataType).alias(field.name)
 
-    return lambda asked: asked.join(gazetteer, "query", "left").select(*map(column, GEOCODE_TYPE))
+    return lambda asked: asked.join(gazetteer, "query", "left").select(*map(column, GEOCODE))
 
 
 def service_lookup(call: Callable[[str], dict], per_second: float | None = None, attempts: int = 5, partitions: int = 4) -> Callable[[DataFrame], DataFrame]:
@@ -109,7 +112,7 @@ def service_lookup(call: Callable[[str], dict], per_second: float | None = None,
     pauses; ``per_second`` bounds the calls of all tasks together. An exception
     is a row of status ERROR.
     """
-    arrow = to_arrow_schema(GEOCODE_TYPE)
+    arrow = to_arrow_schema(GEOCODE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import random

@@ -115,11 +115,11 @@ class Rules:
         title = F.regexp_replace(normalise_title(F.col("title")), "( (continued|cont|part|page|[0-9]+))+$", "")
         order = Window.partitionBy("doc_id", "key")
         rows = groups.withColumn("key", title).where("key <> ''").withColumn("n", F.count("*").over(order)).where("n >= 2")
-        same = F.map_from_entries(F.transform(_spelt_alike("fields"), lambda f: F.struct(f["name"], camel_case(f["name"]))))
-        listed = F.sort_array(F.collect_list(F.struct("group_name", same.alias("map"))))
+        same = F.transform(_spelt_alike("fields"), lambda f: F.struct(f["name"].alias("src"), camel_case(f["name"]).alias("dst")))
+        listed = F.sort_array(F.collect_list(F.struct("group_name", same.alias("pairs"))))
         out = rows.groupBy("doc_id", "key").agg(listed.alias("g"))
         names = F.transform("g", lambda x: x["group_name"])
-        maps = F.map_from_entries(F.transform("g", lambda x: F.struct(x["group_name"], x["map"])))
+        maps = F.map_from_entries(F.transform("g", lambda x: F.struct(x["group_name"], F.map_from_entries(x["pairs"]))))
         return out.select("doc_id", F.col("key").alias("plan_id"), names.alias("groups"), F.concat(F.get(names, F.lit(0)), F.lit("-merged")).alias("target"), maps.alias("field_maps"))
 
     def joins(self, groups: DataFrame) -> DataFrame:

@@ -498,7 +498,7 @@ k AS (SELECT *, least(600, rest) // 2 - 200 AS keep FROM c)
 SELECT p_partkey AS doc_id, 2::BIGINT AS regions, concat_ws(chr(10) || chr(10), '<!-- SAMPLE: DOCUMENT HEAD (first 160 chars of ' || length(html) || ') -->', top,
   CASE WHEN NOT shown THEN '<!-- SAMPLE: STRUCTURED REGION title="' || p_brand || '" kind="text" (first occurrence) -->' || chr(10) || chr(10) || one END,
   '<!-- SAMPLE: STRUCTURED REGION title="' || p_type || '" kind="list" (first occurrence) -->',
-  left(three, keep) || chr(10) || '<!-- ... region truncated: ' || (length(three) - 2 * keep) || ' chars omitted ... -->' || chr(10) || right(three, keep),
+  CASE WHEN length(three) <= least(600, rest) THEN three ELSE left(three, keep) || chr(10) || '<!-- ... region truncated: ' || (length(three) - 2 * keep) || ' chars omitted ... -->' || chr(10) || right(three, keep) END,
   '<!-- SAMPLE: DOCUMENT TAIL (last 20 chars of ' || length(html) || ') -->', right(html, 20)) AS sample FROM k""")
 def extractor_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of three regions: the first may end within the head, the second repeats its title and kind, the third is cut."""
@@ -553,10 +553,10 @@ _quote = lambda s: "NULL" if s is None else "'" + s.replace("'", "''") + "'"  #
 
 @query(f"""
 WITH t(k, code, hit, name) AS (VALUES {', '.join(f'({k}, {_quote(c)}, {_quote(h)}, {_quote(n)})' for k, (c, h, n) in enumerate(_PROGRAMS))}),
-e AS (SELECT event_id, props, hit, name, 'let item' || event_id || '  =  ' AS start, code, event_id % 2 = 0 AS defines FROM events JOIN t ON k = event_id % {len(_PROGRAMS)}),
-c AS (SELECT *, start || code || CASE WHEN defines THEN '; export function extract (x) {{}}' ELSE '; let extracted = 1' END AS whole, length(start) AS at FROM e)
+e AS (SELECT event_id, props, hit, name, 'let item' || event_id || '  =  ' AS opening, code, event_id % 2 = 0 AS defines FROM events JOIN t ON k = event_id % {len(_PROGRAMS)}),
+c AS (SELECT *, opening || code || CASE WHEN defines THEN '; export function extract (x) {{}}' ELSE '; let extracted = 1' END AS whole, length(opening) AS place FROM e)
 SELECT event_id, CASE event_id % 3 WHEN 0 THEN props ELSE 'see: ' || props END AS inner_text, defines,
-  'forbidden token ' || name || ' at offset ' || at || ': ...' || regexp_replace(substr(whole, greatest(at - 20, 0) + 1, at - greatest(at - 20, 0) + length(hit) + 20), ' +', ' ', 'g') || '...' AS refused
+  'forbidden token ' || name || ' at offset ' || place || ': ...' || regexp_replace(substr(whole, greatest(place - 20, 0) + 1, place - greatest(place - 20, 0) + length(hit) + 20), ' +', ' ', 'g') || '...' AS refused
 FROM c""")
 def response_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fences are stripped only from responses that are one fence as a whole; programs are checked for what they define and contain."""
@@ -572,13 +572,13 @@ def response_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of 20 customers: their table in two parts with different columns, their phones in numbered columns, and two small tables alike."""
     c = _table(spark, sf_dir, "customer")
-    doc, key, name, street = F.floor((F.col("c_custkey") - 1) / 20), _text("c_custkey"), F.col("c_name"), F.concat(_text("c_nationkey"), F.lit(" High Road"))
+    doc, key, name, street = F.floor(F.col("c_custkey") / 20), _text("c_custkey"), F.col("c_name"), F.concat(_text("c_nationkey"), F.lit(" High Road"))
     city = F.concat(F.lit("Town "), F.lower("c_mktsegment"))
     phones = [F.concat(F.lit(f"{k}-"), key) for k in (1, 2)]
     even = F.col("c_custkey") % 2 == 0
     made = [
         render.tables(c.where(even), doc, "c_custkey", [key, name, street, city], ["Customer Id", "Cust name", "Street", "City"], F.lit("Customers")),
-        render.tables(c.where(~even), doc, "c_custkey", [key, name, city, street, F.col("c_mktsegment")], ["Customer-ID", "Label", "City", "Street", "Segment"], F.lit("Customers (continued)")),
+        render.tables(c.where(~even), doc, "c_custkey", [key, name, city, street, F.col("c_mktsegment")], ["Customer-Id", "Label", "City", "Street", "Segment"], F.lit("Customers (continued)")),
         render.tables(c, doc, "c_custkey", [key, *phones], ["customer id", "Phone1", "Phone2"], F.lit("Contacts")),
         *(render.tables(c.where(F.col("c_custkey") % 20 == k), doc, "c_custkey", [F.lit(z), key], ["Zone", "Size"], F.lit(f"Zone {z}")) for k, z in ((1, "A"), (2, "B"))),
     ]
@@ -593,7 +593,7 @@ def _customers(spark: SparkSession, sf_dir: str) -> pipeline.Result:
 
 
 @query("""
-SELECT floor((c_custkey - 1) / 20)::BIGINT AS doc_id, (row_number() OVER (PARTITION BY floor((c_custkey - 1) / 20) ORDER BY c_custkey % 2, c_custkey) - 1)::BIGINT AS ord,
+SELECT floor(c_custkey / 20)::BIGINT AS doc_id, (row_number() OVER (PARTITION BY floor(c_custkey / 20) ORDER BY c_custkey % 2, c_custkey) - 1)::BIGINT AS ord,
   c_custkey::VARCHAR AS customer, c_name AS label, c_nationkey || ' High Road, Town ' || lower(c_mktsegment) AS address, CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS segment
 FROM customer""")
 def document_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -605,14 +605,14 @@ def document_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT floor((c_custkey - 1) / 20)::BIGINT AS doc_id, 3::BIGINT AS groups, (3 * count(*) + count(*) FILTER (c_custkey % 20 IN (1, 2)))::BIGINT AS records, 1::BIGINT AS merges,
+SELECT floor(c_custkey / 20)::BIGINT AS doc_id, 3::BIGINT AS groups, (3 * count(*) + count(*) FILTER (c_custkey % 20 IN (1, 2)))::BIGINT AS records, 1::BIGINT AS merges,
   1::BIGINT AS joins, 1::BIGINT AS with_address, 'customers-merged' AS prominent FROM customer GROUP BY ALL""")
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.summary(_customers(spark, sf_dir))
 
 
 @query("""
-SELECT DISTINCT floor((c_custkey - 1) / 20)::BIGINT AS doc_id, 'contacts' AS left_group, 'customers-merged' AS right_group, 'customerId' AS left_field, 'customerId' AS right_field FROM customer""")
+SELECT DISTINCT floor(c_custkey / 20)::BIGINT AS doc_id, 'contacts' AS left_group, 'customers-merged' AS right_group, 'customerId' AS left_field, 'customerId' AS right_field FROM customer""")
 def proposed_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Related groups, by the key that they share."""
     rows = _customers(spark, sf_dir).joins.select("doc_id", F.col("left").alias("left_group"), F.col("right").alias("right_group"), F.inline("on"))

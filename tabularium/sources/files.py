@@ -31,14 +31,14 @@ def page_images(spark: SparkSession, path: str) -> DataFrame:
 
 def page_html(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, page, html)`` of ``<path>/<doc>/page-001.html`` and so on."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.html").option("recursiveFileLookup", "true").text(path)
+    files = spark.read.option("pathGlobFilter", "*.html").option("recursiveFileLookup", "true").text(path, wholetext=True)
     at = F.col("_metadata.file_path")
     return files.select(_folder(at).alias("doc_id"), _number(at).alias("page"), F.col("value").alias("html"))
 
 
 def page_hints(spark: SparkSession, path: str) -> DataFrame:
     """The hints of ``<path>/<doc>/*.json``, a row each; files that are no such JSON are passed over, a missing page number is read from the name."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").text(path)
+    files = spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").text(path, wholetext=True)
     at = F.col("_metadata.file_path")
     rows = files.select(_folder(at).alias("doc_id"), _number(at).alias("named"), F.from_json("value", f"page int, structuredHints array<{HINT}>").alias("v"))
     rows = rows.where("v is not null").select("doc_id", F.coalesce("v.page", "named").alias("page"), F.posexplode("v.structuredHints").alias("place", "h"))
@@ -50,7 +50,7 @@ def page_hints(spark: SparkSession, path: str) -> DataFrame:
 
 def preferred_fields(spark: SparkSession, path: str) -> DataFrame:
     """``(pos, name, description, aliases, type)`` of a JSON array of names or of objects with a name; anything else raises."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     rows = text.select(F.posexplode(F.from_json("value", "array<string>")).alias("pos", "item"))
     obj = F.from_json("item", "name string, description string, aliases array<string>, type string")
     rows = rows.select("pos", "item", F.when(F.rlike("item", F.lit(r"^\s*\{")), obj).alias("o"))
@@ -66,7 +66,7 @@ def field_list(value: F.Column) -> F.Column:
 
 def record_files(spark: SparkSession, path: str) -> DataFrame:
     """``(file, ord, rec)`` of JSON files that hold an array of records, or an object with one under ``records``; a file with neither gives no row."""
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_name").alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
     bare = F.from_json("value", "array<map<string,string>>")
     within = F.from_json("value", "records array<map<string,string>>")["records"]
     listed = F.when(F.rlike("value", F.lit(r"^\s*\[")), bare).otherwise(within)
@@ -75,7 +75,7 @@ def record_files(spark: SparkSession, path: str) -> DataFrame:
 
 def final_documents(spark: SparkSession, path: str, title: str | None = None, summary: str | None = None) -> DataFrame:
     """``(file, group_name, title, summary)`` of final-output files; given values win over those in the file."""
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_name").alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
     v = F.from_json("value", "groupName string, title string, recommendation struct<summary:string>")
     own = lambda given, found: F.coalesce(not_blank(F.lit(given).cast("string")), found)
     return files.select("file", v["groupName"].alias("group_name"), own(title, v["title"]).alias("title"), own(summary, v["recommendation"]["summary"]).alias("summary"))
@@ -101,7 +101,7 @@ def write_features(features: DataFrame, path: str) -> None:
 
 
 def write_feature_collection(features: DataFrame, path: str, files: int | None = None) -> None:
-    """Features as GeoJSON, each file a whole FeatureCollection: one for each partition, or ``files``. A task passes its features on as they come."""
+    """Features as GeoJSON, each file a whole FeatureCollection: one for each partition, or ``files``; without features there is none. A task passes its features on as they come."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         line = lambda texts: pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["value"])
