@@ -119,7 +119,7 @@ def base_columns(texts: pa.Array, words: Words) -> dict[str, np.ndarray]:
 #: Characters that are worked on at once.
 CHARS_AT_ONCE = 1 << 20
 #: Different n-grams of a slice that are held before equal ones are put together.
-GRAMS_HELD = 1 << 21
+GRAMS_HELD = 600_000
 
 
 @dataclass
