@@ -7,7 +7,8 @@ of its bigrams, so a licence is found wherever it stands, over several
 paragraphs or within a line. A unit is compared, as a set of word bigrams, with
 each template that its size allows: a coefficient of ``t`` needs sizes within a
 factor of ``t / (2 - t)``. Windows are cut for a template only if the whole text
-has as many of its bigrams as the smallest such set. A text's result is its best match.
+has as many of its bigrams as the smallest such set. A text's result is the match
+with the most bigrams in common, so that a short notice within a licence doesn't hide it.
 
 Most texts of a corpus hold no licence at all. A match shares at least
 ``t / (2 - t)`` of the template's bigrams, so if all but fewer of a template's
@@ -78,13 +79,6 @@ TEMPLATES: list[tuple[str, str]] = [
         "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE "
         "OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     ),
-    (
-        "BSD-2-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
-        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
-        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
-        "and/or other materials provided with the distribution.",
-    ),
     ("BSD-2-Clause", BSD_GRANT + BSD_CLAUSES + BSD_DISCLAIMER),
     (
         "BSD-3-Clause",
@@ -236,8 +230,8 @@ def best_match(text: Column, templates: list[tuple[str, str]], threshold: float)
     )
 
     def match(g: Column, t: Column) -> Column:
-        dice = F.lit(2.0) * F.size(F.array_intersect(g, t["grams"])) / (F.size(g) + t["n"])
-        return F.struct((-dice).alias("dice"), t["name"].alias("name"))
+        common = F.size(F.array_intersect(g, t["grams"]))
+        return F.struct((-common).alias("common"), (F.lit(-2.0) * common / (F.size(g) + t["n"])).alias("dice"), t["name"].alias("name"))
 
     def compare(g: Column) -> Column:
         return F.transform(F.filter(table, lambda t: F.size(g).between(t["low"], t["high"])), lambda t: match(g, t))
@@ -300,11 +294,10 @@ place AS (SELECT r, unnest(p) AS gram, unnest(range(1, len(p) + 1)) AS i FROM pa
 start AS (SELECT DISTINCT r, t, i FROM place JOIN (SELECT t, unnest(grams) AS gram FROM template) USING (gram)),
 wide AS (SELECT r, name, grams, list_distinct(p[i : i + width - 1]) AS g FROM start JOIN template USING (t) JOIN pair USING (r)),
 pot AS (SELECT r, name, grams, g FROM gram, template UNION ALL FROM wide),
-hit AS (
-  SELECT r, name, 2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
-  FROM pot WHERE 2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) >= {threshold}),
-best AS (SELECT r, max(dice) AS dice, count(DISTINCT name) AS n FROM hit GROUP BY r),
-name AS (SELECT r, min(name) AS license FROM hit JOIN best USING (r) WHERE hit.dice = best.dice GROUP BY r)
+scored AS (SELECT r, name, len(list_intersect(g, grams)) AS common, len(g) + len(grams) AS sizes FROM pot),
+hit AS (SELECT r, name, common, 2.0::DOUBLE * common / sizes AS dice FROM scored WHERE 2.0::DOUBLE * common / sizes >= {threshold}),
+best AS (SELECT r, name AS license, dice FROM hit QUALIFY row_number() OVER (PARTITION BY r ORDER BY common DESC, dice DESC, name) = 1),
+kinds AS (SELECT r, count(DISTINCT name) AS n FROM hit GROUP BY r)
 SELECT doc_id, license, coalesce(dice, 0.0) AS dice, coalesce(n, 0)::BIGINT AS n_matches
-FROM doc LEFT JOIN best USING (r) LEFT JOIN name USING (r)
+FROM doc LEFT JOIN best USING (r) LEFT JOIN kinds USING (r)
 """

@@ -156,9 +156,8 @@ def text_features(texts: pa.Array, lexicon: dict[str, float]) -> np.ndarray:
     if len(where) and len(mine):
         after = np.minimum(np.searchsorted(where, mine), len(where) - 1)
         before = np.maximum(np.searchsorted(where, mine, side="right") - 1, 0)
-        for side in (after, before):
-            close = (np.abs(where[side] - mine) <= NEAR) & (owner[where[side]] == owner[mine])
-            near = np.maximum(near, np.bincount(owner[mine[close]], minlength=len(texts)))
+        close = [(np.abs(where[side] - mine) <= NEAR) & (owner[where[side]] == owner[mine]) for side in (after, before)]
+        near = np.bincount(owner[mine[close[0] | close[1]]], minlength=len(texts))
     return np.stack(
         [
             sums(weight) / n, sums(hit) / n, largest, near / n, sums(person) / n, capitals / np.maximum(letters, 1),

@@ -321,7 +321,7 @@ def plain_scan(text):
     units = {u for t in [text or ""] for u in (*t.split("\n"), *re.split(r"\n[ \t\r]*\n", t), t)}
     words = license_scan.normal_words(text or "")
     pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
-    best, names = (0.0, None), set()
+    best, names = (0, 0.0, None), set()
     for name, template in license_scan.TEMPLATES:
         h, width = set(license_scan.bigrams(template)), len(license_scan.normal_words(template)) - 1
         sets = [set(license_scan.bigrams(u)) for u in units] + [set(pairs[i : i + width]) for i, p in enumerate(pairs) if p in h]
@@ -329,8 +329,8 @@ def plain_scan(text):
             dice = 2 * len(g & h) / (len(g) + len(h)) if g else 0.0
             if dice >= license_scan.THRESHOLD:
                 names.add(name)
-                best = min(best, (-dice, name), key=lambda x: (x[0], x[1] or ""))
-    return best[1], -best[0] if best[1] else 0.0, len(names)
+                best = min(best, (-len(g & h), -dice, name), key=lambda x: (*x[:2], x[2] or ""))
+    return best[2], -best[1] if best[2] else 0.0, len(names)
 
 
 def test_licences(spark, docs, texts):
