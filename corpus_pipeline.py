@@ -57,7 +57,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack),
 ]
 
-#: Learned models decide two stages, which SQL can't express; tests hold run() against a brute-force version.
+#: Learned models decide two stages, which SQL can't express; tests hold each stage against plain versions of its rule.
 ORACLE_SQL: str | None = None
 
 
@@ -69,4 +69,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if number + 1 < len(STAGES):
             docs = scratch.write(docs, str(number))
+            if number:
+                scratch.drop(str(number - 1))
     return docs
