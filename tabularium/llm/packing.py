@@ -43,9 +43,10 @@ GROUP_PIECES = 8192
 SEED = 20
 WORDS_AT_ONCE = 500
 #: Words whose ids a Python worker keeps.
-WORDS_KEPT = 150_000
+WORDS_KEPT = 400_000
 #: Marks that a vocabulary may cut off a word, and letters whose case it may fold.
 MARKS, LETTERS = ".,;:!?", "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+PLAIN = re.compile(f"[{LETTERS}]+")
 
 
 @lru_cache(maxsize=2)
@@ -97,6 +98,32 @@ def folds(path: str) -> bool:
     return apart and all(library.normalizer.normalize_str(c) == c.lower() for c in every)
 
 
+@lru_cache(maxsize=2)
+def word_ends(path: str) -> np.ndarray | None:
+    """For each id whether it ends a word, if the vocabulary marks that and folds (see ``folds``)."""
+    library, _ = tokenizer(path)
+    mark = getattr(library.model, "end_of_word_suffix", None)
+    if not mark or not folds(path):
+        return None
+    known = library.get_vocab()
+    out = np.zeros(max(known.values()) + 1, dtype=bool)
+    out[[number for token, number in known.items() if token.endswith(mark)]] = True
+    return out
+
+
+def encode_plain(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray] | None:
+    """Ids of words of ``LETTERS`` alone, joined by blanks: the ids say where each ends. None where they don't."""
+    library, _ = tokenizer(path)
+    joined = [" ".join(words[a : a + WORDS_AT_ONCE]) for a in range(0, len(words), WORDS_AT_ONCE)]
+    parts = [
+        np.fromiter(chain.from_iterable(e.ids for e in library.encode_batch_fast(joined[a : a + 8], add_special_tokens=False)), dtype=np.uint32)
+        for a in range(0, len(joined), 8)
+    ]
+    ids = np.concatenate([np.zeros(0, dtype=np.uint32), *parts])
+    ends = np.flatnonzero(word_ends(path)[ids]) + 1
+    return (ids, np.concatenate([[0], ends])) if len(ends) == len(words) and (not len(ids) or ends[-1] == len(ids)) else None
+
+
 class WordIds:
     """The ids of words, of which the first ``WORDS_KEPT`` stay for later slices."""
 
@@ -104,13 +131,25 @@ class WordIds:
         self.path, self.place = path, {}
         self.flat, self.starts = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
 
+    def _fresh(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Words, plain ones first, with their ids."""
+        if word_ends(self.path) is None:
+            return words, *encode_words(words, self.path)
+        plain, other = [], []
+        for w in words:
+            (plain if PLAIN.fullmatch(w) else other).append(w)
+        found = encode_plain(plain, self.path) or encode_words(plain, self.path)
+        rest = encode_words(other, self.path)
+        return plain + other, np.concatenate([found[0], rest[0]]), np.concatenate([found[1], rest[1][1:] + found[1][-1]])
+
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words one after another, and where each starts."""
         at = np.fromiter((self.place.get(w, -1) for w in words), dtype=np.int64, count=len(words))
-        new = np.flatnonzero(at < 0)
-        fresh = [words[i] for i in new.tolist()]
-        flat, starts = encode_words(fresh, self.path)
+        new = np.flatnonzero(at < 0).tolist()
+        fresh, flat, starts = self._fresh([words[i] for i in new])
         kept = len(self.place)
-        at[new] = kept + np.arange(len(new))
+        number = dict(zip(fresh, range(kept, kept + len(fresh)), strict=True))
+        at[new] = np.fromiter((number[words[i]] for i in new), dtype=np.int64, count=len(new))
         flat = np.concatenate([self.flat, flat])
         starts = np.concatenate([self.starts, starts[1:] + self.starts[-1]])
         room = min(len(fresh), max(0, WORDS_KEPT - kept))
@@ -133,7 +172,8 @@ def encode_types(types: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         return word_ids(path).encode(types.to_pylist())
     plain = pc.match_substring_regex(types, f"^[{LETTERS}]+[{MARKS}]?$")
     stem = pc.if_else(plain, pc.utf8_rtrim(pc.utf8_lower(types), MARKS), types)
-    last = pc.if_else(plain, pc.replace_substring_regex(types, f"^[{LETTERS}]+", ""), "")
+    last = pc.utf8_slice_codeunits(types, -1)
+    last = pc.if_else(pc.and_(plain, pc.is_in(last, value_set=pa.array(list(MARKS)))), last, "")
     coded = pa.chunked_array([stem, last]).dictionary_encode().unify_dictionaries().combine_chunks()
     units = coded.dictionary.to_pylist()
     flat, starts = word_ids(path).encode(units)
