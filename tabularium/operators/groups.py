@@ -108,11 +108,15 @@ def unpivot_group(records: DataFrame, plan: DataFrame) -> DataFrame:
     return out.unionByName(records.join(good.select(*KEY).distinct(), list(KEY), "left_anti"))
 
 
-def merged_fields(groups: DataFrame, plan: DataFrame) -> DataFrame:
-    """``(doc_id, plan_id, target, fields)``: the schema of each merge; of equal names the first in plan order gives the type."""
+def merged_fields(groups: DataFrame, plan: DataFrame, camel: bool = False) -> DataFrame:
+    """``(doc_id, plan_id, target, fields)``: the schema of each merge; of equal names the first in plan order gives the type.
+
+    Fields without a new name become camel case where ``camel`` holds, as in ``merge_groups``.
+    """
+    plain = field_name if camel else (lambda c: c)
     rows = _members(groups, plan).join(groups.select(*KEY, "fields"), list(KEY))
     rows = rows.select("doc_id", "plan_id", "target", "src_pos", F.col("field_maps")[F.col("group_name")].alias("m"), F.posexplode("fields").alias("f_pos", "f"))
-    rows = rows.select("doc_id", "plan_id", "target", F.struct("src_pos", "f_pos").alias("at"), F.coalesce(F.col("m")[F.col("f.name")], F.col("f.name")).alias("name"), "f.type")
+    rows = rows.select("doc_id", "plan_id", "target", F.struct("src_pos", "f_pos").alias("at"), F.coalesce(F.col("m")[F.col("f.name")], plain(F.col("f.name"))).alias("name"), "f.type")
     first = rows.groupBy("doc_id", "plan_id", "target", "name").agg(F.min("at").alias("at"), F.min_by("type", "at").alias("type"))
     listed = F.sort_array(F.collect_list(F.struct("at", "name", "type")))
     return first.groupBy("doc_id", "plan_id", "target").agg(F.transform(listed, lambda x: F.struct(x["name"].alias("name"), x["type"].alias("type"))).alias("fields"))

@@ -142,3 +142,33 @@ class Rules:
         template = F.array_join(F.transform("columns", lambda c: F.concat(F.lit("{"), c, F.lit("}"))), ", ")
         sure = F.when(F.size("columns") >= 3, "high").otherwise("medium")
         return found.where(F.size("columns") >= 2).select("doc_id", "group_name", F.lit(True).alias("has_address"), sure.alias("confidence"), "columns", template.alias("join_template"))
+
+
+class Fallback:
+    """What the first proposer says of a document, and where it says nothing of one, what the second does."""
+
+    def __init__(self, first: Proposer, second: Proposer):
+        self.first, self.second = first, second
+
+    def _either(self, name: str, *args: DataFrame) -> DataFrame:
+        given, other = (getattr(p, name)(*args) for p in (self.first, self.second))
+        rest = other.join(given.select("doc_id").distinct(), "doc_id", "left_anti")
+        return given.unionByName(rest, allowMissingColumns=True)
+
+    def field_maps(self, groups: DataFrame, preferred: DataFrame) -> DataFrame:
+        return self._either("field_maps", groups, preferred)
+
+    def row_merges(self, groups: DataFrame) -> DataFrame:
+        return self._either("row_merges", groups)
+
+    def pivots(self, groups: DataFrame) -> DataFrame:
+        return self._either("pivots", groups)
+
+    def merges(self, groups: DataFrame) -> DataFrame:
+        return self._either("merges", groups)
+
+    def joins(self, groups: DataFrame) -> DataFrame:
+        return self._either("joins", groups)
+
+    def addresses(self, groups: DataFrame) -> DataFrame:
+        return self._either("addresses", groups)

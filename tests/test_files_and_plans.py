@@ -113,6 +113,19 @@ def test_proposed_merges_and_joins(spark):
     assert pipeline.summary(pipeline.run(docs.limit(0))).count() == 0
 
 
+def test_fallback_speaks_where_the_first_is_silent(spark):
+    own = spark.createDataFrame(
+        [(d, f"t{k}", "", [("Port code", "string"), ("Size", "number")]) for d in (1, 2) for k in (1, 2)],
+        "doc_id long, group_name string, title string, fields array<struct<name:string,type:string>>",
+    )
+    given = spark.createDataFrame([(1, "p", ["t2", "t1"], "mine", None)], proposers.MERGES)
+    plan = proposers.Fallback(proposers.GivenPlans(spark, {"row_merges": given}), proposers.Rules())
+    assert sorted((r.doc_id, r.target) for r in plan.row_merges(own).collect()) == [(1, "mine"), (2, "t1-all")]
+    assert plan.pivots(own).count() == 0 and plan.joins(own).count() == 2 and plan.addresses(own).count() == 0 and plan.merges(own).count() == 0
+    fields = {r.doc_id: [(f.name, f.type) for f in r.fields] for r in groups.merged_fields(own, plan.row_merges(own), camel=True).collect()}
+    assert fields == {1: [("portCode", "string"), ("size", "number")], 2: [("portCode", "string"), ("size", "number")]}
+
+
 def test_program(spark, tmp_path):
     for page, rows in ((1, [("a", "1")]), (2, [("b", "2"), ("c", "3")])):
         folder = tmp_path / "in" / "report"
