@@ -40,6 +40,13 @@ def name_field(fields: list[str], override: str | None = None) -> str | None:
     return next((f for f in NAME_FIELDS if f in fields), None)
 
 
+def name_field_of(fields: Column, override: str | None = None) -> Column:
+    """``name_field`` for a column of fields (name, type), so that each group of each document has its own; null where there is none."""
+    names = F.transform(fields, lambda f: f["name"])
+    wanted = [*([override] if override else []), *NAME_FIELDS]
+    return F.get(F.filter(F.array(*map(F.lit, wanted)), lambda n: F.array_contains(names, n)), F.lit(0))
+
+
 def with_addresses(records: DataFrame, plan: DataFrame) -> DataFrame:
     """Records with an address field filled from their group's template.
 
@@ -177,6 +184,25 @@ def batches(records: DataFrame, size: int = 5) -> DataFrame:
     return rows.withColumn("batch", F.floor(F.col("index") / size))
 
 
+def verification_inputs(records: DataFrame, groups: DataFrame, plan: DataFrame, size: int = 5, override: str | None = None) -> DataFrame:
+    """What a verifier is told of each record with an address: ``(doc_id, group_name, ord, index, batch, input)``.
+
+    ``input`` has ``index``, ``name`` where the group has a name field,
+    ``address`` (as ``with_addresses`` has filled it) and the columns that the
+    address is made of. ``plan`` has a row per group, see ``complete_address_plan``.
+    """
+    own = groups.select("doc_id", "group_name", name_field_of(F.col("fields"), override).alias("__name"))
+    told = plan.where("has_address").select("doc_id", "group_name", F.col("columns").alias("__columns"))
+    rows = batches(records.join(told, ["doc_id", "group_name"]), size).join(own, ["doc_id", "group_name"])
+    r = F.col("rec")
+    # The composed address is the last of the names that with_addresses may have taken.
+    address = F.coalesce(r["fullAddress2"], r["fullAddress"], r["address"])
+    parts = F.map_filter(r, lambda k, v: F.array_contains("__columns", k) & ~k.isin("index", "name", "address"))
+    name = F.when(F.col("__name").isNotNull(), F.create_map(F.lit("name"), r[F.col("__name")])).otherwise(F.create_map().cast("map<string,string>"))
+    made = F.map_concat(F.create_map(F.lit("index"), F.col("index").cast("string")), name, F.create_map(F.lit("address"), address), parts)
+    return rows.select("doc_id", "group_name", "ord", "index", "batch", made.alias("input"))
+
+
 def attach_verifications(records: DataFrame, found: DataFrame) -> DataFrame:
     """Records with ``verification``, by place; without one its confidence is ``unknown``. ``found``: ``(doc_id, group_name, ord, confidence, ...)``."""
     given = found.select("doc_id", "group_name", "ord", F.struct(confidence(F.col("confidence"), "unknown").alias("confidence"), "matched_name", "matched_address", "evidence").alias("verification"))

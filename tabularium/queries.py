@@ -429,6 +429,25 @@ def verify_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.batches(rec).select("doc_id", "ord", "index", "batch")
 
 
+@query("""
+WITH a AS (SELECT floor(c_custkey / 100)::BIGINT AS doc_id, 'customers' AS group_name, c_custkey AS ord, c_name AS name, c_mktsegment AS town, c_nationkey::VARCHAR AS land FROM customer
+  UNION ALL SELECT floor(s_suppkey / 100)::BIGINT, 'suppliers', s_suppkey, NULL, s_name, s_nationkey::VARCHAR FROM supplier),
+i AS (SELECT *, (row_number() OVER (PARTITION BY doc_id, group_name ORDER BY ord) - 1)::BIGINT AS index FROM a)
+SELECT doc_id, group_name, index, index // 5 AS batch, index::VARCHAR AS told_index, name, town || ', ' || land AS address, town, NULL::VARCHAR AS other FROM i""")
+def verification_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two kinds of groups, one with a name field and one without; what isn't part of the address isn't told."""
+    c, s = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "supplier")
+    a = _records(c, F.floor(F.col("c_custkey") / 100), F.lit("customers"), F.col("c_custkey"), company=F.col("c_name"), town=F.col("c_mktsegment"), land=F.col("c_nationkey"), other=F.lit("x"))
+    b = _records(s, F.floor(F.col("s_suppkey") / 100), F.lit("suppliers"), F.col("s_suppkey"), town=F.col("s_name"), land=F.col("s_nationkey"), other=F.lit("y"))
+    rec = groups.combine(a, b)
+    own = rec.select("doc_id", "group_name").distinct()
+    own = own.withColumn("fields", F.when(F.col("group_name") == "customers", _fields("company", "town", "land", "other")).otherwise(_fields("town", "land", "other")))
+    plan = own.select("doc_id", "group_name", F.lit(True).alias("has_address"), F.lit("{town}, {land}").alias("join_template"), F.array(F.lit("town"), F.lit("land")).alias("columns"))
+    told = enrich.verification_inputs(enrich.with_addresses(rec, plan), own, plan)
+    v = F.col("input")
+    return told.select("doc_id", "group_name", "index", "batch", v["index"].alias("told_index"), v["name"].alias("name"), v["address"].alias("address"), v["town"].alias("town"), v["other"].alias("other"))
+
+
 # --- costs ---
 
 
