@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm import license_scan
+from tabularium.llm import fill_in_middle, license_scan
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,6 +97,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.transform(_table(spark, sf_dir, "documents"), digests_only=True)
+
+
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabularium.llm import piece_bpe
+
+    return piece_bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digests_only=True)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabularium.llm import hard_negatives
+
+    label = F.col("label").cast("long")
+    vectors = _table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(spark, vectors, is_anchor=lambda c: c % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_zstd": op1_warc_zstd,
     "op2_language_id": op2_language_id,
@@ -108,6 +126,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_piece_bpe": op12_piece_bpe,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
@@ -120,4 +141,17 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN main > page_id THEN 're
   CASE WHEN main > page_id THEN main END AS refers_to FROM m
 """,
     "op4_license_scan": license_scan.oracle_sql(),
+    "op11_fill_in_middle": fill_in_middle.oracle_sql(),
+    "op13_hard_negatives": """
+WITH g AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda v: floor(256 * v::DOUBLE)) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM g a JOIN g b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id))::INT AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+""",
 }
