@@ -105,18 +105,33 @@ def fill_templates(record: Column, template: Column) -> Column:
     return clean_commas(F.array_join(filled, ""))
 
 
+#: Languages that a fence may name.
+FENCE_LANGUAGES = ("html", "json", "javascript", "js", "typescript", "ts", "jsx", "tsx")
+FENCE = "```"
+
+
 def strip_fences(s: Column) -> Column:
-    """The inside of a text that is one fenced block as a whole, else the stripped text."""
+    """The inside of a text that is one fenced block as a whole, else the text; stripped in both cases.
+
+    A language after the opening fence goes too, in any case of letters and
+    whether or not a line ends there; another word is part of the content.
+    """
     whole = strip(s)
-    inner = r"(?s)^```(?:json|javascript|js|html|typescript|ts)?[ \t]*\r?\n(.*?)\r?\n?```$"
-    return F.when(F.rlike(whole, F.lit(inner)), strip(F.regexp_extract(whole, inner, 1))).otherwise(whole)
+    inside = F.substring(whole, F.lit(len(FENCE) + 1), F.length(whole) - 2 * len(FENCE))
+    word = F.regexp_extract(inside, "^[A-Za-z]*", 0)
+    content = F.when(F.lower(word).isin(*FENCE_LANGUAGES), F.substring(inside, F.length(word) + 1, F.length(inside))).otherwise(inside)
+    fenced = F.startswith(whole, F.lit(FENCE)) & F.endswith(whole, F.lit(FENCE)) & (F.length(whole) >= 2 * len(FENCE))
+    return F.when(fenced, strip(content)).otherwise(whole)
 
 
 def defines_extract(code: Column) -> Column:
-    """Whether a program declares ``extract``: as a function, or as a variable that gets a value at once."""
-    blank = f"[{SPACE}]"
-    forms = (rf"\bfunction{blank}+extract{blank}*\(", rf"\b(?:let|const|var){blank}+extract{blank}*=")
-    return F.rlike(code, F.lit(forms[0])) | F.rlike(code, F.lit(forms[1]))
+    """Whether a program declares ``extract``: as a function, or as a variable that gets a value at once.
+
+    The program is taken as a row of words and signs, in which three neighbours tell it.
+    """
+    row = F.concat(F.lit(" "), F.array_join(F.regexp_extract_all(code, F.lit(r"[\w$]+|[^\w$\s]"), F.lit(0)), " "), F.lit(" "))
+    declared = [F.contains(row, F.lit(f" {word} extract {sign} ")) for word, sign in (("function", "("), ("const", "="), ("let", "="), ("var", "="))]
+    return declared[0] | declared[1] | declared[2] | declared[3]
 
 
 #: What a program may not contain, as a pattern and the name that is reported, in the order of the search.

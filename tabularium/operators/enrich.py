@@ -19,7 +19,20 @@ from tabularium.operators.groups import plan_order
 
 #: Fields that hold a record's name, by preference.
 NAME_FIELDS = (
-    "name fullName title company companyName organisation organization supplier supplierName producer producerName farmerGroup group groupName".split()
+    "name",
+    "fullName",
+    "title",
+    "company",
+    "companyName",
+    "organisation",
+    "organization",
+    "supplier",
+    "supplierName",
+    "producer",
+    "producerName",
+    "farmerGroup",
+    "group",
+    "groupName",
 )
 #: Errors that pass: first the fixed values of web clients, then what Python's own say.
 TRANSIENT = r"HTTP\s+(408|429|5\d{2})|ECONN|ETIMEDOUT|fetch failed|socket hang up|ENETUNREACH|UND_ERR|timed out|Connection (reset|refused|aborted)"
@@ -48,7 +61,7 @@ def name_field_of(fields: Column, override: str | None = None) -> Column:
 
 
 def with_addresses(records: DataFrame, plan: DataFrame) -> DataFrame:
-    """Records with an address field filled from their group's template.
+    """Records with an address field filled from their group's template, and ``address_field``, its name (null where nothing is filled).
 
     ``plan`` has ``(doc_id, group_name, has_address, join_template, columns,
     confidence)``, of which the first row by ``plan_ord`` holds for a group. The
@@ -62,6 +75,7 @@ def with_addresses(records: DataFrame, plan: DataFrame) -> DataFrame:
     has = lambda n: F.map_contains_key("rec", F.lit(n))
     name = F.when(~has("address"), "address").when(~has("fullAddress"), "fullAddress").otherwise("fullAddress2")
     filled = F.map_concat("rec", F.create_map(name, fill_templates(F.col("rec"), F.col("join_template"))))
+    rows = rows.withColumn("address_field", F.when(usable, name))
     return rows.withColumn("rec", F.when(usable, filled).otherwise(F.col("rec"))).drop("has_address", "join_template", "columns")
 
 
@@ -188,15 +202,14 @@ def verification_inputs(records: DataFrame, groups: DataFrame, plan: DataFrame,
     """What a verifier is told of each record with an address: ``(doc_id, group_name, ord, index, batch, input)``.
 
     ``input`` has ``index``, ``name`` where the group has a name field,
-    ``address`` (as ``with_addresses`` has filled it) and the columns that the
-    address is made of. ``plan`` has a row per group, see ``complete_address_plan``.
+    ``address`` (what ``with_addresses`` has filled, in the field that it names)
+    and the columns that the address is made of. ``plan`` has a row per group, see ``complete_address_plan``.
     """
     own = groups.select("doc_id", "group_name", name_field_of(F.col("fields"), override).alias("__name"))
     told = plan.where("has_address").select("doc_id", "group_name", F.col("columns").alias("__columns"))
     rows = batches(records.join(told, ["doc_id", "group_name"]), size).join(own, ["doc_id", "group_name"])
     r = F.col("rec")
-    # The composed address is the last of the names that with_addresses may have taken.
-    address = F.coalesce(r["fullAddress2"], r["fullAddress"], r["address"])
+    address = r[F.coalesce("address_field", F.lit("address"))]
     parts = F.map_filter(r, lambda k, v: F.array_contains("__columns", k) & ~k.isin("index", "name", "address"))
     name = F.when(F.col("__name").isNotNull(), F.create_map(F.lit("name"), r[F.col("__name")])).otherwise(F.create_map().cast("map<string,string>"))
     made = F.map_concat(F.create_map(F.lit("index"), F.col("index").cast("string")), name, F.create_map(F.lit("address"), address), parts)

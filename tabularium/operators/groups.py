@@ -156,7 +156,7 @@ def join_groups(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], ho
     for x, y in on:
         same = same & (F.col("a")[x] == F.col("b")[y])
     extra = F.map_filter("b", lambda k, v: ~F.map_contains_key("a", k))
-    return a.join(b, same, how).select("doc_id", "left_ord", "right_ord", F.coalesce(F.map_concat("a", extra), "a", "b").alias("rec"))
+    return a.join(b, same, how).select(F.coalesce("doc_id", "b_doc").alias("doc_id"), "left_ord", "right_ord", F.coalesce(F.map_concat("a", extra), "a", "b").alias("rec"))
 
 
 def profile_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]) -> DataFrame:

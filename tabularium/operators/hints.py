@@ -43,12 +43,15 @@ def aggregate_hints(hints: DataFrame, id_col: str = "doc_id") -> DataFrame:
     at = F.struct("page", "place")
     rows = rows.select(id_col, key.alias("hint_key"), "of", at.alias("at"), "page", "id", "description", F.coalesce(F.nanvl("record_count", F.lit(0.0)), F.lit(0.0)).alias("n"))
 
-    def met(value: str):
-        listed = F.sort_array(F.collect_list(F.when(F.coalesce(F.col(value).cast("string") != "", F.lit(False)), F.struct("at", F.col(value).alias("v")))))
-        return F.array_distinct(F.transform(listed, lambda x: x["v"]))
-
-    out = rows.groupBy(id_col, "hint_key").agg(
-        F.min_by("of", "at").alias("of"), met("page").alias("pages"), F.sum("n").alias("total_records"), met("id").alias("sample_ids"),
-        met("description").alias("descriptions"), F.min("at").alias("first"),
-    )
+    out = rows.groupBy(id_col, "hint_key").agg(F.min_by("of", "at").alias("of"), F.sum("n").alias("total_records"), F.min("at").alias("first"))
+    # Of each value the first place is kept before anything is gathered: a list grows with its different values, not with the hints.
+    lists = {"page": "pages", "id": "sample_ids", "description": "descriptions"}
+    value = F.explode(F.array(*(F.struct(F.lit(c).alias("of"), F.col(c).cast("string").alias("v")) for c in lists))).alias("met")
+    met = rows.select(id_col, "hint_key", "at", value).where("met.v <> ''").groupBy(id_col, "hint_key", "met").agg(F.min("at").alias("at"))
+    kind = {"page": rows.schema["page"].dataType.simpleString()}
+    gathered = lambda c: F.transform(F.sort_array(F.collect_list(F.when(F.col("met.of") == c, F.struct("at", "met.v")))), lambda x: x["v"])
+    met = met.groupBy(id_col, "hint_key").agg(*(gathered(c).cast(f"array<{kind.get(c, 'string')}>").alias(name) for c, name in lists.items()))
+    on = out[id_col].eqNullSafe(met[id_col]) & (out["hint_key"] == met["hint_key"])
+    nothing = lambda name: F.coalesce(name, F.array().cast(met.schema[name].dataType)).alias(name)
+    out = out.join(met, on, "left").select(out["*"], *map(nothing, lists.values()))
     return out.select(id_col, "hint_key", "of.title", "of.kind", "of.schema_guess", "pages", "total_records", "sample_ids", "descriptions", "first")

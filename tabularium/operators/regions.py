@@ -40,10 +40,14 @@ def segments(docs: DataFrame, id_col: str = "doc_id", html_col: str = "html") ->
     parts = ((0, "comment"), (1, "id"), (2, "kind"), (3, "title"))
     starts = F.arrays_zip(*(F.regexp_extract_all(F.col(html_col), F.lit(START), F.lit(k)).alias(n) for k, n in parts))
     bodies = F.split(F.col(html_col), START, -1)
-    rows = docs.select(F.col(id_col), bodies.alias("bodies"), starts.alias("starts"), F.posexplode(starts).alias("pos", "start"))
-    count = lambda texts: F.aggregate(texts, F.lit(0), lambda n, x: n + F.length(x))
-    before = count(F.slice("bodies", 1, F.col("pos") + 1)) + count(F.transform(F.slice("starts", F.lit(1), F.col("pos")), lambda x: x["comment"]))
-    rows = rows.select(id_col, "pos", "start.id", "start.kind", "start.title", "start.comment", before.alias("before"), F.get("bodies", F.col("pos") + 1).alias("segment"))
+    rows = docs.select(F.col(id_col), bodies.alias("bodies"), starts.alias("starts"))
+    # Each start comes with its own segment only, and with where it stands: one running sum over lengths, made once for a document.
+    lengths = F.zip_with("bodies", "starts", lambda b, s: F.length(b) + F.coalesce(F.length(s["comment"]), F.lit(0)))
+    none = F.array().cast("array<int>")
+    ends = F.aggregate(lengths, none, lambda acc, n: F.concat(acc, F.array(F.coalesce(F.element_at(F.concat(F.array(F.lit(0)), acc), -1) + n, F.lit(0)))))
+    own = F.slice("bodies", F.lit(2), F.greatest(F.size("bodies") - 1, F.lit(0)))
+    rows = rows.select(id_col, F.posexplode(F.arrays_zip(F.col("starts").alias("start"), own.alias("segment"), ends.alias("end"))).alias("pos", "r")).where("r.start is not null")
+    rows = rows.select(id_col, "pos", "r.start.*", (F.col("r.end") - F.length("r.start.comment")).alias("before"), "r.segment")
     found = rows.withColumn("end", _end_of(F.col("id")))
     whole = F.concat("comment", F.left("segment", F.length("segment") - F.coalesce(F.length("end.rest"), F.lit(0))))
     return found.select(

@@ -109,10 +109,10 @@ def pair_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT page_id, len(regexp_extract_all(html, '(?i)<li[ >]'))::BIGINT AS items FROM pages WHERE html IS NOT NULL""")
+SELECT page_id, len(regexp_extract_all(html, '(?i)<li[ >]'))::BIGINT AS items FROM pages""")
 def list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _table(spark, sf_dir, "pages").where("html is not null")
-    return pages.select("page_id", F.size(html.parse_list(F.col("html"))).cast("long").alias("items"))
+    pages = _table(spark, sf_dir, "pages")
+    return pages.select("page_id", F.when(F.col("html").isNotNull(), F.size(html.parse_list(F.col("html")))).cast("long").alias("items"))
 
 
 @query()
@@ -295,17 +295,18 @@ def rank_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey::BIGINT AS left_ord, c_custkey::BIGINT AS right_ord, c_name AS name, o_orderstatus AS status FROM orders JOIN customer ON o_custkey = c_custkey""")
+SELECT 1::BIGINT AS doc_id, o_orderkey::BIGINT AS left_ord, c_custkey::BIGINT AS right_ord, c_name AS name, o_orderstatus AS status FROM orders FULL JOIN customer ON o_custkey + 700 = c_custkey""")
 def join_spec_execute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o, c = _join_sides(spark, sf_dir)
-    out = groups.join_groups(o, c, [("cust", "key")])
-    return out.select("left_ord", "right_ord", F.col("rec")["name"].alias("name"), F.col("rec")["status"].alias("status"))
+    """A full outer join: customers without an order have their document too, as do orders without a customer."""
+    o, c = _join_sides(spark, sf_dir, shift=700)
+    out = groups.join_groups(o, c, [("cust", "key")], how="full_outer")
+    return out.select("doc_id", "left_ord", "right_ord", F.col("rec")["name"].alias("name"), F.col("rec")["status"].alias("status"))
 
 
-def _join_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _join_sides(spark: SparkSession, sf_dir: str, shift: int = 0) -> tuple[DataFrame, DataFrame]:
     o = _table(spark, sf_dir, "orders")
     c = _table(spark, sf_dir, "customer")
-    left = _records(o, F.lit(1), F.lit("orders"), F.col("o_orderkey"), cust=F.col("o_custkey"), status=F.col("o_orderstatus"))
+    left = _records(o, F.lit(1), F.lit("orders"), F.col("o_orderkey"), cust=F.col("o_custkey") + shift, status=F.col("o_orderstatus"))
     return left, _records(c, F.lit(1), F.lit("customers"), F.col("c_custkey"), key=F.col("c_custkey"), name=F.col("c_name"))
 
 
@@ -435,11 +436,15 @@ WITH a AS (SELECT floor(c_custkey / 100)::BIGINT AS doc_id, 'customers' AS group
 i AS (SELECT *, (row_number() OVER (PARTITION BY doc_id, group_name ORDER BY ord) - 1)::BIGINT AS index FROM a)
 SELECT doc_id, group_name, index, index // 5 AS batch, index::VARCHAR AS told_index, name, town || ', ' || land AS address, town, NULL::VARCHAR AS other FROM i""")
 def verification_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two kinds of groups, one with a name field and one without; what isn't part of the address isn't told."""
+    """Two kinds of groups, one with a name field and one without; what isn't part of the address isn't told.
+
+    Suppliers have an old ``fullAddress``, every second of them an old ``address`` too: the verifier is told the composed one.
+    """
     c, s = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "supplier")
     a = _records(c, F.floor(F.col("c_custkey") / 100), F.lit("customers"), F.col("c_custkey"), company=F.col("c_name"), town=F.col("c_mktsegment"), land=F.col("c_nationkey"), other=F.lit("x"))
-    b = _records(s, F.floor(F.col("s_suppkey") / 100), F.lit("suppliers"), F.col("s_suppkey"), town=F.col("s_name"), land=F.col("s_nationkey"), other=F.lit("y"))
-    rec = groups.combine(a, b)
+    b = _records(s, F.floor(F.col("s_suppkey") / 100), F.lit("suppliers"), F.col("s_suppkey"), town=F.col("s_name"), land=F.col("s_nationkey"), other=F.lit("y"), fullAddress=F.lit("an old one"))
+    old = F.map_concat("rec", F.create_map(F.lit("address"), F.lit("an older one")))
+    rec = groups.combine(a, b.withColumn("rec", F.when(F.col("ord") % 2 == 0, old).otherwise(F.col("rec"))))
     own = rec.select("doc_id", "group_name").distinct()
     own = own.withColumn("fields", F.when(F.col("group_name") == "customers", _fields("company", "town", "land", "other")).otherwise(_fields("town", "land", "other")))
     plan = own.select("doc_id", "group_name", F.lit(True).alias("has_address"), F.lit("{town}, {land}").alias("join_template"), F.array(F.lit("town"), F.lit("land")).alias("columns"))

@@ -18,6 +18,7 @@ def build_session(name: str = "tabularium", master: str | None = None, **conf: s
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     return builder.config(map=settings).getOrCreate()
 

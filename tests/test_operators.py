@@ -61,6 +61,11 @@ def test_templates(spark):
 
 def test_fences(spark):
     assert column(spark, ["```json\n{}\n```", " plain ", "x ```json\n{}\n```", "```\na\n```\n", None], text.strip_fences) == ["{}", "plain", "x ```json\n{}\n```", "a", None]
+    for word in ("html", "json", "javascript", "js", "typescript", "ts", "jsx", "tsx", "JSON", "Html"):
+        forms = [f"```{word}\na b\n```", f" ```{word} \r\na b```\n", f"```{word} a b```", f"```{word}\n\na b\n\n``` \n"]
+        assert column(spark, forms, text.strip_fences) == ["a b"] * 4
+    odd = ["```", "````", "``````", "```python\nx\n```", "```{}```", "```json\n`` ` ``\n```", "a```", "```a", "", "```json\n```js\nx\n```\n```"]
+    assert column(spark, odd, text.strip_fences) == ["```", "````", "", "python\nx", "{}", "`` ` ``", "a```", "```a", "", "```js\nx\n```"]
 
 
 def test_programs(spark):
