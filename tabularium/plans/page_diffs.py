@@ -35,12 +35,14 @@ from tabularium.streaming.stitch import TAIL, Stitched
 EDGE, LEAST_PAGES, LEAST_SHARE = 2, 2, 0.5
 #: Characters that two pages must share to count as an overlap.
 LEAST_OVERLAP = 20
+#: Ends of HTML blocks, which end a line.
+BLOCK_END = "</(?:p|h[1-6]|div|header|footer|li|tr|table)>"
 DIFFS = "page long, append string, tail_replacement string, new_header string, new_footer string"
 
 
 def _lines(page: Column) -> Column:
     """The lines of a page; a block of HTML ends a line as well."""
-    return F.split(F.regexp_replace(page, r"(?i)(</(?:p|h[1-6]|div|header|footer|li|tr|table)>)(?!\n)", "$1\n"), "\n")
+    return F.split(F.regexp_replace(page, rf"(?i)({BLOCK_END})\n?", "$1\n"), "\n")
 
 
 def _key(line: Column) -> Column:
@@ -140,7 +142,7 @@ def _joined_table(tail: str, page: str) -> Diff | None:
     if not before or not rows:
         return None
     head, first = _cells(before[0]), _cells(rows[0])
-    labelled = any(kind == "th" for kind, _ in first)
+    labelled = any(kind == "h" for kind, _ in first)
     if len(head) != len(first) or (labelled and [t for _, t in head] != [t for _, t in first]):
         return None
     kept = page[start.end() : closed]

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from tabularium.functions import html, text
 from tabularium.operators import costs, enrich, groups, hints, records, regions, sampling
+from tabularium.plans import page_diffs as diffs_by_rule
 from tabularium.plans import pipeline
+from tabularium.session import shared_folder
 from tabularium.sources import files, render
 from tabularium.streaming import stitch as stitching
 
@@ -545,16 +547,104 @@ f AS (SELECT conv_id, string_agg('foot ' || page, ',' ORDER BY page) AS footers
 SELECT conv_id AS doc_id, page AS pages, t AS stitched, coalesce(headers, '') AS headers, footers
 FROM s JOIN (SELECT conv_id, max(page) AS page FROM p GROUP BY conv_id) USING (conv_id, page) LEFT JOIN h USING (conv_id) JOIN f USING (conv_id)""")
 def stitch_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every third page replaces the tail before it; roles are running headers, and each page has a footer of its own."""
+    joined = [F.array_join(c, ",").alias(c) for c in ("headers", "footers")]
+    return stitching.stitch(_turns(spark, sf_dir)).select("doc_id", "pages", "stitched", *joined)
+
+
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as pages: every third page replaces the tail before it; roles are running headers, and each page has a footer of its own."""
     c = _table(spark, sf_dir, "conversations")
     page = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "text", "role")).cast("long")
     mended = F.when(F.col("page") % 3 == 0, F.concat(F.lit("[page "), _text("page"), F.lit(" mended]")))
-    diffs = c.withColumn("page", page).select(
+    return c.withColumn("page", page).select(
         F.col("conv_id").alias("doc_id"), "page", F.concat(F.coalesce("text", F.lit("")), F.lit("\n")).alias("append"), mended.alias("tail_replacement"),
         F.col("role").alias("new_header"), F.concat(F.lit("foot "), _text("page")).alias("new_footer"),
     )
-    joined = [F.array_join(c, ",").alias(c) for c in ("headers", "footers")]
-    return stitching.stitch(diffs).select("doc_id", "pages", "stitched", *joined)
+
+
+_ROLES_SQL = ORACLES["stitch_fold"]
+
+
+@query(_ROLES_SQL)
+def stitch_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents as a stream whose triggers bring later pages first, and each page twice: the parts together are the batch result."""
+    folder = shared_folder(spark, "stream")
+    diffs = _turns(spark, sf_dir)
+    size = F.count("*").over(Window.partitionBy("doc_id"))
+    diffs = diffs.withColumn("ends", F.col("page") == size).withColumn("n", F.explode(F.array(F.lit(0), F.lit(1))))
+    # Odd pages come with the first trigger and then again, even ones with the second and third.
+    trigger = F.when(F.col("page") % 2 == 1, F.col("n") * 2).otherwise(F.col("n") + 1)
+    dealt = diffs.withColumn("trigger", trigger).drop("n")
+    schema = dealt.drop("trigger").schema
+    for k in range(3):
+        dealt.where(F.col("trigger") == k).drop("trigger").write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        told = stitching.stitch_stream(stream)
+        run = told.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
+        run.awaitTermination()
+    parts = spark.read.schema(told.schema).parquet(f"{folder}/out")
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "text"))), lambda p: p["text"]), "")
+    last = lambda c: F.max_by(c, "part")
+    whole = parts.groupBy("doc_id").agg(last("pages").alias("pages"), text.alias("stitched"), *(F.array_join(last(c), ",").alias(c) for c in ("headers", "footers")))
+    return whole
+
+
+#: Documents cut in pages of 600 characters with a running header and footer. Of each three, one repeats 60 characters, one cuts with hyphens, one just cuts.
+_PAGES_SQL = """
+c AS (SELECT doc_id, coalesce(text, '') AS t, CASE WHEN doc_id % 3 = 0 THEN 540 ELSE 600 END AS step FROM documents),
+k AS (SELECT doc_id, t, step, unnest(range(1, greatest(1, (length(t) - 60 + step - 1) // step) + 1)) AS page, greatest(1, (length(t) - 60 + step - 1) // step) AS n FROM c),
+p AS (SELECT doc_id, page, n, 'Report ' || doc_id || chr(10) || CASE WHEN page < n THEN substr(t, (page - 1) * step + 1, 600) ELSE substr(t, (page - 1) * step + 1) END
+  || CASE WHEN doc_id % 3 = 1 AND page < n THEN '-' ELSE '' END || chr(10) || 'Page ' || page || ' of ' || n AS html FROM k)"""
+
+
+def cut_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, page, html)``, see ``_PAGES_SQL``."""
+    t, step = F.coalesce("text", F.lit("")), F.when(F.col("doc_id") % 3 == 0, 540).otherwise(600)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", t.alias("t"), step.alias("step"))
+    docs = docs.withColumn("n", F.greatest(F.lit(1), F.expr("(length(t) - 60 + step - 1) div step")))
+    rows = docs.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("page"))
+    begin = ((F.col("page") - 1) * F.col("step") + 1).cast("int")
+    piece = F.when(F.col("page") < F.col("n"), F.substring("t", begin, F.lit(600))).otherwise(F.substring("t", begin, F.length("t")))
+    hyphen = F.when((F.col("doc_id") % 3 == 1) & (F.col("page") < F.col("n")), "-").otherwise("")
+    page = F.concat(F.lit("Report "), _text("doc_id"), F.lit("\n"), piece, hyphen, F.lit("\nPage "), _text("page"), F.lit(" of "), _text("n"))
+    return rows.select("doc_id", "page", page.alias("html"))
+
+
+_tidy_sql = lambda c: f"regexp_replace(regexp_replace({c}, '^[{text.SPACE}]+|[{text.SPACE}]+$', '', 'g'), '[{text.SPACE}]+', ' ', 'g')"
+_UNTAGGED_SQL = "regexp_replace(regexp_replace(line, '<!--.*?-->', '', 'gs'), '<[^>]*>', ' ', 'g')"
+_LINES_SQL = f"""{_PAGES_SQL},
+r AS (SELECT doc_id, page, n, string_split(regexp_replace(html, '(?i)({diffs_by_rule.BLOCK_END})' || chr(10) || '?', '\\1' || chr(10), 'g'), chr(10)) AS parts FROM p),
+l AS (SELECT doc_id, page, n, generate_subscripts(parts, 1) AS i, unnest(parts) AS line FROM r),
+q AS (SELECT *, regexp_replace(lower({_tidy_sql(_UNTAGGED_SQL)}), '[0-9]+', '#', 'g') AS key FROM l),
+e AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY i) AS top, row_number() OVER (PARTITION BY doc_id, page ORDER BY i DESC) AS bottom FROM q WHERE key <> ''),
+s AS (SELECT doc_id, page, n, i, line, key, 'header' AS side FROM e WHERE top <= 2 UNION ALL SELECT doc_id, page, n, i, line, key, 'footer' FROM e WHERE bottom <= 2),
+g AS (SELECT doc_id, side, key, count(DISTINCT page) AS pages, arg_min(line, (page, line)) AS line FROM s GROUP BY ALL HAVING count(DISTINCT page) >= 2 AND count(DISTINCT page) >= 0.5 * max(n))"""
+
+
+@query(f"WITH {_LINES_SQL} SELECT doc_id, side, key, pages, line FROM g")
+def running_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return diffs_by_rule.running_lines(cut_documents(spark, sf_dir))
+
+
+@query(rf"""WITH RECURSIVE {_LINES_SQL},
+f AS (SELECT DISTINCT s.doc_id, s.page, s.i, s.line, s.side FROM s JOIN g USING (doc_id, side, key)),
+b AS (SELECT q.doc_id, q.page, string_agg(q.line, chr(10) ORDER BY q.i) FILTER (NOT gone) AS kept, bool_or(gone) AS any_gone FROM (SELECT q.*, (q.doc_id, q.page, q.i) IN (SELECT (doc_id, page, i) FROM f) AS gone FROM q) q GROUP BY ALL),
+h AS (SELECT doc_id, page, {_tidy_sql("regexp_replace(arg_min(line, i) FILTER (side = 'header'), '<[^>]*>', ' ', 'g')")} AS new_header,
+  {_tidy_sql("regexp_replace(arg_max(line, i) FILTER (side = 'footer'), '<[^>]*>', ' ', 'g')")} AS new_footer FROM f GROUP BY ALL),
+d AS (SELECT p.doc_id, p.page, coalesce(CASE WHEN any_gone THEN kept ELSE html END, '') AS body, new_header, new_footer FROM p LEFT JOIN b USING (doc_id, page) LEFT JOIN h USING (doc_id, page)),
+w AS (SELECT DISTINCT doc_id, 0::BIGINT AS page, '' AS t, NULL::VARCHAR AS append, NULL::VARCHAR AS tail_replacement FROM p
+  UNION ALL SELECT doc_id, page, left(t, length(t) - CASE WHEN tail_replacement IS NULL THEN 0 ELSE length(tail) END) || coalesce(tail_replacement, '') || append, append, tail_replacement FROM (
+    SELECT doc_id, page, t, tail, CASE WHEN tail = '' OR body = '' OR shared > 0 THEN substr(body, shared + 1) WHEN joins THEN after_ WHEN right(tail, 1) = chr(10) OR left(body, 1) = chr(10) THEN body ELSE chr(10) || body END AS append,
+      CASE WHEN tail <> '' AND body <> '' AND shared = 0 AND joins THEN CASE WHEN regexp_matches(before_, '\pL-$') THEN left(before_, length(before_) - 1) ELSE before_ || ' ' END END AS tail_replacement FROM (
+      SELECT *, before_ <> '' AND NOT regexp_matches(right(before_, 1), '[.!?:;"''”’)\]}}>|]') AND regexp_matches(left(after_, 1), '\p{{Ll}}') AND ends = starts AS joins FROM (
+        SELECT d.doc_id, d.page, t, body, tail, coalesce(list_max(list_filter(range(20, least(length(tail), length(body)) + 1), lambda k: right(tail, k) = left(body, k))), 0) AS shared,
+          regexp_matches(tail, '(?i)</p>\s*$') AS ends, regexp_matches(body, '(?i)^\s*<p[^>]*>') AS starts,
+          regexp_replace(regexp_replace(tail, '(?i)\s*</p>\s*$', ''), '[\x1c-\x1f\x{{85}}{text.SPACE}]+$', '') AS before_, regexp_replace(regexp_replace(body, '(?i)^\s*<p[^>]*>\s*', ''), '^[\x1c-\x1f\x{{85}}{text.SPACE}]+', '') AS after_
+        FROM (SELECT *, right(t, 400) AS tail FROM w) w JOIN d ON d.doc_id = w.doc_id AND d.page = w.page + 1))))
+SELECT w.doc_id, w.page, append, tail_replacement, new_header, new_footer FROM w JOIN d USING (doc_id, page)""")
+def page_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running lines stripped, repeated text left out, cut words and sentences put together."""
+    return diffs_by_rule.propose_diffs(cut_documents(spark, sf_dir), tail=400)
 
 
 @query("""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,21 +19,26 @@ def build_session(name: str = "tabularium", master: str | None = None, **conf: s
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     return builder.config(map=settings).getOrCreate()
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path below ``spark.checkpoint.dir``, which must be set on a cluster; a temporary one is taken where there is one machine."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = context.getConf().get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tabularium-"))
+    return f"{context.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def settled(frame: DataFrame) -> DataFrame:
     """``frame`` computed once and kept in the folder of ``spark.checkpoint.dir``, its lineage cut.
 
     What several plans are made from is settled first, so that it isn't computed
     again for each. Where no folder is set (tests, one machine) a new temporary one is taken.
     """
-    context = frame.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        folder = context.getConf().get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local[") and context.master != "local":
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tabularium-"))
+    shared_folder(frame.sparkSession, "settled")
     return frame.checkpoint()

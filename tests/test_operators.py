@@ -291,25 +291,6 @@ def test_stitching_equals_its_fold(spark, pages, tail):
     assert (out.pages, out.stitched, out.headers) == (len(pages), whole, headers)
 
 
-def test_a_stream_resumes_where_it_stopped(spark, tmp_path):
-    source, check = tmp_path / "in", tmp_path / "check"
-    source.mkdir()
-    pages = [(d, k, f"{d}.{k};", "R" if k == 2 else None, f"h{k}", None) for d in (1, 2) for k in range(4)]
-
-    def step(rows, name):
-        spark.createDataFrame(rows, DIFFS).coalesce(1).write.mode("append").parquet(str(source))
-        stream = spark.readStream.schema(DIFFS).parquet(str(source))
-        out = stitch.stitch_stream(stream, tail=2)
-        q = out.writeStream.outputMode("update").foreachBatch(lambda b, _: b.write.mode("append").parquet(str(tmp_path / name))).option("checkpointLocation", str(check)).trigger(availableNow=True).start()
-        q.awaitTermination()
-        return {r.doc_id: r for r in spark.read.parquet(str(tmp_path / name)).collect()}
-
-    step(pages[:3], "one")
-    out = step(pages[2:], "two")  # one page comes again
-    want = {r.doc_id: r for r in stitch.stitch(spark.createDataFrame(pages, DIFFS), tail=2).collect()}
-    assert {d: (r.pages, r.stitched, list(r.headers)) for d, r in out.items()} == {d: (r.pages, r.stitched, list(r.headers)) for d, r in want.items()}
-
-
 # --- files, plans, pipeline ---
 
 
