@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabularium.functions import html, text
-from tabularium.operators import costs, enrich, groups, hints, records, regions, sampling
+from tabularium.operators import costs, enrich, groups, hints, records, regions, sampling, specs
 from tabularium.plans import page_diffs as diffs_by_rule
-from tabularium.plans import pipeline
+from tabularium.plans import pipeline, stanza_mining
 from tabularium.session import shared_folder
 from tabularium.sources import files, render
 from tabularium.streaming import stitch as stitching
@@ -45,6 +45,10 @@ def _text(c: str) -> Column:
     return F.col(c).cast("string")
 
 
+#: ``text.tidy`` in SQL.
+_tidy_sql = lambda c: f"regexp_replace(regexp_replace({c}, '^[{text.SPACE}]+|[{text.SPACE}]+$', '', 'g'), '[{text.SPACE}]+', ' ', 'g')"
+
+
 # --- regions, tables, key/value blocks, lists ---
 
 
@@ -152,6 +156,113 @@ def stanza_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "ord", rec["name"].alias("name"), rec["street"].alias("street"), rec["city"].alias("city"), rec["country"].alias("country"))
 
 
+def layout_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, text)``: twelve customers a document, between prose; as stanzas with or without blank lines between, or as lines with bars."""
+    c = _table(spark, sf_dir, "customer")
+    doc, words = F.floor(F.col("c_custkey") / 12), F.initcap(F.lower("c_mktsegment"))
+    stanza = F.concat(words, F.lit(" Ltd\n"), _text("c_custkey"), F.lit(" High Street\nTown, "), words)
+    blank = F.concat(stanza, F.lit("\n"))
+    line = F.concat(words, F.lit(" | "), _text("c_custkey"), F.lit(" | "), F.translate(F.lower("c_mktsegment"), "aeiou", "uoiea"))
+    one = F.when(doc % 3 == 0, stanza).when(doc % 3 == 1, line).otherwise(blank)
+    listed = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c_custkey", one.alias("t")))), lambda x: x["t"]), "\n")
+    rows = c.groupBy(doc.alias("doc_id")).agg(listed.alias("listed"))
+    return rows.select("doc_id", F.concat(F.lit("Approved Customers 2023\nBelow is a list of approved customers.\n\n"), "listed", F.lit("\nEnd of list.")).alias("text"))
+
+
+def _whole_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``layout_texts`` and all documents, these with negative ids."""
+    docs = _table(spark, sf_dir, "documents").select((-1 - F.col("doc_id")).alias("doc_id"), "text")
+    return layout_texts(spark, sf_dir).unionByName(docs)
+
+
+_LAYOUT_SQL = """
+u AS (SELECT floor(c_custkey / 12)::BIGINT AS doc_id, c_custkey, upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) AS w, translate(lower(c_mktsegment), 'aeiou', 'uoiea') AS v FROM customer),
+x AS (SELECT doc_id, 'Approved Customers 2023' || chr(10) || 'Below is a list of approved customers.' || chr(10) || chr(10) || string_agg(CASE doc_id % 3 WHEN 1 THEN w || ' | ' || c_custkey || ' | ' || v
+    ELSE w || ' Ltd' || chr(10) || c_custkey || ' High Street' || chr(10) || 'Town, ' || w || CASE doc_id % 3 WHEN 2 THEN chr(10) ELSE '' END END, chr(10) ORDER BY c_custkey) || chr(10) || 'End of list.' AS text FROM u GROUP BY 1),
+t AS (SELECT * FROM x UNION ALL SELECT -1 - doc_id, text FROM documents)"""
+_SHAPES_SQL = rf"""{_LAYOUT_SQL},
+l AS (SELECT doc_id, generate_subscripts(p, 1) - 1 AS pos, unnest(p) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM t)),
+s AS (SELECT doc_id, pos, regexp_replace(regexp_replace(regexp_replace(regexp_replace({_tidy_sql('line')}, '[^ ,:;|/]*\d[^ ,:;|/]*', '0', 'g'),
+  '[^ ,:;|/.!?0-9]*\pL[^ ,:;|/.!?0-9]*', 'a', 'g'), 'a( a)+', 'a', 'g'), '0( 0)+', '0', 'g') AS shape FROM l),
+o AS (SELECT *, shape <> '' AND length(shape) <= 40 AND NOT regexp_matches(shape, '[.!?]$') AS ok FROM s),
+k AS (SELECT a.doc_id, a.pos, z.size::INT AS size, array_agg(b.shape ORDER BY b.pos) AS run FROM o a, range(1, 6) z(size), o b
+  WHERE b.doc_id = a.doc_id AND b.pos >= a.pos AND b.pos < a.pos + z.size AND b.ok GROUP BY ALL HAVING count(*) = any_value(z.size)),
+r AS (SELECT doc_id, size, array_to_string(run, chr(10)) AS shapes, pos FROM k WHERE len(list_filter(range(1, size), lambda b: run[1:b] = run[size - b + 1:size])) = 0
+  AND CASE WHEN size = 1 THEN regexp_matches(run[1], '[,:;|/]') AND len(regexp_extract_all(run[1], '[a0]')) >= 2 ELSE len(list_filter(run, lambda v: regexp_matches(v, '[0,:;|/]'))) > 0 END),
+c AS (SELECT doc_id, size, shapes, count(*) AS n, min(pos) AS first FROM r GROUP BY doc_id, size, shapes HAVING count(*) >= 3),
+n AS (SELECT doc_id, size, shapes, row_number() OVER (PARTITION BY doc_id ORDER BY n * size DESC, size DESC, first) AS place FROM c),
+i AS (SELECT doc_id, place, size, shapes, pos, unnest(range(pos, pos + size)) AS line FROM r JOIN n USING (doc_id, size, shapes)),
+w AS (SELECT doc_id, place, size, shapes, pos FROM (SELECT *, min(place) OVER (PARTITION BY doc_id, line) AS owner FROM i) GROUP BY ALL HAVING bool_and(place = owner)),
+m AS (SELECT doc_id, size, shapes, count(*)::BIGINT AS approx_count, min(pos)::INT AS first_line FROM w GROUP BY doc_id, size, shapes HAVING count(*) >= 3)"""
+
+
+@query(f"WITH {_SHAPES_SQL} SELECT doc_id, 'stanza-' || row_number() OVER (PARTITION BY doc_id ORDER BY first_line) AS name, size, shapes, approx_count, first_line FROM m")
+def mined_stanzas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layouts that texts repeat, of customers' lists and of all documents."""
+    return stanza_mining.mine_stanzas(_whole_texts(spark, sf_dir)).drop("fields")
+
+
+@query("""
+SELECT floor(c_custkey / 12)::BIGINT AS doc_id, (row_number() OVER (PARTITION BY floor(c_custkey / 12) ORDER BY c_custkey) - 1)::BIGINT AS ord, c_custkey::VARCHAR AS key,
+  upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) || CASE floor(c_custkey / 12) % 3 WHEN 1 THEN '' ELSE ' Ltd' END AS name,
+  CASE floor(c_custkey / 12) % 3 WHEN 1 THEN translate(lower(c_mktsegment), 'aeiou', 'uoiea') ELSE upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) END AS place
+FROM customer WHERE floor(c_custkey / 12) IN (SELECT floor(c_custkey / 12) FROM customer GROUP BY 1 HAVING count(*) >= 3)""")
+def mined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the proposed patterns extract: each customer once, whichever layout their document has."""
+    texts = layout_texts(spark, sf_dir)
+    rec = F.col("rec")
+    rows = stanza_mining.stanza_records(texts, stanza_mining.mine_stanzas(texts))
+    barred = F.col("doc_id") % 3 == 1
+    return rows.select(
+        "doc_id", "ord", F.when(barred, rec["line1b"]).otherwise(rec["line2a"]).alias("key"), F.when(barred, rec["line1a"]).otherwise(rec["line1"]).alias("name"),
+        F.when(barred, rec["line1c"]).otherwise(rec["line3b"]).alias("place"),
+    )
+
+
+# --- extraction by a table of rules ---
+
+
+def ruled_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """One document per customer in one of five layouts, and the rules: of tables for all documents, of the other layouts for each its own."""
+    c = _table(spark, sf_dir, "customer").withColumn("way", F.col("c_custkey") % 5)
+    key, seg, way = _text("c_custkey"), F.col("c_mktsegment"), F.col("way")
+    row = lambda *cells: render.row(list(cells))
+    table = F.concat(F.lit("<table>"), row(F.lit("Key No"), F.lit("Segment")), *[row(key, seg)] * 3, F.lit("</table>"))
+    pairs = F.concat(F.lit("<dl><dt>Customer key</dt><dd>"), key, F.lit("</dd><dt>Market</dt><dd>"), seg, F.lit("</dd><dt>Other</dt><dd>x</dd></dl>"))
+    items = F.concat(F.lit("<ul><li>"), key, F.lit(" = "), seg, F.lit("</li><li>no pair</li></ul>"))
+    lines = F.concat(F.lit("<p>Intro text.<br>No. "), key, F.lit("<br>in "), seg, F.lit("<br>No. 7<br>elsewhere</p>"))
+    turned = F.concat(F.lit("<p>in "), seg, F.lit("<br>No. "), key, F.lit("<br>The end.</p>"))
+    made = [("table", table), ("kv", pairs), ("list", items), ("text", lines), ("text", turned)]
+    body = F.coalesce(*(F.when(way == k, render.region(key, kind, F.lit(f"Layout {k}"), b)) for k, (kind, b) in enumerate(made)))
+    docs = c.select(F.col("c_custkey").alias("doc_id"), F.concat(F.lit("<h1>Customer</h1>"), body).alias("html"))
+    field = lambda name, pattern: F.struct(F.lit(name).alias("name"), F.lit(pattern).alias("pattern"))
+    number, market = field("key", r"^No\. (\d+)$"), field("segment", "^in (.+)$")
+    own = [F.array(field("key", "(?i)key"), field("segment", "^Market$")), F.array(field("key,segment", "^([0-9]+) = (.+)$")), F.array(number, market), F.array(market, number)]
+    none = F.lit(None).cast("string")
+    ruled = c.where(way > 0).select(
+        F.col("c_custkey").alias("doc_id"), F.lit(1).alias("spec_ord"), none.alias("kind"), none.alias("title"),
+        F.coalesce(*(F.when(way == k, h) for k, h in ((1, "pairs"), (2, "list"), (3, "text"), (4, "text")))).alias("helper"), none.alias("headers"), F.lit("customers").alias("group_name"),
+        F.coalesce(*(F.when(way == k + 1, f) for k, f in enumerate(own))).alias("fields"),
+    )
+    # For all documents: tables with their first row as header, before a rule of lower order; and a rule for any region, which the documents' own go before.
+    fields = F.lit(None).cast("array<struct<name:string,pattern:string>>")
+    general = [(1, "table", "table", "first"), (2, "table", "table", "none"), (0, None, "text", None)]
+    whole = [spark.range(1).select(F.lit(None).cast("long").alias("doc_id"), F.lit(o).alias("spec_ord"), F.lit(k).cast("string").alias("kind"), none.alias("title"), F.lit(h).alias("helper"), F.lit(p).cast("string").alias("headers"), F.lit("customers").alias("group_name"), fields.alias("fields")) for o, k, h, p in general]
+    return docs, groups.combine(ruled, *whole)
+
+
+@query("""
+SELECT c_custkey AS doc_id, 'customers' AS group_name, r::INT AS row, c_custkey::VARCHAR AS key, c_mktsegment AS segment, CASE WHEN c_custkey % 5 = 0 THEN 'keyNo' ELSE 'key' END AS first_name
+FROM customer, range(3) t(r) WHERE r = 0 OR c_custkey % 5 = 0""")
+def spec_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables, key/value blocks, lists and stanzas in either order, each document by its own rule, in one plan."""
+    docs, spec = ruled_documents(spark, sf_dir)
+    rows = specs.records_by_spec(regions.find_regions(docs), spec)
+    rec = F.col("rec")
+    first = F.get(F.filter(F.map_keys("rec"), lambda k: k != "segment"), F.lit(0))
+    return rows.select("doc_id", "group_name", "row", F.coalesce(rec["key"], rec["keyNo"]).alias("key"), rec["segment"].alias("segment"), first.alias("first_name"))
+
+
 # --- hints ---
 
 
@@ -610,7 +721,6 @@ def cut_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "page", page.alias("html"))
 
 
-_tidy_sql = lambda c: f"regexp_replace(regexp_replace({c}, '^[{text.SPACE}]+|[{text.SPACE}]+$', '', 'g'), '[{text.SPACE}]+', ' ', 'g')"
 _UNTAGGED_SQL = "regexp_replace(regexp_replace(line, '<!--.*?-->', '', 'gs'), '<[^>]*>', ' ', 'g')"
 _LINES_SQL = f"""{_PAGES_SQL},
 r AS (SELECT doc_id, page, n, string_split(regexp_replace(html, '(?i)({diffs_by_rule.BLOCK_END})' || chr(10) || '?', '\\1' || chr(10), 'g'), chr(10)) AS parts FROM p),
