@@ -69,7 +69,7 @@ def typed(records: DataFrame, fields: dict[str, str], keep: tuple[str, ...] = ("
     out = []
     for name, kind in fields.items():
         raw = F.col("rec")[name]
-        out.append(raw.alias(name) if kind == "string" else raw.try_cast({"number": "double"}.get(kind, kind)).alias(name))
+        out.append(raw.alias(name) if kind == "string" else raw.try_cast({"number": "double", "integer": "bigint"}.get(kind, kind)).alias(name))
         if kind != "string":
             out.append(raw.alias("raw" + name[:1].upper() + name[1:]))
     return records.select(*keep, *out)

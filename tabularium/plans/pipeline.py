@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabularium.operators import enrich, groups, records, regions
+from tabularium.operators import enrich, groups, records, regions, schemas
 from tabularium.plans.proposers import Proposer, Rules
 from tabularium.session import settled
 
@@ -22,6 +22,8 @@ class Result:
     merges: DataFrame
     joins: DataFrame
     addresses: DataFrame
+    #: ``(step, doc_id, group_name, pos, name, type)``: the fields of all groups after each step.
+    schemas: DataFrame
 
 
 def extract(docs: DataFrame) -> DataFrame:
@@ -30,44 +32,47 @@ def extract(docs: DataFrame) -> DataFrame:
     return records.to_groups(groups.combine(records.table_records(found), records.pair_records(found), records.list_records(found)))
 
 
-def infer_groups(rows: DataFrame) -> DataFrame:
-    """``(doc_id, group_name, title, fields)``: the fields of each group in the order met, all of type string."""
-    names = rows.select("doc_id", "group_name", "title", "ord", F.posexplode(F.map_keys("rec")).alias("pos", "name"))
-    first = names.groupBy("doc_id", "group_name", "name").agg(F.min(F.struct("ord", "pos")).alias("at"), F.min("title").alias("title"))
-    listed = F.transform(F.sort_array(F.collect_list(F.struct("at", "name"))), lambda x: F.struct(x["name"].alias("name"), F.lit("string").alias("type")))
-    return first.groupBy("doc_id", "group_name").agg(F.min("title").alias("title"), listed.alias("fields"))
-
-
 def run(docs: DataFrame, preferred: DataFrame | None = None, proposer: Proposer | None = None) -> Result:
     """Extract, harmonise, consolidate, rank, add addresses, and choose the most prominent group of each document.
 
     What a proposer looks at is settled before: plans and records are made from
-    the same rows, which are computed once. Documents without a region have no final rows; nothing fails on an empty corpus.
+    the same rows, which are written twice, as they are extracted and as they have been merged. Documents without a region have no final rows; nothing fails on an empty corpus.
     """
     proposer = proposer or Rules()
     rows = settled(extract(docs))
-    own = settled(infer_groups(rows))
+    own = settled(schemas.infer_groups(rows))
     titles, rows = own.select("doc_id", "group_name", "title"), rows.drop("title")
+    steps = [schemas.after("extracted", own)]
+
+    def took(step: str, changed: DataFrame) -> DataFrame:
+        changed = settled(changed)
+        steps.append(schemas.after(step, changed))
+        return changed
+
+    # Schemas go through the same steps as the records, so that types hold and records are read for nothing but themselves.
     if preferred is not None:
-        own, rows = groups.rename_fields(own, rows, proposer.field_maps(own, preferred))
-        own, rows = settled(own), settled(rows)
-    rows = settled(groups.unpivot_group(rows, proposer.pivots(own)))
-    own = settled(infer_groups(rows.withColumn("title", F.col("group_name"))))
-    _, rows = groups.merge_groups(own, rows, proposer.row_merges(own), camel=True)
-    rows = settled(rows)
-    own = settled(infer_groups(rows.withColumn("title", F.col("group_name"))))
+        new, rows = groups.rename_fields(own, rows, proposer.field_maps(own, preferred))
+        own = took("renamed", new)
+    pivots = settled(proposer.pivots(own))
+    rows, own = groups.unpivot_group(rows, pivots), took("unpivoted", schemas.pivoted_groups(own, pivots))
+    row_merges = settled(proposer.row_merges(own))
+    _, rows = groups.merge_groups(own, rows, row_merges, camel=True)
+    own = took("row-merged", schemas.merged_groups(own, row_merges, camel=True))
     # Titles are lost on the way through the steps before: a merge is proposed for what the groups were called at first.
     named = own.drop("title").join(titles, ["doc_id", "group_name"], "left").select("doc_id", "group_name", F.coalesce("title", F.lit("")).alias("title"), "fields")
     merges = settled(proposer.merges(named))
     _, rows = groups.merge_groups(own, rows, merges, camel=False)
     rows = settled(rows)
-    own = settled(infer_groups(rows.withColumn("title", F.col("group_name"))))
+    own = took("merged", schemas.merged_groups(own, merges, camel=False))
     joins, addresses = proposer.joins(own), settled(enrich.complete_address_plan(own, proposer.addresses(own)))
     ranking = groups.rank_groups(own, rows)
     rows = enrich.with_addresses(rows, addresses)
     final = rows.join(ranking.where("rank = 1").select("doc_id", "group_name"), ["doc_id", "group_name"], "left_semi")
     order = Window.partitionBy("doc_id").orderBy("ord")
-    return Result(own, rows, ranking, final.withColumn("ord", (F.row_number().over(order) - 1).cast("long")), merges, joins, addresses)
+    every = steps[0]
+    for step in steps[1:]:
+        every = every.unionByName(step)
+    return Result(own, rows, ranking, final.withColumn("ord", (F.row_number().over(order) - 1).cast("long")), merges, joins, addresses, every)
 
 
 def summary(result: Result) -> DataFrame:

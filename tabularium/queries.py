@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabularium.functions import html, text
-from tabularium.operators import costs, enrich, groups, hints, records, regions, sampling, specs
+from tabularium.operators import costs, enrich, groups, hints, records, regions, sampling, schemas, specs
 from tabularium.plans import page_diffs as diffs_by_rule
 from tabularium.plans import pipeline, stanza_mining
 from tabularium.session import shared_folder
@@ -841,3 +841,46 @@ def proposed_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Related groups, by the key that they share."""
     rows = _customers(spark, sf_dir).joins.select("doc_id", F.col("left").alias("left_group"), F.col("right").alias("right_group"), F.inline("on"))
     return rows.select("doc_id", "left_group", "right_group", F.col("left").alias("left_field"), F.col("right").alias("right_field"))
+
+
+# --- types of fields ---
+
+
+@query("""
+WITH r AS (SELECT o_custkey % 50 AS doc_id, o_orderkey, o_totalprice, o_orderdate, o_orderstatus, o_orderpriority, o_custkey FROM orders),
+v AS (SELECT doc_id, unnest(['key', 'total', 'day', 'status', 'code', 'mixed', 'flag', 'empty']) AS name,
+  unnest([o_orderkey::VARCHAR, printf('%.2f', o_totalprice), CASE WHEN o_custkey % 50 = 7 AND o_orderkey % 97 = 0 THEN '2023-02-30' ELSE strftime(o_orderdate, '%Y-%m-%d') END, o_orderstatus, '0' || o_orderkey,
+    CASE WHEN o_custkey % 50 < 25 OR o_orderkey % 3 > 0 THEN o_orderkey::VARCHAR ELSE o_orderkey || '.5' END, CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'FALSE' END, CASE WHEN o_orderkey % 2 = 0 THEN ' ' END]) AS v FROM r),
+t AS (SELECT doc_id, name, count(nullif(trim(v), ''))::BIGINT AS total, count(*) FILTER (lower(v) IN ('true', 'false'))::BIGINT AS booleans,
+  count(*) FILTER (try_cast(v AS BIGINT) IS NOT NULL AND regexp_matches(v, '^-?(0|[1-9][0-9]*)$'))::BIGINT AS integers,
+  count(*) FILTER (try_cast(v AS DOUBLE) IS NOT NULL AND regexp_matches(v, '^-?(0|[1-9][0-9]*)([.][0-9]+)?$'))::BIGINT AS numbers,
+  count(*) FILTER (try_cast(v AS DATE) IS NOT NULL AND length(v) = 10)::BIGINT AS dates FROM v GROUP BY ALL)
+SELECT *, CASE total WHEN 0 THEN 'null' WHEN booleans THEN 'boolean' WHEN integers THEN 'integer' WHEN numbers THEN 'number' WHEN dates THEN 'date' ELSE 'string' END AS type FROM t""")
+def inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types from all values: one number among integers, one day that isn't in the calendar, codes with zeros before them."""
+    o = _table(spark, sf_dir, "orders")
+    key, doc = F.col("o_orderkey"), F.col("o_custkey") % 50
+    day = F.when((doc == 7) & (key % 97 == 0), "2023-02-30").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    mixed = F.when((doc < 25) | (key % 3 > 0), _text("o_orderkey")).otherwise(F.concat(_text("o_orderkey"), F.lit(".5")))
+    flag, empty = F.when(key % 2 == 0, "true").otherwise("FALSE"), F.when(key % 2 == 0, " ")
+    cells = {"key": key, "total": _money("o_totalprice"), "day": day, "status": F.col("o_orderstatus"), "code": F.concat(F.lit("0"), _text("o_orderkey")), "mixed": mixed, "flag": flag, "empty": empty}
+    rec = _records(o, doc, F.lit("orders"), key, **cells)
+    return schemas.field_types(rec).select("doc_id", "name", "total", "booleans", "integers", "numbers", "dates", "type")
+
+
+@query("""
+WITH c AS (SELECT floor(c_custkey / 20)::BIGINT AS doc_id, c_custkey FROM customer),
+d AS (SELECT doc_id, count(*) FILTER (c_custkey % 2 = 0) > 0 AS even, count(*) FILTER (c_custkey % 2 = 1) > 0 AS odd, count(*) FILTER (c_custkey % 20 = 1) > 0 AS a, count(*) FILTER (c_custkey % 20 = 2) > 0 AS b FROM c GROUP BY 1),
+s(step, grp, name, type) AS (VALUES ('extracted', 'contacts', 'customerId', 'integer'), ('extracted', 'contacts', 'phone1', 'string'), ('extracted', 'contacts', 'phone2', 'string'),
+  ('renamed', 'contacts', 'customerId', 'integer'), ('renamed', 'contacts', 'phone1', 'string'), ('renamed', 'contacts', 'phone2', 'string'), ('unpivoted', 'contacts', 'phone', 'string'), ('unpivoted', 'contacts', 'customerId', 'integer'),
+  ('row-merged', 'contacts', 'phone', 'string'), ('row-merged', 'contacts', 'customerId', 'integer'), ('merged', 'contacts', 'phone', 'string'), ('merged', 'contacts', 'customerId', 'integer'),
+  ('row-merged', 'zone-a-all', 'zone', 'string'), ('row-merged', 'zone-a-all', 'size', 'integer'), ('merged', 'zone-a-all', 'zone', 'string'), ('merged', 'zone-a-all', 'size', 'integer'),
+  ('merged', 'customers-merged', 'customerId', 'integer'), ('merged', 'customers-merged', 'label', 'string'), ('merged', 'customers-merged', 'street', 'string'), ('merged', 'customers-merged', 'city', 'string'), ('merged', 'customers-merged', 'segment', 'string'))
+SELECT doc_id, step, grp AS group_name, name, type FROM d, s WHERE even AND odd AND a AND b""")
+def schema_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of a document's groups after each step that concerns them, for documents that have all their tables."""
+    all_steps = _customers(spark, sf_dir).schemas
+    whole = customer_documents(spark, sf_dir).where(" and ".join(f"contains(html, 'title=\"{t}\"')" for t in ("Customers", "Customers (continued)", "Zone A", "Zone B"))).select("doc_id")
+    merged = F.col("step").isin("row-merged", "merged")
+    told = (F.col("group_name") == "contacts") | ((F.col("group_name") == "zone-a-all") & merged) | (F.col("group_name") == "customers-merged")
+    return all_steps.join(whole, "doc_id", "left_semi").where(told).select("doc_id", "step", "group_name", "name", "type")
