@@ -1,15 +1,17 @@
-"""Byte-level BPE by corpus-level merge replay, and its decoding.
+"""Byte-level BPE by merge replay over slices of the corpus, and its decoding.
 
 Texts are split into pieces by the tokenizer's pattern; merges never cross a
 piece, and a corpus has far fewer distinct pieces than pieces. A task takes the
-distinct pieces of its share of the corpus as one sequence of byte tokens with
+distinct pieces of a slice of ``REPLAY_BYTES`` as one sequence of byte tokens with
 links to both neighbours, and an inverted index from the rank of a mergeable
 pair to the positions where that pair stands. Ranks are then replayed in
 order: all positions of the lowest rank merge at once, from left to right
 where they overlap, and only the two pairs at each merge's sides are looked up
 and entered anew. What is left of a piece are its tokens; texts are put
 together from their pieces. The work grows with the number of merges, not with
-merges times pieces, and no piece is ever sent over the network.
+merges times pieces, and no piece is ever sent over the network: to replay the
+pieces of the whole corpus together, every occurrence would have to meet its
+ids again in a join, which shuffles more than the corpus (figures in the README).
 
 Results defined for odd input: a null text is read as empty (no tokens);
 bytes without a token of their own raise; pieces of any length are handled

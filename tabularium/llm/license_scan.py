@@ -18,8 +18,8 @@ search for them. Nothing is shuffled, and templates are literals in the plan.
 
 Results defined for odd input: null and empty texts, and texts without a
 match, have a null licence, coefficient 0 and no match; units of one word have
-no bigram and never match; of equal coefficients the first licence by name is
-reported; repeated rows give repeated result rows; columns with any names are
+no bigram and never match; of several matches the one with most bigrams in
+common is reported, then the higher coefficient, then the first licence by name; repeated rows give repeated result rows; columns with any names are
 carried if they are listed in ``keep``.
 """
 

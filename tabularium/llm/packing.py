@@ -15,8 +15,8 @@ slice once; where it is shown to fold case and to cut a mark off its word,
 words that differ in that alone count as one. Common words are kept from slice to slice.
 
 Results defined for odd input: a null text is read as empty and still has its
-end id; repeated rows are documents of their own; null ids stay null; other
-columns are ignored. No row in gives no row out.
+end id; repeated rows are documents of their own, dealt apart as any others; null
+ids stay null; other columns are ignored. No row in gives no row out.
 """
 
 from __future__ import annotations
@@ -285,8 +285,10 @@ def pack(cut: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PIECES,
 
     parts = int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The order by a seeded hash is the random deal; the further columns make it the same whenever a task is run again.
-    dealt = cut.withColumn("deal", F.xxhash64(F.lit(seed), *(F.col(c) for c in names)))
-    dealt = dealt.repartition(parts, "deal").sortWithinPartitions("deal", *names).drop("deal")
+    # Equal rows are told apart by their place in the task that made them, so that they are dealt over all partitions too.
+    salted = cut.withColumn("salt", F.monotonically_increasing_id())
+    dealt = salted.withColumn("deal", F.xxhash64(F.lit(seed), *(F.col(c) for c in names), "salt"))
+    dealt = dealt.repartition(parts, "deal").sortWithinPartitions("deal", *names).drop("deal", "salt")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
     return dealt.mapInArrow(run, f"{fields}, sequence_id long, offset long")
 

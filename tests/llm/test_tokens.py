@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tabularium.llm import bpe_replay, packing, token_counts
@@ -111,3 +112,16 @@ def test_first_fit_decreasing_is_first_fit():
 
 def test_packing_an_empty_table(none):
     assert packing.pack_documents(none, WORDS).count() == 0
+
+
+def test_many_equal_rows_are_dealt_over_all_partitions(spark):
+    """20,000 equal documents without ids: no partition packs much more than its share, and each piece is placed once."""
+    docs = spark.range(20_000, numPartitions=8).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same few words in all of them").alias("text"))
+    rows = packing.pack_documents(docs, WORDS).collect()
+    per_task = Counter(r.sequence_id >> 40 for r in rows)
+    assert len(rows) == 20_000 and len(per_task) == 8 and max(per_task.values()) < 2 * 20_000 / 8
+    filled = Counter()
+    for r in rows:
+        filled[r.sequence_id] += r.length
+    places = Counter((r.sequence_id, r.offset) for r in rows)
+    assert max(places.values()) == 1 and max(filled.values()) <= 4096
