@@ -78,8 +78,9 @@ def merged_groups(groups: DataFrame, plan: DataFrame, camel: bool) -> DataFrame:
     """
     members = _members(groups, plan)
     plain = field_name if camel else (lambda c: c)
-    rows = members.join(groups.select(*KEY, "fields"), list(KEY))
-    renamed = F.transform("fields", lambda f: F.struct(F.coalesce(F.col("field_maps")[F.col("group_name")][f["name"]], plain(f["name"])).alias("name"), f["type"].alias("type")))
+    # The names are a column of their own: next to the new group name, the old one would be looked up under it.
+    rows = members.join(groups.select(*KEY, "fields"), list(KEY)).withColumn("names", F.col("field_maps")[F.col("group_name")])
+    renamed = F.transform("fields", lambda f: F.struct(F.coalesce(F.col("names")[f["name"]], plain(f["name"])).alias("name"), f["type"].alias("type")))
     place = F.concat_ws(" ", "plan_id", F.lpad(F.col("src_pos").cast("string"), 9, "0"))
     merged = rows.select("doc_id", F.col("target").alias("group_name"), F.col("target").alias("title"), place.alias("at"), renamed.alias("fields"))
     untouched = groups.join(members.select(*KEY).distinct(), list(KEY), "left_anti").select(*KEY, "title", "fields")
