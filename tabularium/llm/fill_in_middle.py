@@ -41,7 +41,7 @@ PREFIX, SUFFIX, MIDDLE = MARKERS = ("<P>", "<S>", "<M>")
 #: One code point, line ends included.
 UNIT = r"[\s\S]"
 #: Code points that the pre-tokenizer is given at once.
-BLOCK = 128
+BLOCK = 48
 
 
 @lru_cache(maxsize=1)

@@ -30,10 +30,11 @@ def price_of(models: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def priced(ledger: DataFrame, prices: DataFrame) -> DataFrame:
-    """The ledger ``(stage, model, input_tokens, output_tokens)`` with ``cost_usd`` and ``pricing_known``; an unknown model costs nothing."""
+    """The ledger ``(stage, model, input_tokens, output_tokens)`` with ``cost_usd`` and ``pricing_known``; an unknown model costs nothing, and a call that tells no usage has a null cost."""
     rows = ledger.join(price_of(ledger, prices), "model", "left")
     part = lambda n, p: F.coalesce(F.col(n) * F.col(p).cast("decimal(12,6)") / F.lit(1_000_000), F.lit(0))
     cost = (part("input_tokens", "in_price") + part("output_tokens", "out_price")).cast(MONEY)
+    cost = F.when(F.coalesce("input_tokens", "output_tokens").isNotNull(), cost)
     return rows.withColumns({"cost_usd": cost, "pricing_known": F.col("in_price").isNotNull()}).drop("in_price", "out_price")
 
 

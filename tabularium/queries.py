@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tabularium.functions import html, text
 from tabularium.operators import costs, enrich, groups, hints, records, regions, sampling, schemas, specs
+from tabularium.plans import calls
 from tabularium.plans import page_diffs as diffs_by_rule
 from tabularium.plans import pipeline, stanza_mining
 from tabularium.session import shared_folder
@@ -884,3 +885,71 @@ def schema_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = F.col("step").isin("row-merged", "merged")
     told = (F.col("group_name") == "contacts") | ((F.col("group_name") == "zone-a-all") & merged) | (F.col("group_name") == "customers-merged")
     return all_steps.join(whole, "doc_id", "left_semi").where(told).select("doc_id", "step", "group_name", "name", "type")
+
+
+# --- calls: checked answers, what is asked again, ledgers ---
+
+_SHAPES = [("ask", 0, "$", ["object"], True), ("ask", 1, "$.k", ["number"], True), ("ask", 2, "$.note", ["string", "null"], False)]
+
+
+def _rules(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(_SHAPES, calls.RULES)
+
+
+@query("""
+WITH e AS (SELECT event_id, CASE event_id % 7 WHEN 0 THEN props WHEN 1 THEN replace(props, '}', ', "note": null}') WHEN 2 THEN replace(props, '}', ', "note": ["a"]}') WHEN 3 THEN replace(props, '"k"', '"other"')
+  WHEN 4 THEN replace(props, '}', '') WHEN 5 THEN '[' || props || ']' ELSE regexp_replace(props, '([0-9]+)', '"\\1"') END AS answer FROM events)
+SELECT event_id, CASE WHEN answer IS NULL THEN 'no answer' WHEN NOT json_valid(answer) THEN 'not JSON' WHEN json_type(answer) <> 'OBJECT' THEN '$ is array, not object' WHEN json_type(answer, '$.k') IS NULL THEN 'no $.k'
+    WHEN json_type(answer, '$.k') = 'VARCHAR' THEN '$.k is string, not number' WHEN json_type(answer, '$.note') = 'ARRAY' THEN '$.note is array, not string or null' END AS reason,
+  CASE WHEN json_valid(answer) AND json_type(answer) = 'OBJECT' AND json_type(answer, '$.k') <> 'VARCHAR' AND coalesce(json_type(answer, '$.note'), '') <> 'ARRAY' THEN (answer->'$.k')::BIGINT END AS k FROM e""")
+def checked_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events' properties as answers, with faults: of three of seven the shape is right, the others have the reason why it isn't."""
+    e, way = _table(spark, sf_dir, "events"), F.col("event_id") % 7
+    put = lambda old, new: F.replace("props", F.lit(old), F.lit(new))
+    forms = [F.col("props"), put("}", ', "note": null}'), put("}", ', "note": ["a"]}'), put('"k"', '"other"'), put("}", ""), F.concat(F.lit("["), "props", F.lit("]")), F.regexp_replace("props", "([0-9]+)", '"$1"')]
+    rows = e.select("event_id", F.lit("ask").alias("stage"), F.coalesce(*(F.when(way == k, f) for k, f in enumerate(forms))).alias("answer"))
+    out = calls.judged(rows, _rules(spark))
+    return out.select("event_id", "reason", F.when(F.col("reason").isNull(), F.try_variant_get("value", "$.k", "bigint")).alias("k"))
+
+
+def _answer(row: dict) -> dict:
+    """A client that fails as often as the event's number says: not at all, once, twice, or as long as it is asked."""
+    way, good = int(row["key"]) % 8, '{"k": 1}'
+    bad = {4: ["not JSON"], 5: ["{}", "[1]"], 6: ["", "", ""], 7: ['{"k": "x"}'] * 3}.get(way, [])
+    used = {"input_tokens": 100 + row["attempt"], "output_tokens": 10} if way != 3 else {}
+    return {"text": bad[row["attempt"] - 1] if row["attempt"] <= len(bad) else good} | used
+
+
+def _second(row: dict) -> dict:
+    return {"text": '{"k": 2}' if int(row["key"]) % 8 == 6 else "[]", "input_tokens": 50, "output_tokens": 5}
+
+
+def _asked(spark: SparkSession, sf_dir: str) -> calls.Outcome:
+    work = _table(spark, sf_dir, "events").select(_text("event_id").alias("key"), F.lit("ask").alias("stage"), F.lit("gemini-2.5-flash-lite").alias("model"), F.concat(F.lit("What of "), "props").alias("prompt"))
+    return calls.ask_until_valid(work, _rules(spark), [calls.Client(_answer), calls.Client(_second, "gemini-2.5-flash", "-fallback")], partitions=8)
+
+
+@query("""
+SELECT event_id::VARCHAR AS key, CASE event_id % 8 WHEN 7 THEN 'quarantined' WHEN 6 THEN 'accepted-fallback' ELSE 'accepted' END AS status,
+  [1, 1, 1, 1, 2, 3, 4, 6][event_id % 8 + 1]::BIGINT AS calls, CASE WHEN event_id % 8 = 6 THEN 2 WHEN event_id % 8 < 7 THEN 1 END::BIGINT AS k, CASE WHEN event_id % 8 = 7 THEN '$ is array, not object' END AS reason FROM events""")
+def asked_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event asked until its answer is good: how often, who answered, and what no one answered."""
+    out = _asked(spark, sf_dir)
+    good = out.accepted.select("key", F.concat(F.lit("accepted"), "client").alias("status"), F.try_variant_get("value", "$.k", "bigint").alias("k"), F.lit(None).cast("string").alias("reason"))
+    bad = out.quarantine.select("key", F.lit("quarantined").alias("status"), F.lit(None).cast("long").alias("k"), "reason")
+    return good.unionByName(bad).join(out.ledger.groupBy("key").agg(F.count("*").alias("calls")), "key").select("key", "status", "calls", "k", "reason")
+
+
+@query("""
+WITH n AS (SELECT event_id % 8 AS w, count(*) AS n FROM events GROUP BY 1),
+c AS (SELECT unnest(['ask', 'ask-jsonfix', 'ask-jsonfix', 'ask-fallback', 'ask-fallback-jsonfix', 'ask-fallback-jsonfix']) AS stage, unnest([1, 2, 3, 4, 5, 6]) AS nth, w, n FROM n),
+d AS (SELECT * FROM c WHERE nth <= [1, 1, 1, 1, 2, 3, 4, 6][w + 1])
+SELECT stage, CASE WHEN nth <= 3 THEN 'gemini-2.5-flash-lite' ELSE 'gemini-2.5-flash' END AS model, sum(n)::BIGINT AS calls, sum(n) FILTER (w <> 3)::BIGINT AS with_usage,
+  sum(n * CASE WHEN nth > 3 THEN 50 WHEN w <> 3 THEN 100 + nth END)::BIGINT AS input_tokens,
+  round(sum(n * CASE WHEN nth > 3 THEN 50 * 0.3 + 5 * 2.5 WHEN w <> 3 THEN (100 + nth) * 0.1 + 10 * 0.4 END), 3)::DOUBLE AS millionths FROM d GROUP BY ALL""")
+def call_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cost of the calls from the ledger that they left; a call that tells no usage counts, and costs nothing."""
+    ledger = costs.priced(_asked(spark, sf_dir).ledger, spark.createDataFrame(costs.PRICES, "name string, in_price double, out_price double"))
+    return ledger.groupBy("stage", "model").agg(
+        F.count("*").alias("calls"), F.count("input_tokens").alias("with_usage"), F.sum("input_tokens").alias("input_tokens"), F.round(F.sum("cost_usd").cast("double") * 1_000_000, 3).alias("millionths")
+    )
