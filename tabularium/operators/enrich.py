@@ -16,6 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tabularium.functions.text import confidence, fill_templates, not_blank
 from tabularium.operators.groups import plan_order
+from tabularium.operators.numbering import numbered
 
 #: Fields that hold a record's name, by preference.
 NAME_FIELDS = (
@@ -193,8 +194,7 @@ def features(geocoded: DataFrame, keep: tuple[str, ...] = ("doc_id", "ord")) ->
 
 def batches(records: DataFrame, size: int = 5) -> DataFrame:
     """Records with ``index`` over a group's records and ``batch``: what one call gets."""
-    order = Window.partitionBy("doc_id", "group_name").orderBy("ord")
-    rows = records.withColumn("index", (F.row_number().over(order) - 1).cast("long"))
+    rows = numbered(records, ["doc_id", "group_name"], ["ord"], "index")
     return rows.withColumn("batch", F.floor(F.col("index") / size))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabularium.functions.text import field_name
+from tabularium.operators.numbering import HOT_ROWS, numbered
 from tabularium.operators.records import rekey
 
 KEY = ("doc_id", "group_name")
@@ -72,7 +73,7 @@ def _members(groups: DataFrame, plan: DataFrame) -> DataFrame:
     return found.withColumn("__n", F.count("*").over(Window.partitionBy("doc_id", "plan_id"))).where("__n >= 2").drop("__n", "groups")
 
 
-def merge_groups(groups: DataFrame, records: DataFrame, plan: DataFrame, camel: bool) -> tuple[DataFrame, DataFrame]:
+def merge_groups(groups: DataFrame, records: DataFrame, plan: DataFrame, camel: bool, hot_rows: int | None = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """``(untouched groups, records)`` after merging groups by name.
 
     ``plan`` has ``(doc_id, plan_id, groups array, target, field_maps
@@ -86,13 +87,12 @@ def merge_groups(groups: DataFrame, records: DataFrame, plan: DataFrame, camel:
     rows = records.join(own, list(KEY))
     plain = field_name if camel else (lambda k: k)
     rows = rekey(rows, lambda k: F.coalesce(F.col("__names")[k], plain(k)))
-    order = Window.partitionBy("doc_id", "plan_id").orderBy("src_pos", "ord")
-    merged = rows.select("doc_id", F.col("target").alias("group_name"), (F.row_number().over(order) - 1).cast("long").alias("ord"), "rec")
+    merged = numbered(rows.withColumnRenamed("ord", "own_ord"), ["doc_id", "plan_id"], ["src_pos", "own_ord"], "ord", hot_rows).select("doc_id", F.col("target").alias("group_name"), "ord", "rec")
     used = members.select(*KEY).distinct()
     return groups.join(used, list(KEY), "left_anti"), merged.unionByName(records.join(used, list(KEY), "left_anti"))
 
 
-def unpivot_group(records: DataFrame, plan: DataFrame) -> DataFrame:
+def unpivot_group(records: DataFrame, plan: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Records after unpivoting columns of one group: a record for each pivoted column that is neither null nor empty.
 
     ``plan`` has ``(doc_id, group_name, pivot_fields array, target_field,
@@ -103,8 +103,8 @@ def unpivot_group(records: DataFrame, plan: DataFrame) -> DataFrame:
     rows = rows.withColumn("value", F.col("rec")[F.col("pivot_field")]).where("value is not null and value <> ''")
     kept = F.map_filter("rec", lambda k, v: F.array_contains("keep_fields", k) & (k != F.col("target_field")))
     rec = F.map_concat(F.create_map("target_field", "value"), kept)
-    order = Window.partitionBy(*KEY).orderBy("ord", "pivot_pos")
-    out = rows.select("doc_id", F.col("target").alias("group_name"), (F.row_number().over(order) - 1).cast("long").alias("ord"), rec.alias("rec"))
+    rows = rows.select(*KEY, "target", F.col("ord").alias("own_ord"), "pivot_pos", rec.alias("rec"))
+    out = numbered(rows, list(KEY), ["own_ord", "pivot_pos"], "ord", hot_rows).select("doc_id", F.col("target").alias("group_name"), "ord", "rec")
     return out.unionByName(records.join(good.select(*KEY).distinct(), list(KEY), "left_anti"))
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.functions import html
 from tabularium.functions.text import field_name, strip
+from tabularium.operators.numbering import numbered
 
 
 def rekey(rows: DataFrame, name, record: str = "rec") -> DataFrame:
@@ -60,8 +61,8 @@ def to_groups(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     A group's name is its title in lower case with hyphens.
     """
     name = F.regexp_replace(F.regexp_replace(F.lower("title"), "[^a-z0-9]+", "-"), "^-|-$", "")
-    order = Window.partitionBy(id_col, "title", "kind").orderBy("pos", "row")
-    return found.select(id_col, name.alias("group_name"), "title", (F.row_number().over(order) - 1).cast("long").alias("ord"), "rec")
+    rows = found.select(id_col, name.alias("group_name"), "title", "kind", "pos", "row", "rec")
+    return numbered(rows, [id_col, "title", "kind"], ["pos", "row"], "ord").select(id_col, "group_name", "title", "ord", "rec")
 
 
 def typed(records: DataFrame, fields: dict[str, str], keep: tuple[str, ...] = ("doc_id", "ord")) -> DataFrame:

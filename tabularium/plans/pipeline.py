@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabularium.operators import enrich, groups, records, regions, schemas
+from tabularium.operators.numbering import HOT_ROWS
 from tabularium.plans.proposers import Proposer, Rules
 from tabularium.session import settled
 
@@ -27,19 +28,22 @@ class Result:
 
 
 def extract(docs: DataFrame) -> DataFrame:
-    """``(doc_id, group_name, title, ord, rec)`` of all tables, key/value blocks and lists of anchored documents."""
+    """``(doc_id, group_name, title, ord, rec)`` of all tables, key/value blocks and lists of anchored documents, which are parsed once."""
     found = regions.find_regions(docs)
-    return records.to_groups(groups.combine(records.table_records(found), records.pair_records(found), records.list_records(found)))
+    return records.to_groups(settled(groups.combine(records.table_records(found), records.pair_records(found), records.list_records(found))))
 
 
 def run(docs: DataFrame, preferred: DataFrame | None = None, proposer: Proposer | None = None) -> Result:
     """Extract, harmonise, consolidate, rank, add addresses, and choose the most prominent group of each document.
 
     What a proposer looks at is settled before: plans and records are made from
-    the same rows, which are written twice, as they are extracted and as they have been merged. Documents without a region have no final rows; nothing fails on an empty corpus.
+    the same rows, which are written as they are parsed, as they are numbered and as they have been merged. Documents without a region have no final rows; nothing fails on an empty corpus.
     """
     proposer = proposer or Rules()
     rows = settled(extract(docs))
+    # A group is no larger than its document, but for pivots; where no document is large, no group has to be looked for.
+    largest = rows.groupBy("doc_id").count().agg(F.max("count")).first()[0] or 0
+    hot = HOT_ROWS if largest > HOT_ROWS // 16 else None
     own = settled(schemas.infer_groups(rows))
     titles, rows = own.select("doc_id", "group_name", "title"), rows.drop("title")
     steps = [schemas.after("extracted", own)]
@@ -54,14 +58,14 @@ def run(docs: DataFrame, preferred: DataFrame | None = None, proposer: Proposer
         new, rows = groups.rename_fields(own, rows, proposer.field_maps(own, preferred))
         own = took("renamed", new)
     pivots = settled(proposer.pivots(own))
-    rows, own = groups.unpivot_group(rows, pivots), took("unpivoted", schemas.pivoted_groups(own, pivots))
+    rows, own = groups.unpivot_group(rows, pivots, hot), took("unpivoted", schemas.pivoted_groups(own, pivots))
     row_merges = settled(proposer.row_merges(own))
-    _, rows = groups.merge_groups(own, rows, row_merges, camel=True)
+    _, rows = groups.merge_groups(own, rows, row_merges, camel=True, hot_rows=hot)
     own = took("row-merged", schemas.merged_groups(own, row_merges, camel=True))
     # Titles are lost on the way through the steps before: a merge is proposed for what the groups were called at first.
     named = own.drop("title").join(titles, ["doc_id", "group_name"], "left").select("doc_id", "group_name", F.coalesce("title", F.lit("")).alias("title"), "fields")
     merges = settled(proposer.merges(named))
-    _, rows = groups.merge_groups(own, rows, merges, camel=False)
+    _, rows = groups.merge_groups(own, rows, merges, camel=False, hot_rows=hot)
     rows = settled(rows)
     own = took("merged", schemas.merged_groups(own, merges, camel=False))
     joins, addresses = proposer.joins(own), settled(enrich.complete_address_plan(own, proposer.addresses(own)))

@@ -844,6 +844,19 @@ def proposed_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "left_group", "right_group", F.col("left").alias("left_field"), F.col("right").alias("right_field"))
 
 
+@query("""
+WITH p AS (SELECT o_orderkey, unnest([0, 1, 2]) AS k, unnest([o_orderstatus, CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey::VARCHAR END, o_orderpriority]) AS v FROM orders),
+d AS (SELECT *, CASE WHEN o_orderkey % 4 > 0 THEN 0 ELSE o_orderkey % 40 END AS doc_id FROM p WHERE v IS NOT NULL)
+SELECT doc_id::BIGINT AS doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY o_orderkey, k) - 1)::BIGINT AS ord, v AS value FROM d""")
+def hot_group_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three quarters of all rows in one group, unpivoted and numbered by ranges."""
+    o, key = _table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    rec = _records(o, F.when(key % 4 > 0, 0).otherwise(key % 40), F.lit("orders"), key, a=F.col("o_orderstatus"), b=F.when(key % 3 > 0, key), c=F.col("o_orderpriority"))
+    listed = lambda *n: F.array(*map(F.lit, n))
+    plan = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("orders").alias("group_name"), listed("a", "b", "c").alias("pivot_fields"), F.lit("value").alias("target_field"), listed("x").alias("keep_fields"), F.lit("values").alias("target"))
+    return groups.unpivot_group(rec, plan).select("doc_id", "ord", F.col("rec")["value"].alias("value"))
+
+
 # --- types of fields ---
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from tabularium.operators import groups, schemas
+from tabularium.operators.numbering import numbered
 
 
 def fields_of(frame):
@@ -53,3 +54,14 @@ def test_outer_joins_keep_the_document(spark):
     for how, n in (("full_outer", 3), ("right", 2), ("left", 1), ("inner", 0)):
         out = groups.join_groups(left, right, [("k", "k")], how).collect()
         assert len(out) == n and all(r.doc_id is not None for r in out)
+
+
+def test_numbers_of_large_groups_equal_the_window(spark):
+    """Groups above and below the bound, one of half of all rows, a null key, and a group that ends within a range."""
+    rows = [(None if k % 10 == 3 else 1 if k % 2 else k % 40, "a" if k % 3 else "b", (k * 7919) % 4001, f"v{k}") for k in range(4000)]
+    frame = spark.createDataFrame(rows, "doc long, kind string, at long, v string").repartition(6)
+    want = {r.v: r.n for r in numbered(frame, ["doc", "kind"], ["at"], "n", hot_rows=10**9).collect()}
+    for bound in (0, 60, 300):
+        got = numbered(frame, ["doc", "kind"], ["at"], "n", hot_rows=bound)
+        assert {r.v: r.n for r in got.collect()} == want and got.columns == [*frame.columns, "n"]
+    assert numbered(frame.limit(0), ["doc"], ["at"], "n").count() == 0
