@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tabularium.functions.text import tidy
+from tabularium.functions.text import SPACE, tidy
 from tabularium.streaming.stitch import TAIL, Stitched
 
 #: Lines at either end of a page that may be running lines, and on how many pages of a document one must stand.
@@ -51,47 +51,46 @@ def _key(line: Column) -> Column:
     return F.regexp_replace(F.lower(tidy(shown)), r"\d+", "#")
 
 
+def _edges(page: Column, edge: int) -> Column:
+    """The first (side ``header``) and last (``footer``) lines of a page that aren't blank: ``(side, i, hash, hash2, key, line)``, ``i`` their place among all lines."""
+    hashes = lambda x: (F.xxhash64(x["key"]).alias("hash"), F.xxhash64(F.lit("line"), x["key"]).alias("hash2"))
+    # Whether a line without markup is blank is seen from its characters; keys are made for the few lines at the edges.
+    full = lambda x: F.when(F.contains(x, F.lit("<")), _key(x) != "").otherwise(F.rlike(x, F.lit(f"[^{SPACE}]")))
+    listed = F.filter(F.transform(_lines(page), lambda x, i: F.struct(i.alias("i"), x.alias("line"))), lambda x: full(x["line"]))
+    # The lines of both ends are taken from one list, made once for a page.
+    ends = F.aggregate(F.array(listed), F.array().cast(_EDGE), lambda acc, full: F.concat(_sided(full, F.lit(1), edge, "header"), _sided(full, F.greatest(F.size(full) - edge + 1, F.lit(1)), edge, "footer")))
+    ends = F.transform(ends, lambda x: F.struct(x["side"].alias("side"), x["i"].alias("i"), _key(x["line"]).alias("key"), x["line"].alias("line")))
+    return F.transform(ends, lambda x: F.struct(x["side"].alias("side"), x["i"].alias("i"), *hashes(x), x["key"].alias("key"), x["line"].alias("line")))
+
+
+_EDGE = "array<struct<side:string,i:int,line:string>>"
+
+
+def _sided(lines: Column, start: Column, edge: int, side: str) -> Column:
+    return F.transform(F.slice(lines, start, F.lit(edge)), lambda x: F.struct(F.lit(side).alias("side"), x["i"].alias("i"), x["line"].alias("line")))
+
+
 def edge_lines(pages: DataFrame, edge: int = EDGE, id_col: str = "doc_id", text_col: str = "html") -> DataFrame:
-    """``(id_col, page, side, key, line)``: the first (side ``header``) and last (``footer``) lines of each page that aren't blank."""
-    listed = F.transform(_lines(F.col(text_col)), lambda x: F.struct(x.alias("line"), _key(x).alias("key")))
-    rows = pages.select(id_col, "page", listed.alias("lines")).withColumn("lines", F.filter("lines", lambda x: x["key"] != ""))
-    top, bottom = F.slice("lines", F.lit(1), F.lit(edge)), F.slice("lines", F.greatest(F.size("lines") - edge + 1, F.lit(1)), F.lit(edge))
-    sided = lambda part, side: F.transform(part, lambda x: F.struct(F.lit(side).alias("side"), x["key"].alias("key"), x["line"].alias("line")))
-    return rows.where(F.size("lines") > 0).select(id_col, "page", F.inline(F.concat(sided(top, "header"), sided(bottom, "footer"))))
+    """``(id_col, page, side, i, hash, hash2, key, line)``: the lines at the edges of each page."""
+    return pages.select(id_col, "page", F.inline(_edges(F.col(text_col), edge)))
+
+
+def _running(pages: DataFrame, edge: int, least_pages: int, least_share: float, id_col: str, text_col: str) -> DataFrame:
+    """``(id_col, side, hash, hash2, pages, first)``: running lines by 128 bits of hashes, so that no text is shuffled to count them."""
+    rows = edge_lines(pages, edge, id_col, text_col).select(id_col, "page", "side", "hash", "hash2")
+    found = rows.groupBy(id_col, "side", "hash", "hash2").agg(F.count_distinct("page").alias("pages"), F.min("page").alias("first")).where(F.col("pages") >= least_pages)
+    sizes = pages.groupBy(F.col(id_col).alias("__doc")).agg(F.count_distinct("page").alias("__pages"))
+    return found.join(sizes, F.col(id_col).eqNullSafe(F.col("__doc"))).where(F.col("pages") >= F.col("__pages") * least_share).drop("__doc", "__pages")
 
 
 def running_lines(
     pages: DataFrame, edge: int = EDGE, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, id_col: str = "doc_id", text_col: str = "html"
 ) -> DataFrame:
     """``(id_col, side, key, pages, line)``: lines that stand at that edge of ``least_pages`` pages and of that share of a document's; ``line`` is the first one met."""
-    found = edge_lines(pages, edge, id_col, text_col).groupBy(id_col, "side", "key").agg(F.count_distinct("page").alias("pages"), F.min_by("line", F.struct("page", "line")).alias("line"))
-    sizes = pages.groupBy(F.col(id_col).alias("__doc")).agg(F.count_distinct("page").alias("__pages"))
-    enough = (F.col("pages") >= least_pages) & (F.col("pages") >= F.col("__pages") * least_share)
-    return found.where(F.col("pages") >= least_pages).join(sizes, F.col(id_col).eqNullSafe(F.col("__doc"))).where(enough).drop("__doc", "__pages")
-
-
-def without_running_lines(pages: DataFrame, running: DataFrame, edge: int = EDGE, id_col: str = "doc_id", text_col: str = "html") -> DataFrame:
-    """``(id_col, page, body, new_header, new_footer)``: pages without the running lines at their edges, and the first and last of these as they stand.
-
-    A document has few running lines, as each stands on a good share of its pages.
-    """
-    known = running.groupBy(F.col(id_col).alias("__doc")).agg(F.collect_set(F.struct("side", "key")).alias("known"))
-    rows = pages.join(known, F.col(id_col).eqNullSafe(F.col("__doc")), "left").drop("__doc")
-    rows = rows.select(id_col, "page", F.col(text_col).alias("whole"), F.coalesce("known", F.array().cast("array<struct<side:string,key:string>>")).alias("known"))
-    numbered = F.transform(_lines(F.col("whole")), lambda x, i: F.struct(i.alias("i"), x.alias("line"), _key(x).alias("key")))
-    rows = rows.withColumn("lines", F.when(F.size("known") > 0, numbered))
-    full = F.filter("lines", lambda x: x["key"] != "")
-    rows = rows.withColumn("full", full)
-    runs = lambda part, side: F.filter(part, lambda x: F.array_contains("known", F.struct(F.lit(side).alias("side"), x["key"].alias("key"))))
-    top = runs(F.slice("full", F.lit(1), F.lit(edge)), "header")
-    bottom = runs(F.slice("full", F.greatest(F.size("full") - edge + 1, F.lit(1)), F.lit(edge)), "footer")
-    rows = rows.withColumns({"top": top, "bottom": bottom})
-    gone = F.transform(F.concat("top", "bottom"), lambda x: x["i"])
-    rows = rows.withColumn("gone", gone)
-    kept = F.array_join(F.transform(F.filter("lines", lambda x: ~F.array_contains("gone", x["i"])), lambda x: x["line"]), "\n")
-    body = F.when(F.size("gone") > 0, kept).otherwise(F.col("whole"))
-    told = lambda lines, at: tidy(F.regexp_replace(F.try_element_at(lines, F.lit(at))["line"], r"<[^>]*>", " "))
-    return rows.select(id_col, "page", F.coalesce(body, F.lit("")).alias("body"), told(F.col("top"), 1).alias("new_header"), told(F.col("bottom"), -1).alias("new_footer"))
+    found = _running(pages, edge, least_pages, least_share, id_col, text_col).withColumnsRenamed({id_col: "__doc", "side": "__side", "hash": "__hash", "hash2": "__hash2"})
+    lines = edge_lines(pages, edge, id_col, text_col)
+    on = lines[id_col].eqNullSafe(found["__doc"]) & (lines["side"] == found["__side"]) & (lines["hash"] == found["__hash"]) & (lines["hash2"] == found["__hash2"]) & (lines["page"] == found["first"])
+    return lines.join(found, on).groupBy(id_col, "side", "key").agg(F.max("pages").alias("pages"), F.min("line").alias("line"))
 
 
 def overlap(tail: str, page: str, least: int = LEAST_OVERLAP) -> int:
@@ -115,6 +114,14 @@ class Diff(NamedTuple):
     tail_replacement: str | None
 
 
+def without_lines(page: str, gone: set[int]) -> str:
+    """A page without the lines at these places."""
+    if not gone:
+        return page
+    return "\n".join(x for i, x in enumerate(_LINE_END.sub(r"\1\n", page).split("\n")) if i not in gone)
+
+
+_LINE_END = re.compile(rf"({BLOCK_END})\n?", re.IGNORECASE)
 _TABLE_END = re.compile(r"</table>\s*(<!--\s*structured-end:[^>]*-->)?\s*$", re.IGNORECASE)
 _TABLE_START = re.compile(r"^\s*(<!--\s*structured-start:[^>]*-->)?\s*<table[^>]*>", re.IGNORECASE)
 _ROW = re.compile(r"<tr[^>]*>.*?</tr>", re.IGNORECASE | re.DOTALL)
@@ -189,24 +196,35 @@ def propose_diffs(
     A null page adds nothing; of pages with one number the first by text counts.
     Pages with a null document id are one document.
     """
-    running = running_lines(pages, edge, least_pages, least_share, id_col, text_col)
-    rows = without_running_lines(pages, running, edge, id_col, text_col)
+    running = _running(pages, edge, least_pages, least_share, id_col, text_col)
+    # A document's running lines go with its pages to their task, before the first page. They are few, as each stands on a good share of the pages.
+    known = running.groupBy(id_col).agg(F.collect_set(F.concat_ws(" ", "side", "hash", "hash2")).alias("known"))
+    shown = lambda x: tidy(F.regexp_replace(x["line"], r"<[^>]*>", " ")).alias("shown")
+    edges = F.transform(_edges(F.col(text_col), edge), lambda x: F.struct(x["side"].alias("side"), x["i"].alias("i"), F.concat_ws(" ", x["side"], x["hash"], x["hash2"]).alias("name"), shown(x)))
+    rows = pages.select(id_col, F.lit(1).alias("place"), "page", F.col(text_col).alias("body"), edges.alias("edges"))
+    rows = rows.unionByName(known.withColumn("place", F.lit(0)), allowMissingColumns=True).select(id_col, "place", "page", "body", "edges", "known")
     schema = T.StructType([pages.schema[id_col], *T.StructType.fromDDL(DIFFS).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow, key, last, now = to_arrow_schema(schema), None, None, None
+        arrow, key, last, now, lines = to_arrow_schema(schema), None, None, None, set()
         for batch in batches:
             out = []
-            for ident, page, body, header, footer in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for ident, place, page, body, ends, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if now is None or ident != key:
-                    key, last, now = ident, None, Stitched(tail)
-                if page == last:
+                    key, last, now, lines = ident, None, Stitched(tail), set()
+                if place == 0:
+                    lines = set(found)
+                    continue
+                if page == last and last is not None:
                     continue
-                diff = diff_of(now.end(), body, least_overlap)
+                gone = [e for e in ends or () if e["name"] in lines]
+                header = next((e["shown"] for e in gone if e["side"] == "header"), None)
+                footer = next((e["shown"] for e in reversed(gone) if e["side"] == "footer"), None)
+                diff = diff_of(now.end(), without_lines(body or "", {e["i"] for e in gone}), least_overlap)
                 now.add(*diff, None, None)
                 now.done.clear()  # only the end of what is stitched is looked at
                 last = page
                 out.append((ident, page, *diff, header, footer))
             yield pa.RecordBatch.from_pylist([dict(zip(arrow.names, r, strict=True)) for r in out], schema=arrow)
 
-    return rows.repartition(id_col).sortWithinPartitions(id_col, "page", "body").mapInArrow(run, schema)
+    return rows.repartition(id_col).sortWithinPartitions(id_col, "place", "page", "body").mapInArrow(run, schema)
