@@ -40,7 +40,7 @@ from tabularium.llm.common import text_slices, texts_of
 PREFIX, SUFFIX, MIDDLE = MARKERS = ("<P>", "<S>", "<M>")
 #: One code point, line ends included.
 UNIT = r"[\s\S]"
-#: Code points that the pre-tokenizer is given at once.
+#: Code points that the pre-tokenizer is given at once: few, as each of its matches costs more the more there are.
 BLOCK = 48
 
 
