@@ -12,11 +12,16 @@ bits, with the radius widened by what the rounding can change. A grid over the
 first coordinates, whose cells are as wide as the radius, sends them to their
 own cell and to the neighbours on one side; the more vectors there are, the
 more coordinates the grid has. There the block distance is computed for all
-members within the radius in a further coordinate. No pair is written: a cell
-returns as many edges as it takes to connect what is near.
-
-Verification: vectors that no block connects with another one are done. The
-members of each component of the union of candidates come together once, as
+members within the radius in a further coordinate, and what is near in the block
+is held against the whole radius by a sketch that comes along: all coordinates in
+8 bits, scaled to the vector, with the length of what the rounding has changed,
+so no link is lost. No pair is written: a cell returns as many edges as it takes
+to connect what is near by both.
+
+Verification: vectors that no block connects with another one are done. As
+sketches are close (about 0.01 of distance for a pair), candidates are links but for pairs
+just below the threshold, and their components hardly larger than those of the links.
+The members of each component of the union of candidates come together once, as
 they were given, and all their pairs are held against the threshold by cosines
 of the unrotated vectors in double precision. Again no pair is written, but how
 many links each vector has, and edges that connect what is linked.
@@ -76,6 +81,8 @@ class Space:
         #: How far apart linked vectors can be in each block: a little more for rounding, of doubles and to steps.
         sizes = [b.stop - b.start for b in self.blocks]
         self.radius = [np.sqrt((2 - 2 * threshold) * k / dim + 1e-9) + np.sqrt(k) / STEPS for k in sizes]
+        #: How far apart linked vectors can be as a whole.
+        self.reach = np.sqrt(2 - 2 * threshold + 1e-9)
 
 
 @lru_cache(maxsize=8)
@@ -90,6 +97,25 @@ def unit(raw: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def sketched(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in steps of their own, and per row the step and the length of what rounding has changed."""
+    step = (np.abs(x).max(axis=1) / 127).astype(np.float32)
+    whole = np.rint(x / step[:, None])
+    changed = np.linalg.norm(x - whole * step[:, None], axis=1)
+    return whole.astype(np.int8), np.stack([step, changed.astype(np.float32)], axis=1)
+
+
+def _bytes(rows: np.ndarray) -> pa.Array:
+    rows = np.ascontiguousarray(rows)
+    width = rows.shape[1] * rows.itemsize
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(rows), [None, pa.py_buffer(rows)]).cast(pa.binary())
+
+
+def _rows(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    """What ``_bytes`` was made from, for rows of one width."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(len(column), -1)
+
+
 def _matrix(lists: pa.Array, dim: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
@@ -107,7 +133,7 @@ def _neighbours(dims: int) -> list[tuple[int, ...]]:
 
 
 def cells(classes: DataFrame, threshold: float, grid_dims: int, visits: bool) -> DataFrame:
-    """``(dim, block, cell, visitor, along, no, part)``: each class once per block in its cell, with ``visits`` also in the neighbours on one side."""
+    """``(dim, block, cell, visitor, along, no, part, whole, steps)``: each class once per block in its cell, with ``visits`` also in the neighbours on one side."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,22 +141,25 @@ def cells(classes: DataFrame, threshold: float, grid_dims: int, visits: bool) ->
             for dim in np.unique(dims).tolist():
                 own = batch.filter(pa.array(dims == dim))
                 where = space(dim, threshold)
-                x = np.rint(unit(_matrix(own.column("x"), dim)) @ where.rotation * STEPS).astype("<i2")
+                turned = unit(_matrix(own.column("x"), dim)) @ where.rotation
+                sketch = [_bytes(column) for column in sketched(turned)]
+                x = np.rint(turned * STEPS).astype("<i2")
                 n = len(x)
                 for b, (block, radius) in enumerate(zip(where.blocks, where.radius, strict=True)):
                     part = np.ascontiguousarray(x[:, block])
                     used = min(grid_dims, part.shape[1])
                     grid = np.floor(part[:, :used] / (STEPS * radius)).astype(np.int64) + (1 << 13)
                     along = part[:, used] if part.shape[1] > used else np.zeros(n, dtype="<i2")
-                    raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(part.shape[1] * 2), n, [None, pa.py_buffer(part)]).cast(pa.binary())
+                    raw = _bytes(part)
                     for step in [(0,) * used, *(_neighbours(used) if visits else [])]:
                         cell = np.zeros(n, dtype=np.int64)
                         for k in range(used):
                             cell = (cell << 15) + grid[:, k] + step[k]
                         key = [np.full(n, dim, np.int32), np.full(n, b, np.int32), cell, np.full(n, any(step)), along.astype(np.int32)]
-                        yield pa.RecordBatch.from_arrays([*map(pa.array, key), own.column("no"), raw], names=["dim", "block", "cell", "visitor", "along", "no", "part"])
+                        yield pa.RecordBatch.from_arrays([*map(pa.array, key), own.column("no"), raw, *sketch], names=names)
 
-    return classes.select("no", "dim", "x").mapInArrow(run, "dim int, block int, cell long, visitor boolean, along int, no long, part binary")
+    names = ["dim", "block", "cell", "visitor", "along", "no", "part", "whole", "steps"]
+    return classes.select("no", "dim", "x").mapInArrow(run, "dim int, block int, cell long, visitor boolean, along int, no long, part binary, whole binary, steps binary")
 
 
 def chunked(rows: DataFrame, key: list[str], large: DataFrame) -> DataFrame:
@@ -214,7 +243,7 @@ class Home:
 
 
 class CellHome(Home):
-    """Members of a cell, sorted by a coordinate, with those of one block."""
+    """Members of a cell, sorted by a coordinate, with those of one block and a sketch of all."""
 
     threshold = 0.0
 
@@ -222,13 +251,15 @@ class CellHome(Home):
         dim, block = table.column("dim")[0].as_py(), table.column("block")[0].as_py()
         where = space(dim, self.threshold)
         self.radius = where.radius[block]
-        width = where.blocks[block].stop - where.blocks[block].start
-        self.part = np.frombuffer(b"".join(table.column("part").to_pylist()), dtype="<i2").reshape(-1, width).astype(np.float32) / STEPS
+        self.part = _rows(table.column("part"), "<i2").astype(np.float32) / STEPS
         self.norm = (self.part**2).sum(axis=1)
         self.along = table.column("along").to_numpy() / STEPS
+        self.whole, self.bound = _rows(table.column("whole"), "i1"), where.reach
+        self.step, self.changed = _rows(table.column("steps"), "<f4").T
+        self.length = np.einsum("ij,ij->i", self.whole, self.whole, dtype=np.int64).astype(np.float32) * self.step**2
 
     def rows(self, a: int, b: int) -> tuple:
-        return self.part[a:b], self.norm[a:b], self.along[a:b]
+        return self.part[a:b], self.norm[a:b], self.along[a:b], self.whole[a:b], self.step[a:b], self.changed[a:b], self.length[a:b]
 
     def reach(self, rows: tuple) -> tuple[int, int]:
         r = self.radius + 1e-6
@@ -240,7 +271,18 @@ class CellHome(Home):
         distance *= -2
         distance += self.norm[c:d]
         distance += rows[1][:, None]
-        return distance <= self.radius**2 + 1e-5
+        near = distance <= self.radius**2 + 1e-5
+        i, j = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+        if len(i):
+            near[np.ix_(i, j)] &= self.whole_near([r[i] for r in rows[3:]], j + c)
+        return near
+
+    def whole_near(self, rows: list, j: np.ndarray) -> np.ndarray:
+        whole, step, changed, length = rows
+        distance = (whole.astype(np.float32) * (-2 * step[:, None])) @ (self.whole[j].astype(np.float32) * self.step[j, None]).T
+        distance += self.length[j]
+        distance += length[:, None]
+        return distance <= (self.bound + changed[:, None] + self.changed[j]) ** 2 + 1e-5
 
 
 class ComponentHome(Home):
