@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from tabularium.operators import enrich, groups, records, regions, schemas
 from tabularium.operators.numbering import HOT_ROWS
 from tabularium.plans.proposers import Proposer, Rules
+from tabularium.plans.stages import Stages, content_key
 from tabularium.session import settled
 
 
@@ -33,23 +36,39 @@ def extract(docs: DataFrame) -> DataFrame:
     return records.to_groups(settled(groups.combine(records.table_records(found), records.pair_records(found), records.list_records(found))))
 
 
-def run(docs: DataFrame, preferred: DataFrame | None = None, proposer: Proposer | None = None) -> Result:
+def _keeper(stages: Stages | None, docs: DataFrame, preferred: DataFrame | None, proposer: Proposer) -> Callable[..., DataFrame]:
+    """What keeps a step: a checkpoint, or the stage of its name. Steps of ``docs`` alone are told apart from those that a field list and a proposer take part in."""
+    if stages is None:
+        return lambda name, make, of_docs=False: settled(make())
+    own = content_key(docs)
+    # A proposer that doesn't say what its plans depend on is asked anew in each run.
+    told = getattr(proposer, "key", None) or uuid.uuid4().hex
+    planned = [own, told, "" if preferred is None else content_key(preferred)]
+    return lambda name, make, of_docs=False: stages.keep(name, make, *([own] if of_docs else planned)).frame
+
+
+def run(docs: DataFrame, preferred: DataFrame | None = None, proposer: Proposer | None = None, stages: Stages | None = None) -> Result:
     """Extract, harmonise, consolidate, rank, add addresses, and choose the most prominent group of each document.
 
     What a proposer looks at is settled before: plans and records are made from
     the same rows, which are written as they are parsed, as they are numbered and as they have been merged. Documents without a region have no final rows; nothing fails on an empty corpus.
+
+    With ``stages`` each of these tables is a stage that later runs reuse: those of
+    the documents alone whatever the field list, the others for the same list and
+    a proposer of the same ``key``. Without, they are checkpoints of this run.
     """
     proposer = proposer or Rules()
-    rows = settled(extract(docs))
+    kept = _keeper(stages, docs, preferred, proposer)
+    rows = kept("extracted", lambda: extract(docs), of_docs=True)
     # A group is no larger than its document, but for pivots; where no document is large, no group has to be looked for.
     largest = rows.groupBy("doc_id").count().agg(F.max("count")).first()[0] or 0
     hot = HOT_ROWS if largest > HOT_ROWS // 16 else None
-    own = settled(schemas.infer_groups(rows))
+    own = kept("inferred", lambda: schemas.infer_groups(rows), of_docs=True)
     titles, rows = own.select("doc_id", "group_name", "title"), rows.drop("title")
     steps = [schemas.after("extracted", own)]
 
     def took(step: str, changed: DataFrame) -> DataFrame:
-        changed = settled(changed)
+        changed = kept(step, lambda: changed)
         steps.append(schemas.after(step, changed))
         return changed
 
@@ -57,18 +76,18 @@ def run(docs: DataFrame, preferred: DataFrame | None = None, proposer: Proposer
     if preferred is not None:
         new, rows = groups.rename_fields(own, rows, proposer.field_maps(own, preferred))
         own = took("renamed", new)
-    pivots = settled(proposer.pivots(own))
+    pivots = kept("pivots", lambda: proposer.pivots(own))
     rows, own = groups.unpivot_group(rows, pivots, hot), took("unpivoted", schemas.pivoted_groups(own, pivots))
-    row_merges = settled(proposer.row_merges(own))
+    row_merges = kept("row-merges", lambda: proposer.row_merges(own))
     _, rows = groups.merge_groups(own, rows, row_merges, camel=True, hot_rows=hot)
     own = took("row-merged", schemas.merged_groups(own, row_merges, camel=True))
     # Titles are lost on the way through the steps before: a merge is proposed for what the groups were called at first.
     named = own.drop("title").join(titles, ["doc_id", "group_name"], "left").select("doc_id", "group_name", F.coalesce("title", F.lit("")).alias("title"), "fields")
-    merges = settled(proposer.merges(named))
+    merges = kept("merges", lambda: proposer.merges(named))
     _, rows = groups.merge_groups(own, rows, merges, camel=False, hot_rows=hot)
-    rows = settled(rows)
+    rows = kept("records", lambda: rows)
     own = took("merged", schemas.merged_groups(own, merges, camel=False))
-    joins, addresses = proposer.joins(own), settled(enrich.complete_address_plan(own, proposer.addresses(own)))
+    joins, addresses = proposer.joins(own), kept("addresses", lambda: enrich.complete_address_plan(own, proposer.addresses(own)))
     ranking = groups.rank_groups(own, rows)
     rows = enrich.with_addresses(rows, addresses)
     final = rows.join(ranking.where("rank = 1").select("doc_id", "group_name"), ["doc_id", "group_name"], "left_semi")

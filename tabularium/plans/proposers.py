@@ -24,6 +24,8 @@ ADDRESSES = "doc_id long, group_name string, has_address boolean, confidence str
 
 
 class Proposer(Protocol):
+    """A ``key``, if there is one, names all that the plans depend on besides their arguments: plans of equal keys may be reused."""
+
     def field_maps(self, groups: DataFrame, preferred: DataFrame) -> DataFrame: ...
 
     def row_merges(self, groups: DataFrame) -> DataFrame: ...
@@ -79,6 +81,8 @@ def _spelt_alike(fields: str) -> Column:
 class Rules:
     """Plans by rule: equal names and aliases, equal schemas, numbered columns, known parts of addresses."""
 
+    key = "rules 1"
+
     def field_maps(self, groups: DataFrame, preferred: DataFrame) -> DataFrame:
         """A field takes the preferred name whose name or alias it equals, compared as letters and digits in lower case."""
         plain = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]+", "")

@@ -16,6 +16,7 @@ from tabularium.operators import costs, enrich, groups, hints, records, regions,
 from tabularium.plans import calls
 from tabularium.plans import page_diffs as diffs_by_rule
 from tabularium.plans import pipeline, stanza_mining
+from tabularium.plans.stages import Kept, Stages
 from tabularium.session import shared_folder
 from tabularium.sources import files, render
 from tabularium.streaming import stitch as stitching
@@ -966,3 +967,40 @@ def call_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.groupBy("stage", "model").agg(
         F.count("*").alias("calls"), F.count("input_tokens").alias("with_usage"), F.sum("input_tokens").alias("input_tokens"), F.round(F.sum("cost_usd").cast("double") * 1_000_000, 3).alias("millionths")
     )
+
+
+# --- stages that are kept ---
+
+
+@query("""
+WITH t AS (SELECT o_custkey AS k, count(*) AS n, sum(o_totalprice) AS v FROM orders GROUP BY 1),
+r(run, computed, least, extra) AS (VALUES ('first', 'totals,segments', 1, 0), ('again', '', 1, 0), ('other-option', 'segments', 3, 0), ('other-rows', 'totals,segments', 1, 1), ('as-first', '', 1, 0)),
+c AS (SELECT run, computed, least, c_mktsegment AS segment, n + (CASE WHEN extra = 1 AND k % 2 = 0 THEN n ELSE 0 END) AS n, v * (CASE WHEN extra = 1 AND k % 2 = 0 THEN 2 ELSE 1 END) AS v FROM r, t JOIN customer ON c_custkey = k)
+SELECT run, computed, segment, count(*)::BIGINT AS customers, sum(n)::BIGINT AS orders, round(sum(v)::DOUBLE, 2) AS total FROM c WHERE n >= least GROUP BY ALL""")
+def reused_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stages over all orders and customers, run five times: what each run computes, and what comes out whichever way."""
+    orders, customers, root = _table(spark, sf_dir, "orders"), _table(spark, sf_dir, "customer"), shared_folder(spark, "stages")
+    # Rows that are there twice are other rows: even customers order everything once more.
+    more = orders.unionByName(orders.where("o_custkey % 2 = 0"))
+
+    def totals(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("v"))
+
+    def segments(sums: DataFrame, people: DataFrame, least: int) -> DataFrame:
+        rows = sums.where(F.col("n") >= least).join(people, F.col("k") == F.col("c_custkey"))
+        return rows.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count("*").alias("customers"), F.sum("n").alias("orders"), F.round(F.sum("v").cast("double"), 2).alias("total"))
+
+    first = Stages(spark, root)
+    plain, doubled, people = first.source(orders), first.source(more), first.source(customers)
+
+    def run(name: str, rows: Kept, least: int) -> DataFrame:
+        stages = Stages(spark, root)
+        out = stages.stage("segments", segments, stages.stage("totals", totals, rows), people, options={"least": least})
+        computed = ",".join(name for name, _, again in stages.told if not again)
+        return out.frame.select(F.lit(name).alias("run"), F.lit(computed).alias("computed"), "segment", "customers", "orders", "total")
+
+    runs = [run("first", plain, 1), run("again", plain, 1), run("other-option", plain, 3), run("other-rows", doubled, 1), run("as-first", plain, 1)]
+    out = runs[0]
+    for other in runs[1:]:
+        out = out.unionByName(other)
+    return out
