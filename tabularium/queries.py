@@ -15,7 +15,7 @@ from tabularium.functions import html, text
 from tabularium.operators import costs, enrich, groups, hints, records, regions, sampling, schemas, specs
 from tabularium.plans import calls
 from tabularium.plans import page_diffs as diffs_by_rule
-from tabularium.plans import pipeline, stanza_mining
+from tabularium.plans import pipeline, stanza_mining, verification
 from tabularium.plans.stages import Kept, Stages
 from tabularium.session import shared_folder
 from tabularium.sources import files, render
@@ -969,6 +969,45 @@ def call_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- verification by calls ---
+
+
+def _verifier(row: dict) -> dict:
+    """A client that knows addresses by the numbers in them: some it confirms, some it can't find, one result is doubled, one is of an index nobody asked about; a batch from 40 on fails the first time."""
+    import json
+
+    inputs = json.loads(row["prompt"].split("\n", 1)[1])
+    if row["attempt"] == 1 and int(inputs[0]["index"]) // 5 % 3 == 2:
+        return {"text": '{"found": []}', "input_tokens": 10, "output_tokens": 1}
+    found = []
+    for given in inputs:
+        number = int(given["address"].split()[0])
+        if number % 4:
+            found.append({"index": int(given["index"]), "confidence": ["", "HIGH", "low", "surely"][number % 4], "matchedName": given["name"].upper(), "matchedAddress": given["address"] if number % 4 == 1 else None})
+    again = [r | {"confidence": "medium"} for r in found[:1]]
+    return {"text": json.dumps({"results": [*found, *again, {"index": -1, "confidence": "high"}]}), "input_tokens": 10 * len(inputs), "output_tokens": len(found)}
+
+
+@query("""
+WITH s AS (SELECT s_nationkey::BIGINT AS doc_id, s_suppkey, s_name, CASE WHEN s_suppkey % 5 > 0 THEN s_suppkey || ' Main Street' END AS address FROM supplier),
+n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s_suppkey) - 1 AS ord, CASE WHEN address IS NOT NULL THEN row_number() OVER (PARTITION BY doc_id, address IS NULL ORDER BY s_suppkey) - 1 END AS i FROM s)
+SELECT doc_id, s_suppkey::BIGINT AS suppkey, CASE WHEN address IS NULL THEN 'unknown' ELSE ['unknown', 'high', 'low', 'unknown'][s_suppkey % 4 + 1] END AS confidence,
+  CASE WHEN address IS NOT NULL AND s_suppkey % 4 > 0 THEN upper(s_name) END AS matched_name, CASE WHEN address IS NOT NULL AND s_suppkey % 4 = 1 THEN address END AS matched_address,
+  coalesce(CASE WHEN floor(i / 5) % 3 = 2 THEN 2 WHEN i IS NOT NULL THEN 1 END, 0)::BIGINT AS calls FROM n""")
+def verified_by_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers with what a client says of their addresses, five a call, and how often the call of each was made; every fifth has no address."""
+    s = _table(spark, sf_dir, "supplier")
+    address = F.when(F.col("s_suppkey") % 5 > 0, F.concat(_text("s_suppkey"), F.lit(" Main Street")))
+    rows = _records(s, F.col("s_nationkey"), F.lit("suppliers"), F.col("s_suppkey"), suppkey=F.col("s_suppkey"), name=F.col("s_name"), address=address)
+    inputs = verification.record_inputs(rows)
+    out = verification.verify(rows, inputs, [calls.Client(_verifier)])
+    made = out.ledger.groupBy("key").agg(F.count("*").alias("calls"))
+    asked = inputs.select("doc_id", "group_name", "ord", verification.batch_key().alias("key")).join(made, "key").drop("key")
+    told = out.records.join(asked, ["doc_id", "group_name", "ord"], "left")
+    v = F.col("verification")
+    return told.select("doc_id", F.col("rec")["suppkey"].cast("long").alias("suppkey"), v["confidence"].alias("confidence"), v["matched_name"].alias("matched_name"), v["matched_address"].alias("matched_address"), F.coalesce("calls", F.lit(0)).alias("calls"))
+
+
 # --- stages that are kept ---
 
 

@@ -73,6 +73,12 @@ def record_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select("file", F.posexplode(listed).alias("ord", "rec")).where("rec is not null")
 
 
+def verified_records(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, ord, rec, verification)`` as the verification program writes them, a line each."""
+    found = "struct<confidence:string,matched_name:string,matched_address:string,evidence:string>"
+    return spark.read.schema(f"file string, ord int, rec map<string,string>, verification {found}").json(path)
+
+
 def final_documents(spark: SparkSession, path: str, title: str | None = None, summary: str | None = None) -> DataFrame:
     """``(file, group_name, title, summary)`` of final-output files; given values win over those in the file."""
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
