@@ -222,5 +222,20 @@ def test_embeddings(spark, sf, cell_rows, monkeypatch):
     assert Counter(map(tuple, got.collect())) == want
 
 
+@pytest.mark.parametrize("cell_rows", [4096, 50])
+def test_vectors_that_share_a_block_only_are_no_candidates(spark, cell_rows):
+    where, rng = embedding_dedup.space(64, 0.95), np.random.default_rng(5)
+    turned = rng.standard_normal((200, 64))
+    # All are equal in the first block, of the same length in the rest; the last ten are also near as a whole.
+    turned[:, where.blocks[0]] = turned[0, where.blocks[0]]
+    turned[190:] = turned[190] + 0.01 * rng.standard_normal((10, 64))
+    rest = np.concatenate([np.arange(64)[b] for b in where.blocks[1:]])
+    turned[:, rest] *= 7 / np.linalg.norm(turned[:, rest], axis=1, keepdims=True)
+    rows = [(k, 64, x.tolist()) for k, x in enumerate(turned @ where.rotation.T)]
+    found = embedding_dedup.candidates(spark, spark.createDataFrame(rows, "no long, dim int, x array<double>"), 0.95, cell_rows).collect()
+    reached = {v for e in found for v in (e.a, e.b)}
+    assert reached == set(range(190, 200))
+
+
 def test_embeddings_of_an_empty_table(spark):
     assert embedding_dedup.near_duplicates(spark, spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
