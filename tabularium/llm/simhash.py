@@ -21,18 +21,25 @@ the tree and drops a whole node once they exceed ``max_bits``; it also drops a
 node whose members are all known to be in the query's component already, so a
 group of thousands of near copies costs about as many steps as it has members.
 
-With a share to hold links against, the index only proposes. Every text has a
-second code then, 64 bits of a MinHash of its shingles, and texts are candidates
-if these differ in at most ``SKETCH_BITS`` bits too: texts of a Jaccard
-similarity of 0.8 differ in some 6, and a distance of ten SimHash bits alone
-would string together all texts of a corpus of billions. Documents of one
-candidate component come together with the hashes of their shingles, and two of
-them link if they have that share of their shingles in common (Jaccard), of
-the different ones or of all with their repeats. Documents with the same
-shingles as often are one class. A class that hangs together with another already
-is not compared with it again, so a component of thousands of near copies takes
-about as many comparisons as it has members. Shingles that members of a
-component have in common are held as bits, unless they are too many.
+With a share to hold links against, the index only proposes. Groups are then
+bands of a MinHash of the shingles, those of the different ones and those of all with
+their repeats: a text goes to ``BANDS`` groups (more where repeats change a band)
+and meets only texts that have its least shingles, so copies and work grow with
+the input; a band that more than ``split_over`` texts share is cut by blocks of the
+fingerprint as above. Texts that share 0.8 of their shingles meet in one band at least
+but for 3 in 10,000 pairs. Documents of one candidate component come together
+with the hashes of their shingles, and two of them link if they have that share
+of their shingles in common (Jaccard), of the different ones or of all with
+their repeats. Documents with the same shingles as often are one class. A class
+that hangs together with another already is not compared with it again, so a
+component of thousands of near copies takes about as many comparisons as it has members.
+
+No task holds a large component. Beyond two blocks it is dealt to blocks by a hash.
+Each block is compared within itself and with the first one, which joins near copies
+of whatever number; then only members outside the component's largest
+class are left to compare, in blocks, with those of other classes in every block. That is
+linear where few are left, and at worst (a component of which nothing links) all pairs
+of blocks, each of them a small task.
 
 Results defined for odd input: a null text is read as empty; a text without
 words has fingerprint zero and links like any other (held against a
@@ -44,15 +51,13 @@ text are ignored.
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,12 +72,16 @@ FANOUT = 8
 SPLIT_OVER = 20_000
 #: How often values are keyed anew.
 DEEPEST = 2
-#: Bits of a MinHash by which candidates may differ: of 64, texts of similarity 0.8 differ in 6.4 with a deviation of 2.4, others in 32.
-SKETCH_BITS = 20
+#: Bands of a MinHash under which candidates meet, and the minima in each.
+BANDS, BAND_ROWS = 8, 2
 #: Queries that go down the tree together.
 QUERIES_AT_ONCE = 128
-#: Bytes of hashes of one candidate component that a task holds in memory; the others lie in a temporary file.
-BAGS_HELD = 64 << 20
+#: Members of a block of a candidate component and bytes of their hashes; a task compares two blocks at most.
+BLOCK = (2048, 8 << 20)
+#: Bytes of hashes up to which shingles in common are held as bits.
+BITS_FROM = 24 << 20
+#: Bytes of those bits.
+BITS_HELD = 32 << 20
 
 
 def words_of(text: str) -> list[bytes]:
@@ -108,46 +117,66 @@ def shingle_bag(words: list[bytes], shingle: int) -> tuple[int, bytes]:
     return xxhash.xxh3_64_intdigest(held, SEED), held
 
 
-def _sketch_factors() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(SEED)
-    return rng.integers(0, 1 << 31, 64, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, 64, dtype=np.uint32)
+def occurrence(hashes: np.ndarray) -> np.ndarray:
+    """For sorted hashes: how many equal ones come before each."""
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, dtype=np.int64)
+    return np.arange(len(hashes)) - np.repeat(first, np.diff([*first, len(hashes)]))
 
 
-SKETCH_FACTORS = _sketch_factors()
+BAND_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def sketch(held: bytes) -> int:
-    """One bit of each of 64 MinHashes of the hashes of a bag, none of an empty one."""
-    x = np.frombuffer(held, dtype="<u8").astype(np.uint32)
+def _minima(x: np.ndarray) -> np.ndarray:
+    least = np.full(len(BAND_FACTORS), 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
+    for at in range(0, len(x), 4096):
+        least = np.minimum(least, (x[at : at + 4096, None] * BAND_FACTORS).min(axis=0))
+    return least
+
+
+def bands(held: bytes) -> np.ndarray:
+    """The bands of a bag: of its different shingles, and of all with their repeats where those differ; none of an empty one."""
+    x = np.frombuffer(held, dtype="<u8")
     if not len(x):
-        return 0
-    factor, shift = SKETCH_FACTORS
-    least = np.full(64, 0xFFFFFFFF, dtype=np.uint32)
-    for at in range(0, len(x), 2048):
-        least = np.minimum(least, (x[at : at + 2048, None] * factor + shift).min(axis=0))
-    return int(np.packbits((least >> np.uint32(9) & np.uint32(1)).astype(bool), bitorder="little").view("<u8")[0])
+        return np.zeros(0, dtype=np.uint64)
+    nth = occurrence(x)
+    again = nth > 0
+    least = [_minima(x[~again])]
+    if again.any():
+        least.append(np.minimum(least[0], _minima(mix64(x[again] + nth[again].astype(np.uint64)))))
+    keys = []
+    for minima in least:
+        key = np.arange(BANDS, dtype=np.uint64)
+        for column in minima.reshape(BANDS, BAND_ROWS).T:
+            key = mix64(key + column)
+        keys.append(key)
+    return np.unique(np.concatenate(keys))
 
 
 def fingerprints(rows: DataFrame, keep: list[str], shingle: int = 3, check_shingle: int | None = None) -> DataFrame:
     """``(*keep, fp)`` for every row of ``rows``, by its column ``text``; ``fp`` holds the 64 bits as a signed long.
 
-    With ``check_shingle`` also ``check``, the digest of the bag of those shingles, and ``sketch``.
+    With ``check_shingle`` also ``check``, the digest of the bag of those shingles, and its ``bands``.
     """
-    made = ["fp", *(["check", "sketch"] if check_shingle else [])]
+    made = ["fp", *(["check"] if check_shingle else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             out = np.zeros((len(made), part.num_rows), dtype=np.uint64)
+            keys: list[np.ndarray] = []
             for i, text in enumerate(texts_of(part).to_pylist()):
                 words = words_of(text)
                 out[0, i] = fingerprint(words, shingle)
                 if check_shingle:
                     out[1, i], held = shingle_bag(words, check_shingle)
-                    out[2, i] = sketch(held)
-            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in keep), *map(pa.array, out.view(np.int64))], names=[*keep, *made])
+                    keys.append(bands(held).view(np.int64))
+            columns = [*(part.column(n) for n in keep), *map(pa.array, out.view(np.int64))]
+            if check_shingle:
+                columns.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), pa.array(np.concatenate(keys))))
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *made, *(["bands"] if check_shingle else [])])
 
     longs = [T.StructField(c, T.LongType()) for c in made]
-    return rows.select(*keep, "text").mapInArrow(run, T.StructType([*(rows.schema[c] for c in keep), *longs]))
+    lists = [T.StructField("bands", T.ArrayType(T.LongType()))] if check_shingle else []
+    return rows.select(*keep, "text").mapInArrow(run, T.StructType([*(rows.schema[c] for c in keep), *longs, *lists]))
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -177,13 +206,13 @@ class Labels:
 
 
 class GrayIndex:
-    """The hierarchical index of one group of fingerprints. ``checks``: a second code of each."""
+    """The hierarchical index of one group of fingerprints."""
 
-    def __init__(self, codes: np.ndarray, checks: np.ndarray | None = None, fanout: int = FANOUT):
+    def __init__(self, codes: np.ndarray, fanout: int = FANOUT):
         self.fanout = fanout
         #: The places of the codes that were given, by Gray rank.
         self.order = order = np.argsort(gray_rank(codes), kind="stable")
-        self.codes, self.checks = codes[order], None if checks is None else checks[order]
+        self.codes = codes[order]
         full = np.uint64(0xFFFFFFFFFFFFFFFF)
         #: From the leaves up: the mask of shared bits and their values, for each node.
         self.masks = [np.full(len(self.codes), full)]
@@ -211,13 +240,11 @@ class GrayIndex:
             out.append(np.where(low == high, low, -1))
         return out
 
-    def link(self, max_bits: int, check_bits: int = 64, at_once: int = QUERIES_AT_ONCE) -> np.ndarray:
-        """Labels of the components at ``max_bits`` differing bits (and ``check_bits`` of the second ones), for ``codes`` in Gray order."""
+    def link(self, max_bits: int, at_once: int = QUERIES_AT_ONCE) -> np.ndarray:
+        """Labels of the components at ``max_bits`` differing bits, for ``codes`` in Gray order."""
         n = len(self.codes)
         labels = Labels(n)
-        alike = lambda a, b: self.checks is None or np.bitwise_count(self.checks[a] ^ self.checks[b]) <= check_bits
-        places = np.arange(n)
-        near = np.flatnonzero((np.bitwise_count(self.codes[1:] ^ self.codes[:-1]) <= max_bits) & alike(places[1:], places[:-1]))
+        near = np.flatnonzero(np.bitwise_count(self.codes[1:] ^ self.codes[:-1]) <= max_bits)
         labels.link(near, near + 1)
         top = len(self.masks) - 1
         for start in range(0, n, at_once):
@@ -237,51 +264,42 @@ class GrayIndex:
                 found = found + np.bitwise_count(differ)
                 keep = (found <= max_bits) & (uniform[level][node] != labels.of[query])
                 node, query, found = node[keep], query[keep], found[keep]
-            if self.checks is not None:
-                good = alike(query, node)
-                query, node = query[good], node[good]
             labels.link(query, node)
         return labels.of
 
 
-def group_links(codes: np.ndarray, max_bits: int, checks: np.ndarray | None = None, check_bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+def group_links(codes: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of edges that connect what is linked in a group: each member with its component's first."""
-    index = GrayIndex(codes, checks)
-    label = index.link(max_bits, check_bits)
+    index = GrayIndex(codes)
+    label = index.link(max_bits)
     member = np.flatnonzero(label != np.arange(len(label)))
     return index.order[member], index.order[label[member]]
 
 
-def small_group_links(codes: np.ndarray, group: np.ndarray, max_bits: int, most: int, checks: np.ndarray | None = None, check_bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+def small_group_links(codes: np.ndarray, group: np.ndarray, max_bits: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of linked pairs of many groups of at most ``most`` codes each; members of a group are neighbours."""
     a = []
     for gap in range(1, most):
-        near = (group[gap:] == group[:-gap]) & (np.bitwise_count(codes[gap:] ^ codes[:-gap]) <= max_bits)
-        if checks is not None:
-            near &= np.bitwise_count(checks[gap:] ^ checks[:-gap]) <= check_bits
-        hit = np.flatnonzero(near)
+        hit = np.flatnonzero((group[gap:] == group[:-gap]) & (np.bitwise_count(codes[gap:] ^ codes[:-gap]) <= max_bits))
         a.append(np.stack([hit, hit + gap]))
     both = np.concatenate([np.zeros((2, 0), dtype=np.int64), *a], axis=1)
     return both[0], both[1]
 
 
-def _links_of_partition(max_bits: int, check_bits: int | None):
-    """For rows sorted by (mask, value): read group after group, and hold no more than one group and one batch."""
-    most = 64 if check_bits is None else check_bits
-    columns = ["mask", "value", "node", "fp", *([] if check_bits is None else ["sketch"])]
+def _links_of_partition(max_bits: int, keys: list[str]):
+    """For rows sorted by ``keys``: read group after group, and hold no more than one group and one batch."""
+    columns, of_key = [*keys, "node", "fp"], len(keys)
 
     def solve(held: np.ndarray) -> pa.RecordBatch:
-        key, node, codes = held[:2], held[2], held[3].view(np.uint64)
-        checks = None if check_bits is None else held[4].view(np.uint64)
+        key, node, codes = held[:of_key], held[-2], held[-1].view(np.uint64)
         starts = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
         sizes = np.diff([*starts, len(node)])
         small = np.flatnonzero(np.repeat(sizes <= FANOUT, sizes))
         group = np.repeat(np.arange(len(sizes)), sizes)
-        of = lambda rows: None if checks is None else checks[rows]
-        found = [small[np.stack(small_group_links(codes[small], group[small], max_bits, FANOUT, of(small), most))]]
+        found = [small[np.stack(small_group_links(codes[small], group[small], max_bits, FANOUT))]]
         for i in np.flatnonzero(sizes > FANOUT):
             rows = slice(starts[i], starts[i] + sizes[i])
-            found.append(np.stack(group_links(codes[rows], max_bits, of(rows), most)) + starts[i])
+            found.append(np.stack(group_links(codes[rows], max_bits)) + starts[i])
         a, b = node[np.concatenate(found, axis=1)]
         return pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], names=["a", "b"])
 
@@ -291,10 +309,10 @@ def _links_of_partition(max_bits: int, check_bits: int | None):
             if not batch.num_rows:
                 continue
             held.append(np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns]))
-            if (held[-1][:2, -1] == held[0][:2, 0]).all():
+            if (held[-1][:of_key, -1] == held[0][:of_key, 0]).all():
                 continue
             rows = np.concatenate(held, axis=1)
-            whole = np.flatnonzero((rows[:2] != rows[:2, -1:]).any(axis=0))[-1] + 1
+            whole = np.flatnonzero((rows[:of_key] != rows[:of_key, -1:]).any(axis=0))[-1] + 1
             yield solve(np.ascontiguousarray(rows[:, :whole]))
             release()
             held = [np.ascontiguousarray(rows[:, whole:])]
@@ -328,19 +346,20 @@ def _keyed(max_bits: int):
     return run
 
 
-def link_classes(spark: SparkSession, distinct: DataFrame, max_bits: int = 2, split_over: int = SPLIT_OVER, check_bits: int | None = None) -> DataFrame:
+def link_classes(spark: SparkSession, distinct: DataFrame, max_bits: int = 2, split_over: int = SPLIT_OVER) -> DataFrame:
     """``(a, b)``: edges between nodes whose components are those of all links.
 
-    ``distinct`` has the fingerprints ``fp`` and a number ``node`` for each; with ``check_bits`` the codes ``sketch`` must differ
-    in at most so many bits too.
+    ``distinct`` has the fingerprints ``fp`` and a number ``node`` for each. Where it has ``bands`` too, links are sought
+    only among nodes that have one in common, and blocks of the fingerprint cut only those bands that too many share.
     """
     scratch = Scratch(spark, "gray")
-    own = ["node", "fp", *([] if check_bits is None else ["sketch"])]
-    key = ["mask", "value"]
-    level = distinct.select(F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("value"), *own)
+    banded = "bands" in distinct.columns
+    key = ["mask", "value", *(["band"] if banded else [])]
+    band = [F.explode("bands").alias("band")] if banded else []
+    level = distinct.select(F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("value"), *band, "node", "fp")
     groups, depth = None, 0
     while True:
-        keyed = level.mapInArrow(_keyed(max_bits), level.schema)
+        keyed = level if banded and depth == 0 else level.mapInArrow(_keyed(max_bits), level.schema)
         more = F.bit_count(F.bitwise_not("mask")) > max_bits
         large = scratch.write(keyed.where(more).groupBy(*key).count().where(F.col("count") > split_over).select(*key), f"large{depth}")
         last = large.isEmpty() or depth == DEEPEST
@@ -351,39 +370,28 @@ def link_classes(spark: SparkSession, distinct: DataFrame, max_bits: int = 2, sp
         level = scratch.write(keyed.join(large, key, "left_semi").select(*level.columns), f"level{depth}")
         depth += 1
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return groups.repartition(parts, *key).sortWithinPartitions(*key, "fp").mapInArrow(_links_of_partition(max_bits, check_bits), "a long, b long")
+    return groups.repartition(parts, *key).sortWithinPartitions(*key, "fp").mapInArrow(_links_of_partition(max_bits, key), "a long, b long")
 
 
 class HeldBags:
-    """Sorted hashes of shingles by number; those beyond ``BAGS_HELD`` bytes lie in a temporary file without a name."""
+    """Sorted hashes of shingles by number."""
 
     def __init__(self):
-        self.bags: list[bytes | tuple[int, int]] = []
+        self.bags: list[bytes] = []
         self.different: list[int] = []
         self.total: list[int] = []
-        self.bytes, self.file, self.end = 0, None, 0
+        self.bytes = 0
 
     def add(self, held: bytes) -> None:
         hashes = np.frombuffer(held, dtype="<u8")
         self.total.append(len(hashes))
         self.different.append(int((hashes[1:] != hashes[:-1]).sum()) + 1 if len(hashes) else 0)
-        if self.bytes + len(held) <= BAGS_HELD:
-            self.bytes += len(held)
-            self.bags.append(held)
-            return
-        self.file = self.file or tempfile.TemporaryFile()
-        self.file.write(held)
-        self.bags.append((self.end, len(held)))
-        self.end += len(held)
-
-    def flush(self) -> None:
-        if self.file:
-            self.file.flush()
+        self.bytes += len(held)
+        self.bags.append(held)
 
     def get(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         """The different hashes, and how often each occurs."""
-        held = self.bags[i]
-        return np.unique(np.frombuffer(held if isinstance(held, bytes) else os.pread(self.file.fileno(), held[1], held[0]), dtype="<u8"), return_counts=True)
+        return np.unique(np.frombuffer(self.bags[i], dtype="<u8"), return_counts=True)
 
 
 def shares(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], share: float) -> bool:
@@ -400,15 +408,14 @@ class CommonBits:
 
     @staticmethod
     def of(bags: HeldBags) -> CommonBits | None:
-        """None where the bits would take more than ``BAGS_HELD`` bytes."""
-        if bags.file or bags.bytes > BAGS_HELD // 4:
+        """None where the hashes or the bits take more than ``BITS_FROM`` or ``BITS_HELD`` bytes."""
+        if bags.bytes > BITS_FROM:
             return None
         keys, place = [], []
         for i in range(len(bags.bags)):
             held = np.frombuffer(bags.bags[i], dtype="<u8")
             # The second occurrence of a shingle is an element of its own, and so on: a bag is a set then.
-            first = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]])) if len(held) else np.zeros(0, dtype=np.int64)
-            nth = np.arange(len(held)) - np.repeat(first, np.diff([*first, len(held)]))
+            nth = occurrence(held)
             keys.append(np.where(nth == 0, held & ~np.uint64(1), mix64(held + nth.astype(np.uint64)) | np.uint64(1)))
             place.append(np.full(len(held), i))
         every, column, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
@@ -418,7 +425,7 @@ class CommonBits:
         for own in (shared & ~repeat, shared & repeat):
             number = np.cumsum(own) - 1
             width = -(-int(own.sum()) // 64) * 64
-            if len(bags.bags) * width // 8 > BAGS_HELD // 2:
+            if len(bags.bags) * width // 8 > BITS_HELD:
                 return None
             rows, owner = own[column], np.concatenate(place)
             bits = np.zeros((len(bags.bags), width // 64), dtype=np.uint64)
@@ -436,20 +443,28 @@ class CommonBits:
         return both[0], both[0] + both[1]
 
 
-def exact_links(codes: np.ndarray, digests: np.ndarray, bags: HeldBags, max_bits: int, share: float) -> np.ndarray:
-    """Labels of the components of texts that differ in at most ``max_bits`` bits and share ``share`` of their shingles, or all of them."""
+def exact_links(codes: np.ndarray, digests: np.ndarray, bags: HeldBags, max_bits: int, share: float, given: np.ndarray | None = None, kind: np.ndarray | None = None) -> np.ndarray:
+    """Labels of the components of texts that differ in at most ``max_bits`` bits and share ``share`` of their shingles, or all of them.
+
+    Texts with equal ``given`` are known to hang together. Those of the same ``kind`` are not compared, but for kind 0.
+    """
     n = len(codes)
-    bags.flush()
     labels = Labels(n)
-    order = np.argsort(digests, kind="stable")
-    same = np.flatnonzero(digests[order][1:] == digests[order][:-1])
-    labels.link(order[same], order[same + 1])
+    for known in (digests, given):
+        if known is not None:
+            order = np.argsort(known, kind="stable")
+            same = np.flatnonzero(known[order][1:] == known[order][:-1])
+            labels.link(order[same], order[same + 1])
+    if not labels.of.any():
+        return labels.of
     different, total = np.array(bags.different), np.array(bags.total)
     bits = CommonBits.of(bags) if n > 2 else None
     # Bags share so much only if neither is smaller than that part of the other.
     alike = lambda size, k: np.minimum(size[:k], size[k]) >= share * np.maximum(size[:k], size[k]) - 1e-9
     for k in range(1, n):
         may = (np.bitwise_count(codes[:k] ^ codes[k]) <= max_bits) & (labels.of[:k] != labels.of[k]) & (alike(different, k) | alike(total, k))
+        if kind is not None and kind[k]:
+            may &= kind[:k] != kind[k]
         near, own = np.flatnonzero(may), None
         while bits and len(near):
             # The latest first, some at a time: most are linked with each other already.
@@ -468,44 +483,94 @@ def exact_links(codes: np.ndarray, digests: np.ndarray, bags: HeldBags, max_bits
     return labels.of
 
 
-def _classes_of_partition(max_bits: int, share: float):
-    """For rows sorted by (candidate, fp, check): read component after component, and hold no more than one and one batch."""
+#: What is known of a text of a candidate component, but for the key of its group.
+BAG = ["fp", "check", "kind", "given", "held"]
+
 
-    def solve(codes: list[int], digests: list[int], bags: HeldBags) -> pa.RecordBatch:
-        marks = np.array(digests, dtype=np.int64)
-        label = exact_links(np.array(codes, dtype=np.int64).view(np.uint64), marks, bags, max_bits, share)
-        _, first = np.unique(marks, return_index=True)
-        return pa.RecordBatch.from_arrays([pa.array(marks[first]), pa.array(marks[label[first]])], names=["check", "label"])
+def _classes_of_partition(max_bits: int, share: float, keys: list[str]):
+    """For rows sorted by ``keys``, fp, check and kind: read group after group, and hold no more than one and one batch."""
+
+    def solve(marks: list[tuple[int, int, int, int]], bags: HeldBags) -> pa.RecordBatch:
+        codes, digests, kind, given = np.array(marks, dtype=np.int64).T
+        label = exact_links(codes.view(np.uint64), digests, bags, max_bits, share, given, kind)
+        _, first = np.unique(digests, return_index=True)
+        return pa.RecordBatch.from_arrays([pa.array(digests[first]), pa.array(digests[label[first]])], names=["check", "label"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, codes, digests, bags = None, [], [], HeldBags()
+        now, marks, bags = None, [], HeldBags()
         for batch in batches:
-            keys, fps, checks = (batch.column(c).to_pylist() for c in ("candidate", "fp", "check"))
+            key = list(zip(*(batch.column(c).to_pylist() for c in keys), strict=True))
+            mark = list(zip(*(batch.column(c).to_pylist() for c in BAG[:-1]), strict=True))
             held = batch.column("held")
             for k in range(batch.num_rows):
-                if codes and keys[k] != now:
-                    yield solve(codes, digests, bags)
+                if marks and key[k] != now:
+                    yield solve(marks, bags)
                     if bags.bytes > SLICE_BYTES:
                         release()
-                    codes, digests, bags = [], [], HeldBags()
-                now = keys[k]
-                if codes and codes[-1] == fps[k] and digests[-1] == checks[k]:
+                    marks, bags = [], HeldBags()
+                now = key[k]
+                if marks and marks[-1] == mark[k]:
                     continue  # the same row of the input once more
-                codes.append(fps[k])
-                digests.append(checks[k])
+                marks.append(mark[k])
                 bags.add(held[k].as_py())
-        if codes:
-            yield solve(codes, digests, bags)
+        if marks:
+            yield solve(marks, bags)
 
     return run
 
 
-def _exact_labels(spark: SparkSession, scratch: Scratch, rows: DataFrame, marks: DataFrame, max_bits: int, split_over: int, check: tuple[int, float]) -> DataFrame:
+def _compared(bags: DataFrame, keys: list[str], max_bits: int, share: float) -> DataFrame:
+    """``(check, label)``: what each group of texts tells, two blocks of one component at most in a group."""
+    parts = int(bags.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = bags.select(*keys, *BAG).repartition(parts, *keys).sortWithinPartitions(*keys, "fp", "check", "kind")
+    return rows.mapInArrow(_classes_of_partition(max_bits, share, keys), "check long, label long")
+
+
+def _blocks(n: str, size: str, block: tuple[int, int]) -> Column:
+    """How many blocks so many members with so many bytes make."""
+    return F.greatest(F.ceil(F.col(n) / block[0]), F.ceil(F.col(size) / block[1])).cast("long")
+
+
+def _labels_by_blocks(spark: SparkSession, scratch: Scratch, bags: DataFrame, large: DataFrame, max_bits: int, share: float, block: tuple[int, int]) -> DataFrame:
+    """``(check, label)`` for the components of ``large`` (candidate, blocks), which no task holds whole."""
+    whole = bags.join(large, "candidate").withColumn("at", F.pmod(F.xxhash64("check"), "blocks"))
+    kind = lambda k: F.lit(k).cast("long").alias("kind")
+    to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    known = F.col("check").alias("given")
+    within = whole.select("candidate", "at", "fp", "check", kind(0), known, "held")
+    # The first block goes to all others.
+    first = whole.where("at = 0 and blocks > 1").select("candidate", F.explode(F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1)).alias("at"), "fp", "check", kind(1), known, "held")
+    edges = scratch.write(_compared(within.unionByName(first), ["candidate", "at"], max_bits, share).where("check != label"), "edges")
+
+    ends = components(spark, edges, "check", "label").withColumnRenamed("label", "class")
+    tags = whole.groupBy("candidate", "check").agg(F.max("size").alias("size"))
+    tags = tags.join(ends, tags["check"] == ends["node"], "left").select("candidate", "check", "size", F.coalesce("class", "check").alias("class"))
+    tags = scratch.write(tags, "tags")
+    classes = tags.groupBy("candidate", "class").agg(F.count("*").alias("n"))
+    main = classes.groupBy("candidate").agg(F.max(F.struct("n", "class"))["class"].alias("main"))
+    rest = tags.join(main, "candidate").where(F.col("class") != F.col("main"))
+    parts = rest.groupBy("candidate").agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.first("main").alias("main"))
+    parts = scratch.write(parts.select("candidate", "main", _blocks("n", "size", block).alias("parts")), "parts")
+    if parts.isEmpty():
+        more = edges
+    else:
+        named = whole.drop("size").join(tags.drop("size"), ["candidate", "check"]).join(parts, "candidate").withColumnRenamed("class", "given")
+        every = named.select("candidate", "at", to("parts").alias("part"), "fp", "check", kind(2), "given", "held")
+        others = named.where("given != main").withColumn("part", F.pmod(F.xxhash64("check", F.lit(1)), "parts"))
+        others = others.select("candidate", to("blocks").alias("at"), "part", "fp", "check", kind(1), "given", "held")
+        more = _compared(every.unionByName(others), ["candidate", "at", "part"], max_bits, share).where("check != label").unionByName(edges)
+    ends = components(spark, more, "check", "label")
+    return ends.select(F.col("node").alias("check"), "label")
+
+
+def _exact_labels(
+    spark: SparkSession, scratch: Scratch, rows: DataFrame, marks: DataFrame, max_bits: int, split_over: int, check: tuple[int, float], block: tuple[int, int]
+) -> DataFrame:
     """``(check, label)``: the component of every text that hangs together with another one."""
     shingle, share = check
-    classes = scratch.write(marks.groupBy("fp", "check").agg(F.min("sketch").alias("sketch"), F.min("pick").alias("pick")), "classes")
+    classes = scratch.write(marks.groupBy("fp", "check").agg(F.first("bands").alias("bands"), F.min("pick").alias("pick")), "classes")
     # The node is the digest of the shingles: texts with the same ones are one class, however far their fingerprints are apart.
-    members = components(spark, link_classes(spark, classes.withColumn("node", F.col("check")), max_bits, split_over, SKETCH_BITS))
+    members = components(spark, link_classes(spark, classes.withColumn("node", F.col("check")), max_bits, split_over))
     named = classes.join(members, classes["check"] == members["node"], "left").select("fp", "check", "pick", F.coalesce("label", "check").alias("candidate"))
     named = scratch.write(named, "candidates")
     busy = named.groupBy("candidate").agg(F.count("*").alias("n")).where("n > 1").select("candidate")
@@ -517,16 +582,18 @@ def _exact_labels(spark: SparkSession, scratch: Scratch, rows: DataFrame, marks:
             made = [shingle_bag(words_of(t), shingle) for t in texts_of(part).to_pylist()]
             digests = pa.array(np.array([d for d, _ in made], dtype=np.uint64).view(np.int64))
             own = pc.equal(digests, part.column("check"))  # a row that another one's pick met by chance goes
-            columns = [part.column("candidate"), part.column("fp"), digests, pa.array([h for _, h in made], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["candidate", "fp", "check", "held"]).filter(own)
+            size = pa.array([len(h) for _, h in made], pa.int64())
+            columns = [part.column("candidate"), part.column("fp"), digests, size, pa.array([h for _, h in made], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["candidate", "fp", "check", "size", "held"]).filter(own)
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bags = texts.select("candidate", "fp", "check", "text").mapInArrow(run, "candidate long, fp long, check long, held binary")
-    return (
-        bags.repartition(parts, "candidate")
-        .sortWithinPartitions("candidate", "fp", "check")
-        .mapInArrow(_classes_of_partition(max_bits, share), "check long, label long")
-    )
+    bags = texts.select("candidate", "fp", "check", "text").mapInArrow(run, "candidate long, fp long, check long, size long, held binary")
+    bags = scratch.write(bags, "bags")
+    sizes = bags.groupBy("candidate").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    large = sizes.select("candidate", _blocks("n", "size", block).alias("blocks")).where("blocks > 2")
+    large = scratch.write(large, "large")
+    small = bags.join(large, "candidate", "left_anti").select("*", F.lit(0).cast("long").alias("kind"), F.col("check").alias("given"))
+    found = _compared(small, ["candidate"], max_bits, share)
+    return found if large.isEmpty() else found.unionByName(_labels_by_blocks(spark, scratch, bags, large, max_bits, share, block))
 
 
 def near_duplicates(
@@ -539,13 +606,15 @@ def near_duplicates(
     split_over: int = SPLIT_OVER,
     keep: tuple[str, ...] = (),
     check: tuple[int, float] | None = None,
+    block: tuple[int, int] = BLOCK,
 ) -> DataFrame:
     """``(id_col, *keep, fp, label, component_id)`` for every row.
 
     ``label`` is the same for all rows of a component, and ``component_id`` is
     the smallest id among them. ``check``, words and a share, holds
     every link against the shingles of so many words, of which they must have
-    that share in common (see ``shares``).
+    that share in common (see ``shares``). ``block``, members and bytes, bounds
+    what a task compares of a component.
     """
     scratch = Scratch(spark, "simhash")
     pick = [F.xxhash64(id_col, text_col).alias("pick")] if check else []
@@ -554,8 +623,8 @@ def near_duplicates(
     node = "check" if check else "fp"
     least = marks.groupBy(node).agg(F.min("id").alias("least"))
     if check:
-        found = scratch.write(_exact_labels(spark, scratch, rows, marks, max_bits, split_over, check), "found").withColumnRenamed("check", "node")
-        scratch.drop("classes", "candidates")
+        found = scratch.write(_exact_labels(spark, scratch, rows, marks, max_bits, split_over, check, block), "found").withColumnRenamed("check", "node")
+        scratch.drop("classes", "candidates", "bags", "large", "edges", "tags", "parts")
     else:
         classes = scratch.write(marks.select("fp", F.col("fp").alias("node")).distinct(), "classes")
         found = components(spark, link_classes(spark, classes, max_bits, split_over))

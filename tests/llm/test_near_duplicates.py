@@ -88,9 +88,8 @@ def edited(words: list[str], at: list[int]) -> str:
     return " ".join(f"{w}x{k}" if k in at else w for k, w in enumerate(words))
 
 
-@pytest.mark.parametrize(("split_over", "held"), [(10**6, 3000), (5, 64 << 20)])
-def test_links_hold_against_the_shingles(spark, docs, texts, split_over, held, monkeypatch):
-    monkeypatch.setattr(simhash, "BAGS_HELD", held)
+@pytest.mark.parametrize(("split_over", "block"), [(10**6, (2048, 3000)), (5, simhash.BLOCK), (5, (2, 8 << 20))])
+def test_links_hold_against_the_shingles(spark, docs, texts, split_over, block):
     rng = np.random.default_rng(3)
     more = []
     for k in range(12):
@@ -109,7 +108,7 @@ def test_links_hold_against_the_shingles(spark, docs, texts, split_over, held, m
     pairs += [(a, b) for a, b in zip(*near) if alike(a, b)]
     ids = [i for i, _ in every]
     want = Counter(zip(ids, least_ids(ids, reach(len(every), pairs))))
-    found = simhash.near_duplicates(spark, rows, shingle=2, max_bits=10, check=(5, 0.8), split_over=split_over)
+    found = simhash.near_duplicates(spark, rows, shingle=2, max_bits=10, check=(5, 0.8), split_over=split_over, block=block)
     assert Counter(map(tuple, found.select("doc_id", "component_id").collect())) == want
 
 
@@ -127,6 +126,47 @@ def test_comparisons_grow_with_the_members_of_a_component(monkeypatch):
     assert len(seen) <= 2 * n
 
 
+@pytest.mark.parametrize("block", [(8, 8 << 20), (2048, 4000)])
+def test_blocks_of_a_large_component_lose_no_link(spark, block):
+    """One candidate component of 90 texts: chains of edits, far texts that hang on by a few, and one large group of near copies."""
+    rng = np.random.default_rng(11)
+    base = [f"w{x}" for x in rng.integers(0, 900, 150)]
+    texts = [edited(base, [k]) for k in range(40)]
+    for k in range(50):
+        texts.append(edited(base, rng.integers(0, 150, 2 + k // 3).tolist()))
+    bags = [plain_bag(t) for t in texts]
+    rows, digests = [], []
+    for t in texts:
+        digest, held = simhash.shingle_bag(simhash.words_of(t), 5)
+        digests.append(int(np.uint64(digest).view(np.int64)))
+        rows.append((1, 0, digests[-1], len(held), bytearray(held)))
+    frame = spark.createDataFrame([*rows, rows[0]], "candidate long, fp long, check long, size long, held binary")
+    blocks = max(-(-len(rows) // block[0]), -(-sum(r[3] for r in rows) // block[1]))
+    large = spark.createDataFrame([(1, blocks)], "candidate long, blocks long")
+    found = simhash._labels_by_blocks(spark, simhash.Scratch(spark, "blocks"), frame, large, 10, 0.8, block)
+    label = dict(map(tuple, found.collect()))
+    sets = [set(b) for b in bags]
+    want = reach(len(texts), [(a, b) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    got = [label.get(d, d) for d in digests]
+    assert [got.index(x) for x in got] == [want.index(x) for x in want]
+    assert 2 < len(set(want)) < 60
+
+
+def test_texts_that_share_enough_meet_in_a_band():
+    """Pairs at 0.8 of different shingles, and pairs at 0.8 with repeats that have few different shingles in common."""
+    rng = np.random.default_rng(12)
+    meet = 0
+    for k in range(200):
+        common = rng.integers(0, 2**63, 80, dtype=np.uint64)
+        a, b = (np.sort(np.concatenate([common, rng.integers(0, 2**63, 10, dtype=np.uint64)])) for _ in range(2))
+        if k % 2:
+            many = np.repeat(common[:4], 20)
+            a, b = (np.sort(np.concatenate([many, rng.integers(0, 2**63, 10, dtype=np.uint64)])) for _ in range(2))
+        meet += bool(set(simhash.bands(a.tobytes())) & set(simhash.bands(b.tobytes())))
+    assert meet >= 198
+    assert len(simhash.bands(b"")) == 0
+
+
 def test_common_shingles_as_bits(monkeypatch):
     """Held as bits or compared one by one, shingles with their repeats link the same texts."""
     rng = np.random.default_rng(8)

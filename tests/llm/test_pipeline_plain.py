@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from test_near_duplicates import edited, plain_bag, plain_fingerprint, reach
 from test_text_models import PlainKneserNey, plain_base, plain_features
 
-from tabularium.llm import quality, simhash, toxicity
+from tabularium.llm import quality, toxicity
 
 
 def all_features(text, lexicon):
@@ -98,12 +98,11 @@ def test_near_duplicate_stage(spark, small):
     rows = docs.collect()
     bits = np.array([plain_fingerprint(r.text, corpus_pipeline.SHINGLE) for r in rows], dtype=np.uint64)
     bags = [plain_bag(r.text) for r in rows]
-    shingle, share = corpus_pipeline.CHECK
-    codes = np.array([simhash.sketch(simhash.shingle_bag(simhash.words_of(r.text or ""), shingle)[1]) for r in rows], dtype=np.uint64)
+    share = corpus_pipeline.CHECK[1]
     pairs = []
     for a in range(len(rows)):
         for b in range(a):
-            near = np.bitwise_count(bits[a] ^ bits[b]) <= corpus_pipeline.NEAR_BITS and np.bitwise_count(codes[a] ^ codes[b]) <= simhash.SKETCH_BITS
+            near = np.bitwise_count(bits[a] ^ bits[b]) <= corpus_pipeline.NEAR_BITS
             sets = len(bags[a].keys() & bags[b].keys()) >= share * len(bags[a].keys() | bags[b].keys())
             alike = sets or (bags[a] & bags[b]).total() >= share * (bags[a] | bags[b]).total()
             if bags[a] == bags[b] or near and alike:
