@@ -244,12 +244,12 @@ def fit_curve(rows: DataFrame) -> list[tuple[float, float]]:
 
 def _calibrated(raw, steps: list[tuple[float, float]]):
     """Linear between the isotonic curve's corners, constant beyond them. A trace of the raw score keeps the order among ties."""
-    out = F.lit(steps[-1][1])
-    for (x0, y0), (x1, y1) in reversed(list(zip(steps, steps[1:], strict=False))):
-        inner = F.lit(y0) + (raw - x0) * ((y1 - y0) / (x1 - x0)) if x1 > x0 else F.lit(y1)
-        out = F.when(raw < x1, inner).otherwise(out)
-    out = F.when(raw <= steps[0][0], F.lit(steps[0][1])).otherwise(out)
-    return out * 0.999 + raw * 0.001
+    slopes = [(y1 - y0) / (x1 - x0) if x1 > x0 else 0.0 for (x0, y0), (x1, y1) in zip(steps, steps[1:], strict=False)]
+    corners = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(d).alias("slope")) for (x, y), d in zip(steps, [*slopes, 0.0], strict=True)))
+    # A list, not one condition in another for each corner: a curve may have thousands.
+    below = F.try_element_at(F.filter(corners, lambda c: c["x"] <= raw), F.lit(-1))
+    inner = F.transform(F.array(below), lambda c: c["y"] + (raw - c["x"]) * c["slope"])[0]
+    return F.coalesce(inner, F.lit(steps[0][1])) * 0.999 + raw * 0.001
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:

@@ -378,3 +378,15 @@ def test_words_are_split_at_ascii_white_space_only():
     texts = ["a b\tc\nd\x0be\x0cf\rg", "", " x ", "a\u00a0b\u2003c"]
     words = split_words(pa.array(texts))
     assert np.diff(words.starts).tolist() == [7, 0, 1, 1]
+
+
+def test_a_curve_of_many_corners(spark):
+    rng = np.random.default_rng(6)
+    xs, ys = np.sort(rng.random(1500)), np.sort(rng.random(1500))
+    xs[100] = xs[101]
+    steps = list(zip(xs.tolist(), ys.tolist(), strict=True))
+    raw = [0.0, 1.0, *xs[[0, 5, 700, 1499]].tolist(), *rng.random(300).tolist()]
+    got = spark.createDataFrame([(x,) for x in raw], "raw double").select("raw", toxicity._calibrated(F.col("raw"), steps).alias("p")).collect()
+    for r in got:
+        assert abs(r.p - (0.999 * np.interp(r.raw, xs, ys) + 0.001 * r.raw)) < 1e-9
+    assert len(got) == len(raw)
