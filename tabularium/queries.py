@@ -976,7 +976,8 @@ def _verifier(row: dict) -> dict:
     """A client that knows addresses by the numbers in them: some it confirms, some it can't find, one result is doubled, one is of an index nobody asked about; a batch from 40 on fails the first time."""
     import json
 
-    inputs = json.loads(row["prompt"].split("\n", 1)[1])
+    # The second line only: a prompt that is asked again goes on with what was wrong.
+    inputs = json.loads(row["prompt"].split("\n")[1])
     if row["attempt"] == 1 and int(inputs[0]["index"]) // 5 % 3 == 2:
         return {"text": '{"found": []}', "input_tokens": 10, "output_tokens": 1}
     found = []

@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from tabularium import queries
 from tabularium.plans import calls
 
 RULES_ROWS = [("s", 0, "$", ["object"], True), ("s", 1, "$.append", ["string"], True), ("s", 2, "$.tail", ["string", "null"], False), ("s", 3, "$.n", ["number"], True)]
@@ -66,3 +67,13 @@ def test_an_answer_is_looked_at_once_for_a_rule(spark):
 def test_no_work(spark):
     out = calls.ask_until_valid(spark.createDataFrame([], calls.WORK), spark.createDataFrame([], calls.RULES), [calls.Client(lambda row: {})])
     assert out.accepted.count() == out.quarantine.count() == out.ledger.count() == 0
+
+
+def test_a_refused_batch_is_verified_when_asked_again(spark, tmp_path):
+    rows = spark.range(40).select(F.col("id").alias("s_suppkey"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("s_name"), F.lit(0).alias("s_nationkey"))
+    rows.write.parquet(str(tmp_path / "supplier.parquet"))
+    got = {r.suppkey: (r.confidence, r.matched_name, r.calls) for r in queries.verified_by_calls(spark, str(tmp_path)).collect()}
+    # Of those with an address, the eleventh to the fifteenth are the third batch.
+    assert got[13] == ("high", "S13", 2) and got[14] == ("low", "S14", 2) and got[1] == ("high", "S1", 1) and got[5] == ("unknown", None, 0)
+    # Seven batches of 32 records, of which the third and the sixth are asked twice.
+    assert sum(calls for _, _, calls in got.values()) == 32 + 10
