@@ -30,6 +30,8 @@ def numbered(rows: DataFrame, key: list[str], order: list[str], name: str, hot_r
     hot = settled(sizes.select(*(F.col(c).alias(f"__{c}") for c in key)))
     if hot.isEmpty():
         return plain(rows)
+    # Few and narrow, so they go to the rows: a join by key would bring a large group together in one task.
+    hot = F.broadcast(hot)
     own = lambda part: _same([rows[c].eqNullSafe(hot[f"__{c}"]) for c in key])
     ranged = rows.join(hot, own(rows), "left_semi").repartitionByRange(*key, *order).sortWithinPartitions(*key, *order)
     placed = settled(ranged.withColumn("__at", F.monotonically_increasing_id()).withColumn("__range", F.shiftright("__at", 33)))
@@ -37,7 +39,7 @@ def numbered(rows: DataFrame, key: list[str], order: list[str], name: str, hot_r
     ranges = placed.groupBy(*key, "__range").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
     ranges = ranges.withColumn("__earlier", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     given = ranges.select(*(F.col(c).alias(f"__{c}") for c in key), F.col("__range").alias("__r"), "__first", "__earlier")
-    found = placed.join(given, _same([placed[c].eqNullSafe(given[f"__{c}"]) for c in key]) & (placed["__range"] == given["__r"]))
+    found = placed.join(F.broadcast(given), _same([placed[c].eqNullSafe(given[f"__{c}"]) for c in key]) & (placed["__range"] == given["__r"]))
     many = found.select(*rows.columns, (F.col("__at") - F.col("__first") + F.col("__earlier")).cast("long").alias(name))
     return plain(rows.join(hot, own(rows), "left_anti")).unionByName(many)
 

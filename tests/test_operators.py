@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tabularium.functions import html, text
-from tabularium.operators import enrich, groups, hints, records, regions, sampling
+from tabularium.operators import enrich, groups, hints, numbering, records, regions, sampling
 from tabularium.plans import pipeline, proposers
 from tabularium.sources import files
 from tabularium.streaming import stitch
@@ -335,3 +335,11 @@ def test_samples_broadcast_no_regions(spark):
     out = sampling.extractor_sample(frame)
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
     assert [r.regions for r in out.collect()] == [1] * 5
+
+
+def test_large_groups_are_not_joined_by_key(spark):
+    rows = spark.createDataFrame([(i % 2, i) for i in range(50)], "k int, o int")
+    out = numbering.numbered(rows, ["k"], ["o"], "n", hot_rows=10)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {(r.k, r.o, r.n) for r in out.collect()} == {(i % 2, i, i // 2) for i in range(50)}
