@@ -17,7 +17,7 @@ from tabularium.plans import calls
 from tabularium.plans import page_diffs as diffs_by_rule
 from tabularium.plans import pipeline, stanza_mining, verification
 from tabularium.plans.stages import Kept, Stages
-from tabularium.session import shared_folder
+from tabularium.session import shared_folder, spread
 from tabularium.sources import files, render
 from tabularium.streaming import stitch as stitching
 
@@ -107,7 +107,7 @@ def table_headerless(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT c_custkey::BIGINT AS doc_id, c_name AS name, c_mktsegment AS segment, c_nationkey::VARCHAR AS nation, printf('%.2f', c_acctbal) AS balance FROM customer""")
 def pair_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Definition lists and bold labels of one document per customer."""
-    c = _table(spark, sf_dir, "customer")
+    c = spread(_table(spark, sf_dir, "customer"), "c_custkey")
     dl = F.concat(F.lit("<dl><dt>Name:</dt><dd>"), "c_name", F.lit("</dd><dt>Market segment<dd> "), "c_mktsegment", F.lit(" </dl>"))
     bold = F.concat(F.lit("<p><b>Nation key:</b> "), _text("c_nationkey"), F.lit(" <strong>Acct-balance:</strong>&nbsp;"), _money("c_acctbal"), F.lit("<br>end</p>"))
     docs = c.select(F.col("c_custkey").alias("doc_id"), render.region(_text("c_custkey"), "kv", F.lit("Customer"), F.concat(dl, bold)).alias("html"))
@@ -226,7 +226,7 @@ def mined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ruled_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """One document per customer in one of five layouts, and the rules: of tables for all documents, of the other layouts for each its own."""
-    c = _table(spark, sf_dir, "customer").withColumn("way", F.col("c_custkey") % 5)
+    c = spread(_table(spark, sf_dir, "customer"), "c_custkey").withColumn("way", F.col("c_custkey") % 5)
     key, seg, way = _text("c_custkey"), F.col("c_mktsegment"), F.col("way")
     row = lambda *cells: render.row(list(cells))
     table = F.concat(F.lit("<table>"), row(F.lit("Key No"), F.lit("Segment")), *[row(key, seg)] * 3, F.lit("</table>"))
@@ -641,7 +641,7 @@ SELECT p_partkey AS doc_id, 2::BIGINT AS regions, concat_ws(chr(10) || chr(10),
   '<!-- SAMPLE: DOCUMENT TAIL (last 20 chars of ' || length(html) || ') -->', right(html, 20)) AS sample FROM k""")
 def extractor_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of three regions: the first may end within the head, the second repeats its title and kind, the third is cut."""
-    p = _table(spark, sf_dir, "part")
+    p = spread(_table(spark, sf_dir, "part"), "p_partkey")
     named = lambda n: F.repeat(F.concat("p_name", F.lit(" ")), n)
     one = render.region(F.lit("1"), "text", F.col("p_brand"), F.concat(named(F.col("p_size") % 7), F.lit(".")))
     two = render.region(F.lit("2"), "text", F.col("p_brand"), F.lit("again"))

@@ -42,3 +42,13 @@ def settled(frame: DataFrame) -> DataFrame:
     """
     shared_folder(frame.sparkSession, "settled")
     return frame.checkpoint()
+
+
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` dealt by ``keys``, over all cores.
+
+    A small file is read by one task or a few, which then do all that its rows
+    are made into: documents are many times larger than the compressed rows they
+    are rendered from. Narrow rows are dealt before that.
+    """
+    return rows.repartition(*keys)

@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tabularium import queries
 from tabularium.operators import regions, specs
 from tabularium.plans import stanza_mining
 
@@ -107,3 +108,8 @@ def test_the_most_special_rule_holds(spark):
     assert out((2, 1, "list", None, "list", None, "l", None), (2, 0, "list", None, "list", None, "l", [("c", "^(b)$")])) == {(2, "l"): [{"c": "b"}]}
     assert out((1, 1, "odd", None, "text", None, "x", None), (1, 1, "list", None, "text", None, "x", [("w", "^[ab]$")])) == {(1, "x"): [{"w": "a"}, {"w": "b"}]}
     assert specs.records_by_spec(found, spark.createDataFrame([], specs.SPEC)).count() == 0
+
+
+def test_documents_of_a_small_file_are_dealt_before_they_are_rendered(spark, sf):
+    for made in (queries.pair_records, queries.extractor_sample, queries.spec_records):
+        assert "REPARTITION_BY_COL" in made(spark, sf)._jdf.queryExecution().executedPlan().toString()
