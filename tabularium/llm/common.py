@@ -22,10 +22,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabularium.session import bound_batches as bound_batches
+
 #: Bytes of text that a task works on at once.
 SLICE_BYTES = 4 << 20
-#: Bytes of an Arrow batch on its way to a Python worker; Spark's own limit would let 10,000 long texts through at once.
-BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,14 +40,6 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Let the session bound Arrow batches by ``BATCH_BYTES``, unless its own bound is lower."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get(name).lower()).groups()
-    if int(number) << 10 * " kmgt".index(unit or " ") > BATCH_BYTES:
-        spark.conf.set(name, BATCH_BYTES)
-
-
 def free_names(taken: Iterable[str], *wanted: str) -> list[str]:
     """``wanted``, each with as many underscores before it as it takes to differ from all of ``taken``, whatever their case."""
     used, out = {c.lower() for c in taken}, []

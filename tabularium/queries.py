@@ -17,7 +17,7 @@ from tabularium.plans import calls
 from tabularium.plans import page_diffs as diffs_by_rule
 from tabularium.plans import pipeline, stanza_mining, verification
 from tabularium.plans.stages import Kept, Stages
-from tabularium.session import shared_folder, spread
+from tabularium.session import bound_batches, shared_folder, spread
 from tabularium.sources import files, render
 from tabularium.streaming import stitch as stitching
 
@@ -126,6 +126,7 @@ def list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain text of every page, in lines, and as one line."""
+    bound_batches(spark)
     pages = _table(spark, sf_dir, "pages").select("page_id", html.both_texts(F.col("html")).alias("texts"))
     return pages.select("page_id", html.tidy_lines(F.col("texts.lines")).alias("lines"), "texts.line")
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of an Arrow batch on its way to a Python worker; Spark's own limit would let thousands of long texts through at once.
+BATCH_BYTES = 4 << 20
+
 
 def build_session(name: str = "tabularium", master: str | None = None, **conf: str) -> SparkSession:
     """Adaptive execution with skew joins, Arrow batches, UTC. ``conf``: further settings, dots written as ``__``."""
@@ -52,3 +56,11 @@ def spread(rows: DataFrame, *keys: str) -> DataFrame:
     are rendered from. Narrow rows are dealt before that.
     """
     return rows.repartition(*keys)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let the session bound Arrow batches by ``BATCH_BYTES``, unless its own bound is lower."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get(name).lower()).groups()
+    if int(number) << 10 * " kmgt".index(unit or " ") > BATCH_BYTES:
+        spark.conf.set(name, BATCH_BYTES)

@@ -113,3 +113,14 @@ def test_the_most_special_rule_holds(spark):
 def test_documents_of_a_small_file_are_dealt_before_they_are_rendered(spark, sf):
     for made in (queries.pair_records, queries.extractor_sample, queries.spec_records):
         assert "REPARTITION_BY_COL" in made(spark, sf)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pages_go_to_python_in_small_batches(spark, sf):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "64m")
+        queries.page_text(spark, sf)
+        assert int(spark.conf.get(name)) <= 4 << 20
+    finally:
+        spark.conf.set(name, before)
