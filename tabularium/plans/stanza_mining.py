@@ -6,16 +6,18 @@ run of shapes that comes back often enough in a document is a candidate; where
 candidates overlap, the one that accounts for most lines stays. Each shape gives
 a regular expression back, so a pattern is a rule of ``operators.specs``.
 
-Lines are counted as rows: a document's runs meet others of their kind in an
-aggregate, and nothing holds more than one text.
+Lines that end a sentence are left out first, which leaves little of most texts.
+Runs are counted as rows by windows, and nothing holds more than one text.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabularium.functions.text import tidy
+from tabularium.functions.text import SPACE, tidy
 from tabularium.operators.specs import stanza_rows
 
 #: Lines of a stanza at most, and how often it must occur. A line of a longer shape is prose.
@@ -25,6 +27,8 @@ PARTS, STOPS = ",:;|/", ".!?"
 _NUMBER = rf"[^ {PARTS}]*\d[^ {PARTS}]*"
 _WORD_SIGNS = rf"[^ {PARTS}{STOPS}0-9]*"
 _WORD = rf"{_WORD_SIGNS}\p{{L}}{_WORD_SIGNS}"
+#: A line that ends a sentence, whose shape ends so too: no digit in its last token, which would make that a number.
+SENTENCE = rf"(?dm)^(?:.*[{SPACE}{PARTS}&&[^\n]])?[^{SPACE}{PARTS}\d]*[{STOPS}][{SPACE}&&[^\n]]*$"
 
 
 def shape(line: Column) -> Column:
@@ -52,20 +56,25 @@ def runs(texts: DataFrame, most_lines: int = MOST_LINES, id_col: str = "doc_id",
     begins as it ends, so that occurrences of one run never overlap.
     """
     usable = lambda s: (s != "") & (F.length(s) <= MOST_SIGNS) & ~F.rlike(s, F.lit(f"[{STOPS}]$"))
-    rows = texts.select(id_col, F.transform(F.split(text_col, "\n"), lambda x: shape(x)).alias("all"))
+    # Prose is most of a text: its lines go in one pass, before any shape is made, and leave their places.
+    rows = texts.select(id_col, F.regexp_replace(text_col, SENTENCE, "").alias("text"))
+    rows = rows.select(id_col, F.transform(F.split("text", "\n"), lambda x: F.when(x != "", shape(x)).otherwise("")).alias("all"))
     rows = rows.select(id_col, F.transform("all", lambda s: F.when(usable(s), s).otherwise("")).alias("all"))
     # A line goes on with the few after it; the document's others are left behind.
     begun = F.transform("all", lambda s, i: F.when(s != "", F.slice("all", i + 1, F.lit(most_lines))))
     starts = rows.select(id_col, F.posexplode(begun).alias("pos", "near")).where("near is not null")
-    end = F.array_position("near", F.lit(""))
-    near = starts.select(id_col, "pos", F.when(end > 0, F.slice("near", F.lit(1), (end - 1).cast("int"))).otherwise(F.col("near")).alias("near"))
-    cut = near.select(id_col, "pos", F.explode(F.transform(F.sequence(F.lit(1), F.size("near")), lambda k: F.slice("near", F.lit(1), k))).alias("run"))
-    size = F.size("run")
-    borders = F.filter(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), lambda b: (b < size) & (F.slice("run", F.lit(1), b) == F.slice("run", size - b + 1, b)))
-    told = F.exists("run", lambda s: F.rlike(s, F.lit(f"[0{PARTS}]")))
-    single = F.rlike(F.get("run", F.lit(0)), F.lit(f"[{PARTS}]")) & (_groups(F.get("run", F.lit(0))) >= 2)
-    good = cut.where((F.size(borders) == 0) & F.when(size == 1, single).otherwise(told))
-    return good.select(id_col, size.alias("size"), F.array_join("run", "\n").alias("shapes"), "pos")
+    lines = [F.get("near", F.lit(k)) for k in range(most_lines)]
+    told = [F.rlike(line, F.lit(f"[0{PARTS}]")) for line in lines]
+    sizes = []
+    for size in range(1, most_lines + 1):
+        good = F.rlike(lines[0], F.lit(f"[{PARTS}]")) & (_groups(lines[0]) >= 2) if size == 1 else reduce(Column.__or__, told[:size])
+        # A run that begins as it ends has a border that doesn't overlap itself, so the short ones are enough.
+        for border in range(1, size // 2 + 1):
+            good = good & ~reduce(Column.__and__, (lines[k] == lines[size - border + k] for k in range(border)))
+        # A null, beyond the last line, or an unusable line leaves no run.
+        there = reduce(Column.__and__, (F.coalesce(line != "", F.lit(False)) for line in lines[:size]))
+        sizes.append(F.when(there, F.when(good, F.struct(F.lit(size).alias("size"), F.concat_ws("\n", *lines[:size]).alias("shapes")))))
+    return starts.select(id_col, "pos", F.explode(F.array(*sizes)).alias("run")).where("run is not null").select(id_col, "run.size", "run.shapes", "pos")
 
 
 def mine_stanzas(texts: DataFrame, least_count: int = LEAST_COUNT, most_lines: int = MOST_LINES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -77,15 +86,16 @@ def mine_stanzas(texts: DataFrame, least_count: int = LEAST_COUNT, most_lines: i
     lines it has. ``fields`` are ``(name, pattern)`` of each line, as ``operators.specs`` takes
     them. Rows with one id are one document; null texts have no lines.
     """
-    found = runs(texts, most_lines, id_col, text_col)
     key = [id_col, "size", "shapes"]
-    known = found.groupBy(*key).agg(F.count("*").alias("n"), F.min("pos").alias("first_line")).where(F.col("n") >= least_count)
-    order = Window.partitionBy(id_col).orderBy((F.col("n") * F.col("size")).desc(), F.col("size").desc(), "first_line")
-    known = known.withColumn("place", F.row_number().over(order)).drop("n", "first_line")
+    # Texts are read once: windows, not joins, tell runs how often they occur, and each key is shuffled once.
+    same = Window.partitionBy(*key)
+    found = runs(texts, most_lines, id_col, text_col).select("*", F.count("*").over(same).alias("n"), F.min("pos").over(same).alias("first")).where(F.col("n") >= least_count)
+    order = Window.partitionBy(id_col).orderBy((F.col("n") * F.col("size")).desc(), F.col("size").desc(), "first", "shapes")
+    known = found.select(*key, "pos", F.dense_rank().over(order).alias("place"))
     # Only lines of candidates go on; each looks for its best one.
-    lines = found.join(known, key).select(id_col, "place", "size", "shapes", "pos", F.explode(F.sequence("pos", F.col("pos") + F.col("size") - 1)).alias("line"))
-    owned = lines.groupBy(id_col, "line").agg(F.min("place").alias("owner"))
-    whole = lines.join(owned, [id_col, "line"]).groupBy(*key, "place", "pos").agg(F.bool_and(F.col("place") == F.col("owner")).alias("whole")).where("whole")
+    lines = known.select("*", F.explode(F.sequence("pos", F.col("pos") + F.col("size") - 1)).alias("line"))
+    owned = lines.withColumn("owner", F.min("place").over(Window.partitionBy(id_col, "line")))
+    whole = owned.groupBy(*key, "place", "pos").agg(F.bool_and(F.col("place") == F.col("owner")).alias("whole")).where("whole")
     counted = whole.groupBy(*key, "place").agg(F.count("*").alias("approx_count"), F.min("pos").alias("first_line")).where(F.col("approx_count") >= least_count)
     named = Window.partitionBy(id_col).orderBy("first_line")
     letters = F.array(*(F.lit(c) for c in "abcdefghijklmnopqrstuvwxyz"))

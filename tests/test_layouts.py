@@ -61,6 +61,14 @@ def test_mining_equals_a_plain_search(spark, docs):
     assert [got[k] for k, _ in rows] == [plain_mine(t) for _, t in rows]
 
 
+def test_texts_are_read_once_and_sentences_get_no_shape(spark):
+    mined = stanza_mining.mine_stanzas(spark.createDataFrame([(1, "a: b\nA sentence.")], "doc_id long, text string"))
+    assert str(mined._jdf.queryExecution().optimizedPlan()).count("LogicalRDD") == 1
+    lines = ["A sentence.", "It costs 5.", "5. five!", "x | 5. y?  \t", "Town, UK.", ".", "a.b", "No. 5", " ", "Ende!\r", "\u2028Fin.", "7,.", "7;3.!", "\xa0é?\xa0"]
+    kept = spark.createDataFrame([("\n".join(lines),)], "t string").select(F.split(F.regexp_replace("t", stanza_mining.SENTENCE, ""), "\n")).first()[0]
+    assert kept == ["" if plain_shape(x)[-1:] in tuple(".!?") else x for x in lines]
+
+
 def test_stanzas_in_prose_are_found_and_extracted(spark):
     blocks = [("Acme Ltd", "12 High Street", "London, UK"), ("Brokeco SA", "5 Rue de Paix", "Paris, FR"), ("Caro Foods", "99 Marina Bay", "Singapore, SG"), ("Dora Cocoa", "1 Avenida Brasil", "Sao Paulo, BR")]
     text = "Approved Suppliers 2023\nBelow is a list of approved suppliers.\n\n" + "\n\n".join("\n".join(b) for b in blocks) + "\n\nEnd of list."
