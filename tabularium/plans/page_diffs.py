@@ -18,17 +18,19 @@ document and a batch of pages.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tabularium.functions.text import SPACE, tidy
+from tabularium.session import bound_batches
 from tabularium.streaming.stitch import TAIL, Stitched
 
 #: Lines at either end of a page that may be running lines, and on how many pages of a document one must stand.
@@ -40,57 +42,95 @@ BLOCK_END = "</(?:p|h[1-6]|div|header|footer|li|tr|table)>"
 DIFFS = "page long, append string, tail_replacement string, new_header string, new_footer string"
 
 
-def _lines(page: Column) -> Column:
+def lines_of(page: str) -> list[str]:
     """The lines of a page; a block of HTML ends a line as well."""
-    return F.split(F.regexp_replace(page, rf"(?i)({BLOCK_END})\n?", "$1\n"), "\n")
+    return (_LINE_END.sub(r"\1\n", page) if "</" in page else page).split("\n")
 
 
-def _key(line: Column) -> Column:
-    """A line without tags, case and numbers, so that page numbers don't tell running lines apart; empty for an anchor comment."""
-    shown = F.regexp_replace(F.regexp_replace(line, r"(?s)<!--.*?-->", ""), r"<[^>]*>", " ")
-    return F.regexp_replace(F.lower(tidy(shown)), r"\d+", "#")
+def _shown(line: str) -> str:
+    """A line without comments and tags, runs of white space as one blank."""
+    if "<" in line:
+        line = _TAG.sub(" ", _COMMENT.sub("", line))
+    return _tidy(line)
 
 
-def _edges(page: Column, edge: int) -> Column:
-    """The first (side ``header``) and last (``footer``) lines of a page that aren't blank: ``(side, i, hash, hash2, key, line)``, ``i`` their place among all lines."""
-    hashes = lambda x: (F.xxhash64(x["key"]).alias("hash"), F.xxhash64(F.lit("line"), x["key"]).alias("hash2"))
-    # Whether a line without markup is blank is seen from its characters; keys are made for the few lines at the edges.
-    full = lambda x: F.when(F.contains(x, F.lit("<")), _key(x) != "").otherwise(F.rlike(x, F.lit(f"[^{SPACE}]")))
-    listed = F.filter(F.transform(_lines(page), lambda x, i: F.struct(i.alias("i"), x.alias("line"))), lambda x: full(x["line"]))
-    # The lines of both ends are taken from one list, made once for a page.
-    ends = F.aggregate(F.array(listed), F.array().cast(_EDGE), lambda acc, full: F.concat(_sided(full, F.lit(1), edge, "header"), _sided(full, F.greatest(F.size(full) - edge + 1, F.lit(1)), edge, "footer")))
-    ends = F.transform(ends, lambda x: F.struct(x["side"].alias("side"), x["i"].alias("i"), _key(x["line"]).alias("key"), x["line"].alias("line")))
-    return F.transform(ends, lambda x: F.struct(x["side"].alias("side"), x["i"].alias("i"), *hashes(x), x["key"].alias("key"), x["line"].alias("line")))
+def _tidy(line: str) -> str:
+    """``functions.text.tidy``; Python's own white space is that of ``SPACE`` but for a few signs."""
+    return _BLANKS.sub(" ", line).strip(" ") if _ODD.search(line) else " ".join(line.split())
 
 
-_EDGE = "array<struct<side:string,i:int,line:string>>"
+def _hash(shown: str) -> bytes:
+    """128 bits of a line's key: without case and numbers, so that page numbers don't tell running lines apart."""
+    return hashlib.blake2b(_DIGITS.sub("#", shown.lower()).encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def _sided(lines: Column, start: Column, edge: int, side: str) -> Column:
-    return F.transform(F.slice(lines, start, F.lit(edge)), lambda x: F.struct(F.lit(side).alias("side"), x["i"].alias("i"), x["line"].alias("line")))
+def edges_of(page: str | None, edge: int = EDGE) -> list[tuple[str, int, str, bytes]]:
+    """The first (side ``header``) and last (``footer``) lines of a page that aren't blank: ``(side, i, line, hash)``, ``i`` their place among all lines.
 
+    Lines are looked at from either end, as far as it takes; hashes are 128 bits of the key.
+    """
+    if page is None:
+        return []
+    lines = lines_of(page)
+    ends, hashes = {}, {}
+    for side, places in (("header", range(len(lines))), ("footer", range(len(lines) - 1, -1, -1))):
+        full = ends[side] = []
+        for i in places:
+            if len(full) == edge:
+                break
+            if i in hashes:
+                full.append(i)
+            elif shown := _shown(lines[i]):
+                full.append(i)
+                hashes[i] = _hash(shown)
+    return [(side, i, lines[i], hashes[i]) for side, i in [*(("header", i) for i in ends["header"]), *(("footer", i) for i in reversed(ends["footer"]))]]
+
+
+_COMMENT, _TAG, _BLANKS, _DIGITS = re.compile(r"<!--.*?-->", re.DOTALL), re.compile(r"<[^>]*>"), re.compile("[" + re.sub(r"\\x\{(\w+)\}", lambda m: f"\\u{int(m[1], 16):04x}", SPACE) + "]+"), re.compile("[0-9]+")
+_ODD = re.compile("[\x1c-\x1f\x85\ufeff]")
+
+
+def edge_lines(pages: DataFrame, edge: int = EDGE, id_col: str = "doc_id", text_col: str = "html", with_line: bool = True) -> DataFrame:
+    """``(id_col, page, side, hash, line)``: the lines at the edges of each page, and one row without side for the page itself."""
+    schema = T.StructType([pages.schema[id_col], pages.schema["page"], *T.StructType.fromDDL("side string, hash binary, line string").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(schema)
+        for batch in batches:
+            at, sides, hashes, lines = [], [], [], []
+            for k, page in enumerate(batch.column(2).to_pylist()):
+                for side, _, line, digest in [(None, 0, None, None), *edges_of(page, edge)]:
+                    at.append(k)
+                    sides.append(side)
+                    hashes.append(digest)
+                    lines.append(line if with_line else None)
+            rows = batch.select([0, 1]).take(pa.array(at, pa.int32()))
+            columns = [*(rows.column(k).cast(arrow.field(k).type) for k in range(2)), pa.array(sides, pa.string()), pa.array(hashes, pa.binary()), pa.array(lines, pa.string())]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    bound_batches(pages.sparkSession)
+    return pages.select(id_col, "page", text_col).mapInArrow(run, schema)
 
-def edge_lines(pages: DataFrame, edge: int = EDGE, id_col: str = "doc_id", text_col: str = "html") -> DataFrame:
-    """``(id_col, page, side, i, hash, hash2, key, line)``: the lines at the edges of each page."""
-    return pages.select(id_col, "page", F.inline(_edges(F.col(text_col), edge)))
 
+def _running(pages: DataFrame, edge: int, least_pages: int, least_share: float, id_col: str, text_col: str, with_line: bool = False) -> DataFrame:
+    """``(id_col, side, hash, pages, first)``: running lines by hashes of their keys; ``first`` holds the first line met if ``with_line``, else no text is shuffled to count them.
 
-def _running(pages: DataFrame, edge: int, least_pages: int, least_share: float, id_col: str, text_col: str) -> DataFrame:
-    """``(id_col, side, hash, hash2, pages, first)``: running lines by 128 bits of hashes, so that no text is shuffled to count them."""
-    rows = edge_lines(pages, edge, id_col, text_col).select(id_col, "page", "side", "hash", "hash2")
-    found = rows.groupBy(id_col, "side", "hash", "hash2").agg(F.count_distinct("page").alias("pages"), F.min("page").alias("first")).where(F.col("pages") >= least_pages)
-    sizes = pages.groupBy(F.col(id_col).alias("__doc")).agg(F.count_distinct("page").alias("__pages"))
-    return found.join(sizes, F.col(id_col).eqNullSafe(F.col("__doc"))).where(F.col("pages") >= F.col("__pages") * least_share).drop("__doc", "__pages")
+    Lines are dealt by document once, which serves the counts and the number of pages beside them.
+    """
+    rows = edge_lines(pages, edge, id_col, text_col, with_line).repartition(id_col)
+    first = F.min(F.struct("page", "line"))["line"] if with_line else F.lit(None).cast("string")
+    found = rows.groupBy(id_col, "side", "hash").agg(F.count_distinct("page").alias("pages"), first.alias("first")).where(F.col("side").isNull() | (F.col("pages") >= least_pages))
+    every = F.max(F.when(F.col("side").isNull(), F.col("pages"))).over(Window.partitionBy(id_col))
+    return found.withColumn("__pages", every).where(F.col("side").isNotNull() & (F.col("pages") >= F.col("__pages") * least_share)).drop("__pages")
 
 
 def running_lines(
     pages: DataFrame, edge: int = EDGE, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, id_col: str = "doc_id", text_col: str = "html"
 ) -> DataFrame:
     """``(id_col, side, key, pages, line)``: lines that stand at that edge of ``least_pages`` pages and of that share of a document's; ``line`` is the first one met."""
-    found = _running(pages, edge, least_pages, least_share, id_col, text_col).withColumnsRenamed({id_col: "__doc", "side": "__side", "hash": "__hash", "hash2": "__hash2"})
-    lines = edge_lines(pages, edge, id_col, text_col)
-    on = lines[id_col].eqNullSafe(found["__doc"]) & (lines["side"] == found["__side"]) & (lines["hash"] == found["__hash"]) & (lines["hash2"] == found["__hash2"]) & (lines["page"] == found["first"])
-    return lines.join(found, on).groupBy(id_col, "side", "key").agg(F.max("pages").alias("pages"), F.min("line").alias("line"))
+    found = _running(pages, edge, least_pages, least_share, id_col, text_col, with_line=True)
+    shown = tidy(F.regexp_replace(F.regexp_replace("first", r"(?s)<!--.*?-->", ""), r"<[^>]*>", " "))
+    return found.select(id_col, "side", F.regexp_replace(F.lower(shown), r"\d+", "#").alias("key"), "pages", F.col("first").alias("line"))
 
 
 def overlap(tail: str, page: str, least: int = LEAST_OVERLAP) -> int:
@@ -118,10 +158,10 @@ def without_lines(page: str, gone: set[int]) -> str:
     """A page without the lines at these places."""
     if not gone:
         return page
-    return "\n".join(x for i, x in enumerate(_LINE_END.sub(r"\1\n", page).split("\n")) if i not in gone)
+    return "\n".join(x for i, x in enumerate(lines_of(page)) if i not in gone)
 
 
-_LINE_END = re.compile(rf"({BLOCK_END})\n?", re.IGNORECASE)
+_LINE_END = re.compile(rf"({BLOCK_END})\n?", re.IGNORECASE | re.ASCII)
 _TABLE_END = re.compile(r"</table>\s*(<!--\s*structured-end:[^>]*-->)?\s*$", re.IGNORECASE)
 _TABLE_START = re.compile(r"^\s*(<!--\s*structured-start:[^>]*-->)?\s*<table[^>]*>", re.IGNORECASE)
 _ROW = re.compile(r"<tr[^>]*>.*?</tr>", re.IGNORECASE | re.DOTALL)
@@ -198,33 +238,33 @@ def propose_diffs(
     """
     running = _running(pages, edge, least_pages, least_share, id_col, text_col)
     # A document's running lines go with its pages to their task, before the first page. They are few, as each stands on a good share of the pages.
-    known = running.groupBy(id_col).agg(F.collect_set(F.concat_ws(" ", "side", "hash", "hash2")).alias("known"))
-    shown = lambda x: tidy(F.regexp_replace(x["line"], r"<[^>]*>", " ")).alias("shown")
-    edges = F.transform(_edges(F.col(text_col), edge), lambda x: F.struct(x["side"].alias("side"), x["i"].alias("i"), F.concat_ws(" ", x["side"], x["hash"], x["hash2"]).alias("name"), shown(x)))
-    rows = pages.select(id_col, F.lit(1).alias("place"), "page", F.col(text_col).alias("body"), edges.alias("edges"))
-    rows = rows.unionByName(known.withColumn("place", F.lit(0)), allowMissingColumns=True).select(id_col, "place", "page", "body", "edges", "known")
+    known = running.groupBy(id_col).agg(F.collect_set(F.struct("side", "hash")).alias("known"))
+    rows = pages.select(id_col, F.lit(1).alias("place"), "page", F.col(text_col).alias("body"))
+    rows = rows.unionByName(known.withColumn("place", F.lit(0)), allowMissingColumns=True).select(id_col, "place", "page", "body", "known")
     schema = T.StructType([pages.schema[id_col], *T.StructType.fromDDL(DIFFS).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow, key, last, now, lines = to_arrow_schema(schema), None, None, None, set()
         for batch in batches:
             out = []
-            for ident, place, page, body, ends, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for ident, place, page, body, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if now is None or ident != key:
                     key, last, now, lines = ident, None, Stitched(tail), set()
                 if place == 0:
-                    lines = set(found)
+                    lines = {(x["side"], x["hash"]) for x in found}
                     continue
                 if page == last and last is not None:
                     continue
-                gone = [e for e in ends or () if e["name"] in lines]
-                header = next((e["shown"] for e in gone if e["side"] == "header"), None)
-                footer = next((e["shown"] for e in reversed(gone) if e["side"] == "footer"), None)
-                diff = diff_of(now.end(), without_lines(body or "", {e["i"] for e in gone}), least_overlap)
+                gone = [e for e in edges_of(body, edge) if (e[0], e[3]) in lines] if lines else []
+                header = next((line for side, _, line, _ in gone if side == "header"), None)
+                footer = next((line for side, _, line, _ in reversed(gone) if side == "footer"), None)
+                header, footer = (x and _tidy(_TAG.sub(" ", x)) for x in (header, footer))
+                diff = diff_of(now.end(), without_lines(body or "", {i for _, i, _, _ in gone}), least_overlap)
                 now.add(*diff, None, None)
                 now.done.clear()  # only the end of what is stitched is looked at
                 last = page
                 out.append((ident, page, *diff, header, footer))
             yield pa.RecordBatch.from_pylist([dict(zip(arrow.names, r, strict=True)) for r in out], schema=arrow)
 
+    bound_batches(pages.sparkSession)
     return rows.repartition(id_col).sortWithinPartitions(id_col, "place", "page", "body").mapInArrow(run, schema)

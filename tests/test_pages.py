@@ -108,3 +108,16 @@ def test_what_waits_is_stitched_when_no_page_comes(spark, tmp_path):
 def test_no_pages(spark, rows):
     frame = spark.createDataFrame(rows, "doc_id long, page long, html string")
     assert [r.append for r in page_diffs.propose_diffs(frame).collect()] == [""] * len(rows)
+
+
+def test_edges_are_found_from_either_end_without_lambdas(spark):
+    page = "Report 1\n\n<!-- a --><b> </b>\nx</lı>y</p>z\n﻿\n \x1c \nPage  2"
+    assert [(side, i, line) for side, i, line, _ in page_diffs.edges_of(page)] == [("header", 0, "Report 1"), ("header", 3, "x</lı>y</p>"), ("footer", 6, " \x1c "), ("footer", 7, "Page  2")]
+    assert page_diffs.edges_of(None) == [] == page_diffs.edges_of(" \n<p>")
+    one = page_diffs.edges_of("only 7")
+    assert [(side, i) for side, i, _, _ in one] == [("header", 0), ("footer", 0)] and one[0][3] == page_diffs.edges_of("ONLY 8")[0][3]
+    # A dotless i ends no list item: the running lines go, no other.
+    pages = spark.createDataFrame([(1, k, f"Report {k}\nA{k}</lı>b{k}\nc{k}.\nd{k}.\nPage {k}") for k in (1, 2)], "doc_id long, page int, html string")
+    diffs = page_diffs.propose_diffs(pages, edge=1)
+    assert "lambda" not in str(diffs._jdf.queryExecution().optimizedPlan())
+    assert [(r.append, r.new_header, r.new_footer) for r in diffs.orderBy("page").collect()] == [("A1</lı>b1\nc1.\nd1.", "Report 1", "Page 1"), ("\nA2</lı>b2\nc2.\nd2.", "Report 2", "Page 2")]
