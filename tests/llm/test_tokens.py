@@ -43,6 +43,22 @@ def test_every_prefix_and_budget():
         assert ends[-1] == len(text) and all(count(text[a:b]) <= 4 for a, b in zip([0, *ends], ends))
 
 
+def test_plain_texts_split_alike_and_pieces_at_hand_are_kept(monkeypatch):
+    of = token_counts.PrefixTables(JSON)
+    signs = [c for c in map(chr, range(0x3000)) if token_counts.PLAIN.fullmatch(c)]
+    assert len(signs) > 500
+    rng = random.Random(5)
+    for text in [*(f"a{c}1{c}{c} {c}  {c}'s'{c}" for c in signs), *("".join(rng.choices([*signs, *" \n\t'st19"], k=40)) for _ in range(500))]:
+        assert token_counts.PLAIN_PATTERN.findall(text) == of.pattern.findall(text)
+    # What the texts at hand have in common with those before isn't made again, even where room is made.
+    monkeypatch.setattr(token_counts, "TABLES_KEPT", 3)
+    of.fill(["one", " two", " three", " four"])
+    held = of.tables[" two"]
+    of.make_room(at_hand := [" two", " six"])
+    of.fill(at_hand)
+    assert set(of.tables) == set(at_hand) and of.tables[" two"] is held
+
+
 def test_a_single_piece_of_any_length_is_cut():
     table = token_counts.PrefixCounts("q" * 200_000, token_counts.tables(JSON))
     k = table.longest_within(512)
