@@ -13,7 +13,7 @@ from tabularium.operators import enrich, groups, records, regions, schemas
 from tabularium.operators.numbering import HOT_ROWS
 from tabularium.plans.proposers import Proposer, Rules
 from tabularium.plans.stages import Stages, content_key
-from tabularium.session import settled
+from tabularium.session import dealt, settled
 
 
 @dataclass
@@ -31,8 +31,9 @@ class Result:
 
 
 def extract(docs: DataFrame) -> DataFrame:
-    """``(doc_id, group_name, title, ord, rec)`` of all tables, key/value blocks and lists of anchored documents, which are parsed once."""
-    found = regions.find_regions(docs)
+    """``(doc_id, group_name, title, ord, rec)`` of all tables, key/value blocks and lists of anchored documents, which are read once and parsed once."""
+    # Each kind of region is read from it, and documents may be costly to make. Parsing costs more than their bytes tell, so adaptive execution must not put them together.
+    found = settled(dealt(regions.find_regions(docs), "doc_id", "pos"))
     return records.to_groups(settled(groups.combine(records.table_records(found), records.pair_records(found), records.list_records(found))))
 
 

@@ -798,8 +798,8 @@ def response_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of 20 customers: their table in two parts with different columns, their phones in numbered columns, and two small tables alike."""
-    c = _table(spark, sf_dir, "customer")
-    doc, key, name, street = F.floor(F.col("c_custkey") / 20), _text("c_custkey"), F.col("c_name"), F.concat(_text("c_nationkey"), F.lit(" High Road"))
+    c = spread(_table(spark, sf_dir, "customer").withColumn("doc", F.floor(F.col("c_custkey") / 20)), "doc")
+    doc, key, name, street = F.col("doc"), _text("c_custkey"), F.col("c_name"), F.concat(_text("c_nationkey"), F.lit(" High Road"))
     city = F.concat(F.lit("Town "), F.lower("c_mktsegment"))
     phones = [F.concat(F.lit(f"{k}-"), key) for k in (1, 2)]
     even = F.col("c_custkey") % 2 == 0

@@ -58,6 +58,12 @@ def spread(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(*keys)
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` dealt by ``keys`` into parts that stay apart, several for each core, for work that takes much longer than its rows are large."""
+    spark = rows.sparkSession
+    return rows.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Let the session bound Arrow batches by ``BATCH_BYTES``, unless its own bound is lower."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"

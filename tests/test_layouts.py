@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tabularium import queries
 from tabularium.operators import regions, specs
 from tabularium.plans import stanza_mining
+from tabularium.session import dealt
 
 LOOSE = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -123,6 +124,14 @@ def test_documents_of_a_small_file_are_dealt_before_they_are_rendered(spark, sf)
         assert "REPARTITION_BY_COL" in made(spark, sf)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_regions_are_dealt_over_all_cores_before_they_are_parsed(spark, sf):
+    docs = queries.customer_documents(spark, sf)
+    assert "REPARTITION_BY_COL" in docs._jdf.queryExecution().executedPlan().toString()
+    rows = regions.find_regions(docs)
+    parts = dealt(rows, "doc_id", "pos")
+    assert parts.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism and parts.count() == rows.count()
+
+
 def test_pages_go_to_python_in_small_batches(spark, sf):
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(name)
